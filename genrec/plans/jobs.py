@@ -6,6 +6,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from genrec.operators import metrics, model, prep, recommend, serve
 from genrec.sources.views import movies_view, ratings_view
@@ -48,3 +49,41 @@ def recommend_unseen(avg: DataFrame, fav: DataFrame, training: DataFrame, n: int
 def recommend_for(stored: DataFrame, titles: DataFrame, user_ids: list[int] | None = None) -> DataFrame:
     """Job C: ranked titles for the given users (all users when None)."""
     return serve.user_recommendations(stored, titles, user_ids)
+
+
+
+PREPARED_TABLES = ("training", "test", "avg_ratings", "fav_genres", "titles")
+_RATED = ["userid", "movieid", "rating", "timestamp", "genres"]
+
+
+def write_prepared(spark: SparkSession, ratings: DataFrame, movies: DataFrame, folder: str,
+                   movie_quantile: float = 0.7, user_low: float = 0.5, user_high: float = 0.98) -> str:
+    """Job A as a sink: the five datasets as parquet with real arrays.
+
+    The filtered ratings are computed once and written partitioned by
+    ``split`` (training / test_raw) in one pass; everything else is derived
+    from that written table, so the big joins run once and a lost executor
+    never recomputes them.  ``<folder>/ratings/split=training`` is the
+    training dataset.
+    """
+    valid = prep.valid_movies(movies)
+    active = prep.active_user_ratings(prep.popular_movie_ratings(ratings, valid, movie_quantile),
+                                      user_low, user_high)
+    split = F.when(F.col("timestamp") <= prep.split_cut(), F.lit("training")).otherwise(F.lit("test_raw"))
+    (active.select(*_RATED, split.alias("split"))
+     .write.mode("errorifexists").partitionBy("split").parquet(f"{folder}/ratings"))
+    stored = spark.read.parquet(f"{folder}/ratings")
+    training = stored.where(F.col("split") == "training").drop("split")
+    test_raw = stored.where(F.col("split") == "test_raw").drop("split")
+    prep.drop_cold(test_raw, training).write.mode("errorifexists").parquet(f"{folder}/test")
+    prep.avg_ratings(training).write.mode("errorifexists").parquet(f"{folder}/avg_ratings")
+    prep.fav_genres(training).write.mode("errorifexists").parquet(f"{folder}/fav_genres")
+    prep.titles(valid).write.mode("errorifexists").parquet(f"{folder}/titles")
+    return folder
+
+
+def read_prepared(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The datasets written by ``write_prepared`` (training by partition pruning)."""
+    out = {name: spark.read.parquet(f"{folder}/{name}") for name in PREPARED_TABLES if name != "training"}
+    out["training"] = spark.read.parquet(f"{folder}/ratings").where(F.col("split") == "training").drop("split")
+    return out

@@ -121,3 +121,13 @@ def test_scores_match_brute_force(spark):
     w = brute.weights([g for _, g in movies.values()])
     expect = sorted((u, m, brute.score(fav[u], movies[m][1], movies[m][0], w)) for u, m in cands)
     assert got == expect
+
+
+def test_written_prepared_equals_lazy(spark, prepared):
+    from genrec.session import scratch_dir
+    from genrec.sources.views import movies_view, ratings_view
+    folder = scratch_dir(spark, "prep-test")
+    jobs.write_prepared(spark, ratings_view(spark, SF001), movies_view(spark, SF001), folder)
+    d = jobs.read_prepared(spark, folder)
+    for name in ("training", "test", "avg_ratings", "fav_genres", "titles"):
+        assert rows(d[name]) == rows(getattr(prepared, name).select(*d[name].columns)), name
