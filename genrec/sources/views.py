@@ -53,6 +53,10 @@ def movies_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select(key.cast("int").alias("movieid"), title.alias("title"), genres.alias("genres"))
 
 
+def _pow10(n: int) -> Column:
+    return F.lit(str(10 ** n)).cast(f"decimal({n + 1},0)")
+
+
 def ratings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw ratings: ``userid INT, movieid INT, rating DOUBLE, timestamp BIGINT``.
 
@@ -60,20 +64,30 @@ def ratings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     line number).  Rating = ceil(quantity / 5) / 2 on the half-star scale;
     timestamp = epoch seconds of the ship day + line number.
 
-    The latest item is taken with ``max(struct(...))`` in a hash aggregate, so
-    the de-duplication is combined map-side before the shuffle (a window with
-    ``row_number`` would sort every line item of a hot customer in one task).
+    The latest item is found by a hash aggregate with map-side combine:
+    (ship day, order key, line number) is packed into one ``decimal(38,0)``
+    that orders the same way (order keys < 10^19, line numbers < 10^10 leave
+    the lower 29 digits to them), and ``max_by`` keeps the quantity of the
+    largest key.  ``max(struct(...))`` would give the same rows but is planned
+    as a sort aggregate, and a ``row_number`` window sorts every line item of
+    a customer in one task.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     joined = li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
+    days = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date"))
+    key = (days.cast("decimal(7,0)") * _pow10(29)
+           + F.col("l_orderkey").cast("decimal(19,0)") * _pow10(10)
+           + F.col("l_linenumber").cast("decimal(10,0)")).cast("decimal(38,0)")
     latest = joined.groupBy(F.col("o_custkey").alias("userid"), F.col("l_partkey").alias("movieid")).agg(
-        F.max(F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_quantity")).alias("r"))
-    days = F.datediff(F.col("r.l_shipdate").cast("date"), F.lit("1970-01-01").cast("date"))
+        F.max_by("l_quantity", key).alias("qty"), F.max(key).alias("k"))
+    k = F.col("k")
+    last_day = F.floor(k / _pow10(29)).cast("bigint")
+    line = F.pmod(k, _pow10(10)).cast("bigint")
     return latest.select(
         F.col("userid").cast("int").alias("userid"),
         F.col("movieid").cast("int").alias("movieid"),
-        (F.ceil(F.col("r.l_quantity") / 5).cast("double") / 2).alias("rating"),
-        (days.cast("bigint") * 86400 + F.col("r.l_linenumber")).alias("timestamp"),
+        (F.ceil(F.col("qty") / 5).cast("double") / 2).alias("rating"),
+        (last_day * 86400 + line).alias("timestamp"),
     )
