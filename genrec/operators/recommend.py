@@ -13,6 +13,12 @@ from pyspark.sql import functions as F
 
 from genrec.operators.model import score_expr, set_affinity
 from genrec.operators.rank import group_rank
+from genrec.operators.sizing import broadcast_if_small
+
+
+def _with_genres(keys: DataFrame, key: str, arr: str) -> DataFrame:
+    # a key is the sorted genre list joined by '|', and genres never contain '|'
+    return keys.withColumn(arr, F.split(F.col(key), r"[|]"))
 
 
 def user_profiles(fav: DataFrame) -> DataFrame:
@@ -46,14 +52,18 @@ def score_candidates(cands: DataFrame, fav: DataFrame, movies: DataFrame,
     (favourite set, genre set) pairs of the candidates (a partial aggregate).
     """
     c = (cands.select("userid", "movieid")
-         .join(movie_profiles(movies), "movieid")
-         .join(user_profiles(fav), "userid"))
-    pairs = c.groupBy("pkey", "skey").agg(F.any_value("pgenres").alias("pgenres"),
-                                          F.any_value("sgenres").alias("sgenres"))
-    aff = set_affinity(pairs, weights)
+         .join(movie_profiles(movies).select("movieid", "avgrating", "skey"), "movieid")
+         .join(user_profiles(fav).select("userid", "pkey"), "userid"))
+    aff = broadcast_if_small(set_affinity(candidate_pairs(c), weights))
     return c.join(aff, ["pkey", "skey"]).select("userid", "movieid", score_expr().alias("score"))
 
 
+def candidate_pairs(c: DataFrame) -> DataFrame:
+    """Distinct (favourite set, genre set) pairs of scored rows, with their lists."""
+    pairs = c.select("pkey", "skey").distinct()
+    return _with_genres(_with_genres(pairs, "pkey", "pgenres"), "skey", "sgenres")
+
+
 def top_n(scored: DataFrame, n: int = 10, key: str = "userid") -> DataFrame:
     """Best ``n`` per user by score desc, ties by lower movie id; adds ``rank``.
 
@@ -67,7 +77,8 @@ def top_n(scored: DataFrame, n: int = 10, key: str = "userid") -> DataFrame:
 def predictions(fav: DataFrame, test: DataFrame, movies: DataFrame, weights: DataFrame,
                 n: int = 10) -> DataFrame:
     """``userid, movieid, score, rank`` — top-n scored test movies per user."""
-    return top_n(score_candidates(test_candidates(fav, test), fav, movies, weights), n)
+    # users without favourites drop out in the profile join of score_candidates
+    return top_n(score_candidates(test, fav, movies, weights), n)
 
 
 def clip_scores(preds: DataFrame, cap: float = 5.0) -> DataFrame:
@@ -128,10 +139,10 @@ def unseen_recommendations(fav: DataFrame, training: DataFrame, movies: DataFram
     """
     up = user_profiles(fav)
     mp = movie_profiles(movies)
-    profiles = up.groupBy("pkey").agg(F.any_value("pgenres").alias("pgenres"))
-    sets = mp.groupBy("skey").agg(F.any_value("sgenres").alias("sgenres"))
-    aff = set_affinity(_linked_pairs(profiles, sets, weights), weights)
-    positive = (aff.join(mp, "skey").select("pkey", "movieid", score_expr().alias("score"))
+    profiles = _with_genres(up.select("pkey").distinct(), "pkey", "pgenres")
+    sets = _with_genres(mp.select("skey").distinct(), "skey", "sgenres")
+    aff = broadcast_if_small(set_affinity(_linked_pairs(profiles, sets, weights), weights))
+    positive = (mp.join(aff, "skey").select("pkey", "movieid", score_expr().alias("score"))
                 .where(F.col("score") > 0))
     ranked = group_rank(positive, ["pkey"], [F.col("score").desc(), F.col("movieid").asc()])
     n_ranked = ranked.groupBy("pkey").agg(F.max("rank").alias("n_ranked"))

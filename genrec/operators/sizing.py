@@ -1,0 +1,24 @@
+"""Broadcast a side of a join only after checking its size."""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# ~10 MB for the narrow tables this is used on (two short strings, an int, a decimal)
+DEFAULT_MAX_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """Return ``df`` with a broadcast hint when it has at most ``max_rows`` rows.
+
+    Runs one action on ``df`` (persisted first, so the join reuses it; a lost
+    cache block is recomputed from the lineage).  Above the bound the plain
+    DataFrame is returned and Spark plans a shuffle join (with AQE's skew
+    handling).  Use it for tables derived from distinct keys, where the
+    optimizer cannot know the size before running.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = kept.limit(max_rows + 1).count()
+    return F.broadcast(kept) if n <= max_rows else kept

@@ -57,9 +57,7 @@ class _Ctx:
         c = (recommend.test_candidates(p.fav_genres, p.test)
              .join(recommend.movie_profiles(p.avg_ratings), "movieid")
              .join(recommend.user_profiles(p.fav_genres), "userid"))
-        pairs = c.groupBy("pkey", "skey").agg(F.any_value("pgenres").alias("pgenres"),
-                                              F.any_value("sgenres").alias("sgenres"))
-        return pairs, w
+        return recommend.candidate_pairs(c), w
 
 
 def _q(build: Callable[[_Ctx], DataFrame]) -> Query:
