@@ -23,6 +23,14 @@ _POS_BITS = 33
 def group_rank(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
                rank_col: str = "rank", partitions: int | None = None) -> DataFrame:
     """Add ``rank_col`` = 1, 2, ... within each group in ``order``.
+    """
+    return ranked_groups(df, group_cols, order, rank_col, partitions)[0]
+
+
+def ranked_groups(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
+                  rank_col: str = "rank", partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``group_rank`` plus a ``group_cols + [n_rows]`` table of group sizes
+    (from the per-partition summary, without another pass over the rows).
 
     ``order`` must be a total order inside a group (end it with a unique key).
     Runs one action: the sorted, numbered rows are checkpointed to the session's
@@ -41,8 +49,9 @@ def group_rank(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column]
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*group_cols).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1) \
         if group_cols else Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.select(*group_cols, "_part", "_first",
+    summary = summary.select(*group_cols, "_part", "_first", "_n",
                              F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    out = numbered.join(summary, [*group_cols, "_part"])
+    out = numbered.join(summary.drop("_n"), [*group_cols, "_part"])
     rank = F.col("_pos") - F.col("_first") + 1 + F.col("_before")
-    return out.select(*df.columns, rank.alias(rank_col))
+    sizes = summary.groupBy(*group_cols).agg(F.sum("_n").alias("n_rows"))
+    return out.select(*df.columns, rank.alias(rank_col)), sizes

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from genrec.operators.model import score_expr, set_affinity
-from genrec.operators.rank import group_rank
+from genrec.operators.rank import group_rank, ranked_groups
 from genrec.operators.sizing import broadcast_if_small
 
 
@@ -144,8 +144,8 @@ def unseen_recommendations(fav: DataFrame, training: DataFrame, movies: DataFram
     aff = broadcast_if_small(set_affinity(_linked_pairs(profiles, sets, weights), weights))
     positive = (mp.join(aff, "skey").select("pkey", "movieid", score_expr().alias("score"))
                 .where(F.col("score") > 0))
-    ranked = group_rank(positive, ["pkey"], [F.col("score").desc(), F.col("movieid").asc()])
-    n_ranked = ranked.groupBy("pkey").agg(F.max("rank").alias("n_ranked"))
+    ranked, sizes = ranked_groups(positive, ["pkey"], [F.col("score").desc(), F.col("movieid").asc()])
+    n_ranked = sizes.withColumnRenamed("n_rows", "n_ranked")
 
     users = (up.join(seen_movies(training), "userid", "left")
              .join(n_ranked, "pkey", "left")
