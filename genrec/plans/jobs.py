@@ -60,12 +60,18 @@ def write_prepared(spark: SparkSession, ratings: DataFrame, movies: DataFrame, f
                    movie_quantile: float = 0.7, user_low: float = 0.5, user_high: float = 0.98) -> str:
     """Job A as a sink: the five datasets as parquet with real arrays.
 
-    The filtered ratings are computed once and written partitioned by
-    ``split`` (training / test_raw) in one pass; everything else is derived
-    from that written table, so the big joins run once and a lost executor
-    never recomputes them.  ``<folder>/ratings/split=training`` is the
-    training dataset.
+    The input ratings are written once (``_ratings``); the filtered ratings
+    are written partitioned by ``split`` (training / test_raw) in one pass;
+    everything else is derived from those written tables, so the big joins
+    run once and a lost executor never recomputes them.
+    ``<folder>/ratings/split=training`` is the training dataset.
     """
+    # The movie percentile, the user band and the split are three global
+    # barriers, each needing a pass over the ratings.  The ratings (a join and
+    # an aggregate over the raw tables, or a CSV parse) are written once and
+    # every pass reads that table instead of recomputing it.
+    ratings.write.mode("errorifexists").parquet(f"{folder}/_ratings")
+    ratings = spark.read.parquet(f"{folder}/_ratings")
     valid = prep.valid_movies(movies)
     active = prep.active_user_ratings(prep.popular_movie_ratings(ratings, valid, movie_quantile),
                                       user_low, user_high)
