@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genrec.session import ensure_checkpoint_dir
+from genrec.session import scratch_dir
 
 # monotonically_increasing_id() keeps the partition index above bit 33
 _POS_BITS = 33
@@ -33,18 +33,22 @@ def ranked_groups(df: DataFrame, group_cols: Sequence[str], order: Sequence[Colu
     (from the per-partition summary, without another pass over the rows).
 
     ``order`` must be a total order inside a group (end it with a unique key).
-    Runs one action: the sorted, numbered rows are checkpointed to the session's
+    Runs one action: the sorted, numbered rows are written below the session's
     checkpoint folder so both uses below see the same positions, also after an
     executor is lost.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c).asc() for c in group_cols] + list(order)
-    numbered = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                .withColumn("_pos", F.monotonically_increasing_id())
-                .withColumn("_part", F.shiftright("_pos", _POS_BITS))
-                .checkpoint(eager=True))
+    # Written (not Dataset.checkpoint, which would compute the input twice) to
+    # a fresh folder below spark.checkpoint.dir: positions are fixed once and
+    # the lineage is cut.
+    folder = scratch_dir(spark, "rank")
+    (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+     .withColumn("_pos", F.monotonically_increasing_id())
+     .withColumn("_part", F.shiftright("_pos", _POS_BITS))
+     .write.parquet(folder))
+    numbered = spark.read.parquet(folder)
     summary = numbered.groupBy(*group_cols, "_part").agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*group_cols).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1) \

@@ -104,6 +104,25 @@ def unseen_counts(fav: DataFrame, training: DataFrame, movies: DataFrame) -> Dat
             .select("userid", (total - F.coalesce("n_seen", F.lit(0))).alias("n_unseen")))
 
 
+RANK_CHUNK = 4096
+
+
+def explode_ranks(df: DataFrame, chunk: int = RANK_CHUNK) -> DataFrame:
+    """Rows ``(..., rank)`` for rank = 1..upto of each input row (``upto`` dropped).
+
+    Two steps so that one user with a very long range is not expanded inside
+    a single task: first one row per chunk of ``chunk`` ranks, spread by a
+    shuffle on (userid, chunk), then the ranks of each chunk.
+    """
+    keep = [c for c in df.columns if c != "upto"]
+    chunks = (df.select(*keep, "upto",
+                        F.explode(F.sequence(F.lit(0), F.floor((F.col("upto") - 1) / chunk))).alias("_chunk"))
+              .repartition("userid", "_chunk"))
+    first = F.col("_chunk") * chunk + 1
+    last = F.least(F.col("upto"), (F.col("_chunk") + 1) * chunk)
+    return chunks.select(*keep, F.explode(F.sequence(first, last)).alias("rank"))
+
+
 def _linked_pairs(profiles: DataFrame, sets: DataFrame, weights: DataFrame) -> DataFrame:
     """(favourite set, genre set) pairs with at least one non-zero coefficient
     candidate: a shared genre or a weight from a favourite to a movie genre.
@@ -154,15 +173,13 @@ def unseen_recommendations(fav: DataFrame, training: DataFrame, movies: DataFram
                      F.coalesce("n_ranked", F.lit(0)).alias("n_ranked")))
 
     take = F.least("need", "n_ranked")
-    from_profile = (users.where(take >= 1)
-                    .select("userid", "pkey", F.explode(F.sequence(F.lit(1), take)).alias("rank"))
+    from_profile = (explode_ranks(users.where(take >= 1).select("userid", "pkey", take.alias("upto")))
                     .join(ranked, ["pkey", "rank"])
                     .select("userid", "movieid", "score"))
 
     by_id = group_rank(mp.select("movieid"), [], [F.col("movieid").asc()])
-    fill = (users.where(F.col("n_ranked") < F.col("need"))
-            .select("userid", "pkey",
-                    F.explode(F.sequence(F.lit(1), F.col("need") + F.col("n_ranked"))).alias("rank"))
+    fill = (explode_ranks(users.where(F.col("n_ranked") < F.col("need"))
+                          .select("userid", "pkey", (F.col("need") + F.col("n_ranked")).alias("upto")))
             .join(by_id, "rank")
             .join(ranked.select("pkey", "movieid"), ["pkey", "movieid"], "left_anti")
             .select("userid", "movieid", F.lit(0.0).alias("score")))

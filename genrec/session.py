@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -58,12 +58,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the checkpoint folder for sinks written by queries."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" not in base:
-        os.makedirs(base, exist_ok=True)
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
-    import uuid
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh, not yet existing path below the checkpoint folder (a unique
+    name per call), for tables that queries write and read back."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/{name}-{uuid.uuid4().hex}"

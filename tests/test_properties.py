@@ -131,3 +131,9 @@ def test_written_prepared_equals_lazy(spark, prepared):
     d = jobs.read_prepared(spark, folder)
     for name in ("training", "test", "avg_ratings", "fav_genres", "titles"):
         assert rows(d[name]) == rows(getattr(prepared, name).select(*d[name].columns)), name
+
+
+def test_explode_ranks_chunks(spark):
+    df = spark.createDataFrame([(1, "p", 7), (2, "q", 1), (3, "p", 3)], "userid int, pkey string, upto bigint")
+    got = rows(recommend.explode_ranks(df, chunk=3), "userid", "pkey", "rank")
+    assert got == sorted([(1, "p", r) for r in range(1, 8)] + [(2, "q", 1)] + [(3, "p", r) for r in range(1, 4)])
