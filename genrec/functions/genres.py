@@ -37,15 +37,18 @@ def title_year(title: Column | str) -> Column:
     return F.regexp_extract(F.col(title) if isinstance(title, str) else title, YEAR_PATTERN, 1)
 
 
-def coefficient(fav: Column, genre: Column, weight: Column, norm: Column) -> Column:
+def coefficient(fav: Column, genre: Column, weight: Column, norm: Column,
+                digits: int | None = 3) -> Column:
     """Genre coefficient of a favourite genre against one genre of a movie.
 
     Equal genres give 1.0 without division; a missing weight (no pair seen,
-    unknown genre) gives 0.0; otherwise ``round(weight * (1 / norm), 3)``.
-    ``norm`` is never 0 on the branch that divides.
+    unknown genre) gives 0.0; otherwise ``round(weight * (1 / norm), 3)``
+    (unrounded when ``digits`` is None).  ``norm`` is never 0 on the branch
+    that divides.
     """
+    ratio = weight * (F.lit(1.0) / norm.cast("double"))
     return (
         F.when(fav == genre, F.lit(1.0))
         .when(weight.isNull(), F.lit(0.0))
-        .otherwise(F.round(weight * (F.lit(1.0) / norm.cast("double")), 3))
+        .otherwise(F.round(ratio, digits) if digits is not None else ratio)
     )

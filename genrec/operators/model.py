@@ -72,7 +72,7 @@ def check_known(fav: DataFrame, movies: DataFrame) -> None:
         raise ValueError(f"genre does not exist: {unknown['genre']}")
 
 
-def set_affinity(pairs: DataFrame, weights: DataFrame) -> DataFrame:
+def set_affinity(pairs: DataFrame, weights: DataFrame, exact: bool = False) -> DataFrame:
     """O45/O46 core: for each (favourite set, movie genre set) pair
 
         aff = sum over u in fav, m in genres of coeff(u, m, norm(u)),
@@ -82,6 +82,9 @@ def set_affinity(pairs: DataFrame, weights: DataFrame) -> DataFrame:
     ``pkey, skey, aff DECIMAL, n_fav`` has one row per input pair.  Rows
     expand to |fav| x |genres| (both bounded by the genre vocabulary); the
     weight table is n x n genres and gets broadcast by AQE.
+
+    ``exact=True`` (D13, the single-machine variant): coefficients are not
+    rounded and are summed as doubles; pair it with unrounded weights.
     """
     x = pairs.select("pkey", "skey", F.size("pgenres").alias("n_fav"),
                      F.explode("pgenres").alias("u"), "sgenres")
@@ -90,8 +93,11 @@ def set_affinity(pairs: DataFrame, weights: DataFrame) -> DataFrame:
                  F.explode("sgenres").alias("m"))
     w = weights.select(F.col("genre_a").alias("u"), F.col("genre_b").alias("m"), "weight")
     x = x.join(w, ["u", "m"], "left")
-    coeff = coefficient(F.col("u"), F.col("m"), F.col("weight"), F.col("norm"))
-    return x.groupBy("pkey", "skey", "n_fav").agg(F.sum(coeff.cast(COEFF_TYPE)).alias("aff"))
+    if exact:
+        coeff = coefficient(F.col("u"), F.col("m"), F.col("weight"), F.col("norm"), digits=None)
+    else:
+        coeff = coefficient(F.col("u"), F.col("m"), F.col("weight"), F.col("norm")).cast(COEFF_TYPE)
+    return x.groupBy("pkey", "skey", "n_fav").agg(F.sum(coeff).alias("aff"))
 
 
 def genre_coefficients(pairs: DataFrame, weights: DataFrame) -> DataFrame:
@@ -106,6 +112,10 @@ def genre_coefficients(pairs: DataFrame, weights: DataFrame) -> DataFrame:
                     coefficient(F.col("u"), F.col("m"), F.col("weight"), F.col("norm")).alias("coeff"))
 
 
+EXACT_DIGITS = 6
+
+
 def score_expr(aff: str = "aff", avg: str = "avgrating", n_fav: str = "n_fav", digits: int = 3):
-    """O46 final step: ``round(aff * avg / |fav|, 3)`` (double arithmetic after the exact sum)."""
+    """O46 final step: ``round(aff * avg / |fav|, 3)`` (double arithmetic after
+    the exact sum); the exact variant rounds to 6 digits."""
     return F.round(F.col(aff) * F.col(avg) / F.col(n_fav), digits)

@@ -59,3 +59,25 @@ def ranked_groups(df: DataFrame, group_cols: Sequence[str], order: Sequence[Colu
     rank = F.col("_pos") - F.col("_first") + 1 + F.col("_before")
     sizes = summary.groupBy(*group_cols).agg(F.sum("_n").alias("n_rows"))
     return out.select(*df.columns, rank.alias(rank_col)), sizes
+
+
+# ids per bucket of the lazy id rank; the prefix sums run over at most
+# 2^31 / ID_BUCKET rows
+ID_BUCKET = 1 << 16
+
+
+def id_rank(df: DataFrame, id_col: str, rank_col: str = "rank") -> DataFrame:
+    """``id_col, rank_col``: 1, 2, ... over the distinct non-negative integer
+    ids of ``df`` in ascending order, without an action.
+
+    ids are bucketed by ``id div ID_BUCKET``: a bucket holds at most
+    ID_BUCKET distinct ids, so the row number inside a bucket and the prefix
+    sum over bucket counts are both bounded windows.
+    """
+    ids = df.select(F.col(id_col)).distinct().withColumn("_b", F.floor(F.col(id_col) / ID_BUCKET))
+    counts = ids.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_b").orderBy(id_col))
+    return (ids.select(id_col, "_b", inside.alias("_r")).join(offsets, "_b")
+            .select(id_col, (F.col("_before") + F.col("_r")).alias(rank_col)))

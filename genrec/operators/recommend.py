@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from genrec.operators.model import score_expr, set_affinity
-from genrec.operators.rank import group_rank, ranked_groups
+from genrec.operators.model import EXACT_DIGITS, score_expr, set_affinity
+from genrec.operators.rank import id_rank, ranked_groups
 from genrec.operators.sizing import broadcast_if_small
 
 
@@ -44,7 +44,7 @@ def test_candidates(fav: DataFrame, test: DataFrame) -> DataFrame:
 
 
 def score_candidates(cands: DataFrame, fav: DataFrame, movies: DataFrame,
-                     weights: DataFrame) -> DataFrame:
+                     weights: DataFrame, exact: bool = False) -> DataFrame:
     """``userid, movieid, score`` for candidate pairs.
 
     Movies are joined before users so the result arrives partitioned by user
@@ -54,8 +54,12 @@ def score_candidates(cands: DataFrame, fav: DataFrame, movies: DataFrame,
     c = (cands.select("userid", "movieid")
          .join(movie_profiles(movies).select("movieid", "avgrating", "skey"), "movieid")
          .join(user_profiles(fav).select("userid", "pkey"), "userid"))
-    aff = broadcast_if_small(set_affinity(candidate_pairs(c), weights))
-    return c.join(aff, ["pkey", "skey"]).select("userid", "movieid", score_expr().alias("score"))
+    aff = broadcast_if_small(set_affinity(candidate_pairs(c), weights, exact))
+    return c.join(aff, ["pkey", "skey"]).select("userid", "movieid", _score(exact).alias("score"))
+
+
+def _score(exact: bool):
+    return score_expr(digits=EXACT_DIGITS) if exact else score_expr()
 
 
 def candidate_pairs(c: DataFrame) -> DataFrame:
@@ -75,10 +79,10 @@ def top_n(scored: DataFrame, n: int = 10, key: str = "userid") -> DataFrame:
 
 
 def predictions(fav: DataFrame, test: DataFrame, movies: DataFrame, weights: DataFrame,
-                n: int = 10) -> DataFrame:
+                n: int = 10, exact: bool = False) -> DataFrame:
     """``userid, movieid, score, rank`` — top-n scored test movies per user."""
     # users without favourites drop out in the profile join of score_candidates
-    return top_n(score_candidates(test, fav, movies, weights), n)
+    return top_n(score_candidates(test, fav, movies, weights, exact), n)
 
 
 def clip_scores(preds: DataFrame, cap: float = 5.0) -> DataFrame:
@@ -138,7 +142,7 @@ def _linked_pairs(profiles: DataFrame, sets: DataFrame, weights: DataFrame) -> D
 
 
 def unseen_recommendations(fav: DataFrame, training: DataFrame, movies: DataFrame,
-                           weights: DataFrame, n: int = 10) -> DataFrame:
+                           weights: DataFrame, n: int = 10, exact: bool = False) -> DataFrame:
     """O48 + O57: top-n movies each user has not rated, over all model movies.
 
     ``userid, rank, movieid, score``; a user with nothing to recommend keeps
@@ -154,14 +158,14 @@ def unseen_recommendations(fav: DataFrame, training: DataFrame, movies: DataFram
 
     Rows per user are O(n + s); the profile ranking is split across tasks by
     ``group_rank`` even when one profile is shared by most users.  Runs two
-    small actions (the checkpoints inside ``group_rank``).
+    actions: the affinity size check and the ranking write of ``group_rank``.
     """
     up = user_profiles(fav)
     mp = movie_profiles(movies)
     profiles = _with_genres(up.select("pkey").distinct(), "pkey", "pgenres")
     sets = _with_genres(mp.select("skey").distinct(), "skey", "sgenres")
-    aff = broadcast_if_small(set_affinity(_linked_pairs(profiles, sets, weights), weights))
-    positive = (mp.join(aff, "skey").select("pkey", "movieid", score_expr().alias("score"))
+    aff = broadcast_if_small(set_affinity(_linked_pairs(profiles, sets, weights), weights, exact))
+    positive = (mp.join(aff, "skey").select("pkey", "movieid", _score(exact).alias("score"))
                 .where(F.col("score") > 0))
     ranked, sizes = ranked_groups(positive, ["pkey"], [F.col("score").desc(), F.col("movieid").asc()])
     n_ranked = sizes.withColumnRenamed("n_rows", "n_ranked")
@@ -177,7 +181,7 @@ def unseen_recommendations(fav: DataFrame, training: DataFrame, movies: DataFram
                     .join(ranked, ["pkey", "rank"])
                     .select("userid", "movieid", "score"))
 
-    by_id = group_rank(mp.select("movieid"), [], [F.col("movieid").asc()])
+    by_id = id_rank(mp, "movieid")
     fill = (explode_ranks(users.where(F.col("n_ranked") < F.col("need"))
                           .select("userid", "pkey", (F.col("need") + F.col("n_ranked")).alias("upto")))
             .join(by_id, "rank")

@@ -91,6 +91,18 @@ def _csv_roundtrip(c: _Ctx) -> DataFrame:
     return _joined(back.select(*RATED), "genres")
 
 
+def _read_csv(c: _Ctx) -> DataFrame:
+    path = f"{scratch_dir(c.spark, 'raw')}/movies.csv"
+    csv_io.write_csv(c.movies, path)
+    return csv_io.read_movies(c.spark, path)
+
+
+def _predictions_csv(c: _Ctx) -> DataFrame:
+    root = scratch_dir(c.spark, "outputs")
+    csv_io.write_predictions(_stored(c), f"{root}/gbcf.csv")
+    return csv_io.read_predictions(c.spark, root, "gbcf")
+
+
 def _stored(c: _Ctx) -> DataFrame:
     p, preds = c.predictions()
     return serve.export_predictions(preds)
@@ -136,10 +148,14 @@ def queries() -> dict[str, Query]:
         "genre_coefficient": _q(lambda c: model.genre_coefficients(*c.candidate_pairs())),
         "genre_affinity": _q(lambda c: model.set_affinity(*c.candidate_pairs()).withColumn(
             "aff", F.col("aff").cast("double"))),
-        "scores": _q(lambda c: recommend.score_candidates(
+        "score": _q(lambda c: recommend.score_candidates(
             recommend.test_candidates(c.p.fav_genres, c.p.test), c.p.fav_genres, c.p.avg_ratings,
             model.genre_weights(c.p.avg_ratings))),
         "predictions": _q(lambda c: c.predictions()[1]),
+        "top_n": _q(lambda c: recommend.top_n(recommend.score_candidates(
+            c.p.test, c.p.fav_genres, c.p.avg_ratings, model.genre_weights(c.p.avg_ratings)), 3)),
+        "predictions_exact": _q(lambda c: jobs.predict(c.p.avg_ratings, c.p.fav_genres, c.p.test,
+                                                       N, exact=True).predictions),
         "clip_scores": _q(lambda c: recommend.clip_scores(c.predictions()[1])),
         # evaluation
         "accuracy_per_user": _q(lambda c: metrics.accuracy_per_user(c.predictions()[1],
@@ -156,8 +172,12 @@ def queries() -> dict[str, Query]:
         "unseen_counts": _q(lambda c: recommend.unseen_counts(c.p.fav_genres, c.p.training, c.p.avg_ratings)),
         "unseen_recommendations": _q(lambda c: jobs.recommend_unseen(c.p.avg_ratings, c.p.fav_genres,
                                                                      c.p.training, N)),
-        # CSV sink and source round trip (writes below the checkpoint folder)
+        # CSV sinks and sources (write below the checkpoint folder, read back)
+        "read_csv": _q(_read_csv),
+        "export_training": _q(lambda c: csv_io.export_tables(
+            c.p.training, c.p.test, c.p.avg_ratings, c.p.fav_genres, c.p.titles)["training"]),
         "csv_roundtrip": _q(_csv_roundtrip),
+        "predictions_csv": _q(_predictions_csv),
     }
 
 

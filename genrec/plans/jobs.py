@@ -26,24 +26,29 @@ class Predicted:
 
 
 def predict(avg: DataFrame, fav: DataFrame, test: DataFrame, n: int = 10,
-            strict: bool = False) -> Predicted:
+            strict: bool = False, exact: bool = False) -> Predicted:
     """Job B (O64): weights from the model movies, top-n over each user's test
     movies, hit accuracy, and the stored ``id:score|...`` form.
 
     ``strict=True`` first checks that every favourite genre is known (one
     small action) and raises otherwise; by default unknown genres count 0.
+    ``exact=True`` uses unrounded weights and coefficients and rounds the
+    score once to 6 digits (the single-machine variant, D13); by default
+    every stage rounds to 3 digits.
     """
     if strict:
         model.check_known(fav, avg)
     test = prep.test_ratings(test)
-    weights = model.genre_weights(avg)
-    preds = recommend.predictions(fav, test, avg, weights, n)
+    weights = model.genre_weights(avg, digits=None if exact else 3)
+    preds = recommend.predictions(fav, test, avg, weights, n, exact)
     return Predicted(weights, preds, metrics.accuracy(preds, test), serve.export_predictions(preds))
 
 
-def recommend_unseen(avg: DataFrame, fav: DataFrame, training: DataFrame, n: int = 10) -> DataFrame:
+def recommend_unseen(avg: DataFrame, fav: DataFrame, training: DataFrame, n: int = 10,
+                     exact: bool = False) -> DataFrame:
     """Job D: top-n unseen movies per user (new users need only favourites)."""
-    return recommend.unseen_recommendations(fav, training, avg, model.genre_weights(avg), n)
+    weights = model.genre_weights(avg, digits=None if exact else 3)
+    return recommend.unseen_recommendations(fav, training, avg, weights, n, exact)
 
 
 def recommend_for(stored: DataFrame, titles: DataFrame, user_ids: list[int] | None = None) -> DataFrame:

@@ -94,6 +94,17 @@ from x2 left join weights w on w.genre_a = x2.u and w.genre_b = x2.m"""),
     ("aff", """
 select pkey, skey, cast(n_fav as int) as n_fav, sum(cast(coeff as decimal(18,3))) as aff
 from x3 group by pkey, skey, n_fav"""),
+    ("weights_x", "select genre_a, genre_b, n, n / sum(n) over (partition by genre_a) as weight from pcount"),
+    ("aff_x", """
+select pkey, skey, cast(n_fav as int) as n_fav,
+  sum(case when u = m then cast(1 as double) when w.weight is null then cast(0 as double)
+           else w.weight * (cast(1 as double) / norm) end) as aff
+from x2 left join weights_x w on w.genre_a = x2.u and w.genre_b = x2.m group by pkey, skey, n_fav"""),
+    ("preds_x", """
+select * from (select userid, movieid, score,
+  cast(row_number() over (partition by userid order by score desc, movieid) as int) as rank
+  from (select c.userid, c.movieid, round(a.aff * c.avgrating / a.n_fav, 6) as score
+        from c join aff_x a on c.pkey = a.pkey and c.skey = a.skey)) where rank <= 10"""),
     ("scores", """
 select c.userid, c.movieid, round(a.aff * c.avgrating / a.n_fav, 3) as score
 from c join aff a on c.pkey = a.pkey and c.skey = a.skey"""),
@@ -184,7 +195,11 @@ _FINAL: dict[str, tuple[str, str]] = {
     "test_candidates": ("cands", "select * from cands"),
     "genre_coefficient": ("x3", "select distinct u as genre_u, m as genre_m, cast(norm as int) as norm, coeff from x3"),
     "genre_affinity": ("aff", "select pkey, skey, n_fav, cast(aff as double) as aff from aff"),
-    "scores": ("scores", "select * from scores"),
+    "score": ("scores", "select * from scores"),
+    "top_n": ("scores", """select * from (select userid, movieid, score,
+        cast(row_number() over (partition by userid order by score desc, movieid) as int) as rank
+        from scores) where rank <= 3"""),
+    "predictions_exact": ("preds_x", "select * from preds_x"),
     "predictions": ("preds", "select * from preds"),
     "clip_scores": ("preds", "select userid, movieid, least(score, 5.0) as score, rank from preds"),
     "accuracy_per_user": ("apu", "select * from apu"),
@@ -208,6 +223,10 @@ _FINAL: dict[str, tuple[str, str]] = {
         on up.userid = s.userid"""),
     "unseen_recommendations": ("utop", """select up.userid, t.rank, t.movieid, t.score
         from up left join utop t on up.userid = t.userid"""),
+    "read_csv": ("movies", "select * from movies"),
+    "export_training": ("training", """select userid, movieid, rating, timestamp,
+        case when len(genres) = 0 then '' else array_to_string(genres, '|') || '|' end as genres from training"""),
+    "predictions_csv": ("stored", "select * from stored"),
     "csv_roundtrip": ("training", "select * replace (array_to_string(genres, '|') as genres) from training"),
 }
 

@@ -80,8 +80,10 @@ def ratings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (days.cast("decimal(7,0)") * _pow10(29)
            + F.col("l_orderkey").cast("decimal(19,0)") * _pow10(10)
            + F.col("l_linenumber").cast("decimal(10,0)")).cast("decimal(38,0)")
-    latest = joined.groupBy(F.col("o_custkey").alias("userid"), F.col("l_partkey").alias("movieid")).agg(
-        F.max_by("l_quantity", key).alias("qty"), F.max(key).alias("k"))
+    latest = (joined.select(F.col("o_custkey").alias("userid"), F.col("l_partkey").alias("movieid"),
+                            "l_quantity", key.alias("key"))
+              .groupBy("userid", "movieid")
+              .agg(F.max_by("l_quantity", "key").alias("qty"), F.max("key").alias("k")))
     k = F.col("k")
     last_day = F.floor(k / _pow10(29)).cast("bigint")
     line = F.pmod(k, _pow10(10)).cast("bigint")

@@ -4,11 +4,11 @@ from collections import defaultdict
 from decimal import ROUND_HALF_UP, Decimal
 
 
-def round3(x: float) -> float:
-    return float(Decimal(repr(x)).quantize(Decimal("0.001"), rounding=ROUND_HALF_UP))
+def round3(x: float, digits: int = 3) -> float:
+    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
 
 
-def weights(movie_genres):
+def weights(movie_genres, exact=False):
     counts = defaultdict(int)
     for g in movie_genres:
         for i in range(len(g)):
@@ -17,7 +17,17 @@ def weights(movie_genres):
     totals = defaultdict(int)
     for (a, _), c in counts.items():
         totals[a] += c
-    return {(a, b): round3(c / totals[a]) for (a, b), c in counts.items()}
+    return {(a, b): (c / totals[a] if exact else round3(c / totals[a])) for (a, b), c in counts.items()}
+
+
+def score_exact(fav, genres, avg, w):
+    """Single-machine variant: nothing rounded until the score, 6 digits."""
+    tot = 0.0
+    for u in fav:
+        norm = len(genres) - (1 if u in genres else 0)
+        for m in genres:
+            tot += 1.0 if u == m else (w[(u, m)] * (1.0 / norm) if (u, m) in w else 0.0)
+    return round3(tot * avg / len(fav), 6)
 
 
 def score(fav, genres, avg, w):

@@ -137,3 +137,27 @@ def test_explode_ranks_chunks(spark):
     df = spark.createDataFrame([(1, "p", 7), (2, "q", 1), (3, "p", 3)], "userid int, pkey string, upto bigint")
     got = rows(recommend.explode_ranks(df, chunk=3), "userid", "pkey", "rank")
     assert got == sorted([(1, "p", r) for r in range(1, 8)] + [(2, "q", 1)] + [(3, "p", r) for r in range(1, 4)])
+
+
+def test_id_rank(spark):
+    from genrec.operators import rank as R
+    ids = [5, 3, 70000, 65535, 65536, 1, 200000, 3]
+    df = spark.createDataFrame([(i,) for i in ids], "movieid int")
+    got = rows(R.id_rank(df, "movieid"), "movieid", "rank")
+    assert got == [(m, r) for r, m in enumerate(sorted(set(ids)), 1)]
+
+
+def test_exact_scores_match_brute_force(spark):
+    rnd = random.Random(5)
+    vocab = ["A", "B", "C", "D"]
+    movies = {m: (rnd.choice([1.5, 3.0, 4.5, 3.25]), rnd.sample(vocab, rnd.randint(1, 4))) for m in range(1, 40)}
+    fav = {u: rnd.sample(vocab, rnd.randint(1, 3)) for u in range(1, 7)}
+    test = [(u, m, 4.0) for u in fav for m in rnd.sample(sorted(movies), 12)]
+    mdf = spark.createDataFrame([(m, a, g) for m, (a, g) in movies.items()],
+                                "movieid int, avgrating double, genres array<string>")
+    fdf = spark.createDataFrame(list(fav.items()), "userid int, favgenres array<string>")
+    tdf = spark.createDataFrame(test, "userid int, movieid int, rating double")
+    got = rows(jobs.predict(mdf, fdf, tdf, n=20, exact=True).predictions, "userid", "movieid", "score")
+    w = brute.weights([g for _, g in movies.values()], exact=True)
+    expect = sorted((u, m, brute.score_exact(fav[u], movies[m][1], movies[m][0], w)) for u, m, _ in test)
+    assert got == expect
