@@ -48,14 +48,30 @@ def score_candidates(cands: DataFrame, fav: DataFrame, movies: DataFrame,
     """``userid, movieid, score`` for candidate pairs.
 
     Movies are joined before users so the result arrives partitioned by user
-    for the top-N window.  The affinity table is computed over the distinct
-    (favourite set, genre set) pairs of the candidates (a partial aggregate).
+    for the top-N window.  The affinity table comes from the per-user and
+    per-movie tables only (``profile_affinity``), so checking its size never
+    runs the candidate joins; a pair missing from it scores 0.
     """
     c = (cands.select("userid", "movieid")
          .join(movie_profiles(movies).select("movieid", "avgrating", "skey"), "movieid")
          .join(user_profiles(fav).select("userid", "pkey"), "userid"))
-    aff = broadcast_if_small(set_affinity(candidate_pairs(c), weights, exact))
-    return c.join(aff, ["pkey", "skey"]).select("userid", "movieid", _score(exact).alias("score"))
+    aff = broadcast_if_small(profile_affinity(fav, movies, weights, exact))
+    score = F.coalesce(_score(exact), F.lit(0.0))
+    return c.join(aff, ["pkey", "skey"], "left").select("userid", "movieid", score.alias("score"))
+
+
+def profile_affinity(fav: DataFrame, movies: DataFrame, weights: DataFrame,
+                     exact: bool = False) -> DataFrame:
+    """``pkey, skey, n_fav, aff`` for every linked (favourite set, genre set) pair.
+
+    Distinct favourite sets of the users and distinct genre sets of the model
+    movies (two small aggregates), linked by equi-joins on genre; a pair that
+    shares no genre and has no weight between them is absent and has
+    affinity 0.
+    """
+    profiles = _with_genres(user_profiles(fav).select("pkey").distinct(), "pkey", "pgenres")
+    sets = _with_genres(movie_profiles(movies).select("skey").distinct(), "skey", "sgenres")
+    return set_affinity(_linked_pairs(profiles, sets, weights), weights, exact)
 
 
 def _score(exact: bool):
@@ -162,9 +178,7 @@ def unseen_recommendations(fav: DataFrame, training: DataFrame, movies: DataFram
     """
     up = user_profiles(fav)
     mp = movie_profiles(movies)
-    profiles = _with_genres(up.select("pkey").distinct(), "pkey", "pgenres")
-    sets = _with_genres(mp.select("skey").distinct(), "skey", "sgenres")
-    aff = broadcast_if_small(set_affinity(_linked_pairs(profiles, sets, weights), weights, exact))
+    aff = broadcast_if_small(profile_affinity(fav, movies, weights, exact))
     positive = (mp.join(aff, "skey").select("pkey", "movieid", _score(exact).alias("score"))
                 .where(F.col("score") > 0))
     ranked, sizes = ranked_groups(positive, ["pkey"], [F.col("score").desc(), F.col("movieid").asc()])
