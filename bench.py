@@ -37,10 +37,7 @@ def run_once(spark, sf_dir):
 
     d = jobs.read_prepared(spark, f"{folder}/prepared")
     s = time.perf_counter()
-    res = jobs.predict(d["avg_ratings"], d["fav_genres"], d["test"], n=10)
-    res.predictions.write.parquet(f"{folder}/predictions")
-    res.stored.write.parquet(f"{folder}/stored")
-    acc = res.accuracy.first()
+    acc = jobs.write_predicted(spark, d["avg_ratings"], d["fav_genres"], d["test"], folder, n=10)
     t["predict"] = time.perf_counter() - s
 
     s = time.perf_counter()

@@ -30,13 +30,16 @@ def accuracy(preds: DataFrame, test: DataFrame) -> DataFrame:
     """One row ``hits, k, accuracy, accuracy_macro``.
 
     ``accuracy`` = sum(hits) / sum(k) over users (NULL when no user has k > 0);
-    ``accuracy_macro`` = mean of hits / k over users with k > 0.
+    ``accuracy_macro`` = mean of hits / k over users with k > 0, averaged as
+    decimals (18 places per ratio) so the result does not depend on the order
+    of the partial sums.
     """
     per_user = accuracy_per_user(preds, test)
+    ratio = F.try_divide(F.col("hits").cast("decimal(20,0)"), F.col("k").cast("decimal(20,0)"))
     return per_user.agg(
         F.sum("hits").alias("hits"), F.sum("k").alias("k"),
         F.try_divide(F.sum("hits").cast("double"), F.sum("k").cast("double")).alias("accuracy"),
-        F.avg(F.try_divide(F.col("hits").cast("double"), F.col("k").cast("double"))).alias("accuracy_macro"))
+        F.avg(ratio).cast("double").alias("accuracy_macro"))
 
 
 def rmse(preds: DataFrame, test: DataFrame, cap: float = 5.0) -> DataFrame:

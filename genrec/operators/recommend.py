@@ -153,8 +153,7 @@ def _linked_pairs(profiles: DataFrame, sets: DataFrame, weights: DataFrame) -> D
     by_weight = pu.join(w, "u").join(sm, "m").select("pkey", "skey")
     shared = pu.join(sm, pu["u"] == sm["m"]).select("pkey", "skey")
     linked = by_weight.unionByName(shared).distinct()
-    return (linked.join(profiles, "pkey").join(sets, "skey")
-            .select("pkey", "pgenres", "skey", "sgenres"))
+    return _with_genres(_with_genres(linked, "pkey", "pgenres"), "skey", "sgenres")
 
 
 def unseen_recommendations(fav: DataFrame, training: DataFrame, movies: DataFrame,

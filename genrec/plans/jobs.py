@@ -98,3 +98,15 @@ def read_prepared(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     out = {name: spark.read.parquet(f"{folder}/{name}") for name in PREPARED_TABLES if name != "training"}
     out["training"] = spark.read.parquet(f"{folder}/ratings").where(F.col("split") == "training").drop("split")
     return out
+
+
+def write_predicted(spark: SparkSession, avg: DataFrame, fav: DataFrame, test: DataFrame,
+                    folder: str, n: int = 10, strict: bool = False, exact: bool = False):
+    """Job B as a sink: predictions written once (parquet), the stored
+    ``id:score|...`` strings (parquet) and the accuracy row derived from the
+    written table.  Returns the accuracy row (one small action)."""
+    res = predict(avg, fav, test, n, strict, exact)
+    res.predictions.write.mode("errorifexists").parquet(f"{folder}/predictions")
+    written = spark.read.parquet(f"{folder}/predictions")
+    serve.export_predictions(written).write.mode("errorifexists").parquet(f"{folder}/stored")
+    return metrics.accuracy(written, prep.test_ratings(test)).first()

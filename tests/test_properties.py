@@ -161,3 +161,12 @@ def test_exact_scores_match_brute_force(spark):
     w = brute.weights([g for _, g in movies.values()], exact=True)
     expect = sorted((u, m, brute.score_exact(fav[u], movies[m][1], movies[m][0], w)) for u, m, _ in test)
     assert got == expect
+
+
+def test_written_predictions(spark, prepared):
+    from genrec.session import scratch_dir
+    folder = scratch_dir(spark, "pred-test")
+    acc = jobs.write_predicted(spark, prepared.avg_ratings, prepared.fav_genres, prepared.test, folder)
+    res = jobs.predict(prepared.avg_ratings, prepared.fav_genres, prepared.test)
+    assert rows(spark.read.parquet(f"{folder}/stored")) == rows(res.stored)
+    assert acc == res.accuracy.first()
