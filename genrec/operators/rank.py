@@ -38,13 +38,15 @@ def ranked_groups(df: DataFrame, group_cols: Sequence[str], order: Sequence[Colu
     executor is lost.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c).asc() for c in group_cols] + list(order)
+    # without an explicit count the range partitioning follows
+    # spark.sql.shuffle.partitions and AQE may coalesce small partitions
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     # Written (not Dataset.checkpoint, which would compute the input twice) to
     # a fresh folder below spark.checkpoint.dir: positions are fixed once and
     # the lineage is cut.
     folder = scratch_dir(spark, "rank")
-    (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    (ranged.sortWithinPartitions(*keys)
      .withColumn("_pos", F.monotonically_increasing_id())
      .withColumn("_part", F.shiftright("_pos", _POS_BITS))
      .write.parquet(folder))
