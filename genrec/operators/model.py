@@ -8,7 +8,7 @@ is tiny.  Pairs are built from distinct genre lists with their movie counts
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from genrec.functions.genres import coefficient
@@ -45,17 +45,12 @@ def genre_weights(movies: DataFrame, digits: int | None = 3) -> DataFrame:
     over one genre's row of the matrix: at most n genres.
     """
     counts = genre_pair_counts(movies)
-    total = F.sum("n").over(_by_a())
+    total = F.sum("n").over(Window.partitionBy("genre_a"))
     ratio = F.col("n") / total
     w = F.round(ratio, digits) if digits is not None else ratio
     return counts.select("genre_a", "genre_b", "n", w.alias("weight"))
 
 
-def _by_a():
-    from pyspark.sql import Window
-    return Window.partitionBy("genre_a")
-
-
 def known_genres(movies: DataFrame) -> DataFrame:
     """Distinct genres over the model movies."""
     return movies.select(F.explode("genres").alias("genre")).distinct()

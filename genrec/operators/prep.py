@@ -16,13 +16,17 @@ from pyspark.sql import functions as F
 
 from genrec.functions.genres import BLANK_GENRES, clean_genres, parse_pipe, title_year
 
-POSITIVE = 3.0          # a rating >= 3 is positive
+# Fixed values of the method:
+#   a rating >= 3 is positive; a movie needs a year after 1942;
+#   favourite genres reach a 0.2 share of the user's genre mentions,
+#   or else the top 2 by share are taken.
+POSITIVE = 3.0
 MIN_YEAR_EXCLUSIVE = 1942
-FAV_SHARE = 0.2         # favourite genres: share of the user's genre mentions
-FAV_FALLBACK = 2        # ... or the top 2 when fewer than 2 reach the share
+FAV_SHARE = 0.2
+FAV_FALLBACK = 2
 
 
-def is_positive(rating="rating"):
+def is_positive(rating: str = "rating"):
     return F.col(rating) >= F.lit(POSITIVE)
 
 

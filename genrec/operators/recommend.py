@@ -2,8 +2,8 @@
 
 A score depends on the user only through the favourite-genre set and on the
 movie only through (genre set, average rating), so the genre arithmetic is
-done once per distinct (favourite set, genre set) pair that occurs, and the
-per-row work is a join with that small table plus one multiplication.
+done once per distinct (favourite set, genre set) pair linked by a genre,
+and the per-row work is a join with that small table plus one multiplication.
 """
 
 from __future__ import annotations
