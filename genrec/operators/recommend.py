@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from genrec.operators.model import EXACT_DIGITS, score_expr, set_affinity
 from genrec.operators.rank import id_rank, ranked_groups
 from genrec.operators.sizing import broadcast_if_small
+from genrec.operators.skew import salted_lookup
 
 
 def _with_genres(keys: DataFrame, key: str, arr: str) -> DataFrame:
@@ -181,7 +182,8 @@ def unseen_recommendations(fav: DataFrame, training: DataFrame, movies: DataFram
     positive = (mp.join(aff, "skey").select("pkey", "movieid", _score(exact).alias("score"))
                 .where(F.col("score") > 0))
     ranked, sizes = ranked_groups(positive, ["pkey"], [F.col("score").desc(), F.col("movieid").asc()])
-    n_ranked = sizes.withColumnRenamed("n_rows", "n_ranked")
+    # one row per profile, joined on the profile key that most users may share
+    n_ranked = broadcast_if_small(sizes.withColumnRenamed("n_rows", "n_ranked"))
 
     users = (up.join(seen_movies(training), "userid", "left")
              .join(n_ranked, "pkey", "left")
@@ -189,19 +191,26 @@ def unseen_recommendations(fav: DataFrame, training: DataFrame, movies: DataFram
                      (F.lit(n) + F.coalesce("n_seen", F.lit(0))).alias("need"),
                      F.coalesce("n_ranked", F.lit(0)).alias("n_ranked")))
 
+    # every user of a profile asks for ranks 1..n+s of the same list: the
+    # (profile, rank) keys near the top are hot, hence the salted lookup
     take = F.least("need", "n_ranked")
-    from_profile = (explode_ranks(users.where(take >= 1).select("userid", "pkey", take.alias("upto")))
-                    .join(ranked, ["pkey", "rank"])
-                    .select("userid", "movieid", "score"))
+    from_profile = (salted_lookup(
+        explode_ranks(users.where(take >= 1).select("userid", "pkey", take.alias("upto"))),
+        ranked, ["pkey", "rank"], "userid")
+        .select("userid", "movieid", "score"))
 
     by_id = id_rank(mp, "movieid")
-    fill = (explode_ranks(users.where(F.col("n_ranked") < F.col("need"))
-                          .select("userid", "pkey", (F.col("need") + F.col("n_ranked")).alias("upto")))
-            .join(by_id, "rank")
+    fill = (salted_lookup(
+        explode_ranks(users.where(F.col("n_ranked") < F.col("need"))
+                      .select("userid", "pkey", (F.col("need") + F.col("n_ranked")).alias("upto"))),
+        by_id, ["rank"], "userid")
             .join(ranked.select("pkey", "movieid"), ["pkey", "movieid"], "left_anti")
             .select("userid", "movieid", F.lit(0.0).alias("score")))
 
-    unseen = (from_profile.unionByName(fill)
-              .join(training.select("userid", "movieid"), ["userid", "movieid"], "left_anti"))
+    # each branch drops seen movies on its own, so that every join on a key
+    # that may be hot ((profile, rank), rank) ends its stage and AQE can split it
+    seen = training.select("userid", "movieid")
+    unseen = (from_profile.join(seen, ["userid", "movieid"], "left_anti")
+              .unionByName(fill.join(seen, ["userid", "movieid"], "left_anti")))
     best = top_n(unseen, n)
     return up.select("userid").join(best, "userid", "left").select("userid", "rank", "movieid", "score")

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_ROWS = 100_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """Return ``df`` with a broadcast hint when it has at most ``max_rows`` rows.
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Return ``df`` with a broadcast hint when it has at most ``max_rows`` rows
+    (default ``DEFAULT_MAX_ROWS``).
 
     Runs one action on ``df`` (persisted first, so the join reuses it; a lost
     cache block is recomputed from the lineage).  Above the bound the plain
@@ -19,6 +20,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataF
     handling).  Use it for tables derived from distinct keys, where the
     optimizer cannot know the size before running.
     """
+    bound = DEFAULT_MAX_ROWS if max_rows is None else max_rows
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.limit(max_rows + 1).count()
-    return F.broadcast(kept) if n <= max_rows else kept
+    n = kept.limit(bound + 1).count()
+    return F.broadcast(kept) if n <= bound else kept

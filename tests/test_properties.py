@@ -170,3 +170,15 @@ def test_written_predictions(spark, prepared):
     res = jobs.predict(prepared.avg_ratings, prepared.fav_genres, prepared.test)
     assert rows(spark.read.parquet(f"{folder}/stored")) == rows(res.stored)
     assert acc == res.accuracy.first()
+
+
+def test_salted_lookup_matches_join(spark):
+    from genrec.operators.skew import salted_lookup
+    rnd = random.Random(9)
+    req = spark.createDataFrame([(u, "hot" if rnd.random() < 0.8 else f"k{rnd.randint(0, 4)}", rnd.randint(1, 3))
+                                 for u in range(500)], "userid int, pkey string, rank int")
+    table = spark.createDataFrame([(k, r, f"{k}-{r}") for k in ["hot"] + [f"k{i}" for i in range(4)]
+                                   for r in range(1, 3)], "pkey string, rank int, movie string")
+    got = rows(salted_lookup(req, table, ["pkey", "rank"], "userid", rows_per_task=20))
+    want = rows(req.join(table, ["pkey", "rank"]))
+    assert got == want and len(got) > 0
