@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genrec.functions.genres import BLANK_GENRES, clean_genres, parse_pipe, title_year
+from genrec.operators.skew import salted_lookup
 
 # Fixed values of the method:
 #   a rating >= 3 is positive; a movie needs a year after 1942;
@@ -80,16 +81,23 @@ def ratings_with_genres(ratings: DataFrame, valid: DataFrame) -> DataFrame:
         "userid", "movieid", "rating", "timestamp", "genres")
 
 
-def positive_count_per_movie(ratings: DataFrame, valid: DataFrame) -> DataFrame:
-    """Positive ratings per valid movie (movies with none do not appear).
+def movie_counts(ratings: DataFrame, valid: DataFrame) -> DataFrame:
+    """``movieid, n_pos, n_all`` for valid movies with at least one rating.
 
     Counted on the raw ratings (partial aggregation map-side) and then kept for
-    valid movies only, so the big ratings table is joined once, later.
+    valid movies only, so the big ratings table is joined once, later; ``n_all``
+    is the number of rating rows that will look the movie up.
     """
-    counts = positive_ratings(ratings).groupBy("movieid").agg(F.count(F.lit(1)).alias("n_pos"))
+    counts = ratings.groupBy("movieid").agg(F.count_if(is_positive()).alias("n_pos"),
+                                            F.count(F.lit(1)).alias("n_all"))
     return counts.join(valid.select("movieid"), "movieid", "left_semi")
 
 
+def positive_count_per_movie(ratings: DataFrame, valid: DataFrame) -> DataFrame:
+    """Positive ratings per valid movie (movies with none do not appear)."""
+    return movie_counts(ratings, valid).where(F.col("n_pos") > 0).select("movieid", "n_pos")
+
+
 def movie_threshold(counts: DataFrame, quantile: float = 0.7) -> DataFrame:
     """One row, the linear-interpolated percentile of the per-movie counts."""
     return counts.select(F.percentile("n_pos", F.lit(quantile)).alias("threshold"))
@@ -101,18 +109,28 @@ def popular_movies(counts: DataFrame, quantile: float = 0.7) -> DataFrame:
 
 
 def popular_movie_ratings(ratings: DataFrame, valid: DataFrame, quantile: float = 0.7) -> DataFrame:
-    """O18+O19+O32 in one join: ratings of popular valid movies, with genres."""
-    keep = popular_movies(positive_count_per_movie(ratings, valid), quantile)
+    """O18+O19+O32 in one join: ratings of popular valid movies, with genres.
+
+    The join looks up one movie row per rating; a movie rated by a large share
+    of all rows is salted (``salted_lookup``), with the request counts taken
+    from the same per-movie aggregate that gives the percentile.
+    """
+    counts = movie_counts(ratings, valid)
+    keep = popular_movies(counts.where(F.col("n_pos") > 0), quantile)
     movies = valid.select("movieid", "genres").join(keep.select("movieid"), "movieid", "left_semi")
-    return ratings_with_genres(ratings, movies)
+    demand = counts.select("movieid", F.col("n_all").alias("_n"))
+    return salted_lookup(ratings, movies, ["movieid"], "userid", demand).select(
+        "userid", "movieid", "rating", "timestamp", "genres")
 
 
 def user_stats(ratings: DataFrame) -> DataFrame:
-    """O33 + O21 in one aggregate: positive count, first and last timestamp per user."""
+    """O33 + O21 in one aggregate: positive count, first and last timestamp and
+    number of rows per user."""
     return ratings.groupBy("userid").agg(
         F.count_if(is_positive()).alias("n_pos"),
         F.min("timestamp").alias("ts_min"),
         F.max("timestamp").alias("ts_max"),
+        F.count(F.lit(1)).alias("n_all"),
     )
 
 
@@ -140,9 +158,15 @@ def split_cut():
 
 
 def active_user_ratings(ratings: DataFrame, low: float = 0.5, high: float = 0.98) -> DataFrame:
-    """O20 + O21: ratings of users in the band, with the user's time span."""
-    users = band_users(user_stats(ratings), low, high).select("userid", "ts_min", "ts_max")
-    return ratings.join(users, "userid")
+    """O20 + O21: ratings of users in the band, with the user's time span.
+
+    One user row per rating; a user with a large share of all rows is salted,
+    with the request counts from the per-user aggregate of the band.
+    """
+    stats = user_stats(ratings)
+    users = band_users(stats, low, high).select("userid", "ts_min", "ts_max")
+    demand = stats.select("userid", F.col("n_all").alias("_n"))
+    return salted_lookup(ratings, users, ["userid"], "movieid", demand)
 
 
 def time_split(active: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -163,8 +187,12 @@ def cold_movies(training: DataFrame, test_raw: DataFrame) -> DataFrame:
 
 
 def drop_cold(test_raw: DataFrame, training: DataFrame) -> DataFrame:
-    """Test rows whose movie also occurs in training (anti-join by movie id)."""
-    return test_raw.join(training.select("movieid").distinct(), "movieid", "left_semi").select(
+    """Test rows whose movie also occurs in training (by movie id).
+
+    A lookup of the distinct training movies, salted for movies that a large
+    share of the test rows carry.
+    """
+    return salted_lookup(test_raw, training.select("movieid").distinct(), ["movieid"], "userid").select(
         *test_raw.columns)
 
 

@@ -48,14 +48,18 @@ def score_candidates(cands: DataFrame, fav: DataFrame, movies: DataFrame,
                      weights: DataFrame, exact: bool = False) -> DataFrame:
     """``userid, movieid, score`` for candidate pairs.
 
-    Movies are joined before users so the result arrives partitioned by user
-    for the top-N window.  The affinity table comes from the per-user and
+    The movie and user lookups are salted for keys that a large share of the
+    candidates carry (a very popular movie, a very active user); AQE's own
+    skew split does not apply where a join feeds the top-N window directly.
+    The affinity table comes from the per-user and
     per-movie tables only (``profile_affinity``), so checking its size never
     runs the candidate joins; a pair missing from it scores 0.
     """
-    c = (cands.select("userid", "movieid")
-         .join(movie_profiles(movies).select("movieid", "avgrating", "skey"), "movieid")
-         .join(user_profiles(fav).select("userid", "pkey"), "userid"))
+    pairs = cands.select("userid", "movieid")
+    c = salted_lookup(pairs, movie_profiles(movies).select("movieid", "avgrating", "skey"),
+                      ["movieid"], "userid")
+    c = salted_lookup(c, user_profiles(fav).select("userid", "pkey"), ["userid"], "movieid",
+                      pairs.groupBy("userid").agg(F.count(F.lit(1)).alias("_n")))
     aff = broadcast_if_small(profile_affinity(fav, movies, weights, exact))
     score = F.coalesce(_score(exact), F.lit(0.0))
     return c.join(aff, ["pkey", "skey"], "left").select("userid", "movieid", score.alias("score"))

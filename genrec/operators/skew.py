@@ -15,29 +15,36 @@ MAX_HOT_KEYS = 100_000
 
 
 def salted_lookup(requests: DataFrame, table: DataFrame, keys: Sequence[str], spread: str,
-                  rows_per_task: int | None = None) -> DataFrame:
+                  demand: DataFrame | None = None, rows_per_task: int | None = None) -> DataFrame:
     """``requests`` inner-joined with ``table`` (one row per key) on ``keys``.
 
     A key requested by more than ``rows_per_task`` rows is split: its table
     row is replicated f = ceil(requests / rows_per_task) times with salts
     0..f-1, and each request takes salt ``hash(spread) mod f``.  Other keys
-    keep salt 0 and are not replicated.  The request counts are a partial
-    aggregate; the hot-key table has at most (requests / rows_per_task) rows,
-    and ``rows_per_task`` is raised until it holds at most ``MAX_HOT_KEYS``,
-    so it is always broadcast.  Runs small counting actions on the cached
-    request counts.
+    keep salt 0 and are not replicated; with no hot key at all this is a plain
+    join.  ``demand`` (``keys + [_n]``) gives the request counts when an
+    aggregate that already exists has them; otherwise they are counted here
+    (a partial aggregate over the key columns).  The hot-key table has at
+    most (requests / rows_per_task) rows, and ``rows_per_task`` is raised
+    until it holds at most ``MAX_HOT_KEYS``, so it is always broadcast.  Runs
+    small counting actions on the cached request counts.
     """
     per_task = rows_per_task or ROWS_PER_TASK
     keys = list(keys)
-    demand = requests.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).persist(StorageLevel.MEMORY_AND_DISK)
+    if demand is None:
+        demand = requests.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    demand = demand.persist(StorageLevel.MEMORY_AND_DISK)
     while True:
         # at most (requests / per_task) keys pass; raise the bar until they
         # fit a broadcast, so the hot-key table is never a skewed join itself
         hot = demand.where(F.col("_n") > per_task).select(
             *keys, F.ceil(F.col("_n") / per_task).cast("int").alias("_f"))
-        if hot.limit(MAX_HOT_KEYS + 1).count() <= MAX_HOT_KEYS:
+        n_hot = hot.limit(MAX_HOT_KEYS + 1).count()
+        if n_hot <= MAX_HOT_KEYS:
             break
         per_task *= 4
+    if n_hot == 0:
+        return requests.join(table, keys)
     hot = F.broadcast(hot)
     fan = F.coalesce(F.col("_f"), F.lit(1))
     salted_requests = requests.join(hot, keys, "left").withColumn(

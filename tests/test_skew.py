@@ -73,3 +73,30 @@ def test_skewed_predictions_and_unseen(spark, skewed):
         if r["movieid"] is not None:
             out[r["userid"]].append((r["rank"], r["movieid"], r["score"]))
     assert {u: sorted(v) for u, v in out.items()} == brute.unseen_top(movies, fav, seen, 4)
+
+
+def _skewed_raw(spark):
+    rnd = random.Random(2)
+    movies = spark.createDataFrame(
+        [(m, f"M{m} ({1950 + m % 60})", "Drama|Comedy" if m % 2 else "Action|Drama") for m in range(1, 120)],
+        "movieid int, title string, genres string")
+    data = []
+    for u in range(2, 400):
+        for m in rnd.sample(range(2, 120), rnd.randint(3, 9)):
+            data.append((u, m, rnd.choice([2.0, 3.0, 4.0, 5.0]), rnd.randint(1, 1000)))
+        data.append((u, 1, 4.0, rnd.randint(1, 1000)))           # movie 1: rated by everyone
+    data += [(1, m, 4.0, m * 7) for m in range(1, 120)]           # user 1: rated everything
+    return spark.createDataFrame(data, "userid int, movieid int, rating double, timestamp bigint"), movies
+
+
+def test_prepare_salted_equals_plain(spark, monkeypatch):
+    from genrec.operators import prep
+    ratings, movies = _skewed_raw(spark)
+    plain = prep.prepare(ratings, movies, user_low=0.0, user_high=1.0)
+    want = {n: rows(getattr(plain, n)) for n in ("training", "test", "avg_ratings", "fav_genres")}
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 5)
+    salted = prep.prepare(ratings, movies, user_low=0.0, user_high=1.0)
+    plan = salted.ratings._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan
+    for n, expect in want.items():
+        assert rows(getattr(salted, n)) == expect, n
