@@ -108,14 +108,15 @@ def popular_movies(counts: DataFrame, quantile: float = 0.7) -> DataFrame:
     return counts.where(F.col("n_pos") >= movie_threshold(counts, quantile).scalar())
 
 
-def popular_movie_ratings(ratings: DataFrame, valid: DataFrame, quantile: float = 0.7) -> DataFrame:
+def popular_movie_ratings(ratings: DataFrame, valid: DataFrame, quantile: float = 0.7,
+                          counts: DataFrame | None = None) -> DataFrame:
     """O18+O19+O32 in one join: ratings of popular valid movies, with genres.
 
     The join looks up one movie row per rating; a movie rated by a large share
     of all rows is salted (``salted_lookup``), with the request counts taken
     from the same per-movie aggregate that gives the percentile.
     """
-    counts = movie_counts(ratings, valid)
+    counts = counts if counts is not None else movie_counts(ratings, valid)
     keep = popular_movies(counts.where(F.col("n_pos") > 0), quantile)
     movies = valid.select("movieid", "genres").join(keep.select("movieid"), "movieid", "left_semi")
     demand = counts.select("movieid", F.col("n_all").alias("_n"))
@@ -186,14 +187,17 @@ def cold_movies(training: DataFrame, test_raw: DataFrame) -> DataFrame:
             .join(training.select("movieid").distinct(), "movieid", "left_anti"))
 
 
-def drop_cold(test_raw: DataFrame, training: DataFrame) -> DataFrame:
+def drop_cold(test_raw: DataFrame, training: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Test rows whose movie also occurs in training (by movie id).
 
     A lookup of the distinct training movies, salted for movies that a large
-    share of the test rows carry.
+    share of the test rows carry.  ``counts`` (``movie_counts``) bounds the
+    test rows per movie from above, which is all the salting needs; without
+    it the test rows are counted.
     """
-    return salted_lookup(test_raw, training.select("movieid").distinct(), ["movieid"], "userid").select(
-        *test_raw.columns)
+    demand = counts.select("movieid", F.col("n_all").alias("_n")) if counts is not None else None
+    return salted_lookup(test_raw, training.select("movieid").distinct(), ["movieid"], "userid",
+                         demand).select(*test_raw.columns)
 
 
 def test_ratings(test: DataFrame) -> DataFrame:
@@ -264,9 +268,10 @@ def prepare(ratings: DataFrame, movies: DataFrame, movie_quantile: float = 0.7,
     per-user statistics are partial aggregates.
     """
     valid = valid_movies(movies)
-    rated = popular_movie_ratings(ratings, valid, movie_quantile)
+    counts = movie_counts(ratings, valid)
+    rated = popular_movie_ratings(ratings, valid, movie_quantile, counts)
     active = active_user_ratings(rated, user_low, user_high)
     training, test_raw = time_split(active)
-    test = drop_cold(test_raw, training)
+    test = drop_cold(test_raw, training, counts)
     return Prepared(valid, active, training, test, avg_ratings(training), fav_genres(training),
                     titles(valid))

@@ -78,7 +78,8 @@ def write_prepared(spark: SparkSession, ratings: DataFrame, movies: DataFrame, f
     ratings.write.mode("errorifexists").parquet(f"{folder}/_ratings")
     ratings = spark.read.parquet(f"{folder}/_ratings")
     valid = prep.valid_movies(movies)
-    active = prep.active_user_ratings(prep.popular_movie_ratings(ratings, valid, movie_quantile),
+    counts = prep.movie_counts(ratings, valid)
+    active = prep.active_user_ratings(prep.popular_movie_ratings(ratings, valid, movie_quantile, counts),
                                       user_low, user_high)
     split = F.when(F.col("timestamp") <= prep.split_cut(), F.lit("training")).otherwise(F.lit("test_raw"))
     (active.select(*_RATED, split.alias("split"))
@@ -86,7 +87,7 @@ def write_prepared(spark: SparkSession, ratings: DataFrame, movies: DataFrame, f
     stored = spark.read.parquet(f"{folder}/ratings")
     training = stored.where(F.col("split") == "training").drop("split")
     test_raw = stored.where(F.col("split") == "test_raw").drop("split")
-    prep.drop_cold(test_raw, training).write.mode("errorifexists").parquet(f"{folder}/test")
+    prep.drop_cold(test_raw, training, counts).write.mode("errorifexists").parquet(f"{folder}/test")
     prep.avg_ratings(training).write.mode("errorifexists").parquet(f"{folder}/avg_ratings")
     prep.fav_genres(training).write.mode("errorifexists").parquet(f"{folder}/fav_genres")
     prep.titles(valid).write.mode("errorifexists").parquet(f"{folder}/titles")
