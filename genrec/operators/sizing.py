@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +24,34 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     optimizer cannot know the size before running.
     """
     bound = DEFAULT_MAX_ROWS if max_rows is None else max_rows
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = keep(df)
     n = kept.limit(bound + 1).count()
     return F.broadcast(kept) if n <= bound else kept
+
+
+_SCOPES: list[list[DataFrame]] = []
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Persist a small helper table (memory, spilling to disk); inside a
+    ``cached_scope`` it is released when the scope ends."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if _SCOPES:
+        _SCOPES[-1].append(kept)
+    return kept
+
+
+@contextmanager
+def cached_scope() -> Iterator[None]:
+    """Unpersist the helper tables cached inside the block when it ends.
+
+    For job sinks: everything that reads the helpers has run by then.
+    """
+    frames: list[DataFrame] = []
+    _SCOPES.append(frames)
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        for f in frames:
+            f.unpersist()

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from genrec.operators.sizing import keep
+
 # requests per (key, salt) group that one task should handle at most, and the
 # most hot keys kept in the broadcast table (both read at call time)
 ROWS_PER_TASK = 1_000_000
@@ -33,7 +34,7 @@ def salted_lookup(requests: DataFrame, table: DataFrame, keys: Sequence[str], sp
     keys = list(keys)
     if demand is None:
         demand = requests.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    demand = demand.persist(StorageLevel.MEMORY_AND_DISK)
+    demand = keep(demand)
     while True:
         # at most (requests / per_task) keys pass; raise the bar until they
         # fit a broadcast, so the hot-key table is never a skewed join itself

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genrec.operators import metrics, model, prep, recommend, serve
+from genrec.operators.sizing import cached_scope
 from genrec.sources.views import movies_view, ratings_view
 
 
@@ -65,8 +66,9 @@ def write_prepared(spark: SparkSession, ratings: DataFrame, movies: DataFrame, f
                    movie_quantile: float = 0.7, user_low: float = 0.5, user_high: float = 0.98) -> str:
     """Job A as a sink: the five datasets as parquet with real arrays.
 
-    The input ratings are written once (``_ratings``); the filtered ratings
-    are written partitioned by ``split`` (training / test_raw) in one pass;
+    The input ratings are written once (``_ratings``), the ratings of
+    popular movies once (``_rated``); the filtered ratings are written
+    partitioned by ``split`` (training / test_raw) in one pass;
     everything else is derived from those written tables, so the big joins
     run once and a lost executor never recomputes them.
     ``<folder>/ratings/split=training`` is the training dataset.
@@ -77,10 +79,18 @@ def write_prepared(spark: SparkSession, ratings: DataFrame, movies: DataFrame, f
     # every pass reads that table instead of recomputing it.
     ratings.write.mode("errorifexists").parquet(f"{folder}/_ratings")
     ratings = spark.read.parquet(f"{folder}/_ratings")
+    with cached_scope():
+        return _write_prepared(spark, ratings, movies, folder, movie_quantile, user_low, user_high)
+
+
+def _write_prepared(spark, ratings, movies, folder, movie_quantile, user_low, user_high) -> str:
     valid = prep.valid_movies(movies)
     counts = prep.movie_counts(ratings, valid)
-    active = prep.active_user_ratings(prep.popular_movie_ratings(ratings, valid, movie_quantile, counts),
-                                      user_low, user_high)
+    # the ratings of popular movies feed the user band and the final join:
+    # written once, so the shuffle by movie id runs once
+    (prep.popular_movie_ratings(ratings, valid, movie_quantile, counts)
+     .write.mode("errorifexists").parquet(f"{folder}/_rated"))
+    active = prep.active_user_ratings(spark.read.parquet(f"{folder}/_rated"), user_low, user_high)
     split = F.when(F.col("timestamp") <= prep.split_cut(), F.lit("training")).otherwise(F.lit("test_raw"))
     (active.select(*_RATED, split.alias("split"))
      .write.mode("errorifexists").partitionBy("split").parquet(f"{folder}/ratings"))
@@ -106,8 +116,9 @@ def write_predicted(spark: SparkSession, avg: DataFrame, fav: DataFrame, test: D
     """Job B as a sink: predictions written once (parquet), the stored
     ``id:score|...`` strings (parquet) and the accuracy row derived from the
     written table.  Returns the accuracy row (one small action)."""
-    res = predict(avg, fav, test, n, strict, exact)
-    res.predictions.write.mode("errorifexists").parquet(f"{folder}/predictions")
+    with cached_scope():
+        res = predict(avg, fav, test, n, strict, exact)
+        res.predictions.write.mode("errorifexists").parquet(f"{folder}/predictions")
     written = spark.read.parquet(f"{folder}/predictions")
     serve.export_predictions(written).write.mode("errorifexists").parquet(f"{folder}/stored")
     return metrics.accuracy(written, prep.test_ratings(test)).first()
