@@ -71,13 +71,9 @@ def positive_ratings(ratings: DataFrame) -> DataFrame:
 
 
 def ratings_with_genres(ratings: DataFrame, valid: DataFrame) -> DataFrame:
-    """Ratings of valid movies, with their genres.
-
-    A plain equi-join: AQE broadcasts the movie side when its measured size is
-    under the threshold and otherwise shuffles both sides, splitting the
-    partitions of very popular movies.
-    """
-    return ratings.join(valid.select("movieid", "genres"), "movieid").select(
+    """Ratings of valid movies, with their genres (a movie-row lookup per
+    rating, salted for very popular movies)."""
+    return salted_lookup(ratings, valid.select("movieid", "genres"), ["movieid"], "userid").select(
         "userid", "movieid", "rating", "timestamp", "genres")
 
 

@@ -41,7 +41,7 @@ def movie_profiles(movies: DataFrame) -> DataFrame:
 
 def test_candidates(fav: DataFrame, test: DataFrame) -> DataFrame:
     """``userid, movieid`` — each user's test movies, for users with favourites."""
-    return test.select("userid", "movieid").join(fav.select("userid"), "userid")
+    return salted_lookup(test.select("userid", "movieid"), fav.select("userid"), ["userid"], "movieid")
 
 
 def score_candidates(cands: DataFrame, fav: DataFrame, movies: DataFrame,
@@ -123,8 +123,8 @@ def unseen_counts(fav: DataFrame, training: DataFrame, movies: DataFrame) -> Dat
     without building the users x movies table."""
     mp = movie_profiles(movies)
     total = mp.select(F.count(F.lit(1))).scalar()
-    seen = training.join(mp.select("movieid"), "movieid", "left_semi").groupBy("userid").agg(
-        F.count(F.lit(1)).alias("n_seen"))
+    seen = (salted_lookup(training.select("userid", "movieid"), mp.select("movieid"), ["movieid"], "userid")
+            .groupBy("userid").agg(F.count(F.lit(1)).alias("n_seen")))
     return (user_profiles(fav).select("userid").join(seen, "userid", "left")
             .select("userid", (total - F.coalesce("n_seen", F.lit(0))).alias("n_unseen")))
 

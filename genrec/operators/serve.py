@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from genrec.operators.recommend import clip_scores
+from genrec.operators.skew import salted_lookup
 
 
 def export_predictions(preds: DataFrame, cap: float = 5.0) -> DataFrame:
@@ -47,7 +48,8 @@ def user_recommendations(stored: DataFrame, titles: DataFrame, user_ids: list[in
     """
     if user_ids is not None:
         stored = stored.where(F.col("userid").isin(list(user_ids)))
-    recs = parse_predictions(stored).join(titles.select("movieid", "title"), "movieid")
+    # one title row per recommended movie; a movie in most users' lists is a hot key
+    recs = salted_lookup(parse_predictions(stored), titles.select("movieid", "title"), ["movieid"], "userid")
     w = Window.partitionBy("userid").orderBy(F.col("score").desc(), F.col("movieid").asc())
     return recs.select("userid", F.row_number().over(w).alias("rank"),
                        F.trim("title").alias("title"), "score")
