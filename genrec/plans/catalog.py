@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genrec.operators import metrics, model, prep, recommend, serve
+from genrec.operators.skew import salted_lookup
 from genrec.plans import jobs
 from genrec.sources import csv_io
 from genrec.sources.views import movies_view, ratings_view
@@ -54,9 +55,9 @@ class _Ctx:
 
     def candidate_pairs(self):
         p, w = self.predicted()
-        c = (recommend.test_candidates(p.fav_genres, p.test)
-             .join(recommend.movie_profiles(p.avg_ratings), "movieid")
-             .join(recommend.user_profiles(p.fav_genres), "userid"))
+        c = salted_lookup(recommend.test_candidates(p.fav_genres, p.test),
+                          recommend.movie_profiles(p.avg_ratings).select("movieid", "skey"), ["movieid"], "userid")
+        c = salted_lookup(c, recommend.user_profiles(p.fav_genres).select("userid", "pkey"), ["userid"], "movieid")
         return recommend.candidate_pairs(c), w
 
 
