@@ -3,6 +3,7 @@ serve (C), and unseen-movie recommendation (D), as lazy DataFrames."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,13 +98,25 @@ def _write_prepared(spark, ratings, movies, folder, movie_quantile, user_low, us
     stored = spark.read.parquet(f"{folder}/ratings")
     training = stored.where(F.col("split") == "training").drop("split")
     test_raw = stored.where(F.col("split") == "test_raw").drop("split")
-    prep.drop_cold(test_raw, training, counts).write.mode("errorifexists").parquet(f"{folder}/test")
-    prep.avg_ratings(training).write.mode("errorifexists").parquet(f"{folder}/avg_ratings")
-    prep.fav_genres(training).write.mode("errorifexists").parquet(f"{folder}/fav_genres")
-    prep.titles(valid).write.mode("errorifexists").parquet(f"{folder}/titles")
+    outputs = {
+        "test": prep.drop_cold(test_raw, training, counts),
+        "avg_ratings": prep.avg_ratings(training),
+        "fav_genres": prep.fav_genres(training),
+        "titles": prep.titles(valid),
+    }
+    _write_all({f"{folder}/{name}": df for name, df in outputs.items()})
     return folder
 
 
+def _write_all(tables: dict[str, DataFrame]) -> None:
+    """Write independent tables as concurrent Spark jobs (the scheduler
+    interleaves their stages; small jobs no longer leave cores idle)."""
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        futures = [pool.submit(df.write.mode("errorifexists").parquet, path) for path, df in tables.items()]
+        for f in futures:
+            f.result()
+
+
 def read_prepared(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The datasets written by ``write_prepared`` (training by partition pruning)."""
     out = {name: spark.read.parquet(f"{folder}/{name}") for name in PREPARED_TABLES if name != "training"}
@@ -120,5 +133,9 @@ def write_predicted(spark: SparkSession, avg: DataFrame, fav: DataFrame, test: D
         res = predict(avg, fav, test, n, strict, exact)
         res.predictions.write.mode("errorifexists").parquet(f"{folder}/predictions")
     written = spark.read.parquet(f"{folder}/predictions")
-    serve.export_predictions(written).write.mode("errorifexists").parquet(f"{folder}/stored")
-    return metrics.accuracy(written, prep.test_ratings(test)).first()
+    with ThreadPoolExecutor(max_workers=2) as pool:       # two independent jobs
+        stored = pool.submit(serve.export_predictions(written).write.mode("errorifexists").parquet,
+                             f"{folder}/stored")
+        acc = pool.submit(metrics.accuracy(written, prep.test_ratings(test)).first)
+        stored.result()
+        return acc.result()
