@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from genrec.operators.model import EXACT_DIGITS, score_expr, set_affinity
 from genrec.operators.rank import id_rank, ranked_groups
-from genrec.operators.sizing import broadcast_if_small
+from genrec.operators.sizing import broadcast_if_small, keep
 from genrec.operators.skew import salted_lookup
 
 
@@ -189,11 +189,12 @@ def unseen_recommendations(fav: DataFrame, training: DataFrame, movies: DataFram
     # one row per profile, joined on the profile key that most users may share
     n_ranked = broadcast_if_small(sizes.withColumnRenamed("n_rows", "n_ranked"))
 
-    users = (up.join(seen_movies(training), "userid", "left")
-             .join(n_ranked, "pkey", "left")
-             .select("userid", "pkey",
-                     (F.lit(n) + F.coalesce("n_seen", F.lit(0))).alias("need"),
-                     F.coalesce("n_ranked", F.lit(0)).alias("n_ranked")))
+    # one narrow row per user, read by both branches (request counts and joins)
+    users = keep(up.join(seen_movies(training), "userid", "left")
+                 .join(n_ranked, "pkey", "left")
+                 .select("userid", "pkey",
+                         (F.lit(n) + F.coalesce("n_seen", F.lit(0))).alias("need"),
+                         F.coalesce("n_ranked", F.lit(0)).alias("n_ranked")))
 
     # every user of a profile asks for ranks 1..n+s of the same list: the
     # (profile, rank) keys near the top are hot, hence the salted lookup
