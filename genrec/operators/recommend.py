@@ -56,10 +56,14 @@ def score_candidates(cands: DataFrame, fav: DataFrame, movies: DataFrame,
     runs the candidate joins; a pair missing from it scores 0.
     """
     pairs = cands.select("userid", "movieid")
+    # candidates per movie and per user in one pass (grouping sets)
+    per_key = keep(pairs.groupingSets([["movieid"], ["userid"]], "movieid", "userid").agg(
+        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_g")))
+    by_movie = per_key.where(F.col("_g") == 1).select("movieid", "_n")
+    by_user = per_key.where(F.col("_g") == 2).select("userid", "_n")
     c = salted_lookup(pairs, movie_profiles(movies).select("movieid", "avgrating", "skey"),
-                      ["movieid"], "userid")
-    c = salted_lookup(c, user_profiles(fav).select("userid", "pkey"), ["userid"], "movieid",
-                      pairs.groupBy("userid").agg(F.count(F.lit(1)).alias("_n")))
+                      ["movieid"], "userid", by_movie)
+    c = salted_lookup(c, user_profiles(fav).select("userid", "pkey"), ["userid"], "movieid", by_user)
     aff = broadcast_if_small(profile_affinity(fav, movies, weights, exact))
     score = F.coalesce(_score(exact), F.lit(0.0))
     return c.join(aff, ["pkey", "skey"], "left").select("userid", "movieid", score.alias("score"))
