@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from genrec.operators.model import EXACT_DIGITS, score_expr, set_affinity
 from genrec.operators.rank import id_rank, ranked_groups
-from genrec.operators.sizing import broadcast_if_small, keep
+from genrec.operators.sizing import broadcast_if_small, fits_broadcast, keep
 from genrec.operators.skew import salted_lookup
 
 
@@ -64,9 +64,13 @@ def score_candidates(cands: DataFrame, fav: DataFrame, movies: DataFrame,
     c = salted_lookup(pairs, movie_profiles(movies).select("movieid", "avgrating", "skey"),
                       ["movieid"], "userid", by_movie)
     c = salted_lookup(c, user_profiles(fav).select("userid", "pkey"), ["userid"], "movieid", by_user)
-    aff = broadcast_if_small(profile_affinity(fav, movies, weights, exact))
+    aff, small = fits_broadcast(profile_affinity(fav, movies, weights, exact))
+    if small:
+        c = c.join(F.broadcast(aff), ["pkey", "skey"], "left")
+    else:   # a (favourite set, genre set) pair may carry a large share of the candidates
+        c = salted_lookup(c, aff, ["pkey", "skey"], "userid", how="left")
     score = F.coalesce(_score(exact), F.lit(0.0))
-    return c.join(aff, ["pkey", "skey"], "left").select("userid", "movieid", score.alias("score"))
+    return c.select("userid", "movieid", score.alias("score"))
 
 
 def profile_affinity(fav: DataFrame, movies: DataFrame, weights: DataFrame,
@@ -186,9 +190,12 @@ def unseen_recommendations(fav: DataFrame, training: DataFrame, movies: DataFram
     """
     up = user_profiles(fav)
     mp = movie_profiles(movies)
-    aff = broadcast_if_small(profile_affinity(fav, movies, weights, exact))
-    positive = (mp.join(aff, "skey").select("pkey", "movieid", _score(exact).alias("score"))
-                .where(F.col("score") > 0))
+    aff, small = fits_broadcast(profile_affinity(fav, movies, weights, exact))
+    # every movie meets each linked profile of its genre set; above the
+    # broadcast bound a genre set shared by many movies is salted
+    scored = (mp.join(F.broadcast(aff), "skey") if small
+              else salted_lookup(mp, aff, ["skey"], "movieid"))
+    positive = scored.select("pkey", "movieid", _score(exact).alias("score")).where(F.col("score") > 0)
     ranked, sizes = ranked_groups(positive, ["pkey"], [F.col("score").desc(), F.col("movieid").asc()])
     # one row per profile, joined on the profile key that most users may share
     n_ranked = broadcast_if_small(sizes.withColumnRenamed("n_rows", "n_ranked"))

@@ -55,3 +55,11 @@ def cached_scope() -> Iterator[None]:
         _SCOPES.pop()
         for f in frames:
             f.unpersist()
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """``(cached df, whether it has at most max_rows rows)``: the same check as
+    ``broadcast_if_small`` for callers that choose another join above the bound."""
+    bound = DEFAULT_MAX_ROWS if max_rows is None else max_rows
+    kept = keep(df)
+    return kept, kept.limit(bound + 1).count() <= bound

@@ -16,8 +16,12 @@ MAX_HOT_KEYS = 100_000
 
 
 def salted_lookup(requests: DataFrame, table: DataFrame, keys: Sequence[str], spread: str,
-                  demand: DataFrame | None = None, rows_per_task: int | None = None) -> DataFrame:
-    """``requests`` inner-joined with ``table`` (one row per key) on ``keys``.
+                  demand: DataFrame | None = None, rows_per_task: int | None = None,
+                  how: str = "inner") -> DataFrame:
+    """``requests`` joined with ``table`` on ``keys`` (``how``: inner or left).
+
+    Meant for tables with one row per key; with several rows per key every
+    replica carries all of them, so the result is the same join.
 
     A key requested by more than ``rows_per_task`` rows is split: its table
     row is replicated f = ceil(requests / rows_per_task) times with salts
@@ -45,11 +49,11 @@ def salted_lookup(requests: DataFrame, table: DataFrame, keys: Sequence[str], sp
             break
         per_task *= 4
     if n_hot == 0:
-        return requests.join(table, keys)
+        return requests.join(table, keys, how)
     hot = F.broadcast(hot)
     fan = F.coalesce(F.col("_f"), F.lit(1))
     salted_requests = requests.join(hot, keys, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(spread), fan).cast("int")).drop("_f")
     salted_table = table.join(hot, keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), fan - 1))).drop("_f")
-    return salted_requests.join(salted_table, [*keys, "_salt"]).drop("_salt")
+    return salted_requests.join(salted_table, [*keys, "_salt"], how).drop("_salt")

@@ -182,3 +182,11 @@ def test_salted_lookup_matches_join(spark):
     got = rows(salted_lookup(req, table, ["pkey", "rank"], "userid", rows_per_task=20))
     want = rows(req.join(table, ["pkey", "rank"]))
     assert got == want and len(got) > 0
+
+
+def test_salted_left_lookup_matches_join(spark):
+    from genrec.operators.skew import salted_lookup
+    req = spark.createDataFrame([(u, "hot" if u % 4 else "missing") for u in range(200)], "userid int, pkey string")
+    table = spark.createDataFrame([("hot", 1.5), ("other", 2.0)], "pkey string, aff double")
+    got = rows(salted_lookup(req, table, ["pkey"], "userid", rows_per_task=10, how="left"), "userid", "pkey", "aff")
+    assert got == rows(req.join(table, ["pkey"], "left"), "userid", "pkey", "aff")
