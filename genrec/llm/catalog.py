@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from genrec.llm import quality_rules
+from genrec.llm import quality_rules, source_mix, token_files
 from genrec.llm.common import table
 
 
@@ -16,8 +17,16 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules,)}
+    return {f.__name__: f for f in (op1_quality_rules, op7_token_files, op8_source_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
