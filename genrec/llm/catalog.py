@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from genrec.llm import quality_rules, source_mix, token_files
+from genrec.llm import quality_rules, source_mix, token_files, url_filters
 from genrec.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -26,7 +30,7 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op7_token_files, op8_source_mix)}
+    return {f.__name__: f for f in (op1_quality_rules, op6_url_filters, op7_token_files, op8_source_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
