@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from genrec.llm import quality_rules, source_mix, token_files, url_filters
+from genrec.llm import order_minhash, quality_rules, source_mix, token_files, url_filters
 from genrec.llm.common import table
 
 
@@ -29,8 +29,12 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(table(spark, sf_dir, "documents"))
 
 
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.classes(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op6_url_filters, op7_token_files, op8_source_mix)}
+    return {f.__name__: f for f in (op1_quality_rules, op6_url_filters, op7_token_files, op8_source_mix, op9_order_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
