@@ -16,6 +16,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ from genrec.session import scratch_dir
 
 MAGIC = b"FRVB1\0\0\0"
 BLOCK_IDS = 1 << 19            # a block ends with the document that reaches this many ids
-CACHE_WORDS = 600_000          # distinct words that a worker remembers before it starts anew
+CACHE_WORDS = 1_500_000         # distinct words that a worker remembers before it starts anew
 BATCH_ROWS = 256
 
 # bytes of each of the four ranks that a control byte describes
@@ -57,7 +58,7 @@ class WordEncoder:
         got = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
         first = len(self.known)
         self.known.update(zip(new, range(first, first + len(new)), strict=True))
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in got for i in x), np.uint32)])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(got), np.uint32)])
         ends = self.starts[-1] + np.cumsum([len(x) for x in got], dtype=np.int64)
         self.starts = np.concatenate([self.starts, ends])
 
