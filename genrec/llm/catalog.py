@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from genrec.llm import order_minhash, personal_data, quality_rules, source_mix, token_files, url_filters
+from genrec.llm import html_text, order_minhash, personal_data, quality_rules, source_mix, token_files, url_filters
 from genrec.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find(table(spark, sf_dir, "documents"))
 
@@ -39,7 +43,7 @@ def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_quality_rules, op5_personal_data, op6_url_filters, op7_token_files, op8_source_mix, op9_order_minhash)}
+        op1_quality_rules, op3_html_text, op5_personal_data, op6_url_filters, op7_token_files, op8_source_mix, op9_order_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
