@@ -7,7 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from genrec.llm import html_text, order_minhash, personal_data, quality_rules, source_mix, token_files, url_filters
+from genrec.llm import (
+    cover_tree,
+    html_text,
+    order_minhash,
+    personal_data,
+    piece_sampling,
+    quality_rules,
+    source_mix,
+    token_files,
+    url_filters,
+)
 from genrec.llm.common import table
 
 
@@ -17,10 +27,18 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+def op2_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op4_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_sampling.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find(table(spark, sf_dir, "documents"))
 
@@ -43,7 +61,8 @@ def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_quality_rules, op3_html_text, op5_personal_data, op6_url_filters, op7_token_files, op8_source_mix, op9_order_minhash)}
+        op1_quality_rules, op2_cover_tree, op3_html_text, op4_piece_sampling, op5_personal_data, op6_url_filters,
+        op7_token_files, op8_source_mix, op9_order_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
