@@ -16,6 +16,7 @@ from genrec.llm import (
     quality_rules,
     source_mix,
     token_files,
+    tool_calls,
     url_filters,
 )
 from genrec.llm.common import table
@@ -59,10 +60,14 @@ def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tool_calls.link_conversations(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_cover_tree, op3_html_text, op4_piece_sampling, op5_personal_data, op6_url_filters,
-        op7_token_files, op8_source_mix, op9_order_minhash)}
+        op7_token_files, op8_source_mix, op9_order_minhash, op10_tool_calls)}
 
 
 def oracle_sql() -> dict[str, str]:
