@@ -1,5 +1,5 @@
 """Genre model: ordered genre pairs, pair counts, directional weights, and the
-affinity of a favourite-genre set to a movie genre set.
+affinity of a genre to a movie genre set.
 
 The model is an n x n table over genres, so everything after the pair counts
 is tiny.  Pairs are built from distinct genre lists with their movie counts
@@ -8,7 +8,7 @@ is tiny.  Pairs are built from distinct genre lists with their movie counts
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genrec.functions.genres import coefficient
@@ -16,6 +16,7 @@ from genrec.functions.genres import coefficient
 # Affinity sums are exact: coefficients have 3 decimals, so they are added as
 # decimals and only the final product is a double.
 COEFF_TYPE = "decimal(18,3)"
+AFF_TYPE = "decimal(28,3)"
 
 
 def genre_pairs(movies: DataFrame) -> DataFrame:
@@ -67,50 +68,54 @@ def check_known(fav: DataFrame, movies: DataFrame) -> None:
         raise ValueError(f"genre does not exist: {unknown['genre']}")
 
 
-def set_affinity(pairs: DataFrame, weights: DataFrame, exact: bool = False) -> DataFrame:
-    """O45/O46 core: for each (favourite set, movie genre set) pair
+def set_coefficients(sets: DataFrame, weights: DataFrame, exact: bool = False) -> DataFrame:
+    """``skey, genre_u, genre_m, norm, coeff`` for every genre set (``skey, sgenres``)
+    and every genre ``u`` that is in the set or has a weight to one of its genres;
+    every other coefficient is 0.
 
-        aff = sum over u in fav, m in genres of coeff(u, m, norm(u)),
         norm(u) = |genres| - [u in genres]
 
-    ``pairs`` has ``pkey, pgenres, skey, sgenres``; the result
-    ``pkey, skey, aff DECIMAL, n_fav`` has one row per input pair.  Rows
-    expand to |fav| x |genres| (both bounded by the genre vocabulary); the
-    weight table is n x n genres and gets broadcast by AQE.
-
     ``exact=True`` (D13, the single-machine variant): coefficients are not
-    rounded and are summed as doubles; pair it with unrounded weights.
+    rounded; pair it with unrounded weights.  Rows: genre sets times linked
+    genres, whatever the number of users or movies.
     """
-    x = pairs.select("pkey", "skey", F.size("pgenres").alias("n_fav"),
-                     F.explode("pgenres").alias("u"), "sgenres")
-    x = x.select("pkey", "skey", "n_fav", "u",
-                 (F.size("sgenres") - F.array_contains("sgenres", F.col("u")).cast("int")).alias("norm"),
-                 F.explode("sgenres").alias("m"))
-    w = weights.select(F.col("genre_a").alias("u"), F.col("genre_b").alias("m"), "weight")
-    x = x.join(w, ["u", "m"], "left")
-    if exact:
-        coeff = coefficient(F.col("u"), F.col("m"), F.col("weight"), F.col("norm"), digits=None)
-    else:
-        coeff = coefficient(F.col("u"), F.col("m"), F.col("weight"), F.col("norm")).cast(COEFF_TYPE)
-    return x.groupBy("pkey", "skey", "n_fav").agg(F.sum(coeff).alias("aff"))
-
-
-def genre_coefficients(pairs: DataFrame, weights: DataFrame) -> DataFrame:
-    """O45 as a table: ``genre_u, genre_m, norm, coeff`` for the (favourite, movie
-    genre, norm) triples that occur in ``pairs``."""
-    x = pairs.select(F.explode("pgenres").alias("u"), "sgenres").distinct()
-    x = x.select("u", (F.size("sgenres") - F.array_contains("sgenres", F.col("u")).cast("int")).alias("norm"),
-                 F.explode("sgenres").alias("m")).distinct()
+    m = sets.select("skey", "sgenres", F.explode("sgenres").alias("m"))
+    own = m.select("skey", "sgenres", "m", F.col("m").alias("u"), F.lit(None).cast("double").alias("weight"))
     w = weights.select(F.col("genre_a").alias("u"), F.col("genre_b").alias("m"), "weight")
-    x = x.join(w, ["u", "m"], "left")
-    return x.select(F.col("u").alias("genre_u"), F.col("m").alias("genre_m"), "norm",
-                    coefficient(F.col("u"), F.col("m"), F.col("weight"), F.col("norm")).alias("coeff"))
+    linked = m.join(w, "m").select("skey", "sgenres", "m", "u", "weight")
+    x = own.unionByName(linked).withColumn(
+        "norm", F.size("sgenres") - F.array_contains("sgenres", F.col("u")).cast("int"))
+    coeff = coefficient(F.col("u"), F.col("m"), F.col("weight"), F.col("norm"), digits=None if exact else 3)
+    return x.select("skey", F.col("u").alias("genre_u"), F.col("m").alias("genre_m"), "norm", coeff.alias("coeff"))
+
+
+def set_affinities(sets: DataFrame, weights: DataFrame, exact: bool = False) -> DataFrame:
+    """``skey, genre_u, aff``: the sum of a genre's coefficients over a genre set
+    (exact decimals; doubles for ``exact=True``)."""
+    coeff = F.col("coeff") if exact else F.col("coeff").cast(COEFF_TYPE)
+    return set_coefficients(sets, weights, exact).groupBy("skey", "genre_u").agg(
+        F.sum(coeff).cast("double" if exact else AFF_TYPE).alias("aff"))
+
+
+def set_maps(sets: DataFrame, weights: DataFrame, exact: bool = False) -> DataFrame:
+    """``skey, affinity MAP<genre, aff>``: at most one entry per genre of the vocabulary."""
+    return set_affinities(sets, weights, exact).groupBy("skey").agg(
+        F.map_from_entries(F.collect_list(F.struct("genre_u", "aff"))).alias("affinity"))
+
+
+def affinity_of(favgenres: Column, affinity: Column, exact: bool = False) -> Column:
+    """O46 core, in the row: the favourites' affinities to the movie's genre set
+    (unlinked genres and sets without a map count 0)."""
+    kind = "double" if exact else AFF_TYPE
+    zero = F.lit(0).cast(kind)
+    return F.aggregate(favgenres, zero, lambda total, u: (
+        total + F.coalesce(F.try_element_at(affinity, u), zero)).cast(kind))
 
 
 EXACT_DIGITS = 6
 
 
-def score_expr(aff: str = "aff", avg: str = "avgrating", n_fav: str = "n_fav", digits: int = 3):
+def score_expr(aff: Column, avg: Column, n_fav: Column, exact: bool = False) -> Column:
     """O46 final step: ``round(aff * avg / |fav|, 3)`` (double arithmetic after
     the exact sum); the exact variant rounds to 6 digits."""
-    return F.round(F.col(aff) * F.col(avg) / F.col(n_fav), digits)
+    return F.round(aff * avg / n_fav, EXACT_DIGITS if exact else 3)

@@ -13,9 +13,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from genrec.functions.genres import BLANK_GENRES, clean_genres, parse_pipe, title_year
 from genrec.operators.skew import salted_lookup
+from genrec.session import stored
 
 # Fixed values of the method:
 #   a rating >= 3 is positive; a movie needs a year after 1942;
@@ -70,13 +72,24 @@ def positive_ratings(ratings: DataFrame) -> DataFrame:
     return ratings.where(is_positive())
 
 
-def ratings_with_genres(ratings: DataFrame, valid: DataFrame) -> DataFrame:
+def ratings_with_genres(ratings: DataFrame, valid: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Ratings of valid movies, with their genres (a movie-row lookup per
-    rating, salted for very popular movies)."""
-    return salted_lookup(ratings, valid.select("movieid", "genres"), ["movieid"], "userid").select(
+    rating, salted for very popular movies by ``movie_counts``)."""
+    return salted_lookup(ratings, valid.select("movieid", "genres"), ["movieid"], "userid",
+                         movie_demand(counts if counts is not None else movie_counts(ratings, valid))).select(
         "userid", "movieid", "rating", "timestamp", "genres")
 
 
+def movie_demand(counts: DataFrame) -> DataFrame:
+    """``movieid, _n``: from ``movie_counts``, the most rows that can ask for a movie."""
+    return counts.select("movieid", F.col("n_all").alias("_n"))
+
+
+def user_demand(stats: DataFrame) -> DataFrame:
+    """``userid, _n``: from ``user_stats``, the most rows that can ask for a user."""
+    return stats.select("userid", F.col("n_all").alias("_n"))
+
+
 def movie_counts(ratings: DataFrame, valid: DataFrame) -> DataFrame:
     """``movieid, n_pos, n_all`` for valid movies with at least one rating.
 
@@ -115,8 +128,7 @@ def popular_movie_ratings(ratings: DataFrame, valid: DataFrame, quantile: float
     counts = counts if counts is not None else movie_counts(ratings, valid)
     keep = popular_movies(counts.where(F.col("n_pos") > 0), quantile)
     movies = valid.select("movieid", "genres").join(keep.select("movieid"), "movieid", "left_semi")
-    demand = counts.select("movieid", F.col("n_all").alias("_n"))
-    return salted_lookup(ratings, movies, ["movieid"], "userid", demand).select(
+    return salted_lookup(ratings, movies, ["movieid"], "userid", movie_demand(counts)).select(
         "userid", "movieid", "rating", "timestamp", "genres")
 
 
@@ -154,16 +166,16 @@ def split_cut():
     return (F.col("ts_max") - F.col("ts_min")) / 5 * 4 + F.col("ts_min")
 
 
-def active_user_ratings(ratings: DataFrame, low: float = 0.5, high: float = 0.98) -> DataFrame:
+def active_user_ratings(ratings: DataFrame, low: float = 0.5, high: float = 0.98,
+                        stats: DataFrame | None = None) -> DataFrame:
     """O20 + O21: ratings of users in the band, with the user's time span.
 
     One user row per rating; a user with a large share of all rows is salted,
     with the request counts from the per-user aggregate of the band.
     """
-    stats = user_stats(ratings)
+    stats = stats if stats is not None else user_stats(ratings)
     users = band_users(stats, low, high).select("userid", "ts_min", "ts_max")
-    demand = stats.select("userid", F.col("n_all").alias("_n"))
-    return salted_lookup(ratings, users, ["userid"], "movieid", demand)
+    return salted_lookup(ratings, users, ["userid"], "movieid", user_demand(stats))
 
 
 def time_split(active: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -191,17 +203,24 @@ def drop_cold(test_raw: DataFrame, training: DataFrame, counts: DataFrame | None
     test rows per movie from above, which is all the salting needs; without
     it the test rows are counted.
     """
-    demand = counts.select("movieid", F.col("n_all").alias("_n")) if counts is not None else None
+    demand = movie_demand(counts) if counts is not None else None
     return salted_lookup(test_raw, training.select("movieid").distinct(), ["movieid"], "userid",
                          demand).select(*test_raw.columns)
 
 
+TEST_TYPES = {"userid": T.IntegralType, "movieid": T.IntegralType, "rating": T.NumericType}
+
+
 def test_ratings(test: DataFrame) -> DataFrame:
-    """The three columns the predictor uses, after a schema check."""
-    need = {"userid", "movieid", "rating"}
-    missing = need - set(test.columns)
+    """The three columns the predictor uses; raises before any job if one is
+    missing or not a number (ids: whole numbers)."""
+    found = {f.name: f.dataType for f in test.schema.fields}
+    missing = set(TEST_TYPES) - set(found)
     if missing:
         raise ValueError(f"test table lacks columns {sorted(missing)}")
+    wrong = {c: found[c].simpleString() for c, kind in TEST_TYPES.items() if not isinstance(found[c], kind)}
+    if wrong:
+        raise ValueError(f"test table has columns of the wrong type: {wrong}")
     return test.select(F.col("userid").cast("int"), F.col("movieid").cast("int"),
                        F.col("rating").cast("double"))
 
@@ -253,21 +272,27 @@ class Prepared:
     avg_ratings: DataFrame
     fav_genres: DataFrame
     titles: DataFrame
+    by_movie: DataFrame      # movieid, _n: the most rows that can ask for a movie
+    by_user: DataFrame       # userid, _n
 
 
 def prepare(ratings: DataFrame, movies: DataFrame, movie_quantile: float = 0.7,
             user_low: float = 0.5, user_high: float = 0.98) -> Prepared:
-    """Whole preparation (A) as lazy DataFrames.
+    """Whole preparation (A).
 
-    Shuffles of the big table: one join on movie id (popular valid movies, with
-    genres), one join on user id (band and time span); the per-movie and
-    per-user statistics are partial aggregates.
+    The movie percentile, the user band and the split are global barriers, so
+    the ratings, the per-movie and per-user statistics and the two filtered
+    ratings tables are written once below the checkpoint folder and read by
+    everything after them: five writing jobs; what is returned is lazy over
+    those tables.
     """
     valid = valid_movies(movies)
-    counts = movie_counts(ratings, valid)
-    rated = popular_movie_ratings(ratings, valid, movie_quantile, counts)
-    active = active_user_ratings(rated, user_low, user_high)
+    ratings = stored(ratings, "ratings")
+    counts = stored(movie_counts(ratings, valid), "movie-counts")
+    rated = stored(popular_movie_ratings(ratings, valid, movie_quantile, counts), "rated")
+    stats = stored(user_stats(rated), "user-stats")
+    active = stored(active_user_ratings(rated, user_low, user_high, stats), "active")
     training, test_raw = time_split(active)
     test = drop_cold(test_raw, training, counts)
     return Prepared(valid, active, training, test, avg_ratings(training), fav_genres(training),
-                    titles(valid))
+                    titles(valid), movie_demand(counts), user_demand(stats))

@@ -1,9 +1,11 @@
 """Candidates, scores and top-N per user.
 
-A score depends on the user only through the favourite-genre set and on the
-movie only through (genre set, average rating), so the genre arithmetic is
-done once per distinct (favourite set, genre set) pair linked by a genre,
-and the per-row work is a join with that small table plus one multiplication.
+A score depends on the movie only through its average and the affinity of each
+genre to its genre set.  Those affinities are one map per distinct genre set
+(genre x genre set entries, whatever the number of users), carried by the movie
+row, so a candidate is scored in its row from the user's favourites.
+
+Nothing here runs an action unless its docstring says so.
 """
 
 from __future__ import annotations
@@ -11,15 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from genrec.operators.model import EXACT_DIGITS, score_expr, set_affinity
-from genrec.operators.rank import id_rank, ranked_groups
-from genrec.operators.sizing import broadcast_if_small, fits_broadcast, keep
-from genrec.operators.skew import salted_lookup
-
-
-def _with_genres(keys: DataFrame, key: str, arr: str) -> DataFrame:
-    # a key is the sorted genre list joined by '|', and genres never contain '|'
-    return keys.withColumn(arr, F.split(F.col(key), r"[|]"))
+from genrec.operators.model import affinity_of, score_expr, set_affinities, set_maps
+from genrec.operators.rank import group_rank, id_rank, ranked_groups
+from genrec.operators.skew import fanned_join, salted_lookup
+from genrec.session import stored
 
 
 def user_profiles(fav: DataFrame) -> DataFrame:
@@ -39,62 +36,58 @@ def movie_profiles(movies: DataFrame) -> DataFrame:
         "movieid", "avgrating", F.array_join(g, "|").alias("skey"), g.alias("sgenres"))
 
 
-def test_candidates(fav: DataFrame, test: DataFrame) -> DataFrame:
-    """``userid, movieid`` — each user's test movies, for users with favourites."""
-    return salted_lookup(test.select("userid", "movieid"), fav.select("userid"), ["userid"], "movieid")
+def test_candidates(fav: DataFrame, test: DataFrame, by_user: DataFrame | None = None) -> DataFrame:
+    """``userid, movieid`` — each user's test movies, for users with favourites.
 
+    ``by_user`` (``userid, _n``): request counts or upper bounds of them.
+    """
+    return salted_lookup(test.select("userid", "movieid"), fav.select("userid"), ["userid"], "movieid", by_user)
 
-def score_candidates(cands: DataFrame, fav: DataFrame, movies: DataFrame,
-                     weights: DataFrame, exact: bool = False) -> DataFrame:
-    """``userid, movieid, score`` for candidate pairs.
 
-    The movie and user lookups are salted for keys that a large share of the
-    candidates carry (a very popular movie, a very active user); AQE's own
-    skew split does not apply where a join feeds the top-N window directly.
-    The affinity table comes from the per-user and
-    per-movie tables only (``profile_affinity``), so checking its size never
-    runs the candidate joins; a pair missing from it scores 0.
-    """
-    pairs = cands.select("userid", "movieid")
-    # candidates per movie and per user in one pass (grouping sets)
-    per_key = keep(pairs.groupingSets([["movieid"], ["userid"]], "movieid", "userid").agg(
-        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_g")))
-    by_movie = per_key.where(F.col("_g") == 1).select("movieid", "_n")
-    by_user = per_key.where(F.col("_g") == 2).select("userid", "_n")
-    c = salted_lookup(pairs, movie_profiles(movies).select("movieid", "avgrating", "skey"),
-                      ["movieid"], "userid", by_movie)
-    c = salted_lookup(c, user_profiles(fav).select("userid", "pkey"), ["userid"], "movieid", by_user)
-    aff, small = fits_broadcast(profile_affinity(fav, movies, weights, exact))
-    if small:
-        c = c.join(F.broadcast(aff), ["pkey", "skey"], "left")
-    else:   # a (favourite set, genre set) pair may carry a large share of the candidates
-        c = salted_lookup(c, aff, ["pkey", "skey"], "userid", how="left")
-    score = F.coalesce(_score(exact), F.lit(0.0))
-    return c.select("userid", "movieid", score.alias("score"))
+def genre_sets(movies: DataFrame) -> DataFrame:
+    """``skey, sgenres``: the distinct genre sets of the model movies."""
+    return movie_profiles(movies).select("skey", "sgenres").distinct()
+
+
+def scored_movies(movies: DataFrame, weights: DataFrame, exact: bool = False) -> DataFrame:
+    """``movieid, avgrating, skey, affinity``: model movies with the affinities of their genre set."""
+    maps = set_maps(genre_sets(movies), weights, exact)
+    return movie_profiles(movies).select("movieid", "avgrating", "skey").join(maps, "skey")
 
 
-def profile_affinity(fav: DataFrame, movies: DataFrame, weights: DataFrame,
-                     exact: bool = False) -> DataFrame:
-    """``pkey, skey, n_fav, aff`` for every linked (favourite set, genre set) pair.
+def score_candidates(cands: DataFrame, fav: DataFrame, movies: DataFrame, weights: DataFrame, exact: bool = False,
+                     by_user: DataFrame | None = None, by_movie: DataFrame | None = None) -> DataFrame:
+    """``userid, movieid, score`` for candidate pairs.
 
-    Distinct favourite sets of the users and distinct genre sets of the model
-    movies (two small aggregates), linked by equi-joins on genre; a pair that
-    shares no genre and has no weight between them is absent and has
-    affinity 0.
+    The user and movie lookups are salted for keys that a large share of the
+    candidates carry; ``by_user`` and ``by_movie`` (key, ``_n``) give the
+    request counts or upper bounds where an aggregate has them.  The movie row,
+    with its map, comes last, so maps are not shuffled with candidates.
     """
-    profiles = _with_genres(user_profiles(fav).select("pkey").distinct(), "pkey", "pgenres")
-    sets = _with_genres(movie_profiles(movies).select("skey").distinct(), "skey", "sgenres")
-    return set_affinity(_linked_pairs(profiles, sets, weights), weights, exact)
+    favs = fav.where(F.size("favgenres") > 0).select("userid", "favgenres")
+    c = salted_lookup(cands.select("userid", "movieid"), favs, ["userid"], "movieid", by_user)
+    c = salted_lookup(c, scored_movies(movies, weights, exact).drop("skey"), ["movieid"], "userid",
+                      by_movie if by_movie is not None else _requests(cands, "movieid"))
+    score = score_expr(affinity_of(F.col("favgenres"), F.col("affinity"), exact), F.col("avgrating"),
+                       F.size("favgenres"), exact)
+    return c.select("userid", "movieid", score.alias("score"))
 
 
-def _score(exact: bool):
-    return score_expr(digits=EXACT_DIGITS) if exact else score_expr()
+def _requests(rows: DataFrame, key: str) -> DataFrame:
+    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def candidate_pairs(c: DataFrame) -> DataFrame:
-    """Distinct (favourite set, genre set) pairs of scored rows, with their lists."""
-    pairs = c.select("pkey", "skey").distinct()
-    return _with_genres(_with_genres(pairs, "pkey", "pgenres"), "skey", "sgenres")
+def dropped_candidates(cands: DataFrame, fav: DataFrame, movies: DataFrame) -> DataFrame:
+    """``reason, n`` — candidates that get no score: ``no_favourites`` (of the user),
+    ``no_movie`` (not in the model) or ``no_genres`` (a model movie without genres)."""
+    users = fav.where(F.size("favgenres") > 0).select("userid", F.lit(True).alias("has_fav"))
+    known = movies.select("movieid", (F.size("genres") > 0).alias("has_genres"))
+    c = salted_lookup(cands.select("userid", "movieid"), users, ["userid"], "movieid", how="left")
+    c = salted_lookup(c, known, ["movieid"], "userid", _requests(cands, "movieid"), how="left")
+    reason = F.when(F.col("has_fav").isNull(), "no_favourites").when(
+        F.col("has_genres").isNull(), "no_movie").when(~F.col("has_genres"), "no_genres")
+    return c.select(reason.alias("reason")).where("reason is not null").groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 def top_n(scored: DataFrame, n: int = 10, key: str = "userid") -> DataFrame:
@@ -108,10 +101,11 @@ def top_n(scored: DataFrame, n: int = 10, key: str = "userid") -> DataFrame:
 
 
 def predictions(fav: DataFrame, test: DataFrame, movies: DataFrame, weights: DataFrame,
-                n: int = 10, exact: bool = False) -> DataFrame:
+                n: int = 10, exact: bool = False, by_user: DataFrame | None = None,
+                by_movie: DataFrame | None = None) -> DataFrame:
     """``userid, movieid, score, rank`` — top-n scored test movies per user."""
-    # users without favourites drop out in the profile join of score_candidates
-    return top_n(score_candidates(test, fav, movies, weights, exact), n)
+    # users without favourites drop out in the user lookup of score_candidates
+    return top_n(score_candidates(test, fav, movies, weights, exact, by_user, by_movie), n)
 
 
 def clip_scores(preds: DataFrame, cap: float = 5.0) -> DataFrame:
@@ -122,16 +116,22 @@ def clip_scores(preds: DataFrame, cap: float = 5.0) -> DataFrame:
 # ------------------------------------------------------------ unseen movies
 
 def seen_movies(training: DataFrame) -> DataFrame:
-    """``userid, n_seen`` (the seen pairs themselves stay in ``training``)."""
+    """``userid, movieid`` — the distinct movies each user has rated."""
+    return training.select("userid", "movieid").distinct()
+
+
+def seen_counts(training: DataFrame) -> DataFrame:
+    """``userid, n_seen``."""
     return training.groupBy("userid").agg(F.count(F.lit(1)).alias("n_seen"))
 
 
-def unseen_counts(fav: DataFrame, training: DataFrame, movies: DataFrame) -> DataFrame:
+def unseen_counts(fav: DataFrame, training: DataFrame, movies: DataFrame,
+                  by_movie: DataFrame | None = None) -> DataFrame:
     """O57 size: ``userid, n_unseen`` = model movies with genres not rated by the user,
     without building the users x movies table."""
     mp = movie_profiles(movies)
     total = mp.select(F.count(F.lit(1))).scalar()
-    seen = (salted_lookup(training.select("userid", "movieid"), mp.select("movieid"), ["movieid"], "userid")
+    seen = (salted_lookup(training.select("userid", "movieid"), mp.select("movieid"), ["movieid"], "userid", by_movie)
             .groupBy("userid").agg(F.count(F.lit(1)).alias("n_seen")))
     return (user_profiles(fav).select("userid").join(seen, "userid", "left")
             .select("userid", (total - F.coalesce("n_seen", F.lit(0))).alias("n_unseen")))
@@ -156,17 +156,38 @@ def explode_ranks(df: DataFrame, chunk: int = RANK_CHUNK) -> DataFrame:
     return chunks.select(*keep, F.explode(F.sequence(first, last)).alias("rank"))
 
 
-def _linked_pairs(profiles: DataFrame, sets: DataFrame, weights: DataFrame) -> DataFrame:
-    """(favourite set, genre set) pairs with at least one non-zero coefficient
-    candidate: a shared genre or a weight from a favourite to a movie genre.
-    Built by equi-joins on genre; unlinked pairs score 0."""
-    pu = profiles.select("pkey", F.explode("pgenres").alias("u"))
-    sm = sets.select("skey", F.explode("sgenres").alias("m"))
-    w = weights.select(F.col("genre_a").alias("u"), F.col("genre_b").alias("m"))
-    by_weight = pu.join(w, "u").join(sm, "m").select("pkey", "skey")
-    shared = pu.join(sm, pu["u"] == sm["m"]).select("pkey", "skey")
-    linked = by_weight.unionByName(shared).distinct()
-    return _with_genres(_with_genres(linked, "pkey", "pgenres"), "skey", "sgenres")
+SET_CHUNK = 1024
+
+
+def _profile_movies(profiles: DataFrame, movies: DataFrame, weights: DataFrame, exact: bool) -> DataFrame:
+    """``pkey, movieid, score``: of each genre set the movies that can be among a
+    profile's best ``need`` (``profiles``: ``pkey, pgenres, need``), scores above 0.
+
+    Within one (profile, genre set) the score grows with the average, so movies
+    are ranked once per genre set and cut into chunks of ``SET_CHUNK`` ranks.  A
+    chunk is kept if its best score reaches that of the chunk that holds rank
+    ``need``: equal rounded scores stay, so the cut is exact.  Runs two writing
+    jobs (the ranking of ``group_rank`` and the wanted chunks).
+    """
+    mp = movie_profiles(movies)
+    ranked = group_rank(mp.select("skey", "movieid", "avgrating"), ["skey"],
+                        [F.col("avgrating").desc(), F.col("movieid").asc()]).withColumn(
+        "chunk", F.floor((F.col("rank") - 1) / SET_CHUNK))
+    chunks = ranked.groupBy("skey", "chunk").agg(F.max("avgrating").alias("hi"), F.min("avgrating").alias("lo"))
+    liked = profiles.select("pkey", "need", F.size("pgenres").alias("n_fav"), F.explode("pgenres").alias("genre_u"))
+    linked = fanned_join(liked, set_affinities(genre_sets(movies), weights, exact), "genre_u", "pkey").groupBy(
+        "pkey", "skey", "n_fav", "need").agg(F.sum("aff").alias("aff")).where(F.col("aff") > 0)
+
+    def score(average: str):
+        return score_expr(F.col("aff"), F.col(average), F.col("n_fav"), exact)
+
+    at_need = chunks.select("skey", F.col("chunk").alias("need_chunk"), F.col("lo").alias("need_lo"))
+    wanted = (linked.withColumn("need_chunk", F.floor((F.col("need") - 1) / SET_CHUNK))
+              .join(at_need, ["skey", "need_chunk"], "left").join(chunks, "skey")
+              .where(F.col("need_lo").isNull() | (score("hi") >= score("need_lo"))))
+    scored = salted_lookup(stored(wanted.select("pkey", "skey", "chunk", "aff", "n_fav"), "unseen-chunks"),
+                           ranked.select("skey", "chunk", "movieid", "avgrating"), ["skey", "chunk"], "pkey")
+    return scored.select("pkey", "movieid", score("avgrating").alias("score")).where(F.col("score") > 0)
 
 
 def unseen_recommendations(fav: DataFrame, training: DataFrame, movies: DataFrame,
@@ -177,35 +198,31 @@ def unseen_recommendations(fav: DataFrame, training: DataFrame, movies: DataFram
     one row with NULLs.  Exact without the users x movies product:
 
     * movies are ranked once per distinct favourite set (profile) by
-      (score desc, movie id) — only movies with a positive score, reached
-      through linked (profile, genre set) pairs;
+      (score desc, movie id) — only movies with a positive score that can be
+      among the first n + s of a user of the profile (``_profile_movies``);
     * a user who rated s movies needs at most the first n + s of that ranking,
       fetched by an equi-join on (profile, rank) over 1..n+s;
     * if the profile ranks fewer than n + s movies, the rest of the list is
       zero-score movies by id: the first n + s + (ranked count) ids hold enough.
 
     Rows per user are O(n + s); the profile ranking is split across tasks by
-    ``group_rank`` even when one profile is shared by most users.  Runs two
-    actions: the affinity size check and the ranking write of ``group_rank``.
+    ``group_rank`` even when one profile is shared by most users.  Runs five
+    writing jobs: users' needs, wanted chunks, the rankings of genre sets and
+    of profiles, and the users with their ranked counts.
     """
     up = user_profiles(fav)
     mp = movie_profiles(movies)
-    aff, small = fits_broadcast(profile_affinity(fav, movies, weights, exact))
-    # every movie meets each linked profile of its genre set; above the
-    # broadcast bound a genre set shared by many movies is salted
-    scored = (mp.join(F.broadcast(aff), "skey") if small
-              else salted_lookup(mp, aff, ["skey"], "movieid"))
-    positive = scored.select("pkey", "movieid", _score(exact).alias("score")).where(F.col("score") > 0)
-    ranked, sizes = ranked_groups(positive, ["pkey"], [F.col("score").desc(), F.col("movieid").asc()])
-    # one row per profile, joined on the profile key that most users may share
-    n_ranked = broadcast_if_small(sizes.withColumnRenamed("n_rows", "n_ranked"))
-
-    # one narrow row per user, read by both branches (request counts and joins)
-    users = keep(up.join(seen_movies(training), "userid", "left")
-                 .join(n_ranked, "pkey", "left")
-                 .select("userid", "pkey",
-                         (F.lit(n) + F.coalesce("n_seen", F.lit(0))).alias("need"),
-                         F.coalesce("n_ranked", F.lit(0)).alias("n_ranked")))
+    wanting = (up.join(seen_counts(training), "userid", "left")
+               .select("userid", "pkey", "pgenres", (F.lit(n) + F.coalesce("n_seen", F.lit(0))).alias("need")))
+    wanting = stored(wanting, "unseen-need")
+    profiles = wanting.groupBy("pkey", "pgenres").agg(F.max("need").alias("need"))
+    ranked, sizes = ranked_groups(_profile_movies(profiles, movies, weights, exact), ["pkey"],
+                                  [F.col("score").desc(), F.col("movieid").asc()])
+
+    # one narrow row per user; most users may share one profile
+    users = stored(salted_lookup(
+        wanting.select("userid", "pkey", "need"), sizes.withColumnRenamed("n_rows", "n_ranked"), ["pkey"], "userid",
+        how="left").select("userid", "pkey", "need", F.coalesce("n_ranked", F.lit(0)).alias("n_ranked")), "unseen-users")
 
     # every user of a profile asks for ranks 1..n+s of the same list: the
     # (profile, rank) keys near the top are hot, hence the salted lookup
@@ -216,12 +233,14 @@ def unseen_recommendations(fav: DataFrame, training: DataFrame, movies: DataFram
         .select("userid", "movieid", "score"))
 
     by_id = id_rank(mp, "movieid")
-    fill = (salted_lookup(
+    low_ids = salted_lookup(
         explode_ranks(users.where(F.col("n_ranked") < F.col("need"))
                       .select("userid", "pkey", (F.col("need") + F.col("n_ranked")).alias("upto"))),
-        by_id, ["rank"], "userid")
-            .join(ranked.select("pkey", "movieid"), ["pkey", "movieid"], "left_anti")
-            .select("userid", "movieid", F.lit(0.0).alias("score")))
+        by_id, ["rank"], "userid").select("userid", "pkey", "movieid")
+    # all users of a profile ask for the same low ids
+    fill = (salted_lookup(low_ids, ranked.select("pkey", "movieid", F.lit(True).alias("scored")),
+                          ["pkey", "movieid"], "userid", how="left")
+            .where(F.col("scored").isNull()).select("userid", "movieid", F.lit(0.0).alias("score")))
 
     # each branch drops seen movies on its own, so that every join on a key
     # that may be hot ((profile, rank), rank) ends its stage and AQE can split it

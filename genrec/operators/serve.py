@@ -48,8 +48,10 @@ def user_recommendations(stored: DataFrame, titles: DataFrame, user_ids: list[in
     """
     if user_ids is not None:
         stored = stored.where(F.col("userid").isin(list(user_ids)))
-    # one title row per recommended movie; a movie in most users' lists is a hot key
-    recs = salted_lookup(parse_predictions(stored), titles.select("movieid", "title"), ["movieid"], "userid")
+    parsed, names = parse_predictions(stored), titles.select("movieid", "title")
+    # a movie in most users' lists is a hot key; some users' lists are a few rows
+    recs = (parsed.join(names, "movieid") if user_ids is not None
+            else salted_lookup(parsed, names, ["movieid"], "userid"))
     w = Window.partitionBy("userid").orderBy(F.col("score").desc(), F.col("movieid").asc())
     return recs.select("userid", F.row_number().over(w).alias("rank"),
                        F.trim("title").alias("title"), "score")

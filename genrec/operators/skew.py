@@ -7,12 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genrec.operators.sizing import keep
-
-# requests per (key, salt) group that one task should handle at most, and the
-# most hot keys kept in the broadcast table (both read at call time)
+# requests per (key, salt) group that one task should handle (read at call time)
 ROWS_PER_TASK = 1_000_000
-MAX_HOT_KEYS = 100_000
+# so many keys at most can exceed the bound below, so their table is broadcast
+HOT_KEYS = 100_000
 
 
 def salted_lookup(requests: DataFrame, table: DataFrame, keys: Sequence[str], spread: str,
@@ -23,37 +21,37 @@ def salted_lookup(requests: DataFrame, table: DataFrame, keys: Sequence[str], sp
     Meant for tables with one row per key; with several rows per key every
     replica carries all of them, so the result is the same join.
 
-    A key requested by more than ``rows_per_task`` rows is split: its table
-    row is replicated f = ceil(requests / rows_per_task) times with salts
-    0..f-1, and each request takes salt ``hash(spread) mod f``.  Other keys
-    keep salt 0 and are not replicated; with no hot key at all this is a plain
-    join.  ``demand`` (``keys + [_n]``) gives the request counts when an
-    aggregate that already exists has them; otherwise they are counted here
-    (a partial aggregate over the key columns).  The hot-key table has at
-    most (requests / rows_per_task) rows, and ``rows_per_task`` is raised
-    until it holds at most ``MAX_HOT_KEYS``, so it is always broadcast.  Runs
-    small counting actions on the cached request counts.
+    A key with more than ``bound = max(rows_per_task, ceil(requests / HOT_KEYS))``
+    requests is split: its table row is replicated f = ceil(its requests /
+    bound) times with salts 0..f-1, and each request takes salt
+    ``hash(spread) mod f``.  Fewer than ``HOT_KEYS`` keys can exceed that
+    bound, so the table of hot keys is always broadcast.  Other keys keep salt
+    0; with no hot key AQE drops both joins with the empty table.
+
+    ``demand`` (``keys + [_n]``) gives the request counts, or upper bounds of
+    them, when an aggregate that already exists has them; otherwise the
+    requests are counted, which evaluates them a second time.  Lazy: no action.
     """
-    per_task = rows_per_task or ROWS_PER_TASK
     keys = list(keys)
     if demand is None:
         demand = requests.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    demand = keep(demand)
-    while True:
-        # at most (requests / per_task) keys pass; raise the bar until they
-        # fit a broadcast, so the hot-key table is never a skewed join itself
-        hot = demand.where(F.col("_n") > per_task).select(
-            *keys, F.ceil(F.col("_n") / per_task).cast("int").alias("_f"))
-        n_hot = hot.limit(MAX_HOT_KEYS + 1).count()
-        if n_hot <= MAX_HOT_KEYS:
-            break
-        per_task *= 4
-    if n_hot == 0:
-        return requests.join(table, keys, how)
-    hot = F.broadcast(hot)
+    total = demand.select(F.ceil(F.sum("_n") / HOT_KEYS).alias("b")).scalar()
+    bound = F.greatest(F.lit(rows_per_task or ROWS_PER_TASK).cast("long"), F.coalesce(total, F.lit(1)))
+    hot = F.broadcast(demand.select(*keys, F.ceil(F.col("_n") / bound).cast("int").alias("_f")).where(F.col("_f") > 1))
     fan = F.coalesce(F.col("_f"), F.lit(1))
     salted_requests = requests.join(hot, keys, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(spread), fan).cast("int")).drop("_f")
     salted_table = table.join(hot, keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), fan - 1))).drop("_f")
     return salted_requests.join(salted_table, [*keys, "_salt"], how).drop("_salt")
+
+
+COPIES = 16
+
+
+def fanned_join(rows: DataFrame, table: DataFrame, key: str, spread: str, copies: int = COPIES) -> DataFrame:
+    """Inner join on a key with few values: ``rows`` go to one of ``copies`` salts by
+    ``hash(spread)``, ``table`` to all of them, so tasks number values x ``copies``.  Lazy."""
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(copies)).cast("int"))
+    fanned = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    return salted.join(fanned, [key, "_salt"]).drop("_salt")

@@ -5,8 +5,9 @@ compare across engines; every computed column has a fixed name."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from genrec.operators import metrics, model, prep, recommend, serve
@@ -14,7 +15,7 @@ from genrec.operators.skew import salted_lookup
 from genrec.plans import jobs
 from genrec.sources import csv_io
 from genrec.sources.views import movies_view, ratings_view
-from genrec.session import scratch_dir
+from genrec.session import scratch_dir, stored
 
 N = 10
 RATED = ["userid", "movieid", "rating", "timestamp", "genres"]
@@ -29,7 +30,7 @@ def _joined(df: DataFrame, *cols: str) -> DataFrame:
 
 
 class _Ctx:
-    """Lazy building blocks for one (session, folder)."""
+    """Building blocks for one (session, folder); ``p`` and ``popular`` write their stages once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -37,28 +38,37 @@ class _Ctx:
         self.ratings = ratings_view(spark, sf_dir)
         self.valid = prep.valid_movies(self.movies)
 
-    @property
+    @cached_property
     def popular(self):
-        return prep.popular_movie_ratings(self.ratings, self.valid)
+        counts = stored(prep.movie_counts(self.ratings, self.valid), "movie-counts")
+        return stored(prep.popular_movie_ratings(self.ratings, self.valid, counts=counts), "rated")
 
-    @property
+    @cached_property
     def p(self) -> prep.Prepared:
         return prep.prepare(self.ratings, self.movies)
 
-    def predicted(self):
-        p = self.p
-        return p, model.genre_weights(p.avg_ratings)
+    @cached_property
+    def weights(self) -> DataFrame:
+        return model.genre_weights(self.p.avg_ratings)
 
-    def predictions(self):
-        p, w = self.predicted()
-        return p, recommend.predictions(p.fav_genres, prep.test_ratings(p.test), p.avg_ratings, w, N)
+    @property
+    def demand(self) -> dict[str, DataFrame]:
+        return {"by_user": self.p.by_user, "by_movie": self.p.by_movie}
 
-    def candidate_pairs(self):
-        p, w = self.predicted()
-        c = salted_lookup(recommend.test_candidates(p.fav_genres, p.test),
-                          recommend.movie_profiles(p.avg_ratings).select("movieid", "skey"), ["movieid"], "userid")
-        c = salted_lookup(c, recommend.user_profiles(p.fav_genres).select("userid", "pkey"), ["userid"], "movieid")
-        return recommend.candidate_pairs(c), w
+    @cached_property
+    def predictions(self) -> DataFrame:
+        p = self.p
+        return recommend.predictions(p.fav_genres, prep.test_ratings(p.test), p.avg_ratings, self.weights, N, **self.demand)
+
+    @cached_property
+    def candidate_pairs(self) -> DataFrame:
+        """Distinct ``pkey, pgenres, skey`` of the candidates."""
+        p = self.p
+        c = salted_lookup(recommend.test_candidates(p.fav_genres, p.test, p.by_user),
+                          recommend.user_profiles(p.fav_genres), ["userid"], "movieid", p.by_user)
+        c = salted_lookup(c, recommend.movie_profiles(p.avg_ratings).select("movieid", "skey"),
+                          ["movieid"], "userid", p.by_movie)
+        return c.select("pkey", "pgenres", "skey").distinct()
 
 
 def _q(build: Callable[[_Ctx], DataFrame]) -> Query:
@@ -71,25 +81,33 @@ def _time_span(c: _Ctx) -> DataFrame:
 
 
 def _user_genre_hist(c: _Ctx) -> DataFrame:
-    from pyspark.sql import Window
     h = prep.user_genre_hist(c.p.training)
     total = F.sum("cnt").over(Window.partitionBy("userid"))
     return h.select("userid", "genre", "cnt", total.alias("total"), (F.col("cnt") / total).alias("share"))
 
 
 def _accuracy(c: _Ctx) -> DataFrame:
-    p, preds = c.predictions()
-    a = metrics.accuracy(preds, prep.test_ratings(p.test))
+    a = metrics.accuracy(c.predictions, prep.test_ratings(c.p.test))
     return a.withColumn("accuracy_macro", F.round("accuracy_macro", 10))
 
 
-def _csv_roundtrip(c: _Ctx) -> DataFrame:
+def _exported(c: _Ctx) -> dict[str, DataFrame]:
     p = c.p
-    folder = csv_io.run_folder(scratch_dir(c.spark, "prepared"))
-    csv_io.write_prepared(csv_io.export_tables(p.training, p.test, p.avg_ratings, p.fav_genres, p.titles),
-                          folder)
-    back = csv_io.read_prepared(c.spark, folder)["training"]
-    return _joined(back.select(*RATED), "genres")
+    return csv_io.export_tables(p.training, p.test, p.avg_ratings, p.fav_genres, p.titles)
+
+
+def _csv_roundtrip(c: _Ctx) -> DataFrame:
+    """All five datasets written and read back: ``dataset`` and a row as JSON text."""
+    folder = csv_io.write_prepared(_exported(c), csv_io.run_folder(scratch_dir(c.spark, "prepared")))
+    back = csv_io.read_prepared(c.spark, folder)
+    tables = {name: _joined(back[name], *[f for f, t in back[name].dtypes if t.startswith("array")])
+              for name in csv_io.DATASETS}
+    out = None
+    for name, df in tables.items():
+        values = [F.coalesce(F.col(x).cast("string"), F.lit("")) for x in df.columns]
+        rows = df.select(F.lit(name).alias("dataset"), F.concat_ws(";", *values).alias("row"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def _read_csv(c: _Ctx) -> DataFrame:
@@ -98,15 +116,50 @@ def _read_csv(c: _Ctx) -> DataFrame:
     return csv_io.read_movies(c.spark, path)
 
 
-def _predictions_csv(c: _Ctx) -> DataFrame:
+def _read_ratings_csv(c: _Ctx) -> DataFrame:
+    path = f"{scratch_dir(c.spark, 'raw')}/ratings.csv"
+    csv_io.write_csv(c.ratings, path)
+    return csv_io.read_ratings(c.spark, path)
+
+
+def _read_titles_csv(c: _Ctx) -> DataFrame:
+    path = f"{scratch_dir(c.spark, 'raw')}/titles.csv"
+    csv_io.write_csv(prep.titles(c.valid), path)
+    return csv_io.read_titles(c.spark, path)
+
+
+def _predictions_csv(c: _Ctx, name: str = "gbcf") -> DataFrame:
     root = scratch_dir(c.spark, "outputs")
-    csv_io.write_predictions(_stored(c), f"{root}/gbcf.csv")
-    return csv_io.read_predictions(c.spark, root, "gbcf")
+    csv_io.write_predictions(_stored(c), f"{root}/{name}.csv")
+    return csv_io.read_predictions(c.spark, root, name)
+
+
+def _coefficients(c: _Ctx) -> DataFrame:
+    """The coefficients that candidates ask for, 0 where the model has no entry."""
+    coeffs = model.set_coefficients(recommend.genre_sets(c.p.avg_ratings), c.weights)
+    sets = F.split("skey", r"[|]")
+    asked = c.candidate_pairs.select("skey", F.explode("pgenres").alias("genre_u")).distinct().select(
+        "skey", "genre_u", (F.size(sets) - F.array_contains(sets, F.col("genre_u")).cast("int")).alias("norm"),
+        F.explode(sets).alias("genre_m"))
+    return asked.join(coeffs, ["skey", "genre_u", "genre_m", "norm"], "left").select(
+        "genre_u", "genre_m", "norm", F.coalesce("coeff", F.lit(0.0)).alias("coeff")).distinct()
+
+
+def _affinities(c: _Ctx) -> DataFrame:
+    maps = model.set_maps(recommend.genre_sets(c.p.avg_ratings), c.weights)
+    return c.candidate_pairs.join(maps, "skey").select(
+        "pkey", "skey", F.size("pgenres").alias("n_fav"),
+        model.affinity_of(F.col("pgenres"), F.col("affinity")).cast("double").alias("aff"))
+
+
+def _score(c: _Ctx) -> DataFrame:
+    p = c.p
+    return recommend.score_candidates(recommend.test_candidates(p.fav_genres, p.test, p.by_user), p.fav_genres,
+                                      p.avg_ratings, c.weights, **c.demand)
 
 
 def _stored(c: _Ctx) -> DataFrame:
-    p, preds = c.predictions()
-    return serve.export_predictions(preds)
+    return serve.export_predictions(c.predictions)
 
 
 def queries() -> dict[str, Query]:
@@ -145,24 +198,21 @@ def queries() -> dict[str, Query]:
         "genre_weights": _q(lambda c: model.genre_weights(c.p.avg_ratings)),
         "known_genres": _q(lambda c: model.known_genres(c.p.avg_ratings)),
         # scoring
-        "test_candidates": _q(lambda c: recommend.test_candidates(c.p.fav_genres, c.p.test)),
-        "genre_coefficient": _q(lambda c: model.genre_coefficients(*c.candidate_pairs())),
-        "genre_affinity": _q(lambda c: model.set_affinity(*c.candidate_pairs()).withColumn(
-            "aff", F.col("aff").cast("double"))),
-        "score": _q(lambda c: recommend.score_candidates(
-            recommend.test_candidates(c.p.fav_genres, c.p.test), c.p.fav_genres, c.p.avg_ratings,
-            model.genre_weights(c.p.avg_ratings))),
-        "predictions": _q(lambda c: c.predictions()[1]),
-        "top_n": _q(lambda c: recommend.top_n(recommend.score_candidates(
-            c.p.test, c.p.fav_genres, c.p.avg_ratings, model.genre_weights(c.p.avg_ratings)), 3)),
+        "test_candidates": _q(lambda c: recommend.test_candidates(c.p.fav_genres, c.p.test, c.p.by_user)),
+        "genre_coefficient": _q(_coefficients),
+        "genre_affinity": _q(_affinities),
+        "score": _q(_score),
+        "dropped_candidates": _q(lambda c: recommend.dropped_candidates(
+            c.ratings, c.p.fav_genres, c.p.avg_ratings)),
+        "predictions": _q(lambda c: c.predictions),
+        "top_n": _q(lambda c: recommend.top_n(_score(c), 3)),
         "predictions_exact": _q(lambda c: jobs.predict(c.p.avg_ratings, c.p.fav_genres, c.p.test,
-                                                       N, exact=True).predictions),
-        "clip_scores": _q(lambda c: recommend.clip_scores(c.predictions()[1])),
+                                                       N, exact=True, **c.demand).predictions),
+        "clip_scores": _q(lambda c: recommend.clip_scores(c.predictions)),
         # evaluation
-        "accuracy_per_user": _q(lambda c: metrics.accuracy_per_user(c.predictions()[1],
-                                                                     prep.test_ratings(c.p.test))),
+        "accuracy_per_user": _q(lambda c: metrics.accuracy_per_user(c.predictions, prep.test_ratings(c.p.test))),
         "accuracy": _q(_accuracy),
-        "rmse": _q(lambda c: metrics.rmse(c.predictions()[1], c.p.test)),
+        "rmse": _q(lambda c: metrics.rmse(c.predictions, c.p.test)),
         # export and serving
         "predictions_export": _q(_stored),
         "predictions_parse": _q(lambda c: serve.parse_predictions(_stored(c))),
@@ -170,15 +220,18 @@ def queries() -> dict[str, Query]:
         "user_recommendations": _q(lambda c: jobs.recommend_for(_stored(c), prep.titles(c.valid))),
         # unseen movies
         "seen_movies": _q(lambda c: recommend.seen_movies(c.p.training)),
-        "unseen_counts": _q(lambda c: recommend.unseen_counts(c.p.fav_genres, c.p.training, c.p.avg_ratings)),
+        "unseen_counts": _q(lambda c: recommend.unseen_counts(
+            c.p.fav_genres, c.p.training, c.p.avg_ratings, c.p.by_movie)),
         "unseen_recommendations": _q(lambda c: jobs.recommend_unseen(c.p.avg_ratings, c.p.fav_genres,
                                                                      c.p.training, N)),
         # CSV sinks and sources (write below the checkpoint folder, read back)
         "read_csv": _q(_read_csv),
-        "export_training": _q(lambda c: csv_io.export_tables(
-            c.p.training, c.p.test, c.p.avg_ratings, c.p.fav_genres, c.p.titles)["training"]),
+        "read_ratings_csv": _q(_read_ratings_csv),
+        "read_titles_csv": _q(_read_titles_csv),
+        "export_training": _q(lambda c: _exported(c)["training"]),
         "csv_roundtrip": _q(_csv_roundtrip),
         "predictions_csv": _q(_predictions_csv),
+        "predictions_csv_als": _q(lambda c: _predictions_csv(c, "als")),
     }
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genrec.operators import metrics, model, prep, recommend, serve
-from genrec.operators.sizing import cached_scope
+from genrec.session import delete_folder, stored
 from genrec.sources.views import movies_view, ratings_view
 
 
@@ -27,8 +27,8 @@ class Predicted:
     stored: DataFrame        # userid, recommendations
 
 
-def predict(avg: DataFrame, fav: DataFrame, test: DataFrame, n: int = 10,
-            strict: bool = False, exact: bool = False) -> Predicted:
+def predict(avg: DataFrame, fav: DataFrame, test: DataFrame, n: int = 10, strict: bool = False, exact: bool = False,
+            by_user: DataFrame | None = None, by_movie: DataFrame | None = None) -> Predicted:
     """Job B (O64): weights from the model movies, top-n over each user's test
     movies, hit accuracy, and the stored ``id:score|...`` form.
 
@@ -36,13 +36,14 @@ def predict(avg: DataFrame, fav: DataFrame, test: DataFrame, n: int = 10,
     small action) and raises otherwise; by default unknown genres count 0.
     ``exact=True`` uses unrounded weights and coefficients and rounds the
     score once to 6 digits (the single-machine variant, D13); by default
-    every stage rounds to 3 digits.
+    every stage rounds to 3 digits.  ``by_user``, ``by_movie``: see
+    ``recommend.score_candidates``.
     """
     if strict:
         model.check_known(fav, avg)
     test = prep.test_ratings(test)
     weights = model.genre_weights(avg, digits=None if exact else 3)
-    preds = recommend.predictions(fav, test, avg, weights, n, exact)
+    preds = recommend.predictions(fav, test, avg, weights, n, exact, by_user, by_movie)
     return Predicted(weights, preds, metrics.accuracy(preds, test), serve.export_predictions(preds))
 
 
@@ -71,7 +72,8 @@ def write_prepared(spark: SparkSession, ratings: DataFrame, movies: DataFrame, f
     popular movies once (``_rated``); the filtered ratings are written
     partitioned by ``split`` (training / test_raw) in one pass;
     everything else is derived from those written tables, so the big joins
-    run once and a lost executor never recomputes them.
+    run once and a lost executor never recomputes them.  Both are deleted when
+    their readers have run.
     ``<folder>/ratings/split=training`` is the training dataset.
     """
     # The movie percentile, the user band and the split are three global
@@ -80,24 +82,27 @@ def write_prepared(spark: SparkSession, ratings: DataFrame, movies: DataFrame, f
     # every pass reads that table instead of recomputing it.
     ratings.write.mode("errorifexists").parquet(f"{folder}/_ratings")
     ratings = spark.read.parquet(f"{folder}/_ratings")
-    with cached_scope():
-        return _write_prepared(spark, ratings, movies, folder, movie_quantile, user_low, user_high)
+    _write_prepared(spark, ratings, movies, folder, movie_quantile, user_low, user_high)
+    delete_folder(spark, f"{folder}/_ratings")
+    delete_folder(spark, f"{folder}/_rated")
+    return folder
 
 
-def _write_prepared(spark, ratings, movies, folder, movie_quantile, user_low, user_high) -> str:
+def _write_prepared(spark, ratings, movies, folder, movie_quantile, user_low, user_high) -> None:
     valid = prep.valid_movies(movies)
-    counts = prep.movie_counts(ratings, valid)
+    counts = stored(prep.movie_counts(ratings, valid), "movie-counts")
     # the ratings of popular movies feed the user band and the final join:
     # written once, so the shuffle by movie id runs once
     (prep.popular_movie_ratings(ratings, valid, movie_quantile, counts)
      .write.mode("errorifexists").parquet(f"{folder}/_rated"))
-    active = prep.active_user_ratings(spark.read.parquet(f"{folder}/_rated"), user_low, user_high)
+    rated = spark.read.parquet(f"{folder}/_rated")
+    active = prep.active_user_ratings(rated, user_low, user_high, stored(prep.user_stats(rated), "user-stats"))
     split = F.when(F.col("timestamp") <= prep.split_cut(), F.lit("training")).otherwise(F.lit("test_raw"))
     (active.select(*_RATED, split.alias("split"))
      .write.mode("errorifexists").partitionBy("split").parquet(f"{folder}/ratings"))
-    stored = spark.read.parquet(f"{folder}/ratings")
-    training = stored.where(F.col("split") == "training").drop("split")
-    test_raw = stored.where(F.col("split") == "test_raw").drop("split")
+    split_ratings = spark.read.parquet(f"{folder}/ratings")
+    training = split_ratings.where(F.col("split") == "training").drop("split")
+    test_raw = split_ratings.where(F.col("split") == "test_raw").drop("split")
     outputs = {
         "test": prep.drop_cold(test_raw, training, counts),
         "avg_ratings": prep.avg_ratings(training),
@@ -105,7 +110,6 @@ def _write_prepared(spark, ratings, movies, folder, movie_quantile, user_low, us
         "titles": prep.titles(valid),
     }
     _write_all({f"{folder}/{name}": df for name, df in outputs.items()})
-    return folder
 
 
 def _write_all(tables: dict[str, DataFrame]) -> None:
@@ -129,9 +133,7 @@ def write_predicted(spark: SparkSession, avg: DataFrame, fav: DataFrame, test: D
     """Job B as a sink: predictions written once (parquet), the stored
     ``id:score|...`` strings (parquet) and the accuracy row derived from the
     written table.  Returns the accuracy row (one small action)."""
-    with cached_scope():
-        res = predict(avg, fav, test, n, strict, exact)
-        res.predictions.write.mode("errorifexists").parquet(f"{folder}/predictions")
+    predict(avg, fav, test, n, strict, exact).predictions.write.mode("errorifexists").parquet(f"{folder}/predictions")
     written = spark.read.parquet(f"{folder}/predictions")
     with ThreadPoolExecutor(max_workers=2) as pool:       # two independent jobs
         stored = pool.submit(serve.export_predictions(written).write.mode("errorifexists").parquet,

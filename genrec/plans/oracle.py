@@ -3,6 +3,9 @@ independently as one chain of CTEs over the driver's tables."""
 
 from __future__ import annotations
 
+# Fixed values of the method (thresholds, names) are those of operators/prep.py,
+# functions/genres.py and sources/views.py.
+#
 # (name, body) in dependency order; a query's SQL includes the chain up to
 # the last CTE it needs.
 _CTES: list[tuple[str, str]] = [
@@ -132,7 +135,7 @@ select userid, cast(rank as int) as rank, try_cast(split_part(item, ':', 1) as i
 from (select userid, unnest(string_split(recommendations, '|')) as item,
         generate_subscripts(string_split(recommendations, '|'), 1) as rank from stored)
 where item <> ''"""),
-    ("seen", "select userid, count(*) as n_seen from training group by userid"),
+    ("seen", "select distinct userid, movieid from training"),
     ("uc", """
 select up.userid, up.pkey, up.pgenres, mp.movieid, mp.avgrating, mp.skey, mp.sgenres
 from up cross join mp
@@ -224,10 +227,23 @@ _FINAL: dict[str, tuple[str, str]] = {
     "unseen_recommendations": ("utop", """select up.userid, t.rank, t.movieid, t.score
         from up left join utop t on up.userid = t.userid"""),
     "read_csv": ("movies", "select * from movies"),
+    "read_ratings_csv": ("ratings", "select * from ratings"),
+    "read_titles_csv": ("valid", "select movieid, title from valid"),
+    "dropped_candidates": ("up", """select reason, count(*) as n from (
+        select case when up.userid is null then 'no_favourites' when a.movieid is null then 'no_movie'
+                    when len(a.genres) = 0 then 'no_genres' end as reason
+        from ratings r left join up on r.userid = up.userid left join avg a on r.movieid = a.movieid)
+        where reason is not null group by reason"""),
     "export_training": ("training", """select userid, movieid, rating, timestamp,
         case when len(genres) = 0 then '' else array_to_string(genres, '|') || '|' end as genres from training"""),
     "predictions_csv": ("stored", "select * from stored"),
-    "csv_roundtrip": ("training", "select * replace (array_to_string(genres, '|') as genres) from training"),
+    "predictions_csv_als": ("stored", "select * from stored"),
+    "csv_roundtrip": ("fav", """
+        select 'training' as dataset, concat_ws(';', userid, movieid, rating, timestamp, array_to_string(genres, '|')) as row from training
+        union all select 'test', concat_ws(';', userid, movieid, rating, timestamp, array_to_string(genres, '|')) from test
+        union all select 'avg_ratings', concat_ws(';', movieid, avgrating, array_to_string(genres, '|')) from avg
+        union all select 'users_fav_genres', concat_ws(';', userid, array_to_string(favgenres, '|')) from fav
+        union all select 'titles', concat_ws(';', movieid, title) from valid"""),
 }
 
 

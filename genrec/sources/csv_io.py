@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from genrec.functions.genres import parse_pipe, pipe_string
 
+# Column names, types and dataset names of the hand-off files
 MOVIES = T.StructType([T.StructField("movieid", T.IntegerType()), T.StructField("title", T.StringType()),
                        T.StructField("genres", T.StringType())])
 RATINGS = T.StructType([T.StructField("userid", T.IntegerType()), T.StructField("movieid", T.IntegerType()),
@@ -31,10 +32,21 @@ DATASETS = ("avg_ratings", "test", "training", "users_fav_genres", "titles")
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
              sep: str = ",") -> DataFrame:
-    """O1: headed CSV, malformed rows dropped, ``""`` inside quotes read as ``"``."""
-    return (spark.read.schema(schema).option("header", header).option("sep", sep)
-            .option("mode", "DROPMALFORMED").option("quote", '"').option("escape", '"')
-            .csv(path))
+    """O1: headed CSV, malformed rows dropped, ``""`` inside quotes read as ``"``.
+
+    A row is malformed if it has more or fewer fields than the schema, or a
+    field that is no value of its type.  The parser drops rows by the columns
+    that a query asks for, so fields are read as strings, always all of them,
+    and checked here: every query sees the same rows.
+    """
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    rows = (spark.read.schema(text).option("header", header).option("sep", sep)
+            .option("mode", "DROPMALFORMED").option("columnPruning", False)
+            .option("quote", '"').option("escape", '"').csv(path))
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields if f.dataType != T.StringType()}
+    for name, value in typed.items():
+        rows = rows.where(F.col(name).isNull() | value.isNotNull())
+    return rows.withColumns(typed) if typed else rows
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -93,7 +105,7 @@ def read_prepared(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "test": _lists_in(read_csv(spark, f"{folder}/test.csv", RATED), "genres"),
         "training": _lists_in(read_csv(spark, f"{folder}/training.csv", RATED), "genres"),
         "users_fav_genres": _lists_in(read_csv(spark, f"{folder}/users_fav_genres.csv", FAV_GENRES), "favgenres"),
-        "titles": read_csv(spark, f"{folder}/titles.csv", TITLES),
+        "titles": read_titles(spark, f"{folder}/titles.csv"),
     }
 
 
@@ -110,5 +122,5 @@ def read_predictions(spark: SparkSession, root: str, model: str = "gbcf") -> Dat
 
 
 def read_titles(spark: SparkSession, path: str) -> DataFrame:
-    """O7."""
+    """Titles table."""
     return read_csv(spark, path, TITLES)

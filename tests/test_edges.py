@@ -150,4 +150,47 @@ def test_read_predictions_model_check(spark):
         csv_io.read_predictions(spark, "/nowhere", "knn")
 
 
-__all__ = ["F"]
+def test_csv_rows_do_not_depend_on_the_projection(spark):
+    import os
+    folder = scratch_dir(spark, "badcsv").removeprefix("file:")
+    os.makedirs(folder)
+    path = f"{folder}/ratings.csv"
+    with open(path, "w") as f:
+        # a bad number, a short row, a long row, an empty field, two good rows
+        f.write("userId,movieId,rating,timestamp\n1,10,4.0,5\nx,10,4.0,5\n2,10\n3,11,4.0,5,9\n,11,3.5,6\n4,11,2.5,7\n")
+    df = csv_io.read_ratings(spark, path)
+    want = [(None, 11, 3.5, 6), (1, 10, 4.0, 5), (4, 11, 2.5, 7)]
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(want, key=str)
+    assert df.count() == 3
+    assert df.select("userid").count() == 3 and df.select(F.lit(1)).count() == 3
+    assert rows(df.groupBy("movieid").count()) == [(10, 1), (11, 2)]
+    assert df.where("movieid = 10").select("rating").collect()[0][0] == 4.0
+
+
+@pytest.mark.parametrize("name", ["gbcf", "ibcf", "als"])
+def test_read_predictions_of_each_model(spark, name):
+    root = scratch_dir(spark, "stored")
+    df = spark.createDataFrame([(1, "5:4.0|7:1.5"), (2, "")], "userid int, recommendations string")
+    csv_io.write_predictions(df, f"{root}/{name}.csv")
+    assert rows(csv_io.read_predictions(spark, root, name), "userid") == [(1,), (2,)]
+
+
+def test_schema_check_types(spark):
+    bad = spark.createDataFrame([("1", 2, 3.0)], "userid string, movieid int, rating double")
+    with pytest.raises(ValueError, match="userid"):
+        prep.test_ratings(bad)
+    ok = spark.createDataFrame([(1, 2, 3)], "userid bigint, movieid int, rating int")
+    assert rows(prep.test_ratings(ok)) == [(1, 2, 3.0)]
+
+
+def test_dropped_candidates(spark):
+    movies = spark.createDataFrame([(1, 4.0, ["A"]), (2, 4.0, [])], "movieid int, avgrating double, genres array<string>")
+    fav = spark.createDataFrame([(1, ["A"]), (2, [])], "userid int, favgenres array<string>")
+    cands = spark.createDataFrame([(1, 1), (1, 2), (1, 3), (2, 1), (3, 1)], "userid int, movieid int")
+    assert rows(recommend.dropped_candidates(cands, fav, movies)) == [("no_favourites", 2), ("no_genres", 1), ("no_movie", 1)]
+
+
+def test_seen_movies(spark):
+    training = spark.createDataFrame([(1, 1, 4.0, 5, ["A"]), (1, 1, 4.0, 5, ["A"]), (1, 2, 4.0, 5, ["A"])], RATED)
+    assert rows(recommend.seen_movies(training)) == [(1, 1), (1, 2)]
+    assert rows(recommend.seen_counts(training)) == [(1, 3)]

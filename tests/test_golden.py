@@ -12,8 +12,8 @@ def test_weights(spark):
     movies, _, _ = model_sample(spark)
     w = model.genre_weights(movies)
     assert rows(w, "genre_a", "genre_b", "n", "weight") == sorted([
-        ("Action", "Drama", 3, 0.6), ("Action", "Romantic", 2, 0.4), ("Drama", "Romantic", 2, 1.0),
-        ("Romantic", "Action", 1, 0.5), ("Romantic", "Drama", 1, 0.5), ("Comedy", "Action", 1, 1.0)])
+        ("Crime", "Drama", 2, 0.5), ("Crime", "War", 2, 0.5), ("Drama", "War", 3, 0.75),
+        ("Drama", "Crime", 1, 0.25), ("War", "Crime", 1, 1.0), ("Horror", "Crime", 1, 1.0)])
 
 
 def test_exact_weights_sum_to_one(spark):
@@ -25,59 +25,61 @@ def test_exact_weights_sum_to_one(spark):
 
 def test_known_genres(spark):
     movies, _, _ = model_sample(spark)
-    assert rows(model.known_genres(movies)) == [("Action",), ("Comedy",), ("Drama",), ("Romantic",)]
+    assert rows(model.known_genres(movies)) == [("Crime",), ("Drama",), ("Horror",), ("War",)]
 
 
 def test_scores_and_ranks(spark):
     movies, fav, test = model_sample(spark)
     res = jobs.predict(movies, fav, test, n=10)
     got = rows(res.predictions, "userid", "rank", "movieid", "score")
-    assert got == [(1, 1, 4, 8.75), (1, 2, 5, 2.25), (1, 3, 6, 0.5),
-                   (2, 1, 2, 4.5), (2, 2, 6, 4.0), (2, 3, 4, 2.5),
-                   (3, 1, 4, 10.0), (3, 2, 2, 4.5), (3, 3, 3, 1.75),
-                   (4, 1, 6, 6.0), (4, 2, 2, 2.75), (4, 3, 4, 1.25)]
+    assert got == [(1, 1, 14, 5.0), (1, 2, 15, 2.25), (1, 3, 13, 1.875),
+                   (2, 1, 15, 6.0), (2, 2, 12, 1.75), (2, 3, 13, 0.0),
+                   (3, 1, 14, 6.25), (3, 2, 11, 6.0), (3, 3, 12, 1.75),
+                   (4, 1, 12, 4.375), (4, 2, 16, 4.124), (4, 3, 11, 3.666)]
 
 
 def test_export_and_accuracy(spark):
     movies, fav, test = model_sample(spark)
     res = jobs.predict(movies, fav, test, n=10)
-    assert rows(res.stored) == [(1, "4:5.0|5:2.25|6:0.5"), (2, "2:4.5|6:4.0|4:2.5"),
-                                (3, "4:5.0|2:4.5|3:1.75"), (4, "6:5.0|2:2.75|4:1.25")]
+    assert rows(res.stored) == [(1, "14:5.0|15:2.25|13:1.875"), (2, "15:5.0|12:1.75|13:0.0"),
+                                (3, "14:5.0|11:5.0|12:1.75"), (4, "12:4.375|16:4.124|11:3.666")]
     per_user = rows(metrics.accuracy_per_user(res.predictions, test), "userid", "hits", "k")
-    assert per_user == [(1, 0, 1), (2, 2, 2), (3, 3, 3), (4, 1, 1)]
+    assert per_user == [(1, 1, 2), (2, 2, 2), (3, 1, 2), (4, 0, 0)]
     a = res.accuracy.first()
-    assert (a["hits"], a["k"]) == (6, 7)
-    assert a["accuracy"] == pytest.approx(6 / 7)
-    assert a["accuracy_macro"] == pytest.approx(0.75)
+    assert (a["hits"], a["k"]) == (4, 6)
+    assert a["accuracy"] == pytest.approx(4 / 6)
+    assert a["accuracy_macro"] == pytest.approx(2 / 3)
     r = metrics.rmse(res.predictions, test).first()
-    assert r["n"] == 12 and r["rmse"] == pytest.approx(1.479020, abs=1e-6)
+    assert r["n"] == 12 and r["rmse"] == pytest.approx(2.313974, abs=1e-6)
 
 
 def test_top_n_limits(spark):
     movies, fav, test = model_sample(spark)
-    res = jobs.predict(movies, fav, test, n=2)
-    assert max(r["rank"] for r in res.predictions.collect()) == 2
-    # k = min(positives, predictions): user 3 has 3 positives but 2 predictions
+    res = jobs.predict(movies, fav, test, n=1)
+    assert max(r["rank"] for r in res.predictions.collect()) == 1
+    # k = min(positives, predictions): user 2 has 2 positives but 1 prediction
     per_user = dict((u, (h, k)) for u, h, k in rows(
         metrics.accuracy_per_user(res.predictions, test), "userid", "hits", "k"))
-    assert per_user[3] == (2, 2)
+    assert per_user[2] == (1, 1)
 
 
 def test_unseen_sample(spark):
     training, movies, fav = unseen_sample(spark)
     w = model.genre_weights(movies)
-    assert rows(w, "genre_a", "genre_b", "weight") == sorted([
-        ("Comedy", "Drama", 0.5), ("Comedy", "Romantic", 0.5), ("Drama", "Romantic", 1.0), ("Action", "Drama", 1.0)])
+    assert rows(w, "genre_a", "genre_b", "weight") == [("War", "Crime", 1.0)]
     out = jobs.recommend_unseen(movies, fav, training, n=10)
-    assert rows(out, "userid", "rank", "movieid", "score") == [(1, None, None, None), (2, 1, 2, 2.0)]
+    assert rows(out, "userid", "rank", "movieid", "score") == [
+        (5, None, None, None), (6, 1, 21, 4.0), (6, 2, 22, 4.0)]
 
 
 def test_serving_sample(spark):
     stored, titles = serving_sample(spark)
-    out = jobs.recommend_for(stored, titles, [1])
+    out = jobs.recommend_for(stored, titles, [7])
     assert [(r["rank"], r["title"], r["score"]) for r in out.orderBy("rank").collect()] == [
-        (1, "Pinocchio (2019)", 5.0), (2, "Transformers (2007)", 4.5), (3, "Che tempo che fa? (2014)", 4.35),
-        (4, "Pokemon (2010)", 4.05), (5, "Quo vado (2016)", 1.9)]
+        (1, "Nine Doors (2003)", 5.0), (2, "Harbour Lights (1951)", 4.4), (3, "The Long Ferry (1987)", 4.4),
+        (4, "Salt (1966)", 0.25)]
+    # movie 99 has no title
+    assert rows(jobs.recommend_for(stored, titles), "userid", "rank", "score")[4:] == [(8, 1, 3.0), (8, 2, 1.0), (9, 1, 0.0)]
     assert jobs.recommend_for(stored, titles, [99]).count() == 0
 
 
@@ -91,4 +93,4 @@ def test_parse_export_roundtrip(spark):
 
 def test_first_predictions(spark):
     stored, _ = serving_sample(spark)
-    assert [r["userid"] for r in serve.first_predictions(stored, 2).collect()] == [1, 2]
+    assert [r["userid"] for r in serve.first_predictions(stored, 2).collect()] == [7, 8]

@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from genrec.operators import sizing, skew
+from genrec.operators import skew
 from genrec.plans import jobs
 from tests import brute
 from tests.conftest import rows
@@ -26,7 +26,6 @@ def skewed(spark, monkeypatch):
     old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
     for k, v in SKEW_CONF.items():
         spark.conf.set(k, v)
-    monkeypatch.setattr(sizing, "DEFAULT_MAX_ROWS", 0)     # take the shuffle-join branch
     monkeypatch.setattr(skew, "ROWS_PER_TASK", 5)          # salt every key asked for by > 5 rows
     yield
     for k, v in old.items():
@@ -96,7 +95,8 @@ def test_prepare_salted_equals_plain(spark, monkeypatch):
     want = {n: rows(getattr(plain, n)) for n in ("training", "test", "avg_ratings", "fav_genres")}
     monkeypatch.setattr(skew, "ROWS_PER_TASK", 5)
     salted = prep.prepare(ratings, movies, user_low=0.0, user_high=1.0)
-    plan = salted.ratings._jdf.queryExecution().optimizedPlan().toString()
+    lookup = prep.popular_movie_ratings(ratings, prep.valid_movies(movies))
+    plan = lookup._jdf.queryExecution().optimizedPlan().toString()
     assert "xxhash64" in plan
     for n, expect in want.items():
         assert rows(getattr(salted, n)) == expect, n
