@@ -13,6 +13,7 @@ values stay separate documents, ordered by a hash of their texts; a null
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,6 +36,11 @@ BATCH_ROWS = 256
 _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.uint8)
 
 
+# a word in Latin characters (but U+0130, whose lower case ends in a mark): anything up to its
+# last letter, and the signs after it
+_SIGNS_AFTER = re.compile("([!-~\u00a1-\u024f]*[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([!-/:-@\\[-`{-~]*)")
+
+
 class WordEncoder:
     """Ids of texts, each distinct word encoded once.
 
@@ -47,15 +53,29 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or "(?!)")
         self._reset()
 
     def _reset(self) -> None:
         self.known: dict[str, int] = {}
+        self.parts: dict[str, list[int]] = {}
         self.flat = np.empty(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
 
     def _learn(self, new: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        """Add words.  Of a word in Latin characters, what goes up to its last letter (in lower
+        case, as the tokenizer makes it) and the signs after it are looked up
+        apart, for the tokenizer cuts between a letter and a sign; a word with one
+        of its added tokens is left whole."""
+        if len(self.parts) > CACHE_WORDS // 3:
+            self.parts = {}
+        whole = self.added.search
+        cut = [(w,) if (m := _SIGNS_AFTER.fullmatch(w)) is None or whole(w) else (m[1].lower(), m[2]) for w in new]
+        missing = list(dict.fromkeys(p for x in cut for p in x if p not in self.parts))
+        self.parts.update(zip(missing, (e.ids for e in self.tokenizer.encode_batch_fast(
+            missing, add_special_tokens=False)), strict=True))
+        got = [self.parts[x[0]] if len(x) == 1 else self.parts[x[0]] + self.parts[x[1]] for x in cut]
         first = len(self.known)
         self.known.update(zip(new, range(first, first + len(new)), strict=True))
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(got), np.uint32)])
