@@ -336,7 +336,12 @@ def main_text(html: str | None, model: Field) -> str:
 
 def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Field:
     """A field trained on layouts filled from at most ``sample`` pages, chosen by a hash; collects those."""
-    got = pages.where("html is not null").select("html").orderBy(F.xxhash64("html")).limit(sample).collect()
+    # the bound of the sample comes from a narrow scan; only sampled pages reach the driver
+    key = F.xxhash64("page_id", "url")
+    keys = [r[0] for r in pages.where("html is not null").select(key.alias("k")).orderBy("k").limit(sample).collect()]
+    if not keys:
+        return train(labelled_pages([]))
+    got = pages.where(F.col("html").isNotNull() & (key <= keys[-1])).select("html").limit(sample).collect()
     return train(labelled_pages([r["html"] for r in got]))
 
 

@@ -50,7 +50,7 @@ GENERATORS = {
     "secret": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+",
 }
 CONTEXT = 24                   # code points before and after a candidate that features see
-TRAIN_ROWS = 20_000            # candidates the trees are fitted on, at most
+TRAIN_ROWS = 20_000            # candidates the trees are fitted on, about as many at most: every n-th by hash
 MIN_PRECISION = 0.99           # of the selected held-out candidates of a kind
 MIN_BAND_PRECISION = 0.9       # of those of one score; lower scores are not looked at
 MIN_POSITIVES = 20             # held-out positives a threshold needs
@@ -194,8 +194,8 @@ def fit(scanned: DataFrame) -> tuple[str, dict[int, float]] | None:
     ``scanned`` has the column ``s`` of ``scan``.  A candidate is positive if a
     base span of its kind overlaps it, a secret if a name and a sign precede it;
     the checks themselves (checksums, ranges) are not features.  Two thirds of
-    the candidates, by hash and at most ``TRAIN_ROWS``, are fitted; thresholds are set on
-    the whole last third.
+    the candidates, thinned by a hash to about ``TRAIN_ROWS``, are fitted; thresholds
+    are set on the whole last third.
     """
     rows = scanned.where("size(s.proposed) > 0").select(
         F.col("s.base").alias("base"), F.xxhash64("doc_id").alias("h"), F.explode("s.proposed").alias("c"))
@@ -204,7 +204,8 @@ def fit(scanned: DataFrame) -> tuple[str, dict[int, float]] | None:
         F.when(F.col("c.k") == KINDS.index("secret"), F.col("c.named")).otherwise(
             F.expr("exists(base, b -> b.k = c.k and b.s < c.e and b.e > c.s)")).cast("double").alias("label"))
     labelled = materialise(labelled, "pii-candidates")
-    train = materialise(labelled.where("fold < 2").orderBy("h").limit(TRAIN_ROWS).select("label", "c.f.*"), "pii-train")
+    every = labelled.where("fold < 2").count() // TRAIN_ROWS + 1
+    train = materialise(labelled.where(F.expr(f"fold < 2 and pmod(h, {every}) = 0")).select("label", "c.f.*"), "pii-train")
     outcomes = train.agg(F.countDistinct("label")).first()[0]
     if outcomes < 2:
         return None

@@ -38,7 +38,7 @@ _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(2
 
 # a word in Latin characters (but U+0130, whose lower case ends in a mark): anything up to its
 # last letter, and the signs after it
-_SIGNS_AFTER = re.compile("([!-~\u00a1-\u024f]*[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([!-/:-@\\[-`{-~]*)")
+_SIGNS_AFTER = re.compile("([!-~\u00a1-\u012f\u0131-\u024f]*[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f])([!-/:-@\\[-`{-~]*)")
 
 
 class WordEncoder:
