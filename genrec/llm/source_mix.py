@@ -2,12 +2,11 @@
 
 Words are the tokens of the mix.  A source is dealt into shards of about
 ``SHARD_WORDS`` words by a seeded hash; a shard's documents, in a seeded order,
-form one stream that is cut into blocks of ``BLOCK_WORDS`` words.  A shard's
-quota is the number of its quotients ``weight / (2k - 1)`` that reach half a
-block (the Sainte-Lague seats of highest quotient, with the block as divisor),
-``weight`` being the words that its source's target grants it.  Whole passes
-over the shard come first; the rest of the quota picks blocks by a seeded
-permutation.
+form one stream that is cut into blocks of ``BLOCK_WORDS`` words.  The words that
+its source's target grants a shard are whole passes over it, and a rest.  For
+the rest, the shard's quota of blocks is the number of its quotients
+``rest / (2k - 1)`` that reach half a block: the Sainte-Lague seats of highest
+quotient, with the block as divisor.  A seeded permutation picks the blocks.
 
 Defined cases: a null or blank text has size 0 and is never taken; a null
 source is a source of its own, after all others; repeated rows are separate
@@ -94,15 +93,15 @@ def _planned(rows: DataFrame, p: str, seed: int) -> DataFrame:
         (F.sum(f"{p}.size").over(stream) - F.col(f"{p}.size")).alias("start")))
     blocks = F.ceil(F.col(f"{w}.all") / BLOCK_WORDS)
     weight = F.col(f"{w}.all") * F.col(f"{t}.target") / F.col(f"{t}.source_size")
-    # seats whose quotient weight / (2k - 1) is at least BLOCK_WORDS / 2
-    quota = F.when(F.col(f"{t}.source_size") > 0, F.least(
-        F.floor(weight / BLOCK_WORDS + 0.5), blocks * MAX_REPEATS)).otherwise(F.lit(0)).cast("long")
+    passes = F.when(F.col(f"{t}.source_size") > 0, F.floor(F.col(f"{t}.target") / F.col(f"{t}.source_size"))).otherwise(F.lit(0))
+    # seats whose quotient rest / (2k - 1) is at least BLOCK_WORDS / 2
+    rest = F.when(F.col(f"{t}.source_size") > 0, weight - passes * F.col(f"{w}.all")).otherwise(F.lit(0.0))
+    picked = F.least(F.floor(rest / BLOCK_WORDS + 0.5), blocks).cast("long")
     safe = F.greatest(blocks, F.lit(1))
-    passes = F.floor(quota / safe)
     steps = F.filter(F.array(*map(F.lit, STEPS)), lambda x: safe % x != 0)
     placed = placed.withColumn(p, F.struct(
         f"{p}.size", f"{t}.source_size", f"{t}.target", f"{w}.start", passes.alias("passes"), safe.alias("blocks"),
-        (quota - passes * safe).alias("picked"), F.get(steps, F.lit(0)).alias("step"),
+        picked.alias("picked"), F.get(steps, F.lit(0)).alias("step"),
         F.pmod(F.xxhash64(F.lit(seed + 2), F.col(s), F.col(k)), safe).alias("turn")))
     return placed.drop(s, t, w, k)
 

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from genrec.llm.common import free_name
+from genrec.llm.common import free_name, materialise
 from genrec.llm.graph import components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -88,9 +88,11 @@ def alias_edges(pages: DataFrame) -> DataFrame:
     url = F.col("url")
     own = address(url)
     said = F.array(F.regexp_extract("html", CANONICAL, 1), F.regexp_extract("html", REFRESH, 1))
-    targets = pages.where(F.contains(F.lower("html"), F.lit("canonical")) | F.contains(F.lower("html"), F.lit("refresh")))
-    links = targets.select(own.alias("a"), F.explode(said).alias("to")).select("a", address(F.col("to")).alias("b"))
-    return pages.select(url.alias("a"), own.alias("b")).unionAll(links).where("a is not null and b is not null")
+    speaking = pages.where(F.contains(F.lower("html"), F.lit("canonical")) | F.contains(F.lower("html"), F.lit("refresh")))
+    links = speaking.select(own.alias("a"), F.explode(said).alias("b")).where(host_of(F.col("b")) != "")
+    spelled = links.select(F.col("b").alias("a"), address(F.col("b")).alias("b"))
+    return pages.select(url.alias("a"), own.alias("b")).unionAll(links).unionAll(spelled).where(
+        "a is not null and b is not null")
 
 
 def _judged(pages: DataFrame, rules: tuple[Rule, ...]) -> tuple[DataFrame, str]:
@@ -103,9 +105,11 @@ def _judged(pages: DataFrame, rules: tuple[Rule, ...]) -> tuple[DataFrame, str]:
     ruled = ruled.withColumn(found_by, F.struct(
         at[0].alias("host"), at[1].alias("path"), _by_rule(rules, *at, "name").alias("rule"),
         _by_rule(rules, *at, "verdict").alias("own")))
-    found = components(alias_edges(pages), "url-components").withColumnRenamed("node", key)
-    seeds = ruled.where(F.col(f"{found_by}.own").isNotNull()).select(
-        url.alias(key), F.col(f"{found_by}.own").alias(v)).distinct()
+    edges = materialise(alias_edges(pages).distinct(), "url-edges")
+    found = components(edges, "url-components").withColumnRenamed("node", key)
+    # every url decides its component, crawled or only pointed to; addresses hold no "://"
+    urls = edges.select(F.explode(F.array("a", "b")).alias(key)).where(F.contains(key, F.lit("://"))).distinct()
+    seeds = urls.withColumn(v, _by_rule(rules, host_of(F.col(key)), path_of(F.col(key)), "verdict")).where(F.col(v).isNotNull())
     of_component = seeds.join(found, key).groupBy("component").agg(
         F.when(F.bool_or(F.col(v) == "allow"), "allow").otherwise("block").alias("inherited"))
     by_url = found.join(of_component, "component", "left").select(key, F.struct("component", "inherited").alias(v))
