@@ -171,14 +171,16 @@ def _settled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     now = materialise(nodes.withColumn("cyclic", F.lit(False)), "call-times")
     for turn in range(2 * most):
         pushed = edges.select("conv_id", "call_id", "on").join(
-            now.select("conv_id", F.col("call_id").alias("on"), at.alias("from")), ["conv_id", "on"]).groupBy(
-            "conv_id", "call_id").agg(F.max("from").alias("from"))
+            now.select("conv_id", F.col("call_id").alias("on"), at.alias("from"), F.col("cyclic").alias("from_cyclic")),
+            ["conv_id", "on"]).groupBy("conv_id", "call_id").agg(
+            F.max("from").alias("from"), F.bool_or("from_cyclic").alias("from_cyclic"))
         joined = now.join(pushed, ["conv_id", "call_id"], "left").withColumn(
             "moved", F.coalesce(F.col("from") >= at, F.lit(False)))
         now = materialise(joined.select(
             "conv_id", "call_id", F.when(F.col("moved"), F.col("from.time")).otherwise(F.col("time")).alias("time"),
             F.when(F.col("moved"), F.col("from.level") + 1).otherwise(F.col("level")).alias("level"),
-            (F.col("cyclic") | (F.col("moved") & F.lit(turn >= most))).alias("cyclic"), "moved"), "call-times")
+            (F.col("cyclic") | F.coalesce("from_cyclic", F.lit(False)) | (F.col("moved") & F.lit(turn >= most))).alias("cyclic"),
+            "moved"), "call-times")
         if now.where("moved").isEmpty():
             break
     return now.drop("moved")
