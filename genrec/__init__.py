@@ -5,10 +5,10 @@ Layout:
   functions/  column expressions (genre lists, titles, pipe strings, coefficients)
   operators/  DataFrame -> DataFrame steps: preparation, model, scoring, metrics, serving
   plans/      end-to-end jobs and the query catalogue used by ``__spark_entry__``
-  streaming/  (empty: every job of the method is batch)
+  llm/        operators for training-data pipelines (not imported by the rest)
 
-No function in the package triggers an action, collects to the driver or uses a
-Python UDF unless its docstring says so.
+No function in the package triggers an action, collects to the driver or uses
+Python in tasks unless its docstring, or its module's, says so.
 """
 
 from genrec.session import ensure_checkpoint_dir, local_session

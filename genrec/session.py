@@ -13,9 +13,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """A local session configured the way the tests and the bench expect.
 
     AQE stays on: it turns shuffle joins into broadcast joins only when the
-    measured side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
-    and splits skewed join partitions, which is how every join in this
-    package gets its size check.
+    measured side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+    Lookups on keys that may be hot are salted (``operators/skew``).
     """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
