@@ -13,8 +13,8 @@ the sets that leave it at each place, whose maxima are truncated Gumbel draws.
 The inclusion score of a segmentation is the probability that it is perturbed
 above the best value left out.
 
-No piece reaches over a word boundary, so the lattice is a chain of word
-lattices, and words of a batch that are alike share one.  Random numbers are
+Where two characters stand together in no piece, the lattice falls apart, so it
+is a chain of small lattices, and parts of a batch that are alike share one.  Random numbers are
 hashes of the row key, the round, the word's place and the step.
 
 Defined cases: a null or empty text has one segmentation, without pieces; a
@@ -88,6 +88,9 @@ class Pieces:
         self.end_id = np.full(len(nodes) + 1, -1, np.int64)
         self.end_id[list(ends)] = list(ends.values())
         self.weight = weight
+        # characters that stand together in some piece; the lattice falls apart between all others
+        pairs = {ord(a) << 21 | ord(b) for p in pieces for a, b in zip(p, p[1:], strict=False)}
+        self.pairs = np.array(sorted(pairs), dtype=np.int64)
         lengths = np.array([len(b) for b in self.bytes])
         self.byte_flat = np.frombuffer(b"".join(self.bytes), np.uint8)
         self.byte_start = np.cumsum(lengths) - lengths
@@ -118,6 +121,30 @@ def text_words(text: str) -> list[str]:
     return _WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
+def _units(words: list[str], pieces: Pieces) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Words cut between characters that stand together in no piece: the distinct parts,
+    the parts of all words one after another, and how many each word has."""
+    text = "".join(words)
+    code = _code_points(text)
+    starts = np.cumsum([0] + [len(w) for w in words])[:-1]
+    cut = np.zeros(len(code), bool)
+    if len(code):
+        pair = code[:-1] << 21 | code[1:]
+        at = np.minimum(np.searchsorted(pieces.pairs, pair), len(pieces.pairs) - 1)
+        cut[1:] = pieces.pairs[at] != pair
+        cut[starts] = True
+    bounds = np.flatnonzero(cut)
+    edges = [*bounds.tolist(), len(code)]
+    parts = [text[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+    index = {p: i for i, p in enumerate(dict.fromkeys(parts))}
+    count = np.diff(np.searchsorted(bounds, np.append(starts, len(code))))
+    return list(index), np.fromiter(map(index.__getitem__, parts), np.int64, len(parts)), count
+
+
+def _code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+
+
 @dataclass
 class Lattice:
     """Lattices of many words.  Places are numbered by the characters left in
@@ -137,7 +164,7 @@ class Lattice:
 def lattice(words: list[str], pieces: Pieces) -> Lattice:
     length = np.array([len(w) for w in words], dtype=np.int64)
     end = np.cumsum(length)
-    code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    code = _code_points("".join(words))
     n = len(code)
     left = np.repeat(end, length) - np.arange(n)
     number = np.empty(n + 1, np.int64)
@@ -240,7 +267,7 @@ def _below(limit: np.ndarray, location: np.ndarray, u: np.ndarray) -> np.ndarray
 
 @dataclass
 class _Path:
-    word: np.ndarray          # word number of each arc, counted over the batch
+    word: np.ndarray          # number of each arc's part of the chain, counted over the batch
     arc: np.ndarray
     logp: float
 
@@ -280,10 +307,14 @@ def sample(texts: list[str], keys: list[int], pieces: Pieces, k: int = SAMPLES,
     split = [text_words(t) for t in texts]
     spelled = [w for s in split for w in s]
     index = {w: i for i, w in enumerate(dict.fromkeys(spelled))}
-    lat = lattice(list(index), pieces)
-    start = lat.start[np.fromiter(map(index.__getitem__, spelled), np.int64, len(spelled))]
-    last = np.cumsum([len(s) for s in split])
-    first = last - [len(s) for s in split]
+    units, unit, count = _units(list(index), pieces)
+    lat = lattice(units, pieces)
+    word = np.fromiter(map(index.__getitem__, spelled), np.int64, len(spelled))
+    ends = np.cumsum(count[word])
+    before = (np.cumsum(count) - count)[word]
+    start = lat.start[unit[np.repeat(before - (ends - count[word]), count[word]) + np.arange(ends[-1] if len(ends) else 0)]]
+    last = np.concatenate([[0], ends])[np.cumsum([len(s) for s in split])]
+    first = np.concatenate([[0], last[:-1]])
     row_key = _mix(np.array([x & 0xFFFFFFFFFFFFFFFF for x in keys], dtype=np.uint64))
     paths: list[list[_Path]] = [[] for _ in texts]
     sets: list[list[_Set]] = [[] for _ in texts]
