@@ -282,8 +282,9 @@ def redact(docs: DataFrame) -> DataFrame:
     kind in brackets (overlapping spans by the first one's).  Null texts stay
     null; ``n_chars``, where present, follows the text."""
     column, spans = free_name(docs, "pii_scan"), free_name(docs, "pii_spans")
-    scanned = materialise(docs.withColumn(column, scan(F.col("text"))), "pii-docs")
-    model = fit(scanned.select("doc_id", F.col(column).alias("s")))
+    # scanned once for the trees and once here, which costs less than a second copy of the documents
+    model = fit(materialise(docs.select("doc_id", scan(F.col("text")).alias("s")), "pii-spans"))
+    scanned = docs.withColumn(column, scan(F.col("text")))
     rows = scanned.withColumn(spans, selected(scanned, column, model))
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
     text = F.col("text")

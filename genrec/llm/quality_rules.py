@@ -13,12 +13,13 @@ rule rejects.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from genrec.llm.common import SPACES, free_name, let, materialise, spaced, words_of_spaced
+from genrec.llm.common import SPACES, let, materialise, spaced, words_of_spaced
 
 WINDOW = 8                    # words in a repeated window
 MIN_WORDS = 20
@@ -34,8 +35,8 @@ class Literal:
     above: bool
     threshold: float
 
-    def condition(self) -> Column:
-        col = F.col(self.feature)
+    def condition(self, value: Callable[[str], Column] = F.col) -> Column:
+        col = value(self.feature)
         return col >= F.lit(self.threshold) if self.above else col < F.lit(self.threshold)
 
 
@@ -133,10 +134,10 @@ def _gain(p0: float, n0: float, p1: float, n1: float) -> float:
     return p1 * (math.log2(p1 / (p1 + n1)) - math.log2(p0 / (p0 + n0)))
 
 
-def _all(rule: Rule) -> Column:
+def _all(rule: Rule, value: Callable[[str], Column] = F.col) -> Column:
     out = F.lit(True)
     for x in rule:
-        out = out & x.condition()
+        out = out & x.condition(value)
     return out
 
 
@@ -228,11 +229,12 @@ def learn(rows: DataFrame, max_rules: int = 6, max_literals: int = 3, bins: int
     return rules
 
 
-def decision(rules: list[Rule]) -> Column:
+def decision(rules: list[Rule], value: Callable[[str], Column] = F.col) -> Column:
     """The ordered conditional expression: false at the first rule that fires, else true."""
     out = None
     for r in rules:
-        out = F.when(_all(r), F.lit(False)) if out is None else out.when(_all(r), F.lit(False))
+        fires = _all(r, value)
+        out = F.when(fires, F.lit(False)) if out is None else out.when(fires, F.lit(False))
     return F.lit(True) if out is None else out.otherwise(F.lit(True))
 
 
@@ -258,16 +260,15 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, with its columns, that the rules keep.
 
-    The statistics are written beside the rows, so texts are measured once.
+    Texts are measured once for learning and once in the filter, which costs
+    less than a second copy of the documents.
     """
-    column = free_name(docs, "quality_stats")
-    stats = materialise(docs.withColumn(column, text_stats(F.col("text"))), "quality-docs")
-    rules = learn(training_rows(_measured(stats, column, ["doc_id"]), labels))
-    s = F.col(column)
-    values = _features(s)
-    values["base_failed"] = (s["w"]["n_words"] < MIN_WORDS) | (
-        s["w"]["n_repeat_words"] * 100 > s["w"]["n_words"] * MAX_REPEAT_PERCENT)
-    judged = free_name(docs, "quality_judged")
-    named = [tuple(Literal(f"{judged}.{x.feature}", x.above, x.threshold) for x in r) for r in rules]
-    rows = stats.withColumn(judged, F.struct(*(c.alias(k) for k, c in values.items())))
-    return rows.where(~F.col(f"{judged}.base_failed") & decision(named)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    rules = learn(training_rows(measure(docs), labels))
+
+    def kept(s: Column) -> Column:
+        failed = (s["w"]["n_words"] < MIN_WORDS) | (
+            s["w"]["n_repeat_words"] * 100 > s["w"]["n_words"] * MAX_REPEAT_PERCENT)
+        values = F.struct(*(c.alias(k) for k, c in _features(s).items()))
+        return ~failed & let(values, lambda f: decision(rules, lambda name: f[name]))
+
+    return docs.where(let(text_stats(F.col("text")), kept))

@@ -68,12 +68,11 @@ def _selected(block: Column, p: str) -> Column:
     return F.pmod(F.col(f"{p}.step") * block + F.col(f"{p}.turn"), F.col(f"{p}.blocks")) < F.col(f"{p}.picked")
 
 
-def _prepared(docs: DataFrame, seed: int, keep: list[str]) -> tuple[DataFrame, str]:
-    """The columns ``keep`` and a struct of each row's size and seeded order, written once."""
+def _sized(docs: DataFrame, seed: int) -> tuple[DataFrame, str]:
+    """``docs`` with a struct of each row's size and seeded order, and its name."""
     p = free_name(docs, "mix")
-    rows = docs.withColumn(p, F.struct(
-        word_count(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("order")))
-    return materialise(rows.select(*(F.col(f"`{c}`") for c in keep), p), "mix-sizes"), p
+    return docs.withColumn(p, F.struct(
+        word_count(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("order"))), p
 
 
 def _planned(rows: DataFrame, p: str, seed: int) -> DataFrame:
@@ -108,8 +107,8 @@ def _planned(rows: DataFrame, p: str, seed: int) -> DataFrame:
 
 def mix(docs: DataFrame, seed: int = 0) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` of every row."""
-    rows, p = _prepared(docs, seed, ["doc_id", "source"])
-    rows = _planned(rows, p, seed)
+    rows, p = _sized(docs, seed)
+    rows = _planned(materialise(rows.select("doc_id", "source", p), "mix-sizes"), p, seed)
     start, size, b = F.col(f"{p}.start"), F.col(f"{p}.size"), F.lit(BLOCK_WORDS)
     picked = F.aggregate(
         F.sequence(F.floor(start / b), F.floor((start + size - 1) / b)), F.lit(0).cast("long"),
@@ -125,7 +124,7 @@ def mixed_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
 
     ``n_chars``, where present, follows the text.
     """
-    rows, p = _prepared(docs, seed, docs.columns)
+    rows, p = _sized(docs, seed)
     rows = _planned(rows, p, seed)
     text = F.coalesce("text", F.lit(""))
     kept = F.array_join(F.filter(
