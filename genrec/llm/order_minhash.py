@@ -1,11 +1,11 @@
 """Near-duplicate documents by Order MinHash and banded alignment.
 
 A text is the sequence of its five-word shingles (a shorter text: one shingle
-of all its words), each labelled with its occurrence number.  A sketch keeps
-the ``l`` labelled shingles of smallest hash in text order; two texts are
-candidates if one of their sketches agrees.  Candidates are verified by an
-alignment of their shingle sequences inside the band that the threshold
-allows: ``matched / (n_a + n_b - matched) >= 0.8``.
+of all its words).  For sketches and counts each is labelled with its
+occurrence number.  A sketch keeps the ``l`` labelled shingles of smallest hash
+in text order; two texts are candidates if one of their sketches agrees.
+Candidates are verified by an alignment of their unlabelled shingle sequences
+inside the band that the threshold allows: ``matched / (n_a + n_b - matched) >= 0.8``.
 
 Links are found between distinct texts and copies share their text's class.
 Sketch collisions give candidate groups; a group's most typical text is
@@ -18,7 +18,7 @@ copies (repeated rows among them) share a class, whose id is its smallest
 ``doc_id`` (null only if it has no other); an empty table gives an empty result.
 
 With ``SKETCHES`` a pair of similarity 0.8 is missed with a probability below
-1e-5 (60 shingles or more) or 1e-6 (less); see tests.
+1e-5 (60 shingles or more) or 1e-6 (less), if its shingles do not repeat; see tests.
 """
 
 from __future__ import annotations
@@ -99,16 +99,17 @@ def sketch_keys(s: np.ndarray) -> list[int]:
 
 
 def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> int:
-    """Most labelled shingles of ``a`` and ``b`` that match in the same order
-    within the band of diagonals that the threshold leaves reachable."""
+    """Most shingles of ``a`` and ``b`` that match in the same order within the band
+    of diagonals that the threshold leaves reachable; any two equal shingles match."""
     band = int((len(a) + len(b)) * (1 - threshold) / (1 + threshold)) + 1
-    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    order = np.argsort(i)
-    i, j = i[order], j[order]
+    i, j = np.flatnonzero(np.isin(a, b)), np.flatnonzero(np.isin(b, a))
+    if len(np.unique(a[i])) < len(i) or len(np.unique(b[j])) < len(j):
+        return _aligned_repeats(a[i], i, b[j], j, band)
+    # every shingle matches once, so the alignment is the longest increasing run of positions
+    j = j[np.argsort(b[j])][np.argsort(np.argsort(a[i]))]
     j = j[np.abs(i - j) <= band]
     if len(j) < 2 or (j[1:] > j[:-1]).all():
         return len(j)
-    # labels make matches unique, so the alignment is the longest increasing run of positions
     tails: list[int] = []
     for p in j.tolist():
         k = bisect_left(tails, p)
@@ -116,9 +117,46 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> int:
     return len(tails)
 
 
+def _aligned_repeats(a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray, band: int) -> int:
+    """Longest common subsequence of ``a`` and ``b``, which stand at ``at_a`` and ``at_b``
+    and match at most ``band`` places apart.
+
+    Bit-parallel: a 0 in ``row`` is a place of ``b`` where the longest alignment so far
+    grows by one; places below the band no longer change and are counted and shifted out.
+    """
+    places: dict[int, list[int]] = {}
+    for p, x in enumerate(b.tolist()):
+        places.setdefault(x, []).append(p)
+    whole: dict[int, int] = {}
+    lows, highs = np.searchsorted(at_b, at_a - band, "left"), np.searchsorted(at_b, at_a + band, "right")
+    matched = low = high = row = 0
+    for x, lo, hi in zip(a.tolist(), lows.tolist(), highs.tolist(), strict=True):
+        if hi > high:
+            row |= ((1 << (hi - high)) - 1) << (high - low)
+            high = hi
+        if lo > low:
+            matched += lo - low - (row & ((1 << (lo - low)) - 1)).bit_count()
+            row >>= lo - low
+            low = lo
+        own = places[x]
+        if len(own) <= 16:
+            match = sum(1 << (p - low) for p in own if low <= p < high)
+        else:
+            if x not in whole:
+                whole[x] = int.from_bytes(np.packbits(b == x, bitorder="little").tobytes(), "little")
+            match = whole[x] >> low
+        match &= row
+        if match:
+            row = ((row + match) | (row ^ match)) & ((1 << (high - low)) - 1)
+    return matched + high - low - row.bit_count()
+
+
 def similar(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
-    m = aligned(a, b, threshold)
-    return m >= threshold * (len(a) + len(b) - m) - 1e-9
+    def enough(m: int) -> bool:
+        return m >= threshold * (len(a) + len(b) - m) - 1e-9
+
+    # shared labelled shingles bound the alignment
+    return enough(len(np.intersect1d(labelled(a), labelled(b), assume_unique=True))) and enough(aligned(a, b, threshold))
 
 
 class _Forest:
@@ -168,7 +206,7 @@ def _block_links(nodes: list[int], joined: list[int], sides: list[int], texts: l
         near = np.flatnonzero(shared >= threshold * (sizes + len(x[i]) - shared) - 1e-9)
         for k in near.tolist():
             j = right[k]
-            if i != j and forest.root(i) != forest.root(j) and similar(x[i], x[j], threshold):
+            if i != j and forest.root(i) != forest.root(j) and similar(texts[i], texts[j], threshold):
                 forest.join(i, j)
                 out.append((nodes[i], nodes[j]))
     return out
@@ -224,7 +262,7 @@ def links(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Dat
 
     def with_hub(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            near = [node == hub or similar(labelled(np.asarray(s)), labelled(np.asarray(h)), threshold)
+            near = [node == hub or similar(np.asarray(s), np.asarray(h), threshold)
                     for node, hub, s, h in zip(b["node"], b["hub"], b["s"], b["hub_s"], strict=True)]
             yield pd.DataFrame({"node": b["node"], "near": near})
 

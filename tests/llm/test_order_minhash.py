@@ -76,6 +76,41 @@ def test_large_family_and_shared_passage(spark, docs, monkeypatch):
     assert got == brute(dict(enumerate(texts)))
 
 
+def _sections(n, common, own, seed=11):
+    """A text of sections that share a line, without line breaks, as lists of words."""
+    rnd = random.Random(seed)
+    line = [f"c{i}" for i in range(common)]
+    return [line + [f"s{rnd.randint(0, 10 ** 9)}" for _ in range(own)] for _ in range(n)]
+
+
+def test_sections_with_a_common_line(spark, docs):
+    texts = []
+    for seed, (n, common, own) in enumerate([(10, 10, 30), (12, 10, 40), (15, 20, 20)]):
+        parts = _sections(n, common, own, seed)
+        added = _sections(1, common, own, seed + 100)
+        texts += [" ".join(sum(x, [])) for x in (parts, parts[1:], added + parts, parts[:-1], parts[4:])]
+    got = {r.doc_id: r.component_id for r in q.classes(docs([(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    assert got == brute(dict(enumerate(texts)))
+    assert got[1] == 0 and got[4] == 4
+
+
+def test_alignment_of_repeats_equals_plain_lcs():
+    rnd = np.random.default_rng(2)
+    for _ in range(300):
+        a, b = (rnd.integers(0, rnd.integers(2, 40), rnd.integers(1, 60)) for _ in range(2))
+        if rnd.random() < 0.7:
+            b = np.delete(np.insert(a, rnd.integers(0, len(a), 3), 99), rnd.integers(0, len(a), 2))
+        for t in (0.8, 0.5):
+            band = int((len(a) + len(b)) * (1 - t) / (1 + t)) + 1
+            best = np.zeros((len(a) + 1, len(b) + 1), dtype=int)
+            for i, x in enumerate(a):
+                for j, y in enumerate(b):
+                    best[i + 1, j + 1] = max(best[i, j + 1], best[i + 1, j], best[i, j] + (x == y and abs(i - j) <= band))
+            assert q.aligned(a, b, t) == best[-1, -1]
+    z = np.zeros(20000, dtype=np.int64)
+    assert q.aligned(z, z[:-100]) == 19900
+
+
 def test_order_matters():
     a = np.arange(100, dtype=np.uint64)
     moved = np.concatenate([a[50:], a[:50]])
