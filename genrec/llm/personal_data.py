@@ -3,8 +3,9 @@
 The base kinds are found by fixed patterns and checks.  Beyond them, wide
 generators propose overlapping candidates; gradient-boosted trees over format
 and context, trained on the corpus's own validated spans, score them; a
-threshold per kind, set on held-out candidates, selects.  DataFrame functions
-and JVM trees only; the trees become conditional expressions.
+threshold per kind, set on held-out candidates, selects.  A token that a name
+and a sign precede is a secret by rule, in a corpus of any size.  DataFrame
+functions and JVM trees only; the trees become conditional expressions.
 
 Spans are code points, end exclusive.  A selected candidate is added if no base
 span holds it, no base span of another kind overlaps it, and no better
@@ -13,7 +14,7 @@ candidate does.
 Defined cases: a null or empty text has no spans; repeated rows are scanned
 alike; an empty table gives an empty result; without both outcomes among the
 training candidates, or where no threshold is precise enough, a kind gets no
-span beyond the base.
+span beyond the base and the named secrets.
 """
 
 from __future__ import annotations
@@ -52,8 +53,7 @@ GENERATORS = {
 CONTEXT = 24                   # code points before and after a candidate that features see
 TRAIN_ROWS = 20_000            # candidates the trees are fitted on, about as many at most: every n-th by hash
 MIN_PRECISION = 0.99           # of the selected held-out candidates of a kind
-MIN_BAND_PRECISION = 0.9       # of those of one score; lower scores are not looked at
-MIN_POSITIVES = 20             # held-out positives a threshold needs
+DOUBT = 0.2                    # negatives added to them, so that few positives prove little
 TREES, DEPTH = 10, 3
 FEATURES = ("kind", "length", "digits", "letters", "upper", "others", "digit_share", "at", "dots", "plus",
             "word_before", "word_after", "space_before", "space_after", "quote_before", "label_before", "assign_before")
@@ -221,16 +221,12 @@ def fit(scanned: DataFrame) -> tuple[str, dict[int, float]] | None:
     # at most one row for each kind and each thousandth of a bounded score
     thresholds: dict[int, float] = {}
     seen: dict[int, tuple[float, float]] = {}
-    ended = set()
     for r in sorted(by_score.collect(), key=lambda r: -r["score"]):
-        if r["p"] < MIN_BAND_PRECISION * r["n"]:
-            ended.add(r["k"])
-        if r["k"] in ended:
-            continue
-        p, n = seen.get(r["k"], (0.0, 0.0))
+        p, n = seen.get(r["k"], (0.0, DOUBT))
         p, n = p + r["p"], n + r["n"]
         seen[r["k"]] = (p, n)
-        if p >= MIN_PRECISION * n and p >= MIN_POSITIVES:
+        # a negative in a high band does not end the kind: what is selected as a whole decides
+        if p >= MIN_PRECISION * n:
             thresholds[r["k"]] = r["score"]
     return (score, thresholds) if thresholds else None
 
@@ -238,12 +234,13 @@ def fit(scanned: DataFrame) -> tuple[str, dict[int, float]] | None:
 def selected(scanned: DataFrame, column: str, model: tuple[str, dict[int, float]] | None) -> Column:
     """Array of all spans ``s, k, e`` of a row, base and added, by start, then kind."""
     base = F.col(f"{column}.base")
-    if model is None:
-        return base
-    score, thresholds = model
-    least = "case c.k " + " ".join(f"when {k} then {t!r}D" for k, t in sorted(thresholds.items())) + " else null end"
+    score, thresholds = model or ("0.0D", {})
+    least = "case c.k " + " ".join(f"when {k} then {t!r}D" for k, t in sorted(thresholds.items())) + " else null end" \
+        if thresholds else "cast(null as double)"
+    # a named token is a secret whatever the rest of the corpus holds
+    named = f"(c.k = {KINDS.index('secret')} and c.named)"
     added = f"""
-      transform(array(transform(filter({column}.proposed, c -> round({score}, 3) >= {least}
+      transform(array(transform(filter({column}.proposed, c -> ({named} or coalesce(round({score}, 3) >= {least}, false))
           and not exists({column}.base, b -> (b.s <= c.s and b.e >= c.e)
                          or (b.k <> c.k and b.s < c.e and b.e > c.s))),
         c -> named_struct('score', round({score}, 3), 's', c.s, 'k', c.k, 'e', c.e))),

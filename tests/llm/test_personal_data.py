@@ -75,6 +75,30 @@ def test_trees_add_named_secrets_only(spark, docs):
             assert not added
 
 
+def test_named_secrets_do_not_depend_on_the_corpus(spark, docs):
+    rows, secret = _corpus()
+    # a single document, and 300 tokens named and unnamed among them
+    for part in (rows[:1], rows[:16], rows * 2):
+        got = {r.doc_id: r.spans for r in q.find(docs(part)).collect()}
+        for i, text, _ in part:
+            at = text.index(secret[i]) if i in secret else 0
+            want = [f"secret:{at}:{at + 40}"] if i in secret else []
+            assert [s for s in got[i].split(",") if s.startswith("secret")] == want
+    assert secret[0] not in q.redact(docs(rows[:1])).first().text
+
+
+def test_a_stray_negative_does_not_end_a_kind(spark, monkeypatch):
+    # the trees' scores are replaced: one held-out negative stands alone at the top
+    monkeypatch.setattr(q, "_tree_sql", lambda lines, names: ("if(c.f.length = 99, 1.0D, if(c.f.length = 40, 0.5D, -0.5D))", 1))
+    stray = spark.range(1200, 1300).where("pmod(xxhash64(id), 3) = 2").first().id
+    features = ", ".join(f"'{n}', {'l' if n == 'length' else '0D'}" for n in q.FEATURES)
+    scanned = spark.range(1200).selectExpr("id as doc_id", "if(id % 2 = 1, 40D, 20D) as l").unionAll(
+        spark.range(stray, stray + 1).selectExpr("id", "99D")).selectExpr(
+        "doc_id", f"""named_struct('base', cast(array() as array<struct<s:int,k:int,e:int>>), 'proposed', array(named_struct(
+            's', 0, 'k', 4, 'e', 20, 'f', named_struct({features}), 'named', l = 40D))) as s""")
+    assert 4 in q.fit(scanned)[1]
+
+
 def test_redaction(spark, docs):
     rows, secret = _corpus()
     rows += [(900, None, "s"), (901, "mail a@b.co, 1.2.3.4!", "s"), (901, "mail a@b.co, 1.2.3.4!", "s")]
