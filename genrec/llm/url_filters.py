@@ -7,7 +7,8 @@ blocked member blocks, else ``allow``.
 Edges: the redirects that sites answer to other spellings of an address
 (scheme, ``www.`` and ``m.`` hosts, fragment, tracking parameters, ``.html``,
 trailing slash), and what a page says itself (``<link rel=canonical>``,
-``<meta http-equiv=refresh>``).
+``<meta http-equiv=refresh>``: all of them, character references decoded,
+resolved against the page's ``<base>`` or url).
 
 Defined cases: a null url, or one without ``://``, has an empty host and path,
 no rule, no edges and the verdict ``allow``; repeated rows are judged alike;
@@ -21,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from genrec.llm.common import free_name, materialise
+from genrec.llm.common import free_name, let, materialise
 from genrec.llm.graph import components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -46,8 +47,11 @@ class Rule:
 RULES = (Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"),
          Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"))
 
-CANONICAL = (r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)""")
-REFRESH = (r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\burl\s*=\s*["']?([^"'\s>]+)""")
+CANONICAL = (r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?\s*([^"'\s>]+)""")
+REFRESH = (r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\burl\s*=\s*["']?\s*([^"'\s>]+)""")
+BASE = r"""(?is)<base\b[^>]*\bhref\s*=\s*["']?\s*([^"'\s>]+)"""
+REFERENCE = r"^&(?:#([0-9]{1,7})|#[xX]([0-9a-fA-F]{1,6})|(amp|lt|gt|quot|apos));"
+URL_PARTS = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(.*)$"
 
 
 def _rest(url: Column) -> Column:
@@ -82,14 +86,63 @@ def address(url: Column) -> Column:
     return F.when(host != "", F.concat(host, path, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(F.lit(""))))
 
 
+def decoded(value: Column) -> Column:
+    """``value`` with its numeric and its five basic named character references replaced."""
+    named = F.create_map(*(F.lit(x) for x in ("amp", "&", "lt", "<", "gt", ">", "quot", '"', "apos", "'")))
+
+    def char(part: Column) -> Column:
+        decimal, hexed, name = (F.regexp_extract(part, REFERENCE, k) for k in (1, 2, 3))
+        code = F.when(decimal != "", decimal.cast("int")).when(hexed != "", F.conv(hexed, 16, 10).cast("int"))
+        return F.when(name != "", named[name]).otherwise(let(code, lambda c: F.when(
+            c.between(1, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(c), 8, "0")), "UTF-32"))))
+
+    parts = F.transform(F.split(value, "(?=&)"), lambda x: F.coalesce(
+        F.concat(char(x), F.regexp_replace(x, REFERENCE, "")), x))
+    return F.when(F.contains(value, F.lit("&")), F.array_join(parts, "")).otherwise(value)
+
+
+def _parts(url: Column) -> Column:
+    return F.struct(*(F.regexp_extract(url, URL_PARTS, k).alias(n) for k, n in enumerate(("scheme", "host", "path", "tail"), 1)))
+
+
+def _without_dots(path: Column) -> Column:
+    """``path``, which starts with a slash, without ``.`` and ``..`` segments."""
+    steps = F.split(path, "/", -1)
+    kept = F.aggregate(F.slice(steps, 2, F.size(steps)), F.array().cast("array<string>"), lambda a, x: F.when(x == ".", a).when(
+        x == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(F.array_append(a, x)))
+    end = F.when(path.rlike(r"/\.\.?$"), F.lit("/")).otherwise(F.lit(""))
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.regexp_replace(
+        F.concat(F.lit("/"), F.array_join(kept, "/"), end), "^/+$", "/")).otherwise(path)
+
+
+def resolved(target: Column, base: Column) -> Column:
+    """The url that ``target`` means on a page whose base is ``base``; null where it is no address
+    (``mailto:``, a base without ``://``)."""
+    def whole(t: Column, b: Column) -> Column:
+        site = F.concat(b["scheme"], F.lit("://"), b["host"])
+        folder = F.regexp_extract(F.when(b["path"] == "", F.lit("/")).otherwise(b["path"]), "^.*/", 0)
+        relative = F.when(b["scheme"] != "", F.when(F.startswith(t, F.lit("//")), F.concat(b["scheme"], F.lit(":"), t)).when(
+            F.startswith(t, F.lit("/")), F.concat(site, t)).when(
+            F.startswith(t, F.lit("?")), F.concat(site, b["path"], t)).when(
+            (t == "") | F.startswith(t, F.lit("#")), F.concat(site, b["path"], F.regexp_extract(b["tail"], r"^[^#]*", 0), t)).otherwise(
+            F.concat(site, folder, t)))
+        return F.when(t.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.when(t.rlike(URL_PARTS), t)).otherwise(relative)
+
+    return let(target, lambda t: let(_parts(base), lambda b: let(whole(t, b), lambda w: let(_parts(w), lambda p: F.when(
+        p["scheme"] != "", F.concat(p["scheme"], F.lit("://"), p["host"], _without_dots(p["path"]), p["tail"]))))))
+
+
 def alias_edges(pages: DataFrame) -> DataFrame:
     """``a, b``: urls and addresses that lead to one another.  Addresses hold no
     ``://``, so they never equal a url."""
     url = F.col("url")
     own = address(url)
-    said = F.array(F.regexp_extract("html", CANONICAL, 1), F.regexp_extract("html", REFRESH, 1))
+    said = F.concat(*(F.regexp_extract_all("html", F.lit(p), F.lit(1)) for p in (CANONICAL, REFRESH)))
     speaking = pages.where(F.contains(F.lower("html"), F.lit("canonical")) | F.contains(F.lower("html"), F.lit("refresh")))
-    links = speaking.select(own.alias("a"), F.explode(said).alias("b")).where(host_of(F.col("b")) != "")
+    told = speaking.select("url", own.alias("a"), F.regexp_extract("html", BASE, 1).alias("base"), F.explode(said).alias("b"))
+    base = F.coalesce(F.when(F.col("base") != "", resolved(decoded(F.col("base")), url)), url)
+    told = told.select("a", base.alias("base"), decoded(F.col("b")).alias("b"))
+    links = told.select("a", resolved(F.col("b"), F.col("base")).alias("b")).where(host_of(F.col("b")) != "")
     spelled = links.select(F.col("b").alias("a"), address(F.col("b")).alias("b"))
     return pages.select(url.alias("a"), own.alias("b")).unionAll(links).unionAll(spelled).where(
         "a is not null and b is not null")

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from genrec.llm import url_filters as q
 from genrec.llm.graph import components
 
@@ -33,6 +35,30 @@ def test_blocks_reach_aliases_and_allows_win(spark):
     assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow", 6: "allow", 7: "allow", 8: "block"}
 
 
+def test_targets_are_resolved(spark):
+    rows = [("/de/9", "https://a.com/x/y?z#t", "https://a.com/de/9"), ("//b.com/de/9", "https://a.com", "https://b.com/de/9"),
+            ("next.html", "x://a.com/d/e?f=/g/", "x://a.com/d/next.html"), ("next", "x://a.com", "x://a.com/next"),
+            ("../n?q=http://c.d/", "x://a.com/d/e/f", "x://a.com/d/n?q=http://c.d/"), ("./", "x://a.com/d/e", "x://a.com/d/"),
+            ("../../..", "x://a.com/d/e", "x://a.com/"), ("/a/./b/..", "x://a.com/", "x://a.com/a/"), ("?p=2", "x://a.com/d?e#f", "x://a.com/d?p=2"),
+            ("#t", "x://a.com/d?e#f", "x://a.com/d?e#t"), ("http://b.org", "x://a.com/d", "http://b.org"), ("mailto:x@y.z", "x://a.com/d", None),
+            ("/de", "nowhere", None)]
+    df = spark.createDataFrame(rows, "target string, base string, want string")
+    for r in df.select("*", q.resolved(F.col("target"), F.col("base")).alias("got")).collect():
+        assert r.got == r.want, r
+    refs = spark.createDataFrame([("/a?b=1&amp;c=2&#38;d&#x2F;&bogus;&#x1F600;é&", "/a?b=1&c=2&d/&bogus;😀é&"), ("&amp;amp;", "&amp;"), ("", "")], "v string, want string")
+    assert all(r.got == r.want for r in refs.select("*", q.decoded(F.col("v")).alias("got")).collect())
+
+
+def test_relative_and_repeated_links_alias(spark):
+    link = '<link rel="canonical" href="{}">'.format
+    rows = [(1, "http://a.net/x/1", link("//b.com/de/9")), (2, "http://b.com/q/2", link("../de/9")), (3, "http://b.com/q", link("/de/9")),
+            (4, "http://c.net/1", '<base href="https://b.com/de/"><meta http-equiv=refresh content="0; url=9.html">'),
+            (5, "http://d.net/1", link("http://d.net/2") + link("http://b.com/de/9")), (6, "http://d.net/2", ""),
+            (7, "http://e.net/1", link("/p?a=1&amp;b=2")), (8, "http://e.net/p?a=1&b=2", link("//b.com/de/9")), (9, "http://f.net/", link("mailto:x@y"))]
+    got = {k: v[3] for k, v in verdicts(spark, rows).items()}
+    assert got == {k: "block" for k in range(1, 9)} | {9: "allow"}
+
+
 def test_stage_and_edges(spark):
     df = spark.createDataFrame([(1, "x://b.com/de/", ""), (2, None, None), (3, "x://b.com/fr/", "")], SCHEMA).selectExpr(
         "*", "url as host", "1 as url_judged")
