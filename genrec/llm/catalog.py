@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from genrec.llm import (
     cover_tree,
     html_text,
+    oracle,
     order_minhash,
     personal_data,
     piece_sampling,
+    prefix_trie,
     quality_rules,
     source_mix,
     token_files,
@@ -64,11 +66,15 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tool_calls.link_conversations(table(spark, sf_dir, "conversations"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_cover_tree, op3_html_text, op4_piece_sampling, op5_personal_data, op6_url_filters,
-        op7_token_files, op8_source_mix, op9_order_minhash, op10_tool_calls)}
+        op7_token_files, op8_source_mix, op9_order_minhash, op10_tool_calls, op13_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
