@@ -17,6 +17,7 @@ from genrec.llm import (
     prefix_trie,
     quality_rules,
     source_mix,
+    structure_repair,
     token_files,
     tool_calls,
     url_filters,
@@ -66,6 +67,10 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tool_calls.link_conversations(table(spark, sf_dir, "conversations"))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair.repair(table(spark, sf_dir, "conversations"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
@@ -73,7 +78,8 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_cover_tree, op3_html_text, op4_piece_sampling, op5_personal_data, op6_url_filters,
-        op7_token_files, op8_source_mix, op9_order_minhash, op10_tool_calls, op13_prefix_trie)}
+        op7_token_files, op8_source_mix, op9_order_minhash, op10_tool_calls, op11_structure_repair,
+        op13_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
