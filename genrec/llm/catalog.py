@@ -16,6 +16,7 @@ from genrec.llm import (
     piece_sampling,
     prefix_trie,
     quality_rules,
+    secret_scan,
     source_mix,
     structure_repair,
     token_files,
@@ -71,6 +72,10 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure_repair.repair(table(spark, sf_dir, "conversations"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.find(table(spark, sf_dir, "documents")))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
@@ -79,7 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_cover_tree, op3_html_text, op4_piece_sampling, op5_personal_data, op6_url_filters,
         op7_token_files, op8_source_mix, op9_order_minhash, op10_tool_calls, op11_structure_repair,
-        op13_prefix_trie)}
+        op12_secret_scan, op13_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
