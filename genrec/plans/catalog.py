@@ -10,7 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from genrec.operators import metrics, model, prep, recommend, serve
+from genrec.operators import metrics, model, neighbours, prep, recommend, serve
 from genrec.operators.skew import salted_lookup
 from genrec.plans import jobs
 from genrec.sources import csv_io
@@ -162,6 +162,29 @@ def _stored(c: _Ctx) -> DataFrame:
     return serve.export_predictions(c.predictions)
 
 
+LEAST_COSINE, BOOST = 0.05, 0.5
+
+
+def _neighbours(c: _Ctx) -> DataFrame:
+    return neighbours.item_neighbours(c.p.training, N, LEAST_COSINE)
+
+
+def _neighbour_scores(c: _Ctx, boost: float) -> DataFrame:
+    sims = neighbours.boosted(_neighbours(c), c.p.avg_ratings, boost)
+    return neighbours.neighbour_scores(prep.test_ratings(c.p.test), c.p.training, sims)
+
+
+def _rmse_by_method(c: _Ctx) -> DataFrame:
+    """C1 of the genre scores beside that of neighbour scores without and with the genre boost."""
+    found = stored(_neighbours(c), "neighbours")
+    out = metrics.rmse(c.predictions, c.p.test).select(F.lit("genres").alias("method"), "n", "rmse")
+    for name, boost in (("neighbours", 0.0), ("neighbours_boosted", BOOST)):
+        sims = neighbours.boosted(found, c.p.avg_ratings, boost)
+        scores = neighbours.neighbour_scores(prep.test_ratings(c.p.test), c.p.training, sims)
+        out = out.unionByName(metrics.rmse(scores, c.p.test).select(F.lit(name).alias("method"), "n", "rmse"))
+    return out
+
+
 def queries() -> dict[str, Query]:
     return {
         # sources: driver tables as movies and ratings
@@ -218,6 +241,12 @@ def queries() -> dict[str, Query]:
         "predictions_parse": _q(lambda c: serve.parse_predictions(_stored(c))),
         "first_predictions": _q(lambda c: serve.first_predictions(_stored(c), 50)),
         "user_recommendations": _q(lambda c: jobs.recommend_for(_stored(c), prep.titles(c.valid))),
+        # item neighbours
+        "item_cosine": _q(_neighbours),
+        "item_cosine_common": _q(lambda c: neighbours.item_neighbours(c.p.training, N, 0.02, min_common=2)),
+        "neighbour_scores": _q(lambda c: _neighbour_scores(c, 0.0)),
+        "neighbour_scores_boosted": _q(lambda c: _neighbour_scores(c, BOOST)),
+        "rmse_by_method": _q(_rmse_by_method),
         # unseen movies
         "seen_movies": _q(lambda c: recommend.seen_movies(c.p.training)),
         "unseen_counts": _q(lambda c: recommend.unseen_counts(

@@ -135,6 +135,27 @@ select userid, cast(rank as int) as rank, try_cast(split_part(item, ':', 1) as i
 from (select userid, unnest(string_split(recommendations, '|')) as item,
         generate_subscripts(string_split(recommendations, '|'), 1) as rank from stored)
 where item <> ''"""),
+    ("vec", "select userid, movieid, cast(round(rating * 100) as bigint) as w from training where round(rating * 100) <> 0"),
+    ("norms", "select movieid, cast(sum(w * w) as bigint) as n2 from vec group by movieid"),
+    ("cosines", """
+select p.movieid, p.neighbour, p.n_common, dot / sqrt(cast(a.n2 as double) * cast(b.n2 as double)) as cosine
+from (select x.movieid, y.movieid as neighbour, count(*) as n_common, cast(sum(x.w * y.w) as bigint) as dot
+      from vec x join vec y on x.userid = y.userid and x.movieid <> y.movieid group by all) p
+  join norms a on a.movieid = p.movieid join norms b on b.movieid = p.neighbour"""),
+    ("neighbours", """
+select * from (select movieid, neighbour, n_common, round(cosine, 6) as cosine,
+  cast(row_number() over (partition by movieid order by round(cosine, 6) desc, neighbour) as int) as rank
+  from cosines where cosine >= 0.05) where rank <= 10"""),
+    ("sims", """
+select n.movieid, n.neighbour, cast(cosine as decimal(18,6)) as sim, cast(round(cosine * (1 + 0.5 * coalesce(
+    cast(len(list_intersect(a.genres, b.genres)) as double) / nullif(len(list_distinct(list_concat(a.genres, b.genres))), 0), 0.0)), 6) as decimal(18,6)) as sim_boosted
+from neighbours n left join avg a on a.movieid = n.movieid left join avg b on b.movieid = n.neighbour"""),
+    ("nscores", """
+select t.userid, t.movieid, count(*) as n_rated,
+  round(cast(sum(s.sim * cast(r.rating as decimal(6,3))) as double) / cast(sum(s.sim) as double), 3) as score,
+  round(cast(sum(s.sim_boosted * cast(r.rating as decimal(6,3))) as double) / cast(sum(s.sim_boosted) as double), 3) as score_boosted
+from test t join sims s on s.movieid = t.movieid join training r on r.userid = t.userid and r.movieid = s.neighbour
+group by t.userid, t.movieid"""),
     ("seen", "select distinct userid, movieid from training"),
     ("uc", """
 select up.userid, up.pkey, up.pgenres, mp.movieid, mp.avgrating, mp.skey, mp.sgenres
@@ -213,6 +234,18 @@ _FINAL: dict[str, tuple[str, str]] = {
     "rmse": ("preds", """select count(*) as n, sqrt(cast(sum(e * e) as double) / count(*)) as rmse
         from (select cast(least(p.score, 5.0) as decimal(10,3)) - cast(t.rating as decimal(10,3)) as e
               from preds p join test t on p.userid = t.userid and p.movieid = t.movieid)"""),
+    "item_cosine": ("neighbours", "select movieid, rank, neighbour, n_common, cosine from neighbours"),
+    "item_cosine_common": ("cosines", """select * from (select movieid, neighbour, n_common, round(cosine, 6) as cosine,
+        cast(row_number() over (partition by movieid order by round(cosine, 6) desc, neighbour) as int) as rank
+        from cosines where cosine >= 0.02 and n_common >= 2) where rank <= 10"""),
+    "neighbour_scores": ("nscores", "select userid, movieid, n_rated, score from nscores"),
+    "neighbour_scores_boosted": ("nscores", "select userid, movieid, n_rated, score_boosted as score from nscores"),
+    "rmse_by_method": ("nscores", """select method, count(*) as n, sqrt(cast(sum(e * e) as double) / count(*)) as rmse
+        from (select method, cast(least(p.score, 5.0) as decimal(10,3)) - cast(t.rating as decimal(10,3)) as e
+              from (select 'genres' as method, userid, movieid, score from preds
+                    union all select 'neighbours', userid, movieid, score from nscores
+                    union all select 'neighbours_boosted', userid, movieid, score_boosted from nscores) p
+                join test t on p.userid = t.userid and p.movieid = t.movieid) group by method"""),
     "predictions_export": ("stored", "select * from stored"),
     "predictions_parse": ("parsed", "select * from parsed"),
     "first_predictions": ("stored", "select * from stored order by userid limit 50"),
