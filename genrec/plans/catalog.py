@@ -10,7 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from genrec.operators import metrics, model, neighbours, prep, recommend, serve
+from genrec.operators import factors, metrics, model, neighbours, prep, recommend, serve
 from genrec.operators.skew import salted_lookup
 from genrec.plans import jobs
 from genrec.sources import csv_io
@@ -185,6 +185,14 @@ def _rmse_by_method(c: _Ctx) -> DataFrame:
     return out
 
 
+def _als_top_n(c: _Ctx) -> DataFrame:
+    """Trained factors, their top-N stored as the model ``als`` and read back."""
+    best = factors.factor_top_n(*factors.als_factors(c.p.training), N)
+    root = scratch_dir(c.spark, "outputs")
+    csv_io.write_predictions(serve.export_predictions(best), f"{root}/als.csv")
+    return csv_io.read_predictions(c.spark, root, "als")
+
+
 def queries() -> dict[str, Query]:
     return {
         # sources: driver tables as movies and ratings
@@ -247,6 +255,9 @@ def queries() -> dict[str, Query]:
         "neighbour_scores": _q(lambda c: _neighbour_scores(c, 0.0)),
         "neighbour_scores_boosted": _q(lambda c: _neighbour_scores(c, BOOST)),
         "rmse_by_method": _q(_rmse_by_method),
+        # best inner products of factors
+        "factor_top_n": _q(lambda c: factors.factor_top_n(*factors.genre_factors(c.p.training, c.p.avg_ratings), N)),
+        "als_top_n": _q(_als_top_n),
         # unseen movies
         "seen_movies": _q(lambda c: recommend.seen_movies(c.p.training)),
         "unseen_counts": _q(lambda c: recommend.unseen_counts(

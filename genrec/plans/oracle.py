@@ -156,6 +156,12 @@ select t.userid, t.movieid, count(*) as n_rated,
   round(cast(sum(s.sim_boosted * cast(r.rating as decimal(6,3))) as double) / cast(sum(s.sim_boosted) as double), 3) as score_boosted
 from test t join sims s on s.movieid = t.movieid join training r on r.userid = t.userid and r.movieid = s.neighbour
 group by t.userid, t.movieid"""),
+    ("ufactors", "select userid, genre, cast(round(cnt / total, 3) as decimal(9,3)) as f from h3"),
+    ("ifactors", """
+select movieid, unnest(genres) as genre, cast(round(avgrating / sqrt(len(genres)), 3) as decimal(9,3)) as f from avg"""),
+    ("products", """
+select u.userid, i.movieid, cast(sum(u.f * i.f) as double) as score
+from ufactors u join ifactors i on u.genre = i.genre group by all"""),
     ("seen", "select distinct userid, movieid from training"),
     ("uc", """
 select up.userid, up.pkey, up.pgenres, mp.movieid, mp.avgrating, mp.skey, mp.sgenres
@@ -246,6 +252,11 @@ _FINAL: dict[str, tuple[str, str]] = {
                     union all select 'neighbours', userid, movieid, score from nscores
                     union all select 'neighbours_boosted', userid, movieid, score_boosted from nscores) p
                 join test t on p.userid = t.userid and p.movieid = t.movieid) group by method"""),
+    "factor_top_n": ("products", """select userid, rank, movieid, score from (
+        select u.userid, i.movieid, coalesce(p.score, 0.0) as score,
+          cast(row_number() over (partition by u.userid order by coalesce(p.score, 0.0) desc, i.movieid) as int) as rank
+        from (select distinct userid from h3) u cross join (select movieid from avg where len(genres) > 0) i
+          left join products p on p.userid = u.userid and p.movieid = i.movieid) where rank <= 10"""),
     "predictions_export": ("stored", "select * from stored"),
     "predictions_parse": ("parsed", "select * from parsed"),
     "first_predictions": ("stored", "select * from stored order by userid limit 50"),

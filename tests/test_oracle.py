@@ -8,7 +8,9 @@ from genrec.plans import catalog, oracle
 from tests.conftest import SF001
 from tools_compare import TABLES, norm
 
-NAMES = sorted(catalog.queries())
+# trained factors have no SQL: tests/test_factors.py
+NO_SQL = {"als_top_n"}
+NAMES = sorted(set(catalog.queries()) - NO_SQL)
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +22,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(oracle.oracle_sql()) == set(catalog.queries())
+    assert set(oracle.oracle_sql()) == set(NAMES)
     assert set(catalog.queries()) <= set(E.queries())
 
 
