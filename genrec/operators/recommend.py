@@ -10,12 +10,16 @@ Nothing here runs an action unless its docstring says so.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from concurrent.futures import ThreadPoolExecutor
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genrec.operators.model import affinity_of, score_expr, set_affinities, set_maps
+from genrec.operators.model import AFF_TYPE, EXACT_DIGITS, affinity_of, score_expr, set_affinities, set_maps
 from genrec.operators.rank import group_rank, id_rank, ranked_groups
-from genrec.operators.skew import fanned_join, salted_lookup
+from genrec.operators.skew import COPIES, salted_lookup
 from genrec.session import stored
 
 
@@ -156,38 +160,114 @@ def explode_ranks(df: DataFrame, chunk: int = RANK_CHUNK) -> DataFrame:
     return chunks.select(*keep, F.explode(F.sequence(first, last)).alias("rank"))
 
 
-SET_CHUNK = 1024
+SET_CHUNK = 32                 # movies in the first block of a genre set; each block after it holds twice as many
+PROFILES_PER_TASK = 20_000     # favourite sets that one task merges lists for
+
+
+def _set_blocks(movies: DataFrame) -> DataFrame:
+    """``skey, movieid, avgrating, chunk``: each genre set's movies by average, best first, in blocks of
+    1, 2, 4, ... times ``SET_CHUNK`` ranks.  Runs the writing job of ``group_rank``."""
+    mp = movie_profiles(movies)
+    ranked = group_rank(mp.select("skey", "movieid", "avgrating"), ["skey"], [F.col("avgrating").desc(), F.col("movieid").asc()])
+    # a set of r ranks has log2(r / SET_CHUNK) blocks, so the table of blocks stays small
+    chunk = F.floor(F.log2(F.floor((F.col("rank") - 1) / SET_CHUNK) + 1)).cast("int")
+    return ranked.select("skey", "movieid", "avgrating", chunk.alias("chunk"))
 
 
-def _profile_movies(profiles: DataFrame, movies: DataFrame, weights: DataFrame, exact: bool) -> DataFrame:
-    """``pkey, movieid, score``: of each genre set the movies that can be among a
-    profile's best ``need`` (``profiles``: ``pkey, pgenres, need``), scores above 0.
+def _merge(unit: float, exact: bool):
+    """For cogrouped favourite sets and blocks: the blocks that a set's best ``need`` movies lie in.
 
-    Within one (profile, genre set) the score grows with the average, so movies
-    are ranked once per genre set and cut into chunks of ``SET_CHUNK`` ranks.  A
-    chunk is kept if its best score reaches that of the chunk that holds rank
-    ``need``: equal rounded scores stay, so the cut is exact.  Runs two writing
-    jobs (the ranking of ``group_rank`` and the wanted chunks).
+    The lists of the genre sets are merged by the least score of their blocks until
+    ``need`` movies are certain; that score is the bar, and a block is read if its
+    best score reaches the bar.  ``unit`` is the step of a rounded score: scores
+    closer than that may be equal.  A favourite set with fewer movies whose score is surely above 0
+    gets a row with ``chunk`` -1.
     """
-    mp = movie_profiles(movies)
-    ranked = group_rank(mp.select("skey", "movieid", "avgrating"), ["skey"],
-                        [F.col("avgrating").desc(), F.col("movieid").asc()]).withColumn(
-        "chunk", F.floor((F.col("rank") - 1) / SET_CHUNK))
-    chunks = ranked.groupBy("skey", "chunk").agg(F.max("avgrating").alias("hi"), F.min("avgrating").alias("lo"))
-    liked = profiles.select("pkey", "need", F.size("pgenres").alias("n_fav"), F.explode("pgenres").alias("genre_u"))
-    linked = fanned_join(liked, set_affinities(genre_sets(movies), weights, exact), "genre_u", "pkey").groupBy(
-        "pkey", "skey", "n_fav", "need").agg(F.sum("aff").alias("aff")).where(F.col("aff") > 0)
-
-    def score(average: str):
-        return score_expr(F.col("aff"), F.col(average), F.col("n_fav"), exact)
-
-    at_need = chunks.select("skey", F.col("chunk").alias("need_chunk"), F.col("lo").alias("need_lo"))
-    wanted = (linked.withColumn("need_chunk", F.floor((F.col("need") - 1) / SET_CHUNK))
-              .join(at_need, ["skey", "need_chunk"], "left").join(chunks, "skey")
-              .where(F.col("need_lo").isNull() | (score("hi") >= score("need_lo"))))
-    scored = salted_lookup(stored(wanted.select("pkey", "skey", "chunk", "aff", "n_fav"), "unseen-chunks"),
-                           ranked.select("skey", "chunk", "movieid", "avgrating"), ["skey", "chunk"], "pkey")
-    return scored.select("pkey", "movieid", score("avgrating").alias("score")).where(F.col("score") > 0)
+    def run(profiles: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
+        sets, at = np.unique(blocks["skey"].to_numpy(str), return_inverse=True)
+        hi, lo, count, chunk = (blocks[c].to_numpy() for c in ("hi", "lo", "n", "chunk"))
+        first = np.unique(at, return_index=True)[1]
+        by_genre: dict[str, np.ndarray] = {}
+        for i, k in enumerate(first):
+            for genre, aff in zip(blocks["genres"].iloc[k], blocks["affs"].iloc[k]):
+                by_genre.setdefault(genre, np.zeros(len(sets)))[i] = aff if exact else round(aff * 1000)
+        out = []
+        for pkey, genres, need, n_users in zip(profiles["pkey"], profiles["pgenres"], profiles["need"], profiles["n_users"]):
+            aff = sum((by_genre[g] for g in genres if g in by_genre), np.zeros(len(sets))) / (1 if exact else 1000)
+            share = aff[at] / len(genres)
+            best, least = share * hi, share * lo
+            order = np.argsort(-least, kind="stable")
+            certain = np.cumsum(count[order])
+            bar = least[order[np.searchsorted(certain, need)]] if len(order) and certain[-1] >= need else 0.0
+            for b in np.flatnonzero((share > 0) & (best >= bar - unit)):
+                out.append((pkey, sets[at[b]], int(chunk[b]), float(aff[at[b]]), len(genres), need, n_users))
+            if count[least >= unit].sum() < need:
+                out.append((pkey, "", -1, 0.0, len(genres), need, n_users))
+        return pd.DataFrame(out, columns=["pkey", "skey", "chunk", "aff", "n_fav", "need", "n_users"])
+
+    return run
+
+
+def wanted_blocks(profiles: DataFrame, blocks: DataFrame, movies: DataFrame, weights: DataFrame, exact: bool = False) -> DataFrame:
+    """``pkey, skey, chunk, aff, n_fav, need, n_users``: per favourite set (``profiles``: ``pkey, pgenres, need,
+    n_users``) the blocks of ``_set_blocks`` to read.
+
+    Favourite sets are dealt to tasks, each of which holds the summary of all
+    blocks (genre sets times the logarithm of their size); no table of favourite
+    sets and genre sets is formed.
+    """
+    affs = set_affinities(genre_sets(movies), weights, exact).groupBy("skey").agg(
+        F.collect_list("genre_u").alias("genres"), F.collect_list(F.col("aff").cast("double")).alias("affs"))
+    summary = blocks.groupBy("skey", "chunk").agg(
+        F.max("avgrating").alias("hi"), F.min("avgrating").alias("lo"), F.count(F.lit(1)).alias("n")).join(affs, "skey")
+    tasks = profiles.select(F.greatest(F.ceil(F.count(F.lit(1)) / PROFILES_PER_TASK), F.lit(COPIES)).cast("int")).scalar()
+    mine = profiles.select(F.pmod(F.xxhash64("pkey"), tasks).cast("int").alias("salt"), "pkey", "pgenres", "need", "n_users")
+    copies = summary.withColumn("salt", F.explode(F.sequence(F.lit(0), tasks - 1)))
+    return mine.groupBy("salt").cogroup(copies.groupBy("salt")).applyInPandas(
+        _merge(10.0 ** -(EXACT_DIGITS if exact else 3), exact),
+        "pkey string, skey string, chunk int, aff double, n_fav int, need long, n_users long")
+
+
+def _profile_lists(wanted: DataFrame, blocks: DataFrame, movies: DataFrame, exact: bool) -> tuple[DataFrame, DataFrame]:
+    """``(lists, sizes)``: ``pkey, movieid, score, n_users, rank`` with the best ``need`` movies of each favourite set
+    (or more), movies at 0 by id where fewer score, and ``pkey, n_rows``.  Runs the writing job of ``group_rank``."""
+    read = wanted.where("chunk >= 0")
+    aff = F.col("aff") if exact else F.col("aff").cast(AFF_TYPE)
+    found = salted_lookup(read, blocks, ["skey", "chunk"], "pkey").select(
+        "pkey", "movieid", score_expr(aff, F.col("avgrating"), F.col("n_fav"), exact).alias("score"), "n_users").where("score > 0")
+    # the first `need` ids hold enough movies beside those that score
+    short = wanted.where("chunk < 0").select(F.col("pkey").alias("userid"), "pkey", "n_users", F.col("need").alias("upto"))
+    low = salted_lookup(explode_ranks(short), id_rank(movie_profiles(movies), "movieid"), ["rank"], "pkey").select("pkey", "movieid", "n_users")
+    scored = found.join(short.select("pkey"), "pkey", "left_semi").select("pkey", "movieid", F.lit(True).alias("scored"))
+    fill = low.join(scored, ["pkey", "movieid"], "left").where("scored is null").select(
+        "pkey", "movieid", F.lit(0.0).alias("score"), "n_users")
+    return ranked_groups(found.unionByName(fill), ["pkey"], [F.col("score").desc(), F.col("movieid").asc()])
+
+
+_BITS = 32768                  # positions of one bitmap of Spark's bitmap functions
+
+
+def seen_bitmaps(seen: DataFrame) -> DataFrame:
+    """``userid, bucket, bits, n_bits``: the list ranks (``userid, rank``) that a user has rated, one bitmap of
+    ``_BITS`` positions per bucket (from 1), so a heavy user is many small rows."""
+    return seen.groupBy("userid", F.bitmap_bucket_number("rank").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("rank")).alias("bits")).select(
+        "userid", "bucket", "bits", F.bitmap_count("bits").alias("n_bits"))
+
+
+def _free_ranks(upto: Column, n: int) -> Column:
+    """The first ``n`` ranks of the row's bucket, up to ``upto``, whose bit is not set."""
+    first = (F.col("bucket") - 1) * _BITS + 1
+    # n ranks and as many as the bitmap holds are enough
+    last = F.least(upto, F.col("bucket") * _BITS, first + n - 1 + F.coalesce("n_bits", F.lit(0)))
+    ranks = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+
+    def free(rank: Column) -> Column:
+        at = (rank - first).cast("int")
+        byte = F.conv(F.hex(F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return F.getbit(byte, at % 8) == 0
+
+    return F.when(F.col("bits").isNull(), ranks).otherwise(F.slice(F.filter(ranks, free), 1, n))
 
 
 def unseen_recommendations(fav: DataFrame, training: DataFrame, movies: DataFrame,
@@ -197,55 +277,42 @@ def unseen_recommendations(fav: DataFrame, training: DataFrame, movies: DataFram
     ``userid, rank, movieid, score``; a user with nothing to recommend keeps
     one row with NULLs.  Exact without the users x movies product:
 
-    * movies are ranked once per distinct favourite set (profile) by
-      (score desc, movie id) — only movies with a positive score that can be
-      among the first n + s of a user of the profile (``_profile_movies``);
-    * a user who rated s movies needs at most the first n + s of that ranking,
-      fetched by an equi-join on (profile, rank) over 1..n+s;
-    * if the profile ranks fewer than n + s movies, the rest of the list is
-      zero-score movies by id: the first n + s + (ranked count) ids hold enough.
-
-    Rows per user are O(n + s); the profile ranking is split across tasks by
-    ``group_rank`` even when one profile is shared by most users.  Runs five
-    writing jobs: users' needs, wanted chunks, the rankings of genre sets and
-    of profiles, and the users with their ranked counts.
+    * movies are ranked once per genre set, in blocks; for each distinct favourite
+      set the lists are merged by their blocks' scores (``wanted_blocks``) as far
+      as its users need: a user who rated s movies needs the first n + s;
+    * the movies read are ranked once per favourite set, movies at score 0 by id at
+      the end where fewer score;
+    * a user's rated movies become bitmaps of ranks in that list, probed in
+      the user's row for the first n free ranks; only those n are fetched.
+
+    Rows per user are O(n + s); a list shared by most users is split across
+    tasks by ``group_rank``, and its keys are salted with the number of its users.
+    Runs writing jobs for users' needs and the genre sets' blocks (at the same
+    time), the wanted blocks and the lists.
     """
-    up = user_profiles(fav)
-    mp = movie_profiles(movies)
-    wanting = (up.join(seen_counts(training), "userid", "left")
-               .select("userid", "pkey", "pgenres", (F.lit(n) + F.coalesce("n_seen", F.lit(0))).alias("need")))
-    wanting = stored(wanting, "unseen-need")
-    profiles = wanting.groupBy("pkey", "pgenres").agg(F.max("need").alias("need"))
-    ranked, sizes = ranked_groups(_profile_movies(profiles, movies, weights, exact), ["pkey"],
-                                  [F.col("score").desc(), F.col("movieid").asc()])
-
-    # one narrow row per user; most users may share one profile
-    users = stored(salted_lookup(
-        wanting.select("userid", "pkey", "need"), sizes.withColumnRenamed("n_rows", "n_ranked"), ["pkey"], "userid",
-        how="left").select("userid", "pkey", "need", F.coalesce("n_ranked", F.lit(0)).alias("n_ranked")), "unseen-users")
-
-    # every user of a profile asks for ranks 1..n+s of the same list: the
-    # (profile, rank) keys near the top are hot, hence the salted lookup
-    take = F.least("need", "n_ranked")
-    from_profile = (salted_lookup(
-        explode_ranks(users.where(take >= 1).select("userid", "pkey", take.alias("upto"))),
-        ranked, ["pkey", "rank"], "userid")
-        .select("userid", "movieid", "score"))
-
-    by_id = id_rank(mp, "movieid")
-    low_ids = salted_lookup(
-        explode_ranks(users.where(F.col("n_ranked") < F.col("need"))
-                      .select("userid", "pkey", (F.col("need") + F.col("n_ranked")).alias("upto"))),
-        by_id, ["rank"], "userid").select("userid", "pkey", "movieid")
-    # all users of a profile ask for the same low ids
-    fill = (salted_lookup(low_ids, ranked.select("pkey", "movieid", F.lit(True).alias("scored")),
-                          ["pkey", "movieid"], "userid", how="left")
-            .where(F.col("scored").isNull()).select("userid", "movieid", F.lit(0.0).alias("score")))
-
-    # each branch drops seen movies on its own, so that every join on a key
-    # that may be hot ((profile, rank), rank) ends its stage and AQE can split it
-    seen = training.select("userid", "movieid")
-    unseen = (from_profile.join(seen, ["userid", "movieid"], "left_anti")
-              .unionByName(fill.join(seen, ["userid", "movieid"], "left_anti")))
-    best = top_n(unseen, n)
-    return up.select("userid").join(best, "userid", "left").select("userid", "rank", "movieid", "score")
+    def needs() -> DataFrame:
+        wanting = user_profiles(fav).join(seen_counts(training), "userid", "left").select(
+            "userid", "pkey", "pgenres", (F.lit(n) + F.coalesce("n_seen", F.lit(0))).alias("need"))
+        return stored(wanting, "unseen-need")
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        users, blocks = (f.result() for f in (pool.submit(needs), pool.submit(_set_blocks, movies)))
+    profiles = users.groupBy("pkey", "pgenres").agg(F.max("need").alias("need"), F.count(F.lit(1)).alias("n_users"))
+    wanted = stored(wanted_blocks(profiles, blocks, movies, weights, exact), "unseen-blocks")
+    lists, sizes = _profile_lists(wanted, blocks, movies, exact)
+
+    by_user = users.select("userid", F.col("need").alias("_n"))
+    seen = salted_lookup(training.select("userid", "movieid"), users.select("userid", "pkey"), ["userid"], "movieid", by_user)
+    seen = salted_lookup(seen, lists.select("pkey", "movieid", "rank"), ["pkey", "movieid"], "userid",
+                         lists.select("pkey", "movieid", F.col("n_users").alias("_n")))
+    by_list = profiles.select("pkey", F.col("n_users").alias("_n"))
+    asks = salted_lookup(users.select("userid", "pkey", "need"), sizes, ["pkey"], "userid", by_list).select(
+        "userid", "pkey", F.least("need", "n_rows").alias("upto"))
+    asks = asks.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("upto") / _BITS))).alias("bucket"))
+    free = asks.join(seen_bitmaps(seen), ["userid", "bucket"], "left").select(
+        "userid", "pkey", F.explode(_free_ranks(F.col("upto"), n)).alias("at"))
+    order = Window.partitionBy("userid").orderBy("at")
+    picked = free.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    best = salted_lookup(picked, lists.select("pkey", F.col("rank").alias("at"), "movieid", "score"), ["pkey", "at"], "userid",
+                         lists.select("pkey", F.col("rank").alias("at"), F.col("n_users").alias("_n")))
+    return users.select("userid").join(best.select("userid", "rank", "movieid", "score"), "userid", "left")
