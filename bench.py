@@ -45,7 +45,8 @@ def run_once(spark, sf_dir):
     t["unseen"] = time.perf_counter() - s
 
     s = time.perf_counter()
-    _noop(jobs.recommend_for(spark.read.parquet(f"{folder}/stored"), d["titles"]))
+    _noop(jobs.recommend_for(spark.read.parquet(f"{folder}/stored"), d["titles"],
+                             by_movie=spark.read.parquet(f"{folder}/item_counts")))
     t["serve"] = time.perf_counter() - s
     return t, acc
 

@@ -39,19 +39,27 @@ def first_predictions(stored: DataFrame, n: int = 50) -> DataFrame:
     return stored.orderBy("userid").limit(n)
 
 
-def user_recommendations(stored: DataFrame, titles: DataFrame, user_ids: list[int] | None = None) -> DataFrame:
+def item_counts(preds: DataFrame) -> DataFrame:
+    """``movieid, _n``: in how many lists a movie stands, which the writer of the lists keeps for those who join titles."""
+    return preds.groupBy("movieid").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def user_recommendations(stored: DataFrame, titles: DataFrame, user_ids: list[int] | None = None,
+                         by_movie: DataFrame | None = None) -> DataFrame:
     """``userid, rank, title, score`` — stored predictions with titles,
     ranked by score desc then movie id; movies without a title drop out.
 
     ``user_ids`` filters before parsing (the filter reaches the parquet scan);
     ``None`` serves every user.  An empty result means no recommendations.
+    ``by_movie`` (``item_counts``) saves parsing every string again to find the
+    movies that most lists hold.
     """
     if user_ids is not None:
         stored = stored.where(F.col("userid").isin(list(user_ids)))
     parsed, names = parse_predictions(stored), titles.select("movieid", "title")
     # a movie in most users' lists is a hot key; some users' lists are a few rows
     recs = (parsed.join(names, "movieid") if user_ids is not None
-            else salted_lookup(parsed, names, ["movieid"], "userid"))
+            else salted_lookup(parsed, names, ["movieid"], "userid", by_movie))
     w = Window.partitionBy("userid").orderBy(F.col("score").desc(), F.col("movieid").asc())
     return recs.select("userid", F.row_number().over(w).alias("rank"),
                        F.trim("title").alias("title"), "score")

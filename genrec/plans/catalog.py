@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from genrec.operators import factors, metrics, model, neighbours, prep, recommend, serve
 from genrec.operators.skew import salted_lookup
 from genrec.plans import jobs
-from genrec.sources import csv_io
+from genrec.sources import csv_io, store
 from genrec.sources.views import movies_view, ratings_view
 from genrec.session import scratch_dir, stored
 
@@ -193,6 +193,16 @@ def _als_top_n(c: _Ctx) -> DataFrame:
     return csv_io.read_predictions(c.spark, root, "als")
 
 
+def _store(c: _Ctx) -> str:
+    """A store of two models: genre predictions and the top-N of neighbour scores."""
+    path = scratch_dir(c.spark, "store")
+    name = store.open_store(c.spark, path.rsplit("/", 1)[-1].replace("-", "_"), path, 8)
+    best = recommend.top_n(_neighbour_scores(c, 0.0), N)
+    for model_name, stored_lists in (("gbcf", _stored(c)), ("ibcf", serve.export_predictions(best))):
+        store.put_predictions(stored_lists, name, model_name)
+    return name
+
+
 def queries() -> dict[str, Query]:
     return {
         # sources: driver tables as movies and ratings
@@ -255,6 +265,10 @@ def queries() -> dict[str, Query]:
         "neighbour_scores": _q(lambda c: _neighbour_scores(c, 0.0)),
         "neighbour_scores_boosted": _q(lambda c: _neighbour_scores(c, BOOST)),
         "rmse_by_method": _q(_rmse_by_method),
+        # clustered store of predictions
+        "prediction_store_ibcf": _q(lambda c: store.get_predictions(c.spark, _store(c), "ibcf")),
+        "prediction_store_users": _q(lambda c: serve.parse_predictions(store.get_predictions(
+            c.spark, _store(c), "gbcf", prep.positive_ratings(c.p.test).select("userid").distinct()))),
         # best inner products of factors
         "factor_top_n": _q(lambda c: factors.factor_top_n(*factors.genre_factors(c.p.training, c.p.avg_ratings), N)),
         "als_top_n": _q(_als_top_n),

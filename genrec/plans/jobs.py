@@ -54,9 +54,10 @@ def recommend_unseen(avg: DataFrame, fav: DataFrame, training: DataFrame, n: int
     return recommend.unseen_recommendations(fav, training, avg, weights, n, exact)
 
 
-def recommend_for(stored: DataFrame, titles: DataFrame, user_ids: list[int] | None = None) -> DataFrame:
-    """Job C: ranked titles for the given users (all users when None)."""
-    return serve.user_recommendations(stored, titles, user_ids)
+def recommend_for(stored: DataFrame, titles: DataFrame, user_ids: list[int] | None = None,
+                  by_movie: DataFrame | None = None) -> DataFrame:
+    """Job C: ranked titles for the given users (all users when None); ``by_movie``: the written ``item_counts``."""
+    return serve.user_recommendations(stored, titles, user_ids, by_movie)
 
 
 
@@ -131,13 +132,15 @@ def read_prepared(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def write_predicted(spark: SparkSession, avg: DataFrame, fav: DataFrame, test: DataFrame,
                     folder: str, n: int = 10, strict: bool = False, exact: bool = False):
     """Job B as a sink: predictions written once (parquet), the stored
-    ``id:score|...`` strings (parquet) and the accuracy row derived from the
-    written table.  Returns the accuracy row (one small action)."""
+    ``id:score|...`` strings, the number of lists per movie (``item_counts``)
+    and the accuracy row derived from the written table.  Returns the accuracy
+    row (one small action)."""
     predict(avg, fav, test, n, strict, exact).predictions.write.mode("errorifexists").parquet(f"{folder}/predictions")
     written = spark.read.parquet(f"{folder}/predictions")
-    with ThreadPoolExecutor(max_workers=2) as pool:       # two independent jobs
+    with ThreadPoolExecutor(max_workers=3) as pool:       # independent jobs
         stored = pool.submit(serve.export_predictions(written).write.mode("errorifexists").parquet,
                              f"{folder}/stored")
+        counts = pool.submit(serve.item_counts(written).write.mode("errorifexists").parquet, f"{folder}/item_counts")
         acc = pool.submit(metrics.accuracy(written, prep.test_ratings(test)).first)
-        stored.result()
+        stored.result(), counts.result()
         return acc.result()

@@ -252,6 +252,12 @@ _FINAL: dict[str, tuple[str, str]] = {
                     union all select 'neighbours', userid, movieid, score from nscores
                     union all select 'neighbours_boosted', userid, movieid, score_boosted from nscores) p
                 join test t on p.userid = t.userid and p.movieid = t.movieid) group by method"""),
+    "prediction_store_ibcf": ("nscores", """select userid, string_agg(cast(movieid as varchar) || ':' ||
+          cast(least(score, 5.0) as varchar), '|' order by rank) as recommendations
+        from (select *, row_number() over (partition by userid order by score desc, movieid) as rank from nscores)
+        where rank <= 10 group by userid"""),
+    "prediction_store_users": ("parsed", """select * from parsed
+        where userid in (select userid from test where rating >= 3)"""),
     "factor_top_n": ("products", """select userid, rank, movieid, score from (
         select u.userid, i.movieid, coalesce(p.score, 0.0) as score,
           cast(row_number() over (partition by u.userid order by coalesce(p.score, 0.0) desc, i.movieid) as int) as rank

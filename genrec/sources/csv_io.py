@@ -27,6 +27,7 @@ TITLES = T.StructType([T.StructField("movieid", T.IntegerType()), T.StructField(
 PREDICTIONS = T.StructType([T.StructField("userid", T.IntegerType()),
                             T.StructField("recommendations", T.StringType())])
 
+MODELS = ("gbcf", "ibcf", "als")
 DATASETS = ("avg_ratings", "test", "training", "users_fav_genres", "titles")
 
 
@@ -116,8 +117,8 @@ def write_predictions(stored: DataFrame, path: str) -> None:
 
 def read_predictions(spark: SparkSession, root: str, model: str = "gbcf") -> DataFrame:
     """Stored predictions of one model (``gbcf``, ``ibcf`` or ``als``)."""
-    if model not in ("gbcf", "ibcf", "als"):
-        raise ValueError("model must be one of gbcf, ibcf, als")
+    if model not in MODELS:
+        raise ValueError(f"model must be one of {', '.join(MODELS)}")
     return read_csv(spark, f"{root.rstrip('/')}/{model}.csv", PREDICTIONS)
 
 
