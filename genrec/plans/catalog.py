@@ -14,7 +14,7 @@ from genrec.operators import factors, metrics, model, neighbours, prep, recommen
 from genrec.operators.skew import salted_lookup
 from genrec.plans import jobs
 from genrec.sources import csv_io, store
-from genrec.sources.views import movies_view, ratings_view
+from genrec.sources.views import movies_view, ratings_view, read_table
 from genrec.session import scratch_dir, stored
 
 N = 10
@@ -122,6 +122,46 @@ def _read_ratings_csv(c: _Ctx) -> DataFrame:
     return csv_io.read_ratings(c.spark, path)
 
 
+def _line_ratings(c: _Ctx) -> DataFrame:
+    """Every line item as a rating, so a customer's later items of a part repeat the pair."""
+    li, orders = (read_table(c.spark, c.sf_dir, t) for t in ("lineitem", "orders"))
+    rows = li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
+    day = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    return rows.select(F.col("o_custkey").cast("int").alias("userid"), F.col("l_partkey").cast("int").alias("movieid"),
+                       (F.ceil(F.col("l_quantity") / 5).cast("double") / 2).alias("rating"),
+                       (day * 86400 + F.col("l_linenumber")).alias("timestamp"), "l_shipdate", "l_orderkey", "l_linenumber")
+
+
+def _later_duplicates(c: _Ctx) -> DataFrame:
+    """All line items written in the order of their dates; the reader keeps the last of each pair."""
+    path = f"{scratch_dir(c.spark, 'raw')}/ratings.csv"
+    ordered = _line_ratings(c).orderBy("l_shipdate", "l_orderkey", "l_linenumber")
+    csv_io.write_csv(ordered.select("userid", "movieid", "rating", "timestamp"), path)
+    return csv_io.read_ratings(c.spark, path)
+
+
+def _damaged_csv(c: _Ctx) -> str:
+    """Line items as rating lines, of which some lack a field, have one too many, or words for numbers."""
+    path = f"{scratch_dir(c.spark, 'raw')}/ratings.csv"
+    n = F.col("l_linenumber")
+    line = F.concat_ws(",", "userid", F.when(n == 3, F.concat(F.lit("m"), F.col("movieid"))).otherwise(F.col("movieid").cast("string")),
+                       F.when(n == 4, F.lit("good")).otherwise(F.col("rating").cast("string")), F.when(n != 5, F.col("timestamp")),
+                       F.when(n == 6, F.lit("more")))
+    _line_ratings(c).select(line.alias("value")).write.text(path)
+    return path
+
+
+def _csv_outcome(c: _Ctx) -> DataFrame:
+    """``reason, n``: where the lines of a damaged file went; ``kept`` is the rows that are read."""
+    rows, rejects = csv_io.read_with_rejects(c.spark, _damaged_csv(c), csv_io.RATINGS, header=False)
+    count = F.count(F.lit(1)).alias("n")
+    return rows.agg(count).select(F.lit("kept").alias("reason"), "n").unionByName(rejects.groupBy("reason").agg(count))
+
+
+def _csv_rejects(c: _Ctx) -> DataFrame:
+    return csv_io.read_with_rejects(c.spark, _damaged_csv(c), csv_io.RATINGS, header=False)[1].select("reason", "text")
+
+
 def _read_titles_csv(c: _Ctx) -> DataFrame:
     path = f"{scratch_dir(c.spark, 'raw')}/titles.csv"
     csv_io.write_csv(prep.titles(c.valid), path)
@@ -281,6 +321,9 @@ def queries() -> dict[str, Query]:
         # CSV sinks and sources (write below the checkpoint folder, read back)
         "read_csv": _q(_read_csv),
         "read_ratings_csv": _q(_read_ratings_csv),
+        "later_duplicates": _q(_later_duplicates),
+        "csv_outcome": _q(_csv_outcome),
+        "csv_rejects": _q(_csv_rejects),
         "read_titles_csv": _q(_read_titles_csv),
         "export_training": _q(lambda c: _exported(c)["training"]),
         "csv_roundtrip": _q(_csv_roundtrip),

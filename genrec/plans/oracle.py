@@ -278,6 +278,15 @@ _FINAL: dict[str, tuple[str, str]] = {
         from up left join utop t on up.userid = t.userid"""),
     "read_csv": ("movies", "select * from movies"),
     "read_ratings_csv": ("ratings", "select * from ratings"),
+    "later_duplicates": ("ratings", "select * from ratings"),
+    "csv_outcome": ("ratings", """select case l_linenumber when 3 then 'movieid: no int' when 4 then 'rating: no double'
+          when 5 then 'fields' when 6 then 'fields' else 'kept' end as reason, count(*) as n from lineitem group by 1"""),
+    "csv_rejects": ("ratings", """select case l_linenumber when 3 then 'movieid: no int' when 4 then 'rating: no double' else 'fields' end as reason,
+          concat_ws(',', o_custkey, case when l_linenumber = 3 then 'm' || l_partkey else cast(l_partkey as varchar) end,
+            case when l_linenumber = 4 then 'good' else cast(cast(ceil(l_quantity / 5) as double) / 2 as varchar) end,
+            case when l_linenumber <> 5 then date_diff('day', date '1970-01-01', cast(l_shipdate as date)) * 86400 + l_linenumber end,
+            case when l_linenumber = 6 then 'more' end) as text
+        from lineitem join orders on l_orderkey = o_orderkey where l_linenumber between 3 and 6"""),
     "read_titles_csv": ("valid", "select movieid, title from valid"),
     "dropped_candidates": ("up", """select reason, count(*) as n from (
         select case when up.userid is null then 'no_favourites' when a.movieid is null then 'no_movie'
