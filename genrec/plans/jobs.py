@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genrec.operators import metrics, model, prep, recommend, serve
-from genrec.session import delete_folder, stored
+from genrec.sources.runs import Run, manifest
 from genrec.sources.views import movies_view, ratings_view
 
 
@@ -69,61 +69,44 @@ def write_prepared(spark: SparkSession, ratings: DataFrame, movies: DataFrame, f
                    movie_quantile: float = 0.7, user_low: float = 0.5, user_high: float = 0.98) -> str:
     """Job A as a sink: the five datasets as parquet with real arrays.
 
-    The input ratings are written once (``_ratings``), the ratings of
-    popular movies once (``_rated``); the filtered ratings are written
-    partitioned by ``split`` (training / test_raw) in one pass;
+    The input ratings, the ratings of popular movies and the per-movie and
+    per-user counts are written once as helpers; the filtered ratings are
+    written partitioned by ``split`` (training / test_raw) in one pass;
     everything else is derived from those written tables, so the big joins
-    run once and a lost executor never recomputes them.  Both are deleted when
-    their readers have run.
+    run once and a lost executor never recomputes them.  The folder is a
+    committed run (``sources.runs``): new, marked by a manifest at the end,
+    and without helpers whether it succeeds or fails.
     ``<folder>/ratings/split=training`` is the training dataset.
     """
-    # The movie percentile, the user band and the split are three global
-    # barriers, each needing a pass over the ratings.  The ratings (a join and
-    # an aggregate over the raw tables, or a CSV parse) are written once and
-    # every pass reads that table instead of recomputing it.
-    ratings.write.mode("errorifexists").parquet(f"{folder}/_ratings")
-    ratings = spark.read.parquet(f"{folder}/_ratings")
-    _write_prepared(spark, ratings, movies, folder, movie_quantile, user_low, user_high)
-    delete_folder(spark, f"{folder}/_ratings")
-    delete_folder(spark, f"{folder}/_rated")
+    with Run(spark, folder) as run:
+        # The movie percentile, the user band and the split are three global
+        # barriers, each needing a pass over the ratings.  The ratings (a join and
+        # an aggregate over the raw tables, or a CSV parse) are written once and
+        # every pass reads that table instead of recomputing it.
+        ratings = run.helper(ratings, "ratings")
+        valid = prep.valid_movies(movies)
+        counts = run.helper(prep.movie_counts(ratings, valid), "movie-counts")
+        # the ratings of popular movies feed the user band and the final join:
+        # written once, so the shuffle by movie id runs once
+        rated = run.helper(prep.popular_movie_ratings(ratings, valid, movie_quantile, counts), "rated")
+        active = prep.active_user_ratings(rated, user_low, user_high, run.helper(prep.user_stats(rated), "user-stats"))
+        split = F.when(F.col("timestamp") <= prep.split_cut(), F.lit("training")).otherwise(F.lit("test_raw"))
+        run.table("ratings", active.select(*_RATED, split.alias("split")), lambda df: df.write.partitionBy("split"))
+        split_ratings = spark.read.parquet(f"{folder}/ratings")
+        training = split_ratings.where(F.col("split") == "training").drop("split")
+        test_raw = split_ratings.where(F.col("split") == "test_raw").drop("split")
+        run.tables({
+            "test": prep.drop_cold(test_raw, training, counts),
+            "avg_ratings": prep.avg_ratings(training),
+            "fav_genres": prep.fav_genres(training),
+            "titles": prep.titles(valid),
+        })
     return folder
 
 
-def _write_prepared(spark, ratings, movies, folder, movie_quantile, user_low, user_high) -> None:
-    valid = prep.valid_movies(movies)
-    counts = stored(prep.movie_counts(ratings, valid), "movie-counts")
-    # the ratings of popular movies feed the user band and the final join:
-    # written once, so the shuffle by movie id runs once
-    (prep.popular_movie_ratings(ratings, valid, movie_quantile, counts)
-     .write.mode("errorifexists").parquet(f"{folder}/_rated"))
-    rated = spark.read.parquet(f"{folder}/_rated")
-    active = prep.active_user_ratings(rated, user_low, user_high, stored(prep.user_stats(rated), "user-stats"))
-    split = F.when(F.col("timestamp") <= prep.split_cut(), F.lit("training")).otherwise(F.lit("test_raw"))
-    (active.select(*_RATED, split.alias("split"))
-     .write.mode("errorifexists").partitionBy("split").parquet(f"{folder}/ratings"))
-    split_ratings = spark.read.parquet(f"{folder}/ratings")
-    training = split_ratings.where(F.col("split") == "training").drop("split")
-    test_raw = split_ratings.where(F.col("split") == "test_raw").drop("split")
-    outputs = {
-        "test": prep.drop_cold(test_raw, training, counts),
-        "avg_ratings": prep.avg_ratings(training),
-        "fav_genres": prep.fav_genres(training),
-        "titles": prep.titles(valid),
-    }
-    _write_all({f"{folder}/{name}": df for name, df in outputs.items()})
-
-
-def _write_all(tables: dict[str, DataFrame]) -> None:
-    """Write independent tables as concurrent Spark jobs (the scheduler
-    interleaves their stages; small jobs no longer leave cores idle)."""
-    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        futures = [pool.submit(df.write.mode("errorifexists").parquet, path) for path, df in tables.items()]
-        for f in futures:
-            f.result()
-
-
 def read_prepared(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The datasets written by ``write_prepared`` (training by partition pruning)."""
+    """The datasets written by ``write_prepared`` (training by partition pruning); raises if the run is not committed."""
+    manifest(spark, folder)
     out = {name: spark.read.parquet(f"{folder}/{name}") for name in PREPARED_TABLES if name != "training"}
     out["training"] = spark.read.parquet(f"{folder}/ratings").where(F.col("split") == "training").drop("split")
     return out

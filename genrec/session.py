@@ -64,17 +64,31 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """``(file system, path)`` in the JVM; ``None`` for a Connect session, which has no way there."""
+    if not hasattr(spark, "_jvm"):
+        return None
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder that a job of this package wrote, on whatever file system it is."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    """Delete a folder that a job of this package wrote, on whatever file system it is.  A Connect session
+    overwrites it with an empty table, which frees its files."""
+    at = _file_system(spark, path)
+    if at is not None:
+        at[0].delete(at[1], True)
+    else:
+        spark.createDataFrame([], "nothing int").write.mode("overwrite").parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on whatever file system it is."""
+    at = _file_system(spark, path)
+    if at is not None:
+        return at[0].exists(at[1])
     try:
-        spark.read.format("binaryFile").load(path)
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).schema  # noqa: B018
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

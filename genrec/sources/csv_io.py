@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from genrec.functions.genres import parse_pipe, pipe_string
 from genrec.session import stored
+from genrec.sources.runs import Run, manifest
 
 # Column names, types and dataset names of the hand-off files
 MOVIES = T.StructType([T.StructField("movieid", T.IntegerType()), T.StructField("title", T.StringType()),
@@ -120,8 +121,11 @@ def read_with_rejects(spark: SparkSession, path: str, schema: T.StructType, head
     return fine, read.where("_reason is not null").select(F.col("_file").alias("file"), F.col("_reason").alias("reason"), F.col("_text").alias("text"))
 
 
+_CSV = {"header": True, "quote": '"', "escape": '"'}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    df.write.mode(mode).options(**_CSV).csv(path)
 
 
 def read_movies(spark: SparkSession, path: str) -> DataFrame:
@@ -171,14 +175,21 @@ def run_folder(root: str, small: bool = False, run_id: int | None = None) -> str
 
 
 def write_prepared(tables: dict[str, DataFrame], folder: str) -> str:
-    """Write each dataset as ``<folder>/<name>.csv``; fails if it exists."""
-    for name in DATASETS:
-        write_csv(tables[name], f"{folder}/{name}.csv")
+    """Write each dataset as ``<folder>/<name>.csv``, as a committed run: the folder is new, and counts once its
+    manifest is written."""
+    with Run(tables[DATASETS[0]].sparkSession, folder) as run:
+        for name in DATASETS:
+            run.table(name, tables[name], lambda df: df.write.options(**_CSV), "csv", f"{name}.csv")
     return folder
 
 
-def read_prepared(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Read the five datasets back, lists as arrays; the last row of a (user, movie) counts."""
+def read_prepared(spark: SparkSession, folder: str, unmarked: bool = False) -> dict[str, DataFrame]:
+    """Read the five datasets back, lists as arrays; the last row of a (user, movie) counts.
+
+    A folder without a manifest is refused, unless ``unmarked`` says that it comes from elsewhere.
+    """
+    if not unmarked:
+        manifest(spark, folder)
     return {
         "avg_ratings": _lists_in(read_csv(spark, f"{folder}/avg_ratings.csv", AVG_RATINGS), "genres"),
         "test": _lists_in(_read_rated(spark, f"{folder}/test.csv"), "genres"),

@@ -62,7 +62,7 @@ def test_duplicates_in_the_test_file_do_not_multiply(spark):
             write_lines(spark, f"{folder}/{name}.csv", {"f.csv": kept if name in ("test", "training") else []},
                         "userid,movieid,rating,timestamp,genres" if name in ("test", "training") else ",".join(
                             {"avg_ratings": csv_io.AVG_RATINGS, "users_fav_genres": csv_io.FAV_GENRES, "titles": csv_io.TITLES}[name].names))
-        d = csv_io.read_prepared(spark, folder)
+        d = csv_io.read_prepared(spark, folder, unmarked=True)
         found = jobs.predict(movies, fav, d["test"])
         out.append((rows(found.accuracy), rows(metrics.rmse(found.predictions, d["test"])), rows(d["training"]), d["test"].count()))
     assert out[0] == out[1] and out[0][3] == 4
