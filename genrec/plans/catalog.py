@@ -10,7 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from genrec.operators import factors, metrics, model, neighbours, prep, recommend, serve
+from genrec.operators import factors, metrics, model, neighbours, prep, quantiles, recommend, serve
 from genrec.operators.skew import salted_lookup
 from genrec.plans import jobs
 from genrec.sources import csv_io, store
@@ -243,6 +243,17 @@ def _store(c: _Ctx) -> str:
     return name
 
 
+def _bounded_thresholds(c: _Ctx) -> DataFrame:
+    """The three thresholds by sketches; users' sketches are merged from those of parts (of a day each in a running system)."""
+    movies = stored(prep.positive_count_per_movie(c.ratings, c.valid), "movie-positives")
+    users = stored(prep.positive_count_per_user(c.popular), "user-positives")
+    parts = quantiles.quantile_sketch(users.withColumn("part", F.pmod("userid", F.lit(2))), "n_pos", ["part"])
+    whole = stored(quantiles.merged_sketch(parts), "user-sketch")
+    found = [("movie", 0.7, quantiles.exact_percentile(movies, "n_pos", 0.7))] + [
+        ("user", q, quantiles.exact_percentile(users, "n_pos", q, whole)) for q in (0.5, 0.98)]
+    return c.spark.createDataFrame(found, "what string, share double, threshold double")
+
+
 def queries() -> dict[str, Query]:
     return {
         # sources: driver tables as movies and ratings
@@ -258,6 +269,7 @@ def queries() -> dict[str, Query]:
         "positive_count_per_movie": _q(lambda c: prep.positive_count_per_movie(c.ratings, c.valid)),
         "movie_threshold": _q(lambda c: prep.movie_threshold(prep.positive_count_per_movie(c.ratings, c.valid))),
         "popular_movie_ratings": _q(lambda c: _joined(c.popular, "genres")),
+        "bounded_thresholds": _q(_bounded_thresholds),
         "positive_count_per_user": _q(lambda c: prep.positive_count_per_user(c.popular)),
         "user_band": _q(lambda c: prep.user_band(prep.user_stats(c.popular))),
         "user_time_span": _q(_time_span),

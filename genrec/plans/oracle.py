@@ -203,6 +203,8 @@ _FINAL: dict[str, tuple[str, str]] = {
         array_to_string(genres, '|') as genres from rp"""),
     "positive_count_per_user": ("rp", "select userid, count(*) as n_pos from rp where rating >= 3 group by userid"),
     "user_band": ("band", "select * from band"),
+    "bounded_thresholds": ("band", """select 'movie' as what, cast(0.7 as double) as share, threshold from thr
+        union all select 'user', 0.5, p_low from band union all select 'user', 0.98, p_high from band"""),
     "user_time_span": ("busers", "select * from busers"),
     "active_user_ratings": ("active", """select userid, movieid, rating, timestamp,
         array_to_string(genres, '|') as genres from active"""),
