@@ -14,7 +14,7 @@ from genrec.operators import factors, metrics, model, neighbours, prep, quantile
 from genrec.operators.skew import salted_lookup
 from genrec.plans import jobs
 from genrec.sources import csv_io, store
-from genrec.sources.views import movies_view, ratings_view, read_table
+from genrec.sources.views import edition_movies_view, edition_ratings_view, movies_view, ratings_view, read_table
 from genrec.session import scratch_dir, stored
 
 N = 10
@@ -32,10 +32,9 @@ def _joined(df: DataFrame, *cols: str) -> DataFrame:
 class _Ctx:
     """Building blocks for one (session, folder); ``p`` and ``popular`` write their stages once."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, views=(movies_view, ratings_view)):
         self.spark, self.sf_dir = spark, sf_dir
-        self.movies = movies_view(spark, sf_dir)
-        self.ratings = ratings_view(spark, sf_dir)
+        self.movies, self.ratings = (view(spark, sf_dir) for view in views)
         self.valid = prep.valid_movies(self.movies)
 
     @cached_property
@@ -75,6 +74,11 @@ def _q(build: Callable[[_Ctx], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(_Ctx(spark, sf_dir))
 
 
+def _editions(build: Callable[[_Ctx], DataFrame]) -> Query:
+    """The same over the editions of parts: a wide vocabulary, and movies that only test ratings know."""
+    return lambda spark, sf_dir: build(_Ctx(spark, sf_dir, (edition_movies_view, edition_ratings_view)))
+
+
 def _time_span(c: _Ctx) -> DataFrame:
     users = prep.band_users(prep.user_stats(c.popular))
     return users.select("userid", "ts_min", "ts_max", prep.split_cut().alias("cut"))
@@ -259,6 +263,18 @@ def queries() -> dict[str, Query]:
         # sources: driver tables as movies and ratings
         "movies": _q(lambda c: c.movies),
         "ratings": _q(lambda c: c.ratings),
+        # the second view: cold movies and a wide vocabulary
+        "edition_movies": _editions(lambda c: c.movies),
+        "edition_ratings": _editions(lambda c: c.ratings),
+        "edition_training": _editions(lambda c: _joined(c.p.training, "genres")),
+        "edition_test_raw": _editions(lambda c: _joined(prep.time_split(c.p.ratings)[1], "genres")),
+        "edition_cold_movies": _editions(lambda c: prep.cold_movies(*prep.time_split(c.p.ratings))),
+        "edition_test": _editions(lambda c: _joined(c.p.test, "genres")),
+        "edition_fav_genres": _editions(lambda c: _joined(c.p.fav_genres, "favgenres")),
+        "edition_genre_weights": _editions(lambda c: c.weights),
+        "edition_predictions": _editions(lambda c: c.predictions),
+        "edition_accuracy": _editions(lambda c: _accuracy(c)),
+        "edition_unseen": _editions(lambda c: jobs.recommend_unseen(c.p.avg_ratings, c.p.fav_genres, c.p.training, N)),
         # projections and filters
         "movie_year": _q(lambda c: prep.movie_years(c.movies)),
         "split_genres": _q(lambda c: _joined(prep.split_genres(c.movies), "genres")),

@@ -72,6 +72,32 @@ def ratings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     as a sort aggregate, and a ``row_number`` window sorts every line item of
     a customer in one task.
     """
+    return _latest_items(spark, sf_dir, F.col("l_partkey"))
+
+
+# Fixed values of the editions view (same text in the oracle SQL): every part has an
+# edition per year from 1995 to 2001, with id = key * 10 + years since 1995; its
+# genres are the words of the part's name and its type, capitalised.
+FIRST_EDITION, LAST_EDITION = 1995, 2001
+
+
+def edition_movies_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second raw movies table, with a wide vocabulary of genres: a movie is a part's edition of one year."""
+    part = read_table(spark, sf_dir, "part")
+    year = F.explode(F.sequence(F.lit(FIRST_EDITION), F.lit(LAST_EDITION))).alias("year")
+    rows = part.select("p_partkey", "p_name", "p_type", year)
+    genres = F.array_join(F.transform(F.concat(F.split("p_name", " "), F.array("p_type")), F.initcap), "|")
+    return rows.select((F.col("p_partkey") * 10 + F.col("year") - FIRST_EDITION).cast("int").alias("movieid"),
+                       F.concat("p_name", F.lit(" ("), F.col("year").cast("string"), F.lit(")")).alias("title"), genres.alias("genres"))
+
+
+def edition_ratings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ratings of editions: one row per (customer, part, year shipped), otherwise as ``ratings_view``.  The
+    editions of the last year are rated late in every user's time, so many are not in training."""
+    return _latest_items(spark, sf_dir, F.col("l_partkey") * 10 + F.year("l_shipdate") - FIRST_EDITION)
+
+
+def _latest_items(spark: SparkSession, sf_dir: str, movie: Column) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -80,7 +106,7 @@ def ratings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (days.cast("decimal(7,0)") * _pow10(29)
            + F.col("l_orderkey").cast("decimal(19,0)") * _pow10(10)
            + F.col("l_linenumber").cast("decimal(10,0)")).cast("decimal(38,0)")
-    latest = (joined.select(F.col("o_custkey").alias("userid"), F.col("l_partkey").alias("movieid"),
+    latest = (joined.select(F.col("o_custkey").alias("userid"), movie.alias("movieid"),
                             "l_quantity", key.alias("key"))
               .groupBy("userid", "movieid")
               .agg(F.max_by("l_quantity", "key").alias("qty"), F.max("key").alias("k")))

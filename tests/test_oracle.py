@@ -21,6 +21,15 @@ def con():
     return c
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_stages():
+    """Queries over the same tables share their written stages; each has its own in use."""
+    made, real = {}, catalog._Ctx
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(catalog, "_Ctx", lambda *a: made.setdefault(a[1:], None) or made.update({a[1:]: real(*a)}) or made[a[1:]])
+        yield
+
+
 def test_every_query_has_sql():
     assert set(oracle.oracle_sql()) == set(NAMES)
     assert set(catalog.queries()) <= set(E.queries())
