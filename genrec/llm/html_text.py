@@ -11,7 +11,8 @@ into layouts whose parts are known (articles in many containers, menus,
 sidebars, notices, adverts, forms, comments).
 
 Defined cases: a null or empty page, or one without article blocks, has an
-empty text; broken markup is parsed as far as it goes; repeated rows are parsed
+empty text; broken markup is parsed as far as it goes (a block ends a drawing
+left open, an unknown marked section is passed over); repeated rows are parsed
 alike; an empty table gives an empty result.
 """
 
@@ -24,16 +25,14 @@ from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genrec.llm.common import arrow_batch_rows
-
 SAMPLE_PAGES = 200             # pages whose sentences fill the labelled layouts
+SAMPLE_CHARS = 1_000_000       # of one of them, at most
 LAYOUTS = 500                  # labelled pages the field is trained on
 EPOCHS = 80
-BATCH_ROWS = 200
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset("script style noscript template head title svg math iframe object canvas audio video".split())
@@ -47,61 +46,106 @@ SAME_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",
 SCOPES = frozenset("article aside body div dl footer form header main nav ol section table ul".split())
 
 
+INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup "
+                   "time tt u var wbr picture".split())
+FOREIGN = frozenset(("svg", "math"))
+LABEL = "data-article-label"   # the mark of labelled pages
+
+
 @dataclass
 class Block:
     text: str
-    tags: tuple[str, ...]
+    tags: frozenset[str]
     names: frozenset[str]
     linked: float
     label: int | None = None
     features: list[str] = field(default_factory=list)
+    own: str = ""
+    named: bool = False
+
+
+@dataclass(slots=True)
+class _Open:
+    """An open element with what its descendants inherit: the sets are shared with the parent unless they grow."""
+    tag: str
+    tags: frozenset[str]
+    names: frozenset[str]
+    named: bool
+    label: str | None
+    hidden: int
+    links: int
+    scope: int                 # the place of the innermost element that ends a search for open elements
+    foreign: int               # the place of the outermost open svg or math, or -1
+
+
+_OUTSIDE = _Open("", frozenset(), frozenset(), False, None, 0, 0, -1, -1)
+
+
+def _words(attrs: list[tuple[str, str | None]]) -> list[str]:
+    got = dict(attrs)
+    words = " ".join(v for k in ("class", "id", "role", "aria-label") if (v := got.get(k)))
+    return [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", words).lower()) if w]
 
 
 class _Parser(HTMLParser):
-    def __init__(self) -> None:
+    """Work and memory are linear in the page: an element inherits counts and sets, and open elements of a tag are found by
+    their place.  ``marked`` pages are labelled by the attribute ``LABEL``, which other pages may hold as they like."""
+
+    def __init__(self, marked: bool = False) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, tuple[str, ...], str | None]] = []
-        self.hidden = 0
+        self.marked = marked
+        self.stack: list[_Open] = []
+        self.places: dict[str, list[int]] = {}
         self.parts: list[str] = []
         self.link_chars = 0
         self.blocks: list[Block] = []
         self.title: list[str] = []
 
+    def _top(self) -> _Open:
+        return self.stack[-1] if self.stack else _OUTSIDE
+
     def _flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            names = frozenset(n for _, own, _ in self.stack for n in own)
-            label = next((x for _, _, x in reversed(self.stack) if x is not None), None)
-            self.blocks.append(Block(text, tuple(t for t, _, _ in self.stack), names,
-                                     min(1.0, self.link_chars / max(1, len(text))), None if label is None else int(label)))
+            top = self._top()
+            self.blocks.append(Block(text, top.tags, top.names, min(1.0, self.link_chars / max(1, len(text))),
+                                     None if top.label is None else int(top.label), own=top.tag, named=top.named))
         self.parts, self.link_chars = [], 0
 
+    def _close_from(self, place: int) -> None:
+        for x in self.stack[place:]:
+            self.places[x.tag].pop()
+        del self.stack[place:]
+
     def _pop_to(self, names: tuple[str, ...]) -> None:
         """Close the innermost open element of ``names`` that no scope separates from here."""
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] in names:
-                del self.stack[k:]
-                return
-            if self.stack[k][0] in SCOPES:
-                return
+        place = max((at[-1] for t in names if (at := self.places.get(t))), default=-1)
+        if place >= 0 and place >= self._top().scope:
+            self._close_from(place)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCK:
             self._flush()
+            if self._top().foreign >= 0 and tag != "title":
+                self._close_from(self._top().foreign)      # a block ends a drawing that was left open
         if tag in VOID:
             return
         if tag == "body":
-            self.stack = [x for x in self.stack if x[0] == "html"]
-            self.hidden = 0
+            kept = self.stack[:1] if self.stack and self.stack[0].tag == "html" else []
+            self._close_from(len(kept))
         if tag in ENDS_PARAGRAPH:
             self._pop_to(("p",))
         if tag in SAME_ENDS:
             self._pop_to(SAME_ENDS[tag])
-        got = dict(attrs)
-        words = " ".join(v for k in ("class", "id", "role", "aria-label") if (v := got.get(k)))
-        own = tuple(w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", words).lower()) if w)
-        self.stack.append((tag, own, got.get("data-article-label")))
-        self.hidden += tag in UNSEEN
+        top, place, own = self._top(), len(self.stack), _words(attrs)
+        known = NAMES.intersection(own)
+        label = dict(attrs).get(LABEL) if self.marked else None
+        self.stack.append(_Open(
+            tag, top.tags if tag in top.tags or tag not in ELEMENTS else top.tags | {tag},
+            top.names if known <= top.names else top.names | known, top.named or bool(own), top.label if label is None else label,
+            top.hidden + (tag in UNSEEN), top.links + (tag == "a"), place if tag in SCOPES or tag in UNSEEN else top.scope,
+            place if tag in FOREIGN and top.foreign < 0 else top.foreign))
+        self.places.setdefault(tag, []).append(place)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCK:
@@ -110,25 +154,28 @@ class _Parser(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCK:
             self._flush()
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == tag:
-                self.hidden -= sum(t in UNSEEN for t, _, _ in self.stack[k:])
-                del self.stack[k:]
-                return
+        if self.places.get(tag):
+            self._close_from(self.places[tag][-1])
 
     def handle_data(self, data: str) -> None:
-        if self.hidden > 0:
-            if self.stack[-1][0] == "title":
+        top = self._top()
+        if top.hidden:
+            if top.tag == "title":
                 self.title.append(data)
             return
         self.parts.append(data)
-        if any(t == "a" for t, _, _ in self.stack):
+        if top.links:
             self.link_chars += len(data)
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """A marked section of whatever name is passed over up to its end."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
 
-def leaf_blocks(html: str | None) -> list[Block]:
+def leaf_blocks(html: str | None, marked: bool = False) -> list[Block]:
     """The leaf blocks of a whole page, in page order, with their features."""
-    p = _Parser()
+    p = _Parser(marked)
     p.feed(html or "")
     p.close()
     p._flush()
@@ -140,12 +187,12 @@ def leaf_blocks(html: str | None) -> list[Block]:
 
 def _features(b: Block, title: str, i: int, n: int) -> list[str]:
     words = b.text.split()
-    out = ["bias", f"own={b.tags[-1] if b.tags else ''}", f"words={min(6, len(words).bit_length())}",
+    out = ["bias", f"own={b.own}", f"words={min(6, len(words).bit_length())}",
            f"link={int(b.linked * 4)}", f"end={b.text[-1] in '.!?…:;'}", f"comma={min(3, b.text.count(','))}"]
-    out += [f"in={t}" for t in set(b.tags)]
-    out += [f"name={w}" for w in b.names]
-    out += [f"name+{t}={w}" for w in b.names for t in set(b.tags) & {"article", "main"}]
-    if not b.names:
+    out += [f"in={t}" for t in sorted(b.tags)]
+    out += [f"name={w}" for w in sorted(b.names)]
+    out += [f"name+{t}={w}" for w in sorted(b.names) for t in sorted(b.tags & {"article", "main"})]
+    if not b.named:
         out.append("unnamed")
     if any(c in b.text for c in "©®|»·"):
         out.append("sign")
@@ -180,12 +227,18 @@ OTHERS = {
 }
 
 
+ELEMENTS = BLOCK | INLINE
+# the words of the layouts' class names and ids; others are in no labelled page, so they would have no weight
+NAMES = frozenset(w for opening in (*CONTAINERS, *(x for xs in OTHERS.values() for x in xs), '<div class="wrapper">', '<div id="page">')
+                  for v in re.findall(r'"([^"]*)"', opening) for w in _words([("class", v)]))
+
+
 def _closing(opening: str) -> str:
     return "".join(f"</{t}>" for t in reversed(re.findall(r"<([a-z0-9]+)", opening)))
 
 
 def _layout(rng: random.Random, sentences: list[str]) -> str:
-    """One page with ``data-article-label`` on its parts."""
+    """One page with ``LABEL`` on its parts."""
     def text(low: int, high: int) -> str:
         words = " ".join(rng.choice(sentences) for _ in range(3)).split()
         n = rng.randint(low, high)
@@ -194,7 +247,7 @@ def _layout(rng: random.Random, sentences: list[str]) -> str:
         return " ".join(words[:n]).replace("&", "&amp;").replace("<", "&lt;")
 
     def mark(opening: str, label: int) -> str:
-        return re.sub(r">$", f' data-article-label="{label}">', opening)
+        return re.sub(r">$", f' {LABEL}="{label}">', opening)
 
     def other(kind: str) -> str:
         opening = rng.choice(OTHERS[kind])
@@ -245,7 +298,7 @@ def labelled_pages(sample: list[str], n: int = LAYOUTS, seed: int = 11) -> list[
     """``n`` labelled pages with sentences of the pages in ``sample``."""
     sentences = [b.text for html in sample for b in leaf_blocks(html) if len(b.text) > 2] or ["One two three."]
     rng = random.Random(seed)
-    return [leaf_blocks(_layout(rng, sentences)) for _ in range(n)]
+    return [leaf_blocks(_layout(rng, sentences), marked=True) for _ in range(n)]
 
 
 # ---- the field
@@ -335,27 +388,28 @@ def main_text(html: str | None, model: Field) -> str:
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Field:
-    """A field trained on layouts filled from at most ``sample`` pages, chosen by a hash; collects those."""
+    """A field trained on layouts filled from at most ``sample`` pages of up to ``SAMPLE_CHARS`` characters, the first by
+    a hash; collects those."""
     # the bound of the sample comes from a narrow scan; only sampled pages reach the driver
-    key = F.xxhash64("page_id", "url")
-    keys = [r[0] for r in pages.where("html is not null").select(key.alias("k")).orderBy("k").limit(sample).collect()]
+    key = F.xxhash64("page_id", "url").alias("k")
+    short = pages.where(F.char_length("html") <= SAMPLE_CHARS)
+    keys = [r[0] for r in short.select(key).orderBy("k").limit(sample).collect()]
     if not keys:
         return train(labelled_pages([]))
-    got = pages.where(F.col("html").isNotNull() & (key <= keys[-1])).select("html").limit(sample).collect()
+    got = short.select(key, "html").where(F.col("k") <= keys[-1]).orderBy("k", "html").limit(sample).collect()
     return train(labelled_pages([r["html"] for r in got]))
 
 
 def extract(pages: DataFrame, model: Field | None = None) -> DataFrame:
-    """``page_id, url, text, n_chars`` of every row; without ``model``, one is fitted first."""
-    spark = pages.sparkSession
-    arrow_batch_rows(spark, BATCH_ROWS)
+    """``page_id, url, text, n_chars`` of every row; without ``model``, one is fitted first.  Ids pass through as they are."""
     used = model or fit(pages)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            b["page_id"] = b["page_id"].astype("Int64")
-            b["text"] = [main_text(h, used) for h in b.pop("html")]
-            yield b
+            texts = [main_text(h.as_py(), used).encode("utf-8", "replace").decode() for h in b.column("html")]
+            yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string())],
+                                             names=["page_id", "url", "text"])
 
-    rows = pages.select(F.col("page_id").cast("long"), "url", "html").mapInPandas(run, "page_id long, url string, text string")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(
+        run, "page_id long, url string, text string")
     return rows.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -12,7 +12,8 @@ on a call that does), ``unknown_tool``, ``invalid_arguments``, else ``ok``.
 
 Defined cases: rows without ``conv_id`` or identifier link with nothing and are
 left out; equal rows count once; a dependency that names no call of the
-conversation does not bear on the order; null or malformed arguments are invalid; a null result
+conversation does not bear on the order; null or malformed arguments, and those with numbers out
+of range, halves of surrogate pairs or nesting too deep to check, are invalid and kept as their text; a null result
 is ``null``; an empty table gives an empty result.
 """
 
@@ -65,7 +66,7 @@ def canonical(value: object) -> str:
 def _is(value: object, kind: str) -> bool:
     number = isinstance(value, (int, float)) and not isinstance(value, bool)
     return {"object": isinstance(value, dict), "array": isinstance(value, list), "string": isinstance(value, str),
-            "number": number, "integer": number and float(value).is_integer(), "boolean": isinstance(value, bool),
+            "number": number, "integer": number and (isinstance(value, int) or value.is_integer()), "boolean": isinstance(value, bool),
             "null": value is None}.get(kind, False)
 
 
@@ -116,11 +117,21 @@ def _parsed(text: str | None) -> tuple[object, bool]:
         raise ValueError(name)
 
     try:
-        return json.loads(text or "", object_pairs_hook=once, parse_constant=no_constant), True
+        value = json.loads(text or "", object_pairs_hook=once, parse_constant=no_constant)
+        # numbers out of range, halves of surrogate pairs and nesting beyond the stack have no canonical text
+        canonical(value).encode()
+        return value, True
     except (ValueError, RecursionError):
         return None, False
 
 
+def _fits(value: object, schema: dict) -> bool:
+    try:
+        return valid(value, schema)
+    except RecursionError:
+        return False
+
+
 # ---- calls and results of a conversation table
 
 def exchanges(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -231,7 +242,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
                 own = r.status
                 if not own:
                     own = "unknown_tool" if r.name not in schemas else (
-                        "ok" if fine and valid(arguments, schemas[r.name]) else "invalid_arguments")
+                        "ok" if fine and _fits(arguments, schemas[r.name]) else "invalid_arguments")
                 status.append(own)
                 texts.append(canonical({
                     "id": r.call_id, "name": r.name, "arguments": arguments if fine else r.arguments,

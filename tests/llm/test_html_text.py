@@ -50,6 +50,43 @@ def test_blocks_of_broken_markup():
     assert q.leaf_blocks(None) == [] and q.leaf_blocks("") == [] and q.leaf_blocks("<html><script>never closed") == []
 
 
+ARTICLE = "<article><h1>Title of it</h1><p>One long sentence about things, and more.</p>{}<p>Two stays, with a few more words.</p></article>"
+
+
+@pytest.mark.parametrize("inside", [
+    "<p>One.<noscript><p><img></p></noscript></p>", "<p>One.<svg><p></p>", "<p>One.<math><mi>x", "<![foo[x]]><p>One.", "<![CDATA[x]]><p>One.",
+    '<div data-article-label="x"><p>One.</p></div>', "<p>One.<template><div><p>no</template>", "<p>One.</b></i></span></p>", "<p>One.<object><p>no</object>"])
+def test_no_text_is_lost_after_odd_markup(inside):
+    texts = [b.text for b in q.leaf_blocks(ARTICLE.format(inside))]
+    assert texts[0] == "Title of it" and texts[-1] == "Two stays, with a few more words." and "One." in texts and "no" not in texts
+
+
+def test_marks_count_in_labelled_pages_only():
+    page = '<div data-article-label="1"><p>x</p></div>'
+    assert [b.label for b in q.leaf_blocks(page)] == [None] and [b.label for b in q.leaf_blocks(page, marked=True)] == [1]
+
+
+@pytest.mark.parametrize("opening, closing", [("<div>", ""), ('<div class="menu x">', "</nav>"), ("<b>", "<p>t</p></i>"), ("<p><b>", "")])
+def test_depth_costs_no_squares(opening, closing):
+    import time
+
+    def took(n):
+        start = time.perf_counter()
+        blocks = q.leaf_blocks((opening + "t " + closing) * n)
+        return time.perf_counter() - start, len(blocks)
+
+    took(500)
+    small, large = took(5000), took(40000)
+    assert large[0] < 30 * max(small[0], 0.01) and large[1] >= 1
+
+
+def test_ids_next_to_null_ids(spark):
+    rows = [(9007199254740993, "u", "<p>x"), (None, "u", "<p>y")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = q.extract(df, q.train(q.labelled_pages([], 50))).collect()
+    assert sorted((r.page_id is None, r.page_id) for r in got) == [(False, 9007199254740993), (True, None)]
+
+
 def test_edges(spark):
     long = "<article><p>" + "word " * 50000 + "</p></article>"
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<<<>>&&"), (None, "u", "<p>x"), (4, "u", long), (4, "u", long)]

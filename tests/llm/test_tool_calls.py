@@ -68,6 +68,19 @@ def test_embedded_calls_and_edges(spark):
     assert q.link_conversations(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("arguments, status", [
+    ('{"x":1e400}', "invalid_arguments"), ('{"x":' + "9" * 400 + "}", "ok"), ('{"x":"\\ud800"}', "invalid_arguments"),
+    ('{"x":' + "[" * 1500 + "]" * 1500 + "}", "invalid_arguments"), ('{"x":' + "[" * 200 + "]" * 200 + "}", "invalid_arguments"),
+    ('{"x":' + "9" * 5000 + "}", "invalid_arguments"), ('{"x":-1e-400}', "ok"), ("[" * 100000, "invalid_arguments")])
+def test_odd_arguments_end_no_job(spark, arguments, status):
+    calls = spark.createDataFrame([(1, 1, "a", "t", arguments, None), (1, 2, "b", "t", '{"x":1}', None)], CALLS)
+    results = spark.createDataFrame([(1, 3, "a", "r"), (1, 4, "b", "r")], RESULTS)
+    got = {r.call_id: r for r in q.link(calls, results, TOOLS).collect()}
+    assert got["a"].status == status and got["b"].status == "ok"
+    if status == "invalid_arguments" and len(arguments) < 1000:
+        assert json.loads(got["a"].json)["arguments"] in (arguments, json.loads(arguments))
+
+
 @pytest.mark.parametrize("value, text", [
     ({"b": 1.0, "a": [True, None, 1.5]}, '{"a":[true,null,1.5],"b":1}'), ({"\U00010000": 1, "￿": 2}, '{"\U00010000":1,"￿":2}'),
     ("é\n\"", '"é\\n\\""'), (10 ** 20, "100000000000000000000")])
