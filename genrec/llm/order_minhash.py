@@ -237,11 +237,15 @@ def links(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Dat
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             s = [np.asarray(x, dtype=np.int64) for x in b["s"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "node": b["node"].astype("Int64"),
+            yield pd.DataFrame({"doc_id": b["doc_id"], "none": b["none"], "node": b["node"],
                                 "n": [len(x) for x in s], "keys": [sketch_keys(x) if len(x) else [] for x in s]})
 
-    sketched = materialise(source.select("doc_id", "node", shingles(F.col("text")).alias("s")).mapInPandas(
-        sketch, "doc_id long, node long, n int, keys array<long>"), "omh-sketches")
+    # ids travel as whole numbers beside the mark of a null: a column with nulls would become floating
+    doc = F.col("doc_id").cast("long")
+    sketched = materialise(source.select(F.coalesce(doc, F.lit(0)).alias("doc_id"), doc.isNull().alias("none"), "node",
+                                         shingles(F.col("text")).alias("s")).mapInPandas(
+        sketch, "doc_id long, none boolean, node long, n int, keys array<long>").withColumn(
+        "doc_id", F.when(~F.col("none"), F.col("doc_id"))).drop("none"), "omh-sketches")
     members = sketched.select("doc_id", F.when(F.col("n") > 0, F.col("node")).alias("node"))
     # one row for each text: copies have equal sketches, and collapse before the shuffle
     distinct = sketched.where("n > 0").select("node", "n", "keys").dropDuplicates(["node"])
