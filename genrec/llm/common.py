@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +65,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Numbers(dict):
+    """Numbers strings in the order in which they are first looked up; ``new`` collects those since it was emptied."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
+
+    def of(self, keys: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+
+
 def arrow_batch_rows(spark: SparkSession, rows: int) -> None:
     """At most ``rows`` rows in an Arrow batch sent to Python.
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genrec.llm.common import arrow_batch_rows, materialise
+from genrec.llm.common import Numbers, arrow_batch_rows, materialise
 from genrec.session import scratch_dir
 
 MAGIC = b"FRVB1\0\0\0"
@@ -58,46 +58,45 @@ class WordEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[str, int] = {}
-        self.parts: dict[str, list[int]] = {}
-        self.flat = np.empty(0, np.uint32)
-        self.starts = np.zeros(1, np.int64)
+        self.known, self.parts = Numbers(), Numbers()
+        self.parts.of([""])                          # the second part of a word that is left whole
+        self.parts.new = []
+        self.pair = np.empty((0, 2), np.int64)       # the parts of each word
+        self.flat = np.empty(0, np.uint32)           # ids of all parts one after another
+        self.starts = np.zeros(2, np.int64)
 
     def _learn(self, new: list[str]) -> None:
         """Add words.  Of a word in Latin characters, what goes up to its last letter (in lower
         case, as the tokenizer makes it) and the signs after it are looked up
         apart, for the tokenizer cuts between a letter and a sign; a word with one
         of its added tokens is left whole."""
-        if len(self.parts) > CACHE_WORDS // 3:
-            self.parts = {}
-        whole = self.added.search
-        cut = [(w,) if (m := _SIGNS_AFTER.fullmatch(w)) is None or whole(w) else (m[1].lower(), m[2]) for w in new]
-        missing = list(dict.fromkeys(p for x in cut for p in x if p not in self.parts))
-        self.parts.update(zip(missing, (e.ids for e in self.tokenizer.encode_batch_fast(
-            missing, add_special_tokens=False)), strict=True))
-        got = [self.parts[x[0]] if len(x) == 1 else self.parts[x[0]] + self.parts[x[1]] for x in cut]
-        first = len(self.known)
-        self.known.update(zip(new, range(first, first + len(new)), strict=True))
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(got), np.uint32)])
-        ends = self.starts[-1] + np.cumsum([len(x) for x in got], dtype=np.int64)
-        self.starts = np.concatenate([self.starts, ends])
+        whole, cut = self.added.search, []
+        for w in new:
+            m = _SIGNS_AFTER.fullmatch(w)
+            cut += (w, "") if m is None or whole(w) else (m[1].lower(), m[2])
+        self.pair = np.concatenate([self.pair, self.parts.of(cut).reshape(-1, 2)])
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(self.parts.new, add_special_tokens=False)]
+        self.parts.new = []
+        n = np.fromiter(map(len, got), np.int64, len(got))
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(got), np.uint32, int(n.sum()))])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(n)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        flat_words = [w for s in split for w in s]
-        new = list(set(flat_words).difference(self.known))
-        if len(self.known) + len(new) > CACHE_WORDS:
+        if not texts:
+            return []
+        if len(self.known) > CACHE_WORDS:
             self._reset()
-            new = list(set(flat_words))
-        if new:
-            self._learn(sorted(new))
-        at = np.fromiter(map(self.known.__getitem__, flat_words), np.int64, len(flat_words))
-        lengths = self.starts[at + 1] - self.starts[at]
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        at = self.known.of(list(chain.from_iterable(split)))
+        if self.known.new:
+            self._learn(self.known.new)
+            self.known.new = []
+        part = self.pair[at].ravel()
+        lengths = self.starts[part + 1] - self.starts[part]
         ends = np.cumsum(lengths)
-        gather = np.repeat(self.starts[at] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
-        ids = self.flat[gather]
+        gather = np.repeat(self.starts[part] - (ends - lengths), lengths) + np.arange(ends[-1])
         cuts = np.cumsum([len(s) for s in split])[:-1]
-        return np.split(ids, ends[cuts - 1]) if len(texts) else []
+        return np.split(self.flat[gather], ends[2 * cuts - 1])
 
 
 @lru_cache(maxsize=2)
@@ -137,7 +136,7 @@ def unpack(payload: bytes) -> np.ndarray:
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int = 1, partitions: int | None = None) -> DataFrame:
-    """``part, doc_id, first, n_tokens, ids`` of every row, written and reread.
+    """``part, doc_id, none, first, n_tokens, ids`` of every row, written and reread; ``none`` marks a null ``doc_id``.
 
     Rows are range-partitioned by ``doc_id``; ``part`` numbers the ranges in
     ascending order and ``first`` counts the ids before a document in its
@@ -157,14 +156,16 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = 1, partitions: int | N
             n_tokens = np.array([len(x) for x in ids], dtype=np.int64)
             first = done + np.cumsum(n_tokens) - n_tokens
             done += int(n_tokens.sum())
-            yield pd.DataFrame({"part": b["part"], "doc_id": b["doc_id"].astype("Int64"), "first": first,
+            yield pd.DataFrame({"part": b["part"], "doc_id": b["doc_id"], "none": b["none"], "first": first,
                                 "n_tokens": n_tokens, "ids": [x.tobytes() for x in ids]})
 
-    ordered = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
                .withColumn("tie", F.xxhash64("text"))
                .repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text"))
-    rows = ordered.select(F.spark_partition_id().alias("part"), "doc_id", "text").mapInPandas(
-        run, "part int, doc_id long, first long, n_tokens long, ids binary")
+    # ids travel as whole numbers beside the mark of a null: a column with nulls would become floating
+    rows = ordered.select(F.spark_partition_id().alias("part"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"),
+                          F.col("doc_id").isNull().alias("none"), "text").mapInPandas(
+        run, "part int, doc_id long, none boolean, first long, n_tokens long, ids binary")
     return materialise(rows, "token-ids")
 
 
@@ -215,20 +216,20 @@ def write_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1,
         held: list[tuple] = []
 
         def block() -> pd.DataFrame:
-            ranks = rank_of[np.concatenate([np.frombuffer(x[4], kind) for x in held])]
+            ranks = rank_of[np.concatenate([np.frombuffer(x[5], kind) for x in held])]
             return pd.DataFrame({
-                "part": [held[0][0]], "start": [before[held[0][0]] + held[0][2]],
-                "doc_ids": [[None if pd.isna(x[1]) else int(x[1]) for x in held]],
-                "n_tokens": [[x[3] for x in held]], "payload": [pack(ranks)]})
+                "part": [held[0][0]], "start": [before[held[0][0]] + held[0][3]],
+                "doc_ids": [[None if x[2] else x[1] for x in held]],
+                "n_tokens": [[x[4] for x in held]], "payload": [pack(ranks)]})
 
         size = 0
         for b in batches:
             for row in b.itertuples(index=False):
-                if held and (row[0] != held[0][0] or row[2] != held[-1][2] + held[-1][3] or size >= BLOCK_IDS):
+                if held and (row[0] != held[0][0] or row[3] != held[-1][3] + held[-1][4] or size >= BLOCK_IDS):
                     yield block()
                     held, size = [], 0
                 held.append(tuple(row))
-                size += row[3]
+                size += row[4]
         if held:
             yield block()
 

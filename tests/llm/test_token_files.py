@@ -62,3 +62,9 @@ def test_files(spark, docs, monkeypatch):
     got = {(r.doc_id, r.ids_crc32) for r in q.digest(df, PATH).collect()}
     assert (9, q.crc32([*whole.encode("another", add_special_tokens=False).ids, 1])) in got and len(got) == 7
     assert q.digest(docs([]), PATH).count() == 0
+
+
+def test_ids_next_to_null_ids(spark):
+    rows = [(9007199254740993, "one two"), (None, "three"), (9007199254740992, "")]
+    got = {r.doc_id: r.n_tokens for r in q.digest(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect()}
+    assert set(got) == {None, 9007199254740992, 9007199254740993} and got[9007199254740992] == 1
