@@ -14,7 +14,7 @@ The inclusion score of a segmentation is the probability that it is perturbed
 above the best value left out.
 
 Where two characters stand together in no piece, the lattice falls apart, so it
-is a chain of small lattices, and parts of a batch that are alike share one.  Random numbers are
+is a chain of small lattices, and parts that are alike share one (``Lexicon``).  Random numbers are
 hashes of the row key, the round, the word's place and the step.
 
 Defined cases: a null or empty text has one segmentation, without pieces; a
@@ -33,15 +33,16 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from genrec.llm.common import arrow_batch_rows
+from genrec.llm.common import Numbers, arrow_batch_rows
 
 SAMPLES = 3
 SHARPNESS = 1.0
 BATCH_ROWS = 768
-CHUNK_CHARS = 2_500_000        # texts are worked on together up to this size
+CHUNK_CHARS = 800_000          # texts are worked on together up to this size
+LEXICON_CHARS = 1_000_000      # of the parts of words that a worker remembers
 SPACE = "▁"
 NONE = np.float64(-np.inf)
 
@@ -95,6 +96,7 @@ class Pieces:
         self.byte_flat = np.frombuffer(b"".join(self.bytes), np.uint8)
         self.byte_start = np.cumsum(lengths) - lengths
         self.byte_length = lengths
+        self.lexicon = Lexicon(self)
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         """The bytes of the pieces, without the space that encoding puts first."""
@@ -118,6 +120,15 @@ _WORD = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
 
 def text_words(text: str) -> list[str]:
     """The text as the lattice sees it, cut where no piece reaches over."""
+    spaced = " " + text
+    if text and "  " not in spaced and SPACE not in text:
+        # single spaces only: a split at plain characters gives the same words
+        out: list[str] = []
+        for line in spaced.split("\n"):
+            head, *rest = line.split(" ")
+            out += ["\n", head] if head else ["\n"]
+            out += [SPACE + w for w in rest]
+        return out[1:]
     return _WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
@@ -219,7 +230,53 @@ def lattice(words: list[str], pieces: Pieces) -> Lattice:
         down = np.flatnonzero(count - 1 - nth == k)
         above[down] = above[down + 1] + p[down + 1]
     reach = np.where(nth == count - 1, place + 1.0, place + below + p)
-    return Lattice(ids, c, logp, below + above, reach, to, first, place, number[end - length] if n else end)
+    narrow = (x.astype(np.int32) for x in (ids, c))
+    return Lattice(*narrow, logp, below + above, reach, to.astype(np.int32), first, place.astype(np.int32), number[end - length] if n else end)
+
+
+class Lexicon:
+    """The lattices of the words met so far, and of which parts each word consists.
+
+    Words recur from batch to batch, so a worker builds a part's lattice once.
+    It starts anew when the parts exceed ``LEXICON_CHARS``, before a batch.
+    """
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        self._reset()
+
+    def _reset(self) -> None:
+        self.word, self.unit = Numbers(), Numbers()
+        self.chars = 0
+        self.lattice = lattice([], self.pieces)
+        self.units = np.empty(0, np.int64)       # the parts of all words one after another
+        self.count = np.empty(0, np.int64)       # how many each word has
+
+    def look_up(self, spelled: list[str]) -> np.ndarray:
+        """The number of each word; new words are added."""
+        if self.chars > LEXICON_CHARS:
+            self._reset()
+        numbers = self.word.of(spelled)
+        if self.word.new:
+            names, unit, count = _units(self.word.new, self.pieces)
+            known = self.unit.of(names)
+            self.lattice = _joined(self.lattice, lattice(self.unit.new, self.pieces))
+            self.chars += sum(map(len, self.unit.new))
+            self.units = np.concatenate([self.units, known[unit]])
+            self.count = np.concatenate([self.count, count])
+            self.word.new, self.unit.new = [], []
+        return numbers
+
+
+def _joined(a: Lattice, b: Lattice) -> Lattice:
+    """The lattices of ``a`` and then those of ``b``, whose places and arcs are numbered on."""
+    places, arcs = len(a.first) - 1, len(a.ids)
+    return Lattice(
+        np.concatenate([a.ids, b.ids]), np.concatenate([a.code, b.code]), np.concatenate([a.logp, b.logp]),
+        np.concatenate([a.other, b.other]), np.concatenate([a.reach, b.reach + places]),
+        np.concatenate([a.to, np.where(b.to >= 0, b.to + places, -1).astype(np.int32)]),
+        np.concatenate([a.first[:-1], b.first + arcs]), np.concatenate([a.place, (b.place + places).astype(np.int32)]),
+        np.concatenate([a.start, b.start + places]))
 
 
 def _ranges(ranked: np.ndarray) -> list[tuple[int, int]]:
@@ -294,7 +351,7 @@ def _branch(lat: Lattice, node: _Set, u: float) -> tuple[int, tuple[int, ...], f
     p = lat.place[node.path.arc[node.at]]
     arcs = np.arange(lat.first[p], lat.first[p + 1])
     odds = np.exp(lat.logp[arcs])
-    odds[np.isin(arcs, node.excluded)] = 0.0
+    odds[[x - arcs[0] for x in node.excluded]] = 0.0
     c = np.cumsum(odds)
     k = int(min(np.searchsorted(c, u * c[-1], "right"), np.flatnonzero(odds)[-1]))
     odds[k] = 0.0
@@ -305,11 +362,9 @@ def sample(texts: list[str], keys: list[int], pieces: Pieces, k: int = SAMPLES,
            ) -> list[list[tuple[np.ndarray, float, float]]]:
     """For each text up to ``k`` of (piece ids, log-probability, log inclusion score), best perturbed first."""
     split = [text_words(t) for t in texts]
-    spelled = [w for s in split for w in s]
-    index = {w: i for i, w in enumerate(dict.fromkeys(spelled))}
-    units, unit, count = _units(list(index), pieces)
-    lat = lattice(units, pieces)
-    word = np.fromiter(map(index.__getitem__, spelled), np.int64, len(spelled))
+    lexicon = pieces.lexicon
+    word = lexicon.look_up([w for s in split for w in s])
+    lat, unit, count = lexicon.lattice, lexicon.units, lexicon.count
     ends = np.cumsum(count[word])
     before = (np.cumsum(count) - count)[word]
     start = lat.start[unit[np.repeat(before - (ends - count[word]), count[word]) + np.arange(ends[-1] if len(ends) else 0)]]
@@ -438,25 +493,30 @@ def encode(docs: DataFrame, model: str, k: int = SAMPLES, sharpness: float = SHA
             for b in _chunks(batch):
                 texts = b["text"].tolist()
                 rows = []
-                for doc, text, got in zip(b["doc_id"], texts, sample(texts, b["key"].tolist(), pieces, k), strict=True):
+                for doc, none, text, got in zip(b["doc_id"].tolist(), b["none"].tolist(), texts, sample(texts, b["key"].tolist(), pieces, k), strict=True):
                     plain = text.replace(SPACE, " ").encode("utf-8", "surrogatepass") if digest else b""
                     for i, (ids, logp, score) in enumerate(got):
-                        row = [None if pd.isna(doc) else int(doc), i + 1, len(ids), logp, score]
+                        row = [doc, none, i + 1, len(ids), logp, score]
                         if digest:
                             row += [zlib.crc32(ids.astype("<u4").tobytes()), pieces.decode_bytes(ids) == plain]
                         else:
                             row.append(ids.astype(kind).tobytes())
                         rows.append(row)
-                out = pd.DataFrame(rows, columns=names)
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+                yield pd.DataFrame(rows, columns=names)
 
-    schema = "doc_id long, sample int, n_tokens long, log_prob double, log_inclusion double, " + (
+    # ids travel as whole numbers beside the mark of a null: a column with nulls would become floating
+    schema = "doc_id long, none boolean, sample int, n_tokens long, log_prob double, log_inclusion double, " + (
         "ids_crc32 long, round_trip boolean" if digest else "ids binary")
     names = [x.split()[0] for x in schema.split(", ")]
     text = F.coalesce("text", F.lit(""))
     key = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.col("text")))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), key.alias("key")).mapInPandas(run, schema)
+    rows = docs.select(*_marked(docs), text.alias("text"), key.alias("key")).mapInPandas(run, schema)
+    return rows.withColumn("doc_id", F.when(~F.col("none"), F.col("doc_id"))).drop("none")
+
+
+def _marked(rows: DataFrame) -> list[Column]:
+    doc = F.col("doc_id").cast("long")
+    return [F.coalesce(doc, F.lit(0)).alias("doc_id"), doc.isNull().alias("none")]
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -465,9 +525,9 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
         pieces = _pieces(model, SHARPNESS)
         kind = "<u2" if len(pieces.bytes) <= 1 << 16 else "<u4"
         for b in batches:
-            b["doc_id"] = b["doc_id"].astype("Int64")
             b["text"] = [pieces.decode(np.frombuffer(x, kind)) for x in b["ids"]]
             yield b
 
-    return encoded.select("doc_id", "sample", "n_tokens", "log_prob", "log_inclusion", "ids").mapInPandas(
-        run, "doc_id long, sample int, n_tokens long, log_prob double, log_inclusion double, ids binary, text string")
+    rows = encoded.select(*_marked(encoded), "sample", "n_tokens", "log_prob", "log_inclusion", "ids").mapInPandas(
+        run, "doc_id long, none boolean, sample int, n_tokens long, log_prob double, log_inclusion double, ids binary, text string")
+    return rows.withColumn("doc_id", F.when(~F.col("none"), F.col("doc_id"))).drop("none")

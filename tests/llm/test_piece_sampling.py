@@ -95,3 +95,25 @@ def test_tables(spark, docs):
     texts = {r.doc_id: r.text for r in q.decode(encoded, MODEL).collect()}
     assert all(texts[i] == (t or "").replace("▁", " ") for i, t, _ in rows)
     assert q.encode(docs([]), MODEL).count() == 0
+
+
+def test_ids_next_to_null_ids(spark):
+    rows = [(9007199254740993, "one two"), (None, "three"), (-1, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = q.encode(df, MODEL, 1)
+    assert {r.doc_id for r in got.collect()} == {9007199254740993, None, -1}
+    assert {(r.doc_id, r.text) for r in q.decode(got, MODEL).collect()} == set(rows)
+
+
+def test_split_equals_the_pattern():
+    for text in [*TEXTS, "a b", "a\nb c", "\na", "a\n", "a ", "a \n b", "\n", "x  y z", " a", "a\n\nb"]:
+        assert q.text_words(text) == (q._WORD.findall(q.SPACE + text.replace(" ", q.SPACE)) if text else [])
+
+
+def test_lexicon_starts_anew_and_changes_nothing(pieces, monkeypatch):
+    texts = [f"word{i} and {'x' * (i % 7)} sigh" for i in range(60)]
+    want = [[x[0].tolist() for x in got] for got in q.sample(texts, list(range(60)), q.Pieces(MODEL), 3)]
+    monkeypatch.setattr(q, "LEXICON_CHARS", 50)
+    few = q.Pieces(MODEL)
+    got = [[x[0].tolist() for x in q.sample([t], [i], few, 3)[0]] for i, t in enumerate(texts)]
+    assert got == want and few.lexicon.chars < 200
