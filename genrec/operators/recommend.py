@@ -244,15 +244,20 @@ def _profile_lists(wanted: DataFrame, blocks: DataFrame, movies: DataFrame, exac
     return ranked_groups(found.unionByName(fill), ["pkey"], [F.col("score").desc(), F.col("movieid").asc()])
 
 
-_BITS = 32768                  # positions of one bitmap of Spark's bitmap functions
+_BITS = 64                     # positions of one bitmap, a long
 
 
 def seen_bitmaps(seen: DataFrame) -> DataFrame:
     """``userid, bucket, bits, n_bits``: the list ranks (``userid, rank``) that a user has rated, one bitmap of
-    ``_BITS`` positions per bucket (from 1), so a heavy user is many small rows."""
-    return seen.groupBy("userid", F.bitmap_bucket_number("rank").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("rank")).alias("bits")).select(
-        "userid", "bucket", "bits", F.bitmap_count("bits").alias("n_bits"))
+    ``_BITS`` positions per bucket (from 1), so a heavy user is many small rows.
+
+    ``bit_or`` of longs is a hash aggregate; Spark's ``bitmap_construct_agg`` would sort, for its buffer is a binary.
+    """
+    at = F.col("rank").cast("long") - 1
+    # the bit's place varies by row, which the function shiftleft does not take
+    bit = F.expr("shiftleft(1L, cast((cast(rank as bigint) - 1) % 64 as int))")
+    return seen.groupBy("userid", (F.floor(at / _BITS) + 1).alias("bucket")).agg(F.bit_or(bit).alias("bits")).select(
+        "userid", "bucket", "bits", F.bit_count("bits").alias("n_bits"))
 
 
 def _free_ranks(upto: Column, n: int) -> Column:
@@ -261,13 +266,8 @@ def _free_ranks(upto: Column, n: int) -> Column:
     # n ranks and as many as the bitmap holds are enough
     last = F.least(upto, F.col("bucket") * _BITS, first + n - 1 + F.coalesce("n_bits", F.lit(0)))
     ranks = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
-
-    def free(rank: Column) -> Column:
-        at = (rank - first).cast("int")
-        byte = F.conv(F.hex(F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        return F.getbit(byte, at % 8) == 0
-
-    return F.when(F.col("bits").isNull(), ranks).otherwise(F.slice(F.filter(ranks, free), 1, n))
+    free = F.filter(ranks, lambda rank: F.getbit("bits", (rank - first).cast("int")) == 0)
+    return F.when(F.col("bits").isNull(), ranks).otherwise(F.slice(free, 1, n))
 
 
 def unseen_recommendations(fav: DataFrame, training: DataFrame, movies: DataFrame,
