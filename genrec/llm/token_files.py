@@ -21,6 +21,8 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,7 @@ MAGIC = b"FRVB1\0\0\0"
 BLOCK_IDS = 1 << 19            # a block ends with the document that reaches this many ids
 CACHE_WORDS = 1_500_000         # distinct words that a worker remembers before it starts anew
 BATCH_ROWS = 256
+GROUP_BYTES = 4 << 20           # batches are encoded together up to this many bytes of text
 
 # bytes of each of the four ranks that a control byte describes
 _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.uint8)
@@ -55,15 +58,46 @@ class WordEncoder:
         self.size = self.tokenizer.get_vocab_size()
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(added) or "(?!)")
+        self.model = self.tokenizer.model
+        self.letters = self._letters()
+        self.lettered = re.compile(f"[{''.join(map(chr, self.letters))}]+" if self.letters else "(?!)")
         self._reset()
 
+    def _letters(self) -> dict[int, str]:
+        """Small Latin letters that the normalizer leaves alone, each as the model spells it.
+
+        A run of them is one piece to the tokenizer, so the model can be asked directly.
+        """
+        out = {}
+        normal, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        for c in map(chr, range(ord("a"), 0x250)):
+            if not c.isalpha() or c in "\u00aa\u00ba" or normal is None or cut is None or normal.normalize_str(c) != c:
+                continue
+            pieces = cut.pre_tokenize_str(c)
+            if len(pieces) == 1 and [t.id for t in self.model.tokenize(pieces[0][0])] == self.tokenizer.encode(
+                    c, add_special_tokens=False).ids:
+                out[ord(c)] = pieces[0][0]
+        return out
+
     def _reset(self) -> None:
         self.known, self.parts = Numbers(), Numbers()
         self.parts.of([""])                          # the second part of a word that is left whole
         self.parts.new = []
-        self.pair = np.empty((0, 2), np.int64)       # the parts of each word
-        self.flat = np.empty(0, np.uint32)           # ids of all parts one after another
-        self.starts = np.zeros(2, np.int64)
+        self.flat = np.empty(0, np.uint32)           # ids of all words one after another
+        self.starts = np.zeros(1, np.int64)
+        self.part_flat = np.empty(0, np.uint32)      # and of all parts
+        self.part_starts = np.zeros(2, np.int64)
+
+    def _encode_parts(self, new: list[str]) -> None:
+        direct = [self.lettered.fullmatch(p) is not None for p in new]
+        others = iter(self.tokenizer.encode_batch_fast([p for p, d in zip(new, direct, strict=True) if not d],
+                                                       add_special_tokens=False))
+        spell, ask = self.letters, self.model.tokenize
+        got = [[t.id for t in ask(p if p.isascii() else p.translate(spell))] if d else next(others).ids
+               for p, d in zip(new, direct, strict=True)]
+        n = np.fromiter(map(len, got), np.int64, len(got))
+        self.part_flat = np.concatenate([self.part_flat, np.fromiter(chain.from_iterable(got), np.uint32, int(n.sum()))])
+        self.part_starts = np.concatenate([self.part_starts, self.part_starts[-1] + np.cumsum(n)])
 
     def _learn(self, new: list[str]) -> None:
         """Add words.  Of a word in Latin characters, what goes up to its last letter (in lower
@@ -74,29 +108,36 @@ class WordEncoder:
         for w in new:
             m = _SIGNS_AFTER.fullmatch(w)
             cut += (w, "") if m is None or whole(w) else (m[1].lower(), m[2])
-        self.pair = np.concatenate([self.pair, self.parts.of(cut).reshape(-1, 2)])
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(self.parts.new, add_special_tokens=False)]
+        parts = self.parts.of(cut)
+        self._encode_parts(self.parts.new)
         self.parts.new = []
-        n = np.fromiter(map(len, got), np.int64, len(got))
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(got), np.uint32, int(n.sum()))])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(n)])
+        ids, ends = _gathered(self.part_flat, self.part_starts, parts)
+        self.flat = np.concatenate([self.flat, ids])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + ends[1::2]])
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if not texts:
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        if not len(texts):
             return []
         if len(self.known) > CACHE_WORDS:
             self._reset()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        at = self.known.of(list(chain.from_iterable(split)))
+        whole = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        split = pc.split_pattern(pc.replace_substring(whole, "\n", " "), " ")
+        # a word is looked up once for all of its places in these texts
+        words = split.flatten().dictionary_encode()
+        number = self.known.of(words.dictionary.to_numpy(zero_copy_only=False).tolist())
         if self.known.new:
             self._learn(self.known.new)
             self.known.new = []
-        part = self.pair[at].ravel()
-        lengths = self.starts[part + 1] - self.starts[part]
-        ends = np.cumsum(lengths)
-        gather = np.repeat(self.starts[part] - (ends - lengths), lengths) + np.arange(ends[-1])
-        cuts = np.cumsum([len(s) for s in split])[:-1]
-        return np.split(self.flat[gather], ends[2 * cuts - 1])
+        ids, ends = _gathered(self.flat, self.starts, number[words.indices.to_numpy()])
+        return np.split(ids, ends[split.offsets.to_numpy()[1:-1] - 1])
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``at`` of ``flat``, where run k is ``starts[k]:starts[k + 1]``, and the end of each."""
+    first = starts[at]
+    lengths = starts[at + 1] - first
+    ends = np.cumsum(lengths)
+    return flat[np.repeat(first - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)], ends
 
 
 @lru_cache(maxsize=2)
@@ -135,6 +176,20 @@ def unpack(payload: bytes) -> np.ndarray:
     return out[:n]
 
 
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of batches as tables, each ended by the batch that reaches ``GROUP_BYTES``."""
+    held, size = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            size += b.nbytes
+        if size >= GROUP_BYTES:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def encode(docs: DataFrame, tokenizer: str, end_id: int = 1, partitions: int | None = None) -> DataFrame:
     """``part, doc_id, none, first, n_tokens, ids`` of every row, written and reread; ``none`` marks a null ``doc_id``.
 
@@ -147,24 +202,25 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = 1, partitions: int | N
     arrow_batch_rows(spark, BATCH_ROWS)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         kind = "<u2" if max(encoder.size, end_id + 1) <= 1 << 16 else "<u4"
         done = 0
-        for b in batches:
-            ids = [np.append(x, end_id).astype(kind) for x in encoder.encode(b["text"].tolist())]
+        for b in _grouped(batches):
+            ids = [np.append(x, end_id).astype(kind) for x in encoder.encode(b["text"].combine_chunks())]
             n_tokens = np.array([len(x) for x in ids], dtype=np.int64)
             first = done + np.cumsum(n_tokens) - n_tokens
             done += int(n_tokens.sum())
-            yield pd.DataFrame({"part": b["part"], "doc_id": b["doc_id"], "none": b["none"], "first": first,
-                                "n_tokens": n_tokens, "ids": [x.tobytes() for x in ids]})
+            out = b.drop_columns("text").combine_chunks().append_column("first", pa.array(first)).append_column(
+                "n_tokens", pa.array(n_tokens)).append_column("ids", pa.array([x.tobytes() for x in ids], pa.binary()))
+            yield from out.to_batches()
 
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
                .withColumn("tie", F.xxhash64("text"))
                .repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text"))
     # ids travel as whole numbers beside the mark of a null: a column with nulls would become floating
     rows = ordered.select(F.spark_partition_id().alias("part"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"),
-                          F.col("doc_id").isNull().alias("none"), "text").mapInPandas(
+                          F.col("doc_id").isNull().alias("none"), "text").mapInArrow(
         run, "part int, doc_id long, none boolean, first long, n_tokens long, ids binary")
     return materialise(rows, "token-ids")
 
