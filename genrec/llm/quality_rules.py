@@ -179,14 +179,17 @@ def _best_literal(hist: dict, cuts: dict[str, list[float]]) -> tuple[Literal | N
     return best, left[0], left[1], p0
 
 
-def learn(rows: DataFrame, max_rules: int = 6, max_literals: int = 3, bins: int = 40,
-          min_precision: float = 0.95, min_bad: int = 5) -> list[Rule]:
+def learn(rows: DataFrame, bins: int = 40, min_precision: float = 0.95, min_bad: int = 5) -> list[Rule]:
     """A decision list for ``bad`` (1 or 0) over the feature columns of ``rows``.
 
     Sequential covering: a rule grows by the literal of highest FOIL gain on
-    two thirds of the rows, loses trailing literals while the other third
-    prefers it, is kept if it is precise on both, and the rows that it covers
-    leave.  All labelled rows are used; each step is one aggregate.
+    two thirds of the rows until it covers no good row or nothing gains, loses
+    trailing literals while the other third prefers it, is kept if it is precise
+    on that third and on all, and the rows that it covers leave.  An imprecise
+    rule is set aside: the rows that it covers grow no further rule, but still
+    count when one is pruned and judged.  The loop ends when no literal gains on
+    ``min_bad`` bad rows; every round takes that many away, so it does end.  All
+    labelled rows are used; each step is one aggregate.
     """
     cuts = {}
     probs = [i / bins for i in range(1, bins)] + [0.99, 0.995, 0.999]
@@ -199,14 +202,17 @@ def learn(rows: DataFrame, max_rules: int = 6, max_literals: int = 3, bins: int
             # midpoints stay away from values that rows have
             cuts[f] = [(a + b) / 2 for a, b in zip(values, values[1:], strict=False)]
     rules: list[Rule] = []
+    aside: list[Rule] = []
     if not cuts:
         return rules
     rows = _binned(rows, cuts)
-    while len(rules) < max_rules:
+    while True:
         left = rows.where(~_any(rules)) if rules else rows
         grow, prune = left.where("fold < 2"), left.where("fold = 2")
+        if aside:
+            grow = grow.where(~_any(aside))
         rule: Rule = ()
-        while len(rule) < max_literals:
+        while True:
             literal, p, n, _ = _best_literal(_histograms(grow.where(_all(rule)), cuts), cuts)
             if literal is None or p < min_bad:
                 break
@@ -222,10 +228,11 @@ def learn(rows: DataFrame, max_rules: int = 6, max_literals: int = 3, bins: int
             1, (counts[f"{k}_1"] or 0) + (counts[f"{k}_0"] or 0)) for k in range(len(prefixes))]
         k = max(range(len(prefixes)), key=lambda i: (worth[i], -i))
         rule = prefixes[k]
+        confirmed, refuted = counts[f"{k}_1"] or 0, counts[f"{k}_0"] or 0
         on = left.where(_all(rule)).agg(F.sum("bad").alias("p"), F.count(F.lit(1)).alias("n")).first()
-        if not on["p"] or on["p"] < min_bad or on["p"] < min_precision * on["n"]:
-            break
-        rules.append(rule)
+        precise = confirmed and confirmed >= min_precision * (confirmed + refuted) and on["p"] >= max(
+            min_bad, min_precision * on["n"])
+        (rules if precise else aside).append(rule)
     return rules
 
 

@@ -60,6 +60,48 @@ def test_learned_list_separates(spark, docs):
     assert rules and "CASE WHEN" in str(q.decision(rules))
 
 
+def _rows(spark, rows):
+    """Rows for ``learn``: ``bad``, ``fold`` and features, of which those not named are 0."""
+    fields = ", ".join(f"{f} double" for f in q.FEATURES)
+    return spark.createDataFrame([(bad, i % 3, *(float(v.get(f, 0)) for f in q.FEATURES)) for i, (bad, v) in enumerate(rows)],
+                                 f"bad long, fold int, {fields}")
+
+
+def test_as_many_rules_as_there_are_kinds_of_bad_rows(spark):
+    # nine kinds of bad rows, one to a feature; good rows are low everywhere
+    rnd = random.Random(5)
+    rows = [(0, {f: rnd.random() for f in q.FEATURES}) for _ in range(600)]
+    for f in q.FEATURES:
+        rows += [(1, {g: rnd.random() + (5 if g == f else 0) for g in q.FEATURES}) for _ in range(60)]
+    df = _rows(spark, rows)
+    rules = q.learn(df)
+    assert {r[0].feature for r in rules} == set(q.FEATURES) and len(rules) >= 9
+    judged = df.withColumn("kept", q.decision(rules)).groupBy("bad").agg({"kept": "count"}).collect()
+    assert len(judged) == 2
+    assert df.where(q.decision(rules)).where("bad = 1").count() == 0
+    assert df.where(~q.decision(rules)).where("bad = 0").count() <= 6
+
+
+def test_an_imprecise_rule_is_set_aside(spark):
+    # half of the rows with many symbols are good, whatever else they hold; those with long words are all bad
+    rnd = random.Random(9)
+    rows = [(0, {"words": rnd.random()}) for _ in range(300)]
+    rows += [(rnd.randint(0, 1), {"words": rnd.random(), "symbol_share": 5 + rnd.random()}) for _ in range(600)]
+    rows += [(1, {"words": rnd.random(), "word_length": 9 + rnd.random()}) for _ in range(30)]
+    df = _rows(spark, rows)
+    rules = q.learn(df)
+    caught = df.where(~q.decision(rules))
+    assert caught.where("word_length > 8").count() == 30
+    assert caught.where("bad = 0").count() <= 0.05 * caught.count()
+
+
+def test_labels_without_a_pattern_end(spark):
+    rnd = random.Random(11)
+    df = _rows(spark, [(rnd.randint(0, 1), {f: rnd.random() for f in q.FEATURES}) for _ in range(300)])
+    rules = q.learn(df)
+    assert df.where(~q.decision(rules)).where("bad = 0").count() <= 0.05 * df.count()
+
+
 def test_edge_tables(spark, docs):
     empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert q.judge(docs([]), empty).count() == 0
