@@ -50,6 +50,7 @@ GENERATORS = {
     "phone": r"(?<![0-9])\+?+\(?+[0-9](?:[\x20().-]{0,2}+[0-9]){8,14}+",
     "secret": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+",
 }
+PIECE = 1024                   # code points of a piece of a text
 CONTEXT = 24                   # code points before and after a candidate that features see
 TRAIN_ROWS = 20_000            # candidates the trees are fitted on, about as many at most: every n-th by hash
 MIN_PRECISION = 0.99           # of the selected held-out candidates of a kind
@@ -61,19 +62,58 @@ SECRET_CONTEXT = r"(?i)(?:token|secret|password|passwd|pwd|api_?key|key)[\"']?\s
 LABEL_CONTEXT = r"(?i)(?:token|key|secret|passw\w*|pwd|mail|phone|tel|call|card|ip|address)[^A-Za-z0-9]{0,4}$"
 
 
+def _running(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """Running totals of ``values`` under ``merge``, by doubling steps: n log n work, where a
+    fold that appends copies its array for every element."""
+    steps = F.transform(F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1))))),
+                        lambda k: F.pow(F.lit(2.0), k).cast("int"))
+    return F.aggregate(steps, values, lambda a, step: F.transform(
+        a, lambda x, i: F.when(i >= step, merge(x, F.get(a, i - step))).otherwise(x)))
+
+
+def _pieces(text: Column) -> Column:
+    """``text`` in pieces of ``PIECE`` code points, so that a cut need not count from the start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def _cut(pieces: Column, at: Column, length: Column) -> Column:
+    """``length`` code points from ``at`` (0: the first) of a text in ``pieces``."""
+    first = F.floor(at / PIECE).cast("int")
+    many = F.floor((at + length) / PIECE).cast("int") - first + 1
+    return F.substring(F.array_join(F.slice(pieces, first + 1, many), ""), at % PIECE + 1, length)
+
+
+def _by_kind(spans: Column) -> Column:
+    """The spans of each kind, which are in order and do not overlap, with the steps of a search by halving."""
+    def of(kind: int) -> Column:
+        return let(F.filter(spans, lambda x: x["k"] == kind), lambda own: F.struct(
+            own.alias("spans"), F.when(F.size(own) > 0, F.transform(
+                F.sequence(F.floor(F.log2(F.size(own))), F.lit(0).cast("long"), F.lit(-1).cast("long")),
+                lambda j: F.pow(F.lit(2.0), j).cast("int"))).otherwise(F.array().cast("array<int>")).alias("steps")))
+
+    return F.array(*(of(kind) for kind in range(len(KINDS))))
+
+
+def _overlapping(groups: Column, span: Column) -> Column:
+    """Those spans of ``groups`` (of ``_by_kind``) that overlap ``span``."""
+    def count(g: Column, holds: Callable[[Column], Column]) -> Column:
+        return F.aggregate(g["steps"], F.lit(0), lambda n, step: F.when(
+            holds(F.get(g["spans"], n + step - 1)), n + step).otherwise(n))
+
+    return F.flatten(F.transform(groups, lambda g: let(
+        count(g, lambda x: x["e"] <= span["s"]), lambda before: F.slice(
+            g["spans"], before + 1, F.greatest(count(g, lambda x: x["s"] < span["e"]) - before, F.lit(0))))))
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """Array of ``s, e, v``: all leftmost matches with their places."""
     empty = F.array().cast("array<struct<s:int,e:int,v:string>>")
 
     def placed(found: Column) -> Column:
         def at(parts: Column) -> Column:
-            step = F.zip_with(F.slice(parts, 1, F.size(found)), found, lambda p, v: F.struct(
-                F.char_length(p).alias("gap"), v.alias("v")))
-            return F.aggregate(step, F.struct(F.lit(0).alias("at"), empty.alias("out")), lambda a, x: F.struct(
-                (a["at"] + x["gap"] + F.char_length(x["v"])).alias("at"),
-                F.array_append(a["out"], F.struct(
-                    (a["at"] + x["gap"]).alias("s"), (a["at"] + x["gap"] + F.char_length(x["v"])).alias("e"),
-                    x["v"].alias("v"))).alias("out")))["out"]
+            lengths = F.zip_with(F.slice(parts, 1, F.size(found)), found, lambda p, v: F.char_length(p) + F.char_length(v))
+            return let(_running(lengths, lambda x, y: x + y), lambda ends: F.zip_with(found, ends, lambda v, e: F.struct(
+                (e - F.char_length(v)).alias("s"), e.alias("e"), v.alias("v"))))
 
         return F.when(F.size(found) == 0, empty).otherwise(let(F.split(text, pattern, -1), at))
 
@@ -127,7 +167,7 @@ def _as_span(k: int) -> Callable[[Column], Column]:
     return lambda m: F.struct(m["s"].alias("s"), F.lit(k).alias("k"), m["e"].alias("e"))
 
 
-def _features(text: Column, kind: int) -> Callable[[Column], Column]:
+def _features(pieces: Column, kind: int) -> Callable[[Column], Column]:
     def count(v: Column, pattern: str) -> Column:
         return F.regexp_count(v, F.lit(pattern)).cast("double")
 
@@ -147,8 +187,8 @@ def _features(text: Column, kind: int) -> Callable[[Column], Column]:
                         before.rlike(SECRET_CONTEXT).alias("named"))
 
     def of(m: Column) -> Column:
-        before = F.substring(text, F.greatest(m["s"] - CONTEXT, F.lit(0)) + 1, F.least(m["s"], F.lit(CONTEXT)))
-        after = F.substring(text, m["e"] + 1, F.lit(CONTEXT))
+        before = _cut(pieces, F.greatest(m["s"] - CONTEXT, F.lit(0)), F.least(m["s"], F.lit(CONTEXT)))
+        after = _cut(pieces, m["e"], F.lit(CONTEXT))
         return let(before, lambda b: let(after, lambda a: build(m, b, a)))
 
     return of
@@ -156,9 +196,13 @@ def _features(text: Column, kind: int) -> Callable[[Column], Column]:
 
 def candidates(text: Column) -> Column:
     """Array of proposed spans ``s, k, e`` with features ``f`` and whether a name precedes (``named``)."""
+    return let(_pieces(text), lambda pieces: _candidates(text, pieces))
+
+
+def _candidates(text: Column, pieces: Column) -> Column:
     found = []
     for kind, pattern in GENERATORS.items():
-        spans = F.transform(_matches(text, pattern), _features(text, KINDS.index(kind)))
+        spans = F.transform(_matches(text, pattern), _features(pieces, KINDS.index(kind)))
         if kind == "email":
             spans = F.when(F.contains(text, F.lit("@")), spans)
         found.append(F.coalesce(spans, F.array().cast(
@@ -198,11 +242,12 @@ def fit(scanned: DataFrame) -> tuple[str, dict[int, float]] | None:
     are set on the whole last third.
     """
     rows = scanned.where("size(s.proposed) > 0").select(
-        F.col("s.base").alias("base"), F.xxhash64("doc_id").alias("h"), F.explode("s.proposed").alias("c"))
+        F.xxhash64("doc_id").alias("h"), F.explode(let(_by_kind(F.col("s.base")), lambda base: F.transform(
+            F.col("s.proposed"), lambda c: F.struct(c.alias("c"), F.exists(
+                _overlapping(base, c), lambda b: b["k"] == c["k"]).alias("valid"))))).alias("x"))
     labelled = rows.select(
-        F.pmod("h", F.lit(3)).alias("fold"), F.xxhash64("h", "c.s", "c.k").alias("h"), "c",
-        F.when(F.col("c.k") == KINDS.index("secret"), F.col("c.named")).otherwise(
-            F.expr("exists(base, b -> b.k = c.k and b.s < c.e and b.e > c.s)")).cast("double").alias("label"))
+        F.pmod("h", F.lit(3)).alias("fold"), F.xxhash64("h", "x.c.s", "x.c.k").alias("h"), "x.c",
+        F.when(F.col("x.c.k") == KINDS.index("secret"), F.col("x.c.named")).otherwise(F.col("x.valid")).cast("double").alias("label"))
     labelled = materialise(labelled, "pii-candidates")
     every = labelled.where("fold < 2").count() // TRAIN_ROWS + 1
     train = materialise(labelled.where(F.expr(f"fold < 2 and pmod(h, {every}) = 0")).select("label", "c.f.*"), "pii-train")
@@ -233,22 +278,29 @@ def fit(scanned: DataFrame) -> tuple[str, dict[int, float]] | None:
 
 def selected(scanned: DataFrame, column: str, model: tuple[str, dict[int, float]] | None) -> Column:
     """Array of all spans ``s, k, e`` of a row, base and added, by start, then kind."""
-    base = F.col(f"{column}.base")
     score, thresholds = model or ("0.0D", {})
-    least = "case c.k " + " ".join(f"when {k} then {t!r}D" for k, t in sorted(thresholds.items())) + " else null end" \
+    least = "case x.k " + " ".join(f"when {k} then {t!r}D" for k, t in sorted(thresholds.items())) + " else null end" \
         if thresholds else "cast(null as double)"
     # a named token is a secret whatever the rest of the corpus holds
-    named = f"(c.k = {KINDS.index('secret')} and c.named)"
-    added = f"""
-      transform(array(transform(filter({column}.proposed, c -> ({named} or coalesce(round({score}, 3) >= {least}, false))
-          and not exists({column}.base, b -> (b.s <= c.s and b.e >= c.e)
-                         or (b.k <> c.k and b.s < c.e and b.e > c.s))),
-        c -> named_struct('score', round({score}, 3), 's', c.s, 'k', c.k, 'e', c.e))),
-      good -> transform(filter(good, x -> not exists(good, y -> y.s < x.e and y.e > x.s and
-          (y.score > x.score or (y.score = x.score and (y.e - y.s > x.e - x.s
-            or (y.e - y.s = x.e - x.s and (y.s < x.s or (y.s = x.s and y.k < x.k)))))))),
-        x -> named_struct('s', x.s, 'k', x.k, 'e', x.e)))[0]"""
-    return F.sort_array(F.concat(base, F.expr(added)))
+    wanted = F.expr(f"""
+      filter(transform({column}.proposed, c -> named_struct(
+          'score', round({score}, 3), 's', c.s, 'k', c.k, 'e', c.e, 'named', c.named)),
+        x -> (x.k = {KINDS.index('secret')} and x.named) or coalesce(x.score >= {least}, false))""")
+
+    def added(base: Column) -> Column:
+        return F.filter(wanted, lambda x: ~F.exists(_overlapping(base, x), lambda b: (
+            (b["s"] <= x["s"]) & (b["e"] >= x["e"])) | (b["k"] != x["k"])))
+
+    def rank(x: Column) -> Column:
+        return F.struct(-x["score"], x["s"] - x["e"], x["s"], x["k"])
+
+    def best(good: Column) -> Column:
+        return let(_by_kind(good), lambda groups: F.transform(
+            F.filter(good, lambda x: ~F.exists(_overlapping(groups, x), lambda y: rank(y) < rank(x))),
+            lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"))))
+
+    base = F.col(f"{column}.base")
+    return F.sort_array(F.concat(base, let(let(_by_kind(base), added), best)))
 
 
 def _listed(spans: Column) -> Column:
@@ -285,12 +337,18 @@ def redact(docs: DataFrame) -> DataFrame:
     rows = scanned.withColumn(spans, selected(scanned, column, model))
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
     text = F.col("text")
-    pieces = F.aggregate(
-        F.col(spans), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda a, x: F.struct(
-            F.greatest(a["at"], x["e"]).alias("at"),
-            F.when(x["s"] >= a["at"], F.concat(a["out"], F.substring(text, a["at"] + 1, x["s"] - a["at"]),
-                                               F.get(names, x["k"]))).otherwise(a["out"]).alias("out")),
-        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.char_length(text))))
+
+    def redacted(pieces: Column, until: Column) -> Column:
+        # ``until``: how far the spans up to each one reach
+        def part(x: Column, i: Column) -> Column:
+            return let(F.coalesce(F.get(until, i - 1), F.lit(0)), lambda at: F.when(x["s"] >= at, F.concat(
+                _cut(pieces, at, x["s"] - at), F.get(names, x["k"]))).otherwise(F.lit("")))
+
+        last = F.get(until, F.size(until) - 1)
+        return F.concat(F.array_join(F.transform(F.col(spans), part), ""), _cut(pieces, last, F.char_length(text) - last))
+
+    pieces = let(_pieces(text), lambda p: let(
+        _running(F.transform(F.col(spans), lambda x: x["e"]), F.greatest), lambda until: redacted(p, until)))
     out = rows.withColumn("text", F.when(F.size(spans) > 0, pieces).otherwise(text))
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]

@@ -99,6 +99,28 @@ def test_a_stray_negative_does_not_end_a_kind(spark, monkeypatch):
     assert 4 in q.fit(scanned)[1]
 
 
+def test_many_matches_in_one_text(spark, docs):
+    """Spans, additions and redaction of thousands of matches beside each other, far into a text with wide characters."""
+    rnd = random.Random(12)
+    parts = []
+    for i in range(3000):
+        parts.append(rnd.choice(["é𝕏 ", "x", " "]) + rnd.choice([
+            f"u{i}@h{i}.org", "10.0.0.7", "+49 30 1234567", f'token = "{i:040x}"', "4111 1111 1111 1111"]) + " ")
+    text = "".join(parts)
+    row = q.find(docs([(1, text, "s")])).first()
+    base = brute(text)
+    assert row.base_sha256 == hashlib.sha256(base.encode()).hexdigest() and len(base.split(",")) > 2000
+    named = [f"secret:{m.start(1)}:{m.end(1)}" for m in re.finditer('token = "([0-9a-f]{40})"', text)]
+    got = row.spans.split(",")
+    assert [x for x in got if x.startswith("secret")] == named and len(named) > 400
+    out, at = [], 0
+    for kind, a, b in (x.split(":") for x in got):
+        if int(a) >= at:
+            out += [text[at:int(a)], f"[{kind.upper()}]"]
+        at = max(at, int(b))
+    assert q.redact(docs([(1, text, "s")])).first().text == "".join(out) + text[at:]
+
+
 def test_redaction(spark, docs):
     rows, secret = _corpus()
     rows += [(900, None, "s"), (901, "mail a@b.co, 1.2.3.4!", "s"), (901, "mail a@b.co, 1.2.3.4!", "s")]
