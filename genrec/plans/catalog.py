@@ -214,7 +214,7 @@ def _neighbours(c: _Ctx) -> DataFrame:
 
 
 def _neighbour_scores(c: _Ctx, boost: float) -> DataFrame:
-    sims = neighbours.boosted(_neighbours(c), c.p.avg_ratings, boost)
+    sims = neighbours.boosted(stored(_neighbours(c), "neighbours"), c.p.avg_ratings, boost)
     return neighbours.neighbour_scores(prep.test_ratings(c.p.test), c.p.training, sims)
 
 

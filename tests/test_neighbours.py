@@ -8,7 +8,9 @@ from math import sqrt
 import pytest
 
 from genrec.operators import neighbours
+from genrec.plans import catalog
 from tests.brute import round3
+from tests.conftest import SF001
 
 RATED = "userid int, movieid int, rating double"
 
@@ -70,6 +72,26 @@ def test_a_heavy_user_leaves_the_index(spark):
     assert got == best(rows, 10, 0.5, 1)
 
 
+@pytest.mark.parametrize("min_common", [1, 2])
+def test_pairs_carry_their_products(spark, min_common):
+    """Vectors are not looked up again: the products that form the pairs add up to the dot products."""
+    rows = made(3, 60, 40, 0)
+    entries = neighbours._with_weight(neighbours.item_vectors(spark.createDataFrame(rows, RATED)))
+    pairs = neighbours._chunk_pairs(entries.join(neighbours.movie_bounds(entries, 0.05), "movieid"), 0.05, min_common).collect()
+    got = {(p.a, p.b): (p.n_common, p.dot / sqrt(p.n2ab)) for p in pairs if not p.open}
+    want = cosines(rows)
+    assert len(got) == len(pairs) and all(want[k] == v for k, v in got.items())
+    assert {k for k, (n, c) in want.items() if k[0] < k[1] and c >= 0.05 and n >= min_common} <= got.keys()
+
+
+def test_neighbours_are_written_before_they_are_scored(spark, monkeypatch):
+    """The lookups of the scores count requests, so neighbours would be found several times."""
+    names, real = [], catalog.stored
+    monkeypatch.setattr(catalog, "stored", lambda df, name: names.append(name) or real(df, name))
+    catalog.queries()["neighbour_scores"](spark, SF001)
+    assert names.count("neighbours") == 1
+
+
 def test_no_self_join_on_users(spark):
     df = spark.createDataFrame(made(2, 40, 30, 1), RATED)
     plan = neighbours.item_neighbours(df)._jdf.queryExecution().optimizedPlan().toString()
