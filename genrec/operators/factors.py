@@ -3,10 +3,10 @@
 Movies are ordered by the norm of their factors and cut into blocks.  A user's
 product with a movie is at most the product of their norms, so a user whose
 n-th best score exceeds their norm times the next block's greatest norm is
-done.  Rounds take 1, 1, 2, 4, ... blocks: users that are still open, in groups,
-meet the round's blocks as matrices, and their n best so far set the bar for
-the next round.  Rounds are logarithmic in the number of blocks, and each writes
-the best lists.
+done.  Rounds take 1, 1, 2, 4, ... blocks, up to what is broadcast at once: users
+that are still open, in groups, meet the round's blocks as matrices, and their n
+best so far set the bar for the next round: only products that reach it are
+rounded, ordered and kept.  Each round writes the best lists.
 
 ``als_factors`` trains factors with Spark's own trainer; ``genre_factors`` states
 users and movies in the space of genres, without training.
@@ -25,11 +25,11 @@ from genrec.operators.model import known_genres
 from genrec.operators.prep import user_genre_hist
 from genrec.operators.rank import group_rank
 from genrec.operators.recommend import top_n
-from genrec.operators.skew import fanned_join
 from genrec.session import stored
 
 BLOCK = 1024                   # movies of a block, and users of a group (read at call time)
-BROADCAST_BLOCKS = 8           # so many blocks of BLOCK x rank doubles are broadcast, more are joined
+BROADCAST_BLOCKS = 512         # blocks of a round at most (read at call time)
+BROADCAST_DOUBLES = 1 << 22    # factors of a round at most: its blocks are broadcast
 DIGITS = 6                     # of a score
 _FOUND = "userid int, movieid int, score double"
 
@@ -60,16 +60,24 @@ def _best_products(n: int, digits: int):
 
                 users, ids, bars = array("users"), array("ids"), array("bars")
                 mine, theirs = (array(c).reshape(len(k), -1) for c, k in (("user_vectors", users), ("vectors", ids)))
-                scores = np.floor(mine @ theirs.T * unit + 0.5) / unit
-                by_id = np.argsort(ids, kind="stable")
-                ids, scores = ids[by_id], scores[:, by_id]
-                # equal scores: lower ids first, which a stable sort of the negated scores keeps
-                order = np.argsort(-scores, axis=1, kind="stable")[:, :n]
-                kept = np.take_along_axis(scores, order, axis=1)
-                fine = kept >= bars[:, None]
+                products = mine @ theirs.T
+                # half a unit can be rounded up to the bar
+                bars_ = bars - (0.5 + 1e-6) / unit - np.abs(bars, where=np.isfinite(bars), out=np.zeros_like(bars)) * 1e-12
+                hits = products >= bars_[:, None]
+                full = np.count_nonzero(hits, axis=1) > n
+                if full.any():
+                    nth = -np.partition(-products[full], n - 1, axis=1)[:, n - 1]
+                    hits[full] &= products[full] >= (nth - (1 + 1e-6) / unit - np.abs(nth) * 1e-12)[:, None]
+                row, col = np.nonzero(hits)
+                score = np.floor(products[row, col] * unit + 0.5) / unit
+                # a user's best first, equal scores by lower ids
+                order = np.lexsort((ids[col], -score, row))
+                row, col, score = row[order], col[order], score[order]
+                place = np.arange(len(row)) - np.searchsorted(row, row)
+                fine = (place < n) & (score >= bars[row])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat(users, fine.sum(axis=1)), pa.int32()), pa.array(ids[order][fine], pa.int32()),
-                    pa.array(kept[fine], pa.float64())], names=["userid", "movieid", "score"])
+                    pa.array(users[row[fine]], pa.int32()), pa.array(ids[col[fine]], pa.int32()),
+                    pa.array(score[fine], pa.float64())], names=["userid", "movieid", "score"])
 
     return run
 
@@ -79,19 +87,22 @@ def factor_top_n(users: DataFrame, items: DataFrame, n: int = 10, digits: int =
     digits, ties by lower id; ``users (userid, factors)``, ``items (movieid, factors)``, one row per id.
 
     Rows without factors have no scores; a user whose factors are all 0 gets the
-    lowest ids at 0.  Runs a writing job for the users, those of ``item_blocks`` and one per
-    round, and collects one number per round.
+    lowest ids at 0.  Runs a writing job for the users, those of ``item_blocks``, and one and a
+    count per round, and collects one number per round.
     """
     users = stored(users.where(F.size("factors") > 0).select(
         F.col("userid").cast("int").alias("userid"), "factors", _norm("factors").alias("norm")), "factor-users")
     items = items.where(F.size("factors") > 0).select(F.col("movieid").cast("int").alias("movieid"), "factors")
     blocks = item_blocks(items)
-    last = blocks.agg(F.max("block")).first()[0]
+    last, doubles = blocks.agg(F.max("block"), F.max(F.size("vectors"))).first()
     lowest = items.select("movieid").orderBy("movieid").limit(n).agg(F.collect_list("movieid").alias("ids")).scalar()
     still = users.where("norm = 0").select("userid", F.explode(lowest).alias("movieid"), F.lit(0.0).alias("score"))
     best = None
     if last is not None:
-        starts = [0, *(1 << r for r in range(64) if 1 << r <= last)]
+        widest = max(min(BROADCAST_BLOCKS, BROADCAST_DOUBLES // doubles), 1)
+        starts = [0]
+        while (start := starts[-1] + min(max(starts[-1], 1), widest)) <= last:
+            starts.append(start)
         heads = {r.block: r.head for r in blocks.where(F.col("block").isin(starts)).select("block", "head").collect()}
         for start, end in zip(starts, [*starts[1:], last + 1]):
             opened = users.where("norm > 0").withColumn("bar", F.lit(float("-inf")))
@@ -113,15 +124,13 @@ def factor_top_n(users: DataFrame, items: DataFrame, n: int = 10, digits: int =
 
 def _meet(opened: DataFrame, blocks: DataFrame, start: int, end: int, n: int, digits: int) -> DataFrame:
     """The ``n`` best of the blocks ``start`` to ``end - 1`` for each open user, block by block."""
-    groups = opened.select(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.lit(1)).alias("g")).scalar()
-    packed = opened.groupBy(F.pmod(F.xxhash64("userid"), groups).alias("grp")).agg(
+    groups = max(-(-opened.count() // BLOCK), 1)
+    # a group a task, however few bytes its vectors are: it meets every block
+    packed = opened.withColumn("grp", F.pmod(F.xxhash64("userid"), F.lit(groups))).repartition(groups, "grp").groupBy("grp").agg(
         F.collect_list(F.struct("userid", "factors", "bar")).alias("us"))
     packed = packed.select("grp", F.col("us.userid").alias("users"), F.flatten("us.factors").alias("user_vectors"), F.col("us.bar").alias("bars"),
                            F.explode(F.sequence(F.lit(start).cast("long"), F.lit(end - 1).cast("long"))).alias("block"))
-    if end - start <= BROADCAST_BLOCKS:
-        met = packed.join(F.broadcast(blocks), "block")
-    else:
-        met = fanned_join(packed, blocks, "block", "grp")
+    met = packed.join(F.broadcast(blocks), "block")
     return met.select("users", "user_vectors", "bars", "ids", "vectors").mapInArrow(_best_products(n, digits), _FOUND)
 
 

@@ -64,6 +64,18 @@ def test_users_stop_at_the_bound(spark, monkeypatch):
     assert sum(blocks for blocks, _ in met) <= 4 and len(met) < 4          # of 100 blocks
 
 
+def test_rounds_are_broadcast_whole(spark, monkeypatch):
+    """No round has more blocks than may be broadcast, and the bar keeps later blocks from giving n rows each."""
+    monkeypatch.setattr(factors, "BLOCK", 8)
+    monkeypatch.setattr(factors, "BROADCAST_BLOCKS", 3)
+    met = []
+    real = factors._meet
+    monkeypatch.setattr(factors, "_meet", lambda opened, blocks, start, end, *a: met.append((start, end)) or real(opened, blocks, start, end, *a))
+    users, items = made(5, 20, 2), {m: [1.0 + m % 7 / 10, -1.0 - m % 5 / 10] for m in range(120)}
+    assert run(spark, users, items) == brute(users, items, 5)
+    assert met[:4] == [(0, 1), (1, 2), (2, 4), (4, 7)] and max(end - start for start, end in met) == 3
+
+
 def test_trained_factors(spark):
     c = catalog._Ctx(spark, SF001)
     users, items = factors.als_factors(c.p.training, rank=4, iterations=3)
