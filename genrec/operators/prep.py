@@ -95,11 +95,14 @@ def movie_counts(ratings: DataFrame, valid: DataFrame) -> DataFrame:
 
     Counted on the raw ratings (partial aggregation map-side) and then kept for
     valid movies only, so the big ratings table is joined once, later; ``n_all``
-    is the number of rating rows that will look the movie up.
+    is the number of rating rows that will look the movie up.  Joins of whole
+    movie tables are merged here and below: the planner takes a movie table for
+    as small as its files (see ``salted_lookup``) and would broadcast it.
     """
     counts = ratings.groupBy("movieid").agg(F.count_if(is_positive()).alias("n_pos"),
                                             F.count(F.lit(1)).alias("n_all"))
-    return counts.join(valid.select("movieid"), "movieid", "left_semi")
+    # not a semi join, which the planner would move below the counts
+    return counts.join(valid.select("movieid").distinct().hint("merge"), "movieid")
 
 
 def positive_count_per_movie(ratings: DataFrame, valid: DataFrame) -> DataFrame:
@@ -127,7 +130,7 @@ def popular_movie_ratings(ratings: DataFrame, valid: DataFrame, quantile: float
     """
     counts = counts if counts is not None else movie_counts(ratings, valid)
     keep = popular_movies(counts.where(F.col("n_pos") > 0), quantile)
-    movies = valid.select("movieid", "genres").join(keep.select("movieid"), "movieid", "left_semi")
+    movies = valid.select("movieid", "genres").join(keep.select("movieid").hint("merge"), "movieid", "left_semi")
     return salted_lookup(ratings, movies, ["movieid"], "userid", movie_demand(counts)).select(
         "userid", "movieid", "rating", "timestamp", "genres")
 
@@ -192,7 +195,7 @@ def time_split(active: DataFrame) -> tuple[DataFrame, DataFrame]:
 def cold_movies(training: DataFrame, test_raw: DataFrame) -> DataFrame:
     """Movies rated in test only."""
     return (test_raw.select("movieid").distinct()
-            .join(training.select("movieid").distinct(), "movieid", "left_anti"))
+            .join(training.select("movieid").distinct().hint("merge"), "movieid", "left_anti"))
 
 
 def drop_cold(test_raw: DataFrame, training: DataFrame, counts: DataFrame | None = None) -> DataFrame:

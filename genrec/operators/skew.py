@@ -31,6 +31,10 @@ def salted_lookup(requests: DataFrame, table: DataFrame, keys: Sequence[str], sp
     ``demand`` (``keys + [_n]``) gives the request counts, or upper bounds of
     them, when an aggregate that already exists has them; otherwise the
     requests are counted, which evaluates them a second time.  Lazy: no action.
+
+    The table is never broadcast: its planned size is that of compressed files
+    (and leaves out what ``explode`` adds), so a table far too large for the
+    driver can look small.
     """
     keys = list(keys)
     if demand is None:
@@ -43,7 +47,7 @@ def salted_lookup(requests: DataFrame, table: DataFrame, keys: Sequence[str], sp
         "_salt", F.pmod(F.xxhash64(spread), fan).cast("int")).drop("_f")
     salted_table = table.join(hot, keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), fan - 1))).drop("_f")
-    return salted_requests.join(salted_table, [*keys, "_salt"], how).drop("_salt")
+    return salted_requests.join(salted_table.hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
 COPIES = 16

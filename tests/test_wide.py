@@ -2,10 +2,12 @@
 
 import random
 
-from genrec.operators import recommend
+from genrec.operators import prep, recommend
 from genrec.plans import jobs
+from genrec.session import stored
+from genrec.sources.views import edition_movies_view, edition_ratings_view
 from tests import brute
-from tests.conftest import rows
+from tests.conftest import SF001, rows
 
 VOCAB = [f"G{i:02d}" for i in range(19)]
 
@@ -44,3 +46,13 @@ def test_unseen_with_ties_at_the_cut(spark, monkeypatch):
     for r in jobs.recommend_unseen(mdf, fdf, training, n=4).collect():
         got.setdefault(r["userid"], []).append((r["rank"], r["movieid"], r["score"]))
     assert {u: sorted(v) for u, v in got.items()} == brute.unseen_top(movies, fav, seen, 4)
+
+
+def test_the_movie_table_is_not_broadcast(spark):
+    """Its planned size is that of the parts' file, without the editions that are exploded from it."""
+    ratings, valid = edition_ratings_view(spark, SF001), prep.valid_movies(edition_movies_view(spark, SF001))
+    counts = stored(prep.movie_counts(ratings, valid), "movie-counts")
+    for df in (prep.movie_counts(ratings, valid), prep.popular_movie_ratings(ratings, valid, counts=counts)):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin [movieid" not in plan and "BroadcastHashJoin [cast(movieid" not in plan, plan
