@@ -58,15 +58,17 @@ def _size_class(heavy: str) -> Column:
 
 
 def movie_bounds(entries: DataFrame, least: float) -> DataFrame:
-    """``movieid, n, n2, wmax, top, wtop, cut, n_out``: raters, squared norm, greatest entry, heaviest rater's key
-    and entry, the heaviest class of users that is indexed (the classes above it hold less than ``least`` of the
+    """``movieid, n, n2, wmax, top, wtop, n_top, cut, n_out``: raters, squared norm, greatest entry, heaviest rater's key,
+    entry and number of rows, the heaviest class of users that is indexed (the classes above it hold less than ``least`` of the
     norm), and the number of raters in the classes above."""
-    per_class = entries.groupBy("movieid", _size_class("heavy").alias("size")).agg(
-        F.sum(F.col("w") * F.col("w")).alias("s"), F.count(F.lit(1)).alias("n"),
-        F.max("w").alias("wmax"), F.max("heavy").alias("top"), F.max_by("w", "heavy").alias("wtop"))
+    raters = entries.groupBy("movieid", "heavy").agg(
+        F.sum(F.col("w") * F.col("w")).alias("s"), F.count(F.lit(1)).alias("n"), F.max("w").alias("w"))
+    per_class = raters.groupBy("movieid", _size_class("heavy").alias("size")).agg(
+        F.sum("s").alias("s"), F.sum("n").alias("n"), F.max("w").alias("wmax"), F.max("heavy").alias("top"),
+        F.max_by("w", "heavy").alias("wtop"), F.max_by("n", "heavy").alias("n_top"))
     movies = per_class.groupBy("movieid").agg(
         F.sum("n").alias("n"), F.sum("s").alias("n2"), F.max("wmax").alias("wmax"), F.max("top").alias("top"),
-        F.max_by("wtop", "top").alias("wtop"),
+        F.max_by("wtop", "top").alias("wtop"), F.max_by("n_top", "top").alias("n_top"),
         F.sort_array(F.collect_list(F.struct("size", "s", "n")), asc=False).alias("classes"))
     # from the heaviest class down, while the squares still stay below least^2 of the norm
     room = F.col("n2") * (least * least * (1 - 1e-9))
@@ -74,7 +76,7 @@ def movie_bounds(entries: DataFrame, least: float) -> DataFrame:
                          lambda a, c: F.struct((a["used"] + c["s"]).alias("used"),
                                                F.coalesce(a["cut"], F.when(a["used"] + c["s"] >= room, c["size"])).alias("cut")))
     n_out = F.aggregate("classes", F.lit(0).cast("long"), lambda a, c: a + F.when(c["size"] > F.col("cut"), c["n"]).otherwise(F.lit(0)))
-    return movies.withColumn("cut", walked["cut"]).select("movieid", "n", "n2", "wmax", "top", "wtop", "cut", n_out.alias("n_out"))
+    return movies.withColumn("cut", walked["cut"]).select("movieid", "n", "n2", "wmax", "top", "wtop", "n_top", "cut", n_out.alias("n_out"))
 
 
 def _indexed(min_common: int) -> Column:
@@ -88,7 +90,7 @@ def _chunk_pairs(entries: DataFrame, least: float, min_common: int = 1) -> DataF
 
     ``entries`` with their movies' bounds.  Collects one number, that of the pairs to expect.
     """
-    n_out = F.greatest("n_out", F.lit(1)) if min_common > 1 else F.col("n_out")
+    n_out = F.greatest("n_out", "n_top") if min_common > 1 else F.col("n_out")
     rows = entries.select("userid", "movieid", "w", "n", "n2", "wmax", "top", "wtop", n_out.alias("n_out"), _indexed(min_common).alias("ix"))
     users = rows.groupBy("userid").agg(F.count_if("ix").alias("n_in"), F.count(F.lit(1)).alias("_n")).where("n_in > 0")
     met = F.col("n_in") * (F.col("_n") - (F.col("n_in") + 1) / 2)

@@ -84,6 +84,13 @@ def test_pairs_carry_their_products(spark, min_common):
     assert {k for k, (n, c) in want.items() if k[0] < k[1] and c >= 0.05 and n >= min_common} <= got.keys()
 
 
+def test_repeated_rows_count_each_time(spark):
+    """Movie 2 has every rating twice; user 2, who rates most, is left out of the index of both movies."""
+    rows = [(1, 1, 4.0), (2, 1, 3.0), (2, 3, 1.0)] + [(1, 2, 5.0), (2, 2, 2.0)] * 2
+    got = neighbours.item_neighbours(spark.createDataFrame(rows, RATED), 5, 0.02, 2).where("movieid = 1 and neighbour = 2").collect()
+    assert [(r.n_common, r.cosine) for r in got] == [(4, round3(2 * 26 / sqrt(25 * 58), 6))]
+
+
 def test_neighbours_are_written_before_they_are_scored(spark, monkeypatch):
     """The lookups of the scores count requests, so neighbours would be found several times."""
     names, real = [], catalog.stored
