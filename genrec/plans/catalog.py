@@ -129,7 +129,7 @@ def _read_ratings_csv(c: _Ctx) -> DataFrame:
 def _line_ratings(c: _Ctx) -> DataFrame:
     """Every line item as a rating, so a customer's later items of a part repeat the pair."""
     li, orders = (read_table(c.spark, c.sf_dir, t) for t in ("lineitem", "orders"))
-    rows = li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
+    rows = li.join(orders.hint("merge"), li["l_orderkey"] == orders["o_orderkey"])    # never broadcast, see views
     day = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
     return rows.select(F.col("o_custkey").cast("int").alias("userid"), F.col("l_partkey").cast("int").alias("movieid"),
                        (F.ceil(F.col("l_quantity") / 5).cast("double") / 2).alias("rating"),

@@ -101,7 +101,9 @@ def _latest_items(spark: SparkSession, sf_dir: str, movie: Column) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    joined = li.join(orders, li["l_orderkey"] == orders["o_orderkey"])
+    # merged, never broadcast: the planner takes orders for as small as two columns of its compressed
+    # file, and sends millions of rows through the driver
+    joined = li.join(orders.hint("merge"), li["l_orderkey"] == orders["o_orderkey"])
     days = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date"))
     key = (days.cast("decimal(7,0)") * _pow10(29)
            + F.col("l_orderkey").cast("decimal(19,0)") * _pow10(10)

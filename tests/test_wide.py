@@ -5,7 +5,7 @@ import random
 from genrec.operators import prep, recommend
 from genrec.plans import jobs
 from genrec.session import stored
-from genrec.sources.views import edition_movies_view, edition_ratings_view
+from genrec.sources.views import edition_movies_view, edition_ratings_view, ratings_view
 from tests import brute
 from tests.conftest import SF001, rows
 
@@ -56,3 +56,10 @@ def test_the_movie_table_is_not_broadcast(spark):
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
         assert "SortMergeJoin" in plan and "BroadcastHashJoin [movieid" not in plan and "BroadcastHashJoin [cast(movieid" not in plan, plan
+
+
+def test_orders_are_not_broadcast(spark):
+    """Their planned size is two columns of a compressed file: 9 million orders look like less than 10 MB."""
+    for view in (ratings_view, edition_ratings_view):
+        plan = view(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan, plan
