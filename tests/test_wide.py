@@ -63,3 +63,10 @@ def test_orders_are_not_broadcast(spark):
     for view in (ratings_view, edition_ratings_view):
         plan = view(spark, SF001)._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan, plan
+
+
+def test_editions_are_spelled_after_the_parts_are_dealt(spark):
+    """A small parts file is read by one task; genres and filters on them must not be worked on in it."""
+    plan = prep.valid_movies(edition_movies_view(spark, SF001))._jdf.queryExecution().executedPlan().toString()
+    over, under = plan.split("REPARTITION_BY_COL", 1)
+    assert "initcap" in over and "Filter" in over and "initcap" not in under and "Filter " not in under, plan
