@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,13 +73,16 @@ class Numbers(dict):
         super().__init__()
         self.new: list[str] = []
 
-    def __missing__(self, key: str) -> int:
-        n = self[key] = len(self)
-        self.new.append(key)
-        return n
-
     def of(self, keys: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+        found = np.fromiter(map(self.get, keys, repeat(-1)), np.int64, len(keys))
+        unknown = np.flatnonzero(found < 0)
+        if len(unknown):
+            missed = [keys[i] for i in unknown.tolist()]
+            fresh = dict.fromkeys(missed)
+            self.update(zip(fresh, range(len(self), len(self) + len(fresh)), strict=True))
+            self.new += fresh
+            found[unknown] = np.fromiter(map(self.__getitem__, missed), np.int64, len(missed))
+        return found
 
 
 def arrow_batch_rows(spark: SparkSession, rows: int) -> None:

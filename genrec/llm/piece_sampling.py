@@ -28,7 +28,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields, replace
 from functools import lru_cache
 
 import numpy as np
@@ -44,7 +44,6 @@ BATCH_ROWS = 768
 CHUNK_CHARS = 800_000          # texts are worked on together up to this size
 LEXICON_CHARS = 1_000_000      # of the parts of words that a worker remembers
 SPACE = "▁"
-NONE = np.float64(-np.inf)
 
 
 class Pieces:
@@ -92,18 +91,11 @@ class Pieces:
         # characters that stand together in some piece; the lattice falls apart between all others
         pairs = {ord(a) << 21 | ord(b) for p in pieces for a, b in zip(p, p[1:], strict=False)}
         self.pairs = np.array(sorted(pairs), dtype=np.int64)
-        lengths = np.array([len(b) for b in self.bytes])
-        self.byte_flat = np.frombuffer(b"".join(self.bytes), np.uint8)
-        self.byte_start = np.cumsum(lengths) - lengths
-        self.byte_length = lengths
         self.lexicon = Lexicon(self)
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         """The bytes of the pieces, without the space that encoding puts first."""
-        n = self.byte_length[ids]
-        ends = np.cumsum(n)
-        at = np.repeat(self.byte_start[ids] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
-        out = self.byte_flat[at].tobytes()
+        out = b"".join(map(self.bytes.__getitem__, ids.tolist()))
         return out[1:] if out[:1] == b" " else out
 
     def decode(self, ids: np.ndarray) -> str:
@@ -120,15 +112,10 @@ _WORD = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
 
 def text_words(text: str) -> list[str]:
     """The text as the lattice sees it, cut where no piece reaches over."""
-    spaced = " " + text
-    if text and "  " not in spaced and SPACE not in text:
+    if text and "  " not in text and text[0] != " " and SPACE not in text:
         # single spaces only: a split at plain characters gives the same words
-        out: list[str] = []
-        for line in spaced.split("\n"):
-            head, *rest = line.split(" ")
-            out += ["\n", head] if head else ["\n"]
-            out += [SPACE + w for w in rest]
-        return out[1:]
+        words = (SPACE + text.replace(" ", " " + SPACE)).replace("\n", " \n ").split(" ")
+        return list(filter(None, words)) if "\n" in text else words
     return _WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
@@ -164,7 +151,7 @@ class Lattice:
     ids: np.ndarray           # piece of each arc; -2: the character's bytes
     code: np.ndarray          # code point that an arc starts with
     logp: np.ndarray          # log-probability of the arc, given its place
-    other: np.ndarray         # probability of the place's other arcs
+    log_other: np.ndarray     # logarithm of the probability of the place's other arcs; -inf: there is none
     reach: np.ndarray         # place + probability of the arc and the longer ones; below the next place but for its last arc
     to: np.ndarray            # place that the arc leads to; -1: the word's end
     first: np.ndarray         # first arc of each place; one more entry than places
@@ -178,9 +165,12 @@ def lattice(words: list[str], pieces: Pieces) -> Lattice:
     code = _code_points("".join(words))
     n = len(code)
     left = np.repeat(end, length) - np.arange(n)
+    # 16-bit numbers are sorted by their digits, in linear time
+    order = np.argsort(left.astype(np.uint16) if length.max(initial=0) < 1 << 16 else left, kind="stable")
+    ranked = left[order]
     number = np.empty(n + 1, np.int64)
-    number[np.argsort(left, kind="stable")] = np.arange(n)
-    at, ids, steps = [], [], []
+    number[order] = np.arange(n)
+    at, ids = [], []                             # by the arcs' length
     node, alive = np.zeros(n, np.int64), np.arange(n)
     bare = np.ones(n, bool)
     for j in range(pieces.longest):
@@ -196,23 +186,30 @@ def lattice(words: list[str], pieces: Pieces) -> Lattice:
         whole = i >= 0
         at.append(alive[whole])
         ids.append(i[whole])
-        steps.append(np.full(len(at[-1]), j + 1))
         if j == 0:
             bare[at[0]] = False
-    at.append(np.flatnonzero(bare))
-    ids.append(np.full(len(at[-1]), -2))
-    steps.append(np.ones(len(at[-1]), np.int64))
-    at, ids, steps = (np.concatenate(x) for x in (at, ids, steps))
-    place = number[at]
-    order = np.argsort(place * (pieces.longest + 1) - steps, kind="stable")
-    at, ids, steps, place = at[order], ids[order], steps[order], place[order]
+    if n:
+        alone = np.flatnonzero(bare)
+        at[0], ids[0] = np.concatenate([at[0], alone]), np.concatenate([ids[0], np.full(len(alone), -2)])
+    # the longest arcs are dealt to their places first, so nothing is sorted
+    first = np.zeros(n + 1, np.int64)
+    slots = [number[x] for x in at]
+    for x in slots:
+        first[x + 1] += 1
+    first = np.cumsum(first)
+    free = first[:-1].copy()
+    where, piece, steps, place = (np.empty(first[-1], np.int64) for _ in range(4))
+    for j in reversed(range(len(at))):
+        to = free[slots[j]]
+        free[slots[j]] += 1
+        where[to], piece[to], steps[to], place[to] = at[j], ids[j], j + 1, slots[j]
+    at, ids = where, piece
     c = code[at]
     weight = np.where(ids >= 0, pieces.weight[ids], pieces.byte_weight * (1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF)))
     inside = left[at] > steps
     to = np.where(inside, number[np.minimum(at + steps, n)], -1)
-    first = np.searchsorted(place, np.arange(n + 1))
     beta = np.zeros(n + 1)                       # the last entry, reached by -1, is the word's end
-    for lo, hi in _ranges(np.sort(left)):
+    for lo, hi in _ranges(ranked):
         x, y = first[lo], first[hi]
         total = weight[x:y] + beta[to[x:y]]
         weight[x:y] = total
@@ -221,17 +218,21 @@ def lattice(words: list[str], pieces: Pieces) -> Lattice:
         beta[lo:hi] = top + np.log(np.add.reduceat(np.exp(total - np.repeat(top, np.diff(first[lo:hi + 1]))), cuts))
     logp = weight - beta[place]
     p = np.exp(logp)
-    nth = np.arange(len(place)) - first[place]
     below, above = np.zeros(len(p)), np.zeros(len(p))
-    count = np.diff(first)[place]
+    head, count = first[:-1], np.diff(first)
     for k in range(1, int(count.max()) if n else 0):
-        up = np.flatnonzero(nth == k)
+        many = count > k
+        head, count = head[many], count[many]
+        up, down = head + k, head + count - 1 - k
         below[up] = below[up - 1] + p[up - 1]
-        down = np.flatnonzero(count - 1 - nth == k)
         above[down] = above[down + 1] + p[down + 1]
-    reach = np.where(nth == count - 1, place + 1.0, place + below + p)
+    last = first[1:] - 1
+    reach = place + below + p
+    reach[last] = place[last] + 1.0
+    with np.errstate(divide="ignore"):
+        log_other = np.log(below + above)
     narrow = (x.astype(np.int32) for x in (ids, c))
-    return Lattice(*narrow, logp, below + above, reach, to.astype(np.int32), first, place.astype(np.int32), number[end - length] if n else end)
+    return Lattice(*narrow, logp, log_other, reach, to.astype(np.int32), first, place.astype(np.int32), number[end - length] if n else end)
 
 
 class Lexicon:
@@ -249,9 +250,27 @@ class Lexicon:
         self.word, self.unit = Numbers(), Numbers()
         self.chars = 0
         self.lattice = lattice([], self.pieces)
+        self.room = {f.name: getattr(self.lattice, f.name) for f in fields(Lattice)}
         self.units = np.empty(0, np.int64)       # the parts of all words one after another
         self.count = np.empty(0, np.int64)       # how many each word has
 
+    def _add(self, new: Lattice) -> None:
+        """The lattices of ``new`` come after those held, whose places and arcs are numbered on; the arrays are
+        filled in place, in room that doubles."""
+        old = self.lattice
+        places, arcs = len(old.first) - 1, len(old.ids)
+        later = replace(new, reach=new.reach + places, to=np.where(new.to >= 0, new.to + places, -1), first=new.first[1:] + arcs,
+                        place=new.place + places, start=new.start + places)
+        grown = {}
+        for name, room in self.room.items():
+            n, more = len(getattr(old, name)), getattr(later, name)
+            if n + len(more) > len(room):
+                self.room[name] = np.empty(max(2 * len(room), n + len(more)), room.dtype)
+                self.room[name][:n] = room[:n]
+            self.room[name][n:n + len(more)] = more
+            grown[name] = self.room[name][:n + len(more)]
+        self.lattice = Lattice(**grown)
+
     def look_up(self, spelled: list[str]) -> np.ndarray:
         """The number of each word; new words are added."""
         if self.chars > LEXICON_CHARS:
@@ -260,7 +279,7 @@ class Lexicon:
         if self.word.new:
             names, unit, count = _units(self.word.new, self.pieces)
             known = self.unit.of(names)
-            self.lattice = _joined(self.lattice, lattice(self.unit.new, self.pieces))
+            self._add(lattice(self.unit.new, self.pieces))
             self.chars += sum(map(len, self.unit.new))
             self.units = np.concatenate([self.units, known[unit]])
             self.count = np.concatenate([self.count, count])
@@ -268,17 +287,6 @@ class Lexicon:
         return numbers
 
 
-def _joined(a: Lattice, b: Lattice) -> Lattice:
-    """The lattices of ``a`` and then those of ``b``, whose places and arcs are numbered on."""
-    places, arcs = len(a.first) - 1, len(a.ids)
-    return Lattice(
-        np.concatenate([a.ids, b.ids]), np.concatenate([a.code, b.code]), np.concatenate([a.logp, b.logp]),
-        np.concatenate([a.other, b.other]), np.concatenate([a.reach, b.reach + places]),
-        np.concatenate([a.to, np.where(b.to >= 0, b.to + places, -1).astype(np.int32)]),
-        np.concatenate([a.first[:-1], b.first + arcs]), np.concatenate([a.place, (b.place + places).astype(np.int32)]),
-        np.concatenate([a.start, b.start + places]))
-
-
 def _ranges(ranked: np.ndarray) -> list[tuple[int, int]]:
     """Runs of equal values in a sorted array."""
     cuts = np.flatnonzero(np.diff(ranked)) + 1
@@ -298,8 +306,10 @@ def _uniform(key: np.ndarray, step: int) -> np.ndarray:
 
 
 def _walk(lat: Lattice, place: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Arcs sampled from each place to its word's end: (index of the entry, arc), entry by entry."""
+    """Arcs sampled from each place to its word's end, entry by entry; and the first arc of each entry (one more
+    entry than places)."""
     active, step, parts = np.arange(len(place)), 0, []
+    steps = np.zeros(len(place), np.int64)
     while len(active):
         arc, aim = lat.first[place], place + _uniform(key[active], step)
         short = np.flatnonzero(lat.reach[arc] <= aim)
@@ -307,14 +317,16 @@ def _walk(lat: Lattice, place: np.ndarray, key: np.ndarray) -> tuple[np.ndarray,
             arc[short] += 1
             short = short[lat.reach[arc[short]] <= aim[short]]
         parts.append((active, arc))
-        on = lat.to[arc] >= 0
-        active, place = active[on], lat.to[arc[on]]
         step += 1
-    if not parts:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    entry, arc = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.argsort(entry, kind="stable")
-    return entry[order], arc[order]
+        steps[active] = step
+        onward = lat.to[arc]
+        on = onward >= 0
+        active, place = active[on], onward[on]
+    first = np.concatenate([[0], np.cumsum(steps)])
+    out = np.empty(first[-1], np.int64)
+    for i, (entry, arc) in enumerate(parts):
+        out[first[entry] + i] = arc
+    return out, first
 
 
 def _below(limit: np.ndarray, location: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -393,8 +405,9 @@ def sample(texts: list[str], keys: list[int], pieces: Pieces, k: int = SAMPLES,
                 own = int(node.path.word[node.at])
                 inside = lat.to[arc] >= 0
                 word = np.arange(own + (not inside), last[d])
-                place = start[word]
+                place = start[own + (not inside):last[d]]
                 if inside:
+                    place = place.copy()
                     place[0] = lat.to[arc]
                 heads.append((node.path.word[:node.at], node.path.arc[:node.at], own, arc, gone, rest))
             words.append(word)
@@ -404,9 +417,9 @@ def sample(texts: list[str], keys: list[int], pieces: Pieces, k: int = SAMPLES,
         with np.errstate(over="ignore"):
             salt = _mix(np.repeat(key, n_words) + (word - np.repeat(first[of], n_words)).astype(np.uint64)
                         * np.uint64(0x9FB21C651E98DF25))
-        entry, arc = _walk(lat, np.concatenate(places), salt)
-        cut = np.searchsorted(entry, np.concatenate([[0], np.cumsum(n_words)]))
-        word = word[entry]
+        arc, begin = _walk(lat, np.concatenate(places), salt)
+        cut = begin[np.concatenate([[0], np.cumsum(n_words)])]
+        word = np.repeat(word, np.diff(begin))
         new = []
         for x, head in enumerate(heads):
             w, a = word[cut[x]:cut[x + 1]], arc[cut[x]:cut[x + 1]]
@@ -417,16 +430,15 @@ def sample(texts: list[str], keys: list[int], pieces: Pieces, k: int = SAMPLES,
         n_arcs = np.array([len(a) for _, a in new])
         arcs = np.concatenate([a for _, a in new])
         offset = np.cumsum(n_arcs) - n_arcs
-        run = np.cumsum(lat.logp[arcs])
+        logp = lat.logp[arcs]
+        run = np.cumsum(logp)
         whole = np.concatenate([run, [0.0]])[offset + n_arcs - 1] - np.concatenate([[0.0], run])[offset]
-        before = run - lat.logp[arcs] - np.repeat(np.concatenate([[0.0], run])[offset], n_arcs)
+        before = run - logp - np.repeat(np.concatenate([[0.0], run])[offset], n_arcs)
         with np.errstate(over="ignore"):
             salt = np.repeat(_seed(key, 3), n_arcs) + (np.arange(len(arcs)) - np.repeat(offset, n_arcs)).astype(
                 np.uint64) * np.uint64(0xD1B54A32D192ED03)
-        other = lat.other[arcs]
         limit = np.repeat(np.array([v for _, _, v in todo]), n_arcs)
-        best = np.where(other > 0, _below(limit, before + np.log(np.where(other > 0, other, 1.0)),
-                                          _uniform(_mix(salt), 0)), NONE)
+        best = _below(limit, before + lat.log_other[arcs], _uniform(_mix(salt), 0))
         toss = _uniform(_seed(key, 4), 0)
         keep = k - turn
         for x, (d, node, value) in enumerate(todo):
@@ -442,7 +454,7 @@ def sample(texts: list[str], keys: list[int], pieces: Pieces, k: int = SAMPLES,
                     sets[d].append(_Set(float(g), path, node.at, gone))
             own = best[lo + low:hi]
             top = np.argpartition(-own, keep - 1)[:keep] if len(own) > keep else np.arange(len(own))
-            sets[d] += [_Set(float(own[t]), path, low + int(t), (int(path.arc[low + t]),)) for t in top if own[t] > NONE]
+            sets[d] += [_Set(float(own[t]), path, low + int(t), (int(path.arc[low + t]),)) for t in top if own[t] > -np.inf]
             sets[d].sort(key=lambda s: -s.best)
             del sets[d][keep:]
         if turn + 1 < k:
@@ -458,15 +470,16 @@ def _inclusion(x: float) -> float:
 
 def _ids(lat: Lattice, path: _Path, pieces: Pieces) -> np.ndarray:
     ids = lat.ids[path.arc]
-    bare = np.flatnonzero(ids == -2)
-    if not len(bare):
+    bare = ids == -2
+    code = lat.code[path.arc[bare]]
+    if not len(code):
         return ids
-    parts, done = [], 0
-    for b in bare:
-        raw = chr(lat.code[path.arc[b]]).encode("utf-8", "surrogatepass")
-        parts += [ids[done:b], pieces.byte_id[np.frombuffer(raw, np.uint8)]]
-        done = b + 1
-    return np.concatenate([*parts, ids[done:]])
+    raw = "".join(map(chr, code.tolist())).encode("utf-8", "surrogatepass")
+    count = np.ones(len(ids), np.int64)
+    count[bare] = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
+    ids = np.repeat(ids, count)
+    ids[ids == -2] = pieces.byte_id[np.frombuffer(raw, np.uint8)]
+    return ids
 
 
 def _chunks(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:

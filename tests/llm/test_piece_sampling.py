@@ -1,5 +1,6 @@
 import math
 from collections import Counter
+from dataclasses import fields
 
 import numpy as np
 import public_tokenizers
@@ -117,3 +118,17 @@ def test_lexicon_starts_anew_and_changes_nothing(pieces, monkeypatch):
     few = q.Pieces(MODEL)
     got = [[x[0].tolist() for x in q.sample([t], [i], few, 3)[0]] for i, t in enumerate(texts)]
     assert got == want and few.lexicon.chars < 200
+
+
+def test_lattices_are_added_in_place():
+    """A batch's new words cost what they hold, not what the worker remembers."""
+    lexicon, held = q.Pieces(MODEL).lexicon, []
+    for words in ([f"▁{a}{b}{c}" for a in "abcdefgh" for b in "aeiou" for c in "lmnrst"], ["▁other"], ["▁further"]):
+        lexicon.look_up(words)
+        held.append(lexicon.lattice)
+    for f in fields(q.Lattice):
+        assert np.shares_memory(getattr(held[1], f.name), getattr(held[2], f.name)), f.name
+    whole = q.lattice(list(lexicon.unit), lexicon.pieces)
+    assert len(whole.ids) == len(held[2].ids) > len(held[1].ids)
+    assert np.allclose(np.sort(whole.logp), np.sort(held[2].logp))
+    assert np.array_equal(np.diff(held[2].first)[held[2].start], np.diff(whole.first)[whole.start])
