@@ -41,13 +41,49 @@ from genrec.llm.common import Numbers, arrow_batch_rows
 SAMPLES = 3
 SHARPNESS = 1.0
 BATCH_ROWS = 768
-CHUNK_CHARS = 800_000          # texts are worked on together up to this size
-LEXICON_CHARS = 1_000_000      # of the parts of words that a worker remembers
+CHUNK_CHARS = 400_000          # texts are worked on together up to this size
+RENEWED = 10
+LEXICON_CHARS = 200_000        # of the parts of words that a worker remembers from one batch to the next
+NEAR = 45.0                    # sets less likely than exp(-NEAR) hold no next segmentation but by a draw above LUCKIEST
+LUCKIEST = 37.0                # no Gumbel draw from 53 bits is greater
 SPACE = "▁"
 
 
+class _Table:
+    """Whole numbers at least 0 by key, in open addressing."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(4 * len(keys)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.full(1 << self.bits, -1, np.int32)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = np.flatnonzero(self.keys[slot] < 0)
+            self.keys[slot[free]] = keys[left[free]]      # of several, one stays
+            self.values[slot[free]] = values[left[free]]
+            on = self.keys[slot] != keys[left]
+            left, slot = left[on], slot[on] + 1 & len(self.keys) - 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """The values of the keys; -1: none."""
+        slot = self._slot(keys)
+        held = self.keys[slot]
+        found = np.where(held == keys, self.values[slot], -1)
+        left = np.flatnonzero((held != keys) & (held >= 0))
+        while len(left):
+            slot[left] = slot[left] + 1 & len(self.keys) - 1
+            held = self.keys[slot[left]]
+            hit = held == keys[left]
+            found[left[hit]] = self.values[slot[left[hit]]]
+            left = left[~hit & (held >= 0)]
+        return found
+
+
 class Pieces:
-    """The pieces of a model as a trie in sorted arrays, and their bytes."""
+    """The pieces of a model as a trie of hashed arcs, and their bytes."""
 
     def __init__(self, path: str, sharpness: float = SHARPNESS):
         import sentencepiece
@@ -83,14 +119,13 @@ class Pieces:
             ends[at] = i
         keys = np.array([a << 21 | ord(c) for a, c in nodes], dtype=np.int64)
         child = np.fromiter(nodes.values(), np.int64, len(nodes))
-        order = np.argsort(keys)
-        self.keys, self.child = keys[order], child[order]
+        self.arcs = _Table(keys, child)
         self.end_id = np.full(len(nodes) + 1, -1, np.int64)
         self.end_id[list(ends)] = list(ends.values())
         self.weight = weight
         # characters that stand together in some piece; the lattice falls apart between all others
         pairs = {ord(a) << 21 | ord(b) for p in pieces for a, b in zip(p, p[1:], strict=False)}
-        self.pairs = np.array(sorted(pairs), dtype=np.int64)
+        self.pairs = _Table(np.array(sorted(pairs), dtype=np.int64), np.zeros(len(pairs), np.int64))
         self.lexicon = Lexicon(self)
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
@@ -119,24 +154,21 @@ def text_words(text: str) -> list[str]:
     return _WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
-def _units(words: list[str], pieces: Pieces) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Words cut between characters that stand together in no piece: the distinct parts,
-    the parts of all words one after another, and how many each word has."""
+def _units(words: list[str], pieces: Pieces) -> tuple[list[str], np.ndarray]:
+    """Words cut between characters that stand together in no piece: the parts of all words
+    one after another, and how many each word has."""
     text = "".join(words)
     code = _code_points(text)
-    starts = np.cumsum([0] + [len(w) for w in words])[:-1]
+    length = np.fromiter(map(len, words), np.int64, len(words))
+    starts = np.cumsum(length) - length
     cut = np.zeros(len(code), bool)
     if len(code):
-        pair = code[:-1] << 21 | code[1:]
-        at = np.minimum(np.searchsorted(pieces.pairs, pair), len(pieces.pairs) - 1)
-        cut[1:] = pieces.pairs[at] != pair
+        cut[1:] = pieces.pairs.of(code[:-1] << 21 | code[1:]) < 0
         cut[starts] = True
     bounds = np.flatnonzero(cut)
     edges = [*bounds.tolist(), len(code)]
     parts = [text[a:b] for a, b in zip(edges, edges[1:], strict=False)]
-    index = {p: i for i, p in enumerate(dict.fromkeys(parts))}
-    count = np.diff(np.searchsorted(bounds, np.append(starts, len(code))))
-    return list(index), np.fromiter(map(index.__getitem__, parts), np.int64, len(parts)), count
+    return parts, np.diff(np.searchsorted(bounds, np.append(starts, len(code))))
 
 
 def _code_points(text: str) -> np.ndarray:
@@ -148,19 +180,17 @@ class Lattice:
     """Lattices of many words.  Places are numbered by the characters left in
     their word; the arcs of a place lie together, longer ones first."""
 
-    ids: np.ndarray           # piece of each arc; -2: the character's bytes
-    code: np.ndarray          # code point that an arc starts with
+    ids: np.ndarray           # piece of each arc; -2 - c: the bytes of the character c
     logp: np.ndarray          # log-probability of the arc, given its place
     log_other: np.ndarray     # logarithm of the probability of the place's other arcs; -inf: there is none
     reach: np.ndarray         # place + probability of the arc and the longer ones; below the next place but for its last arc
     to: np.ndarray            # place that the arc leads to; -1: the word's end
     first: np.ndarray         # first arc of each place; one more entry than places
-    place: np.ndarray         # place of each arc
     start: np.ndarray         # first place of each word
 
 
 def lattice(words: list[str], pieces: Pieces) -> Lattice:
-    length = np.array([len(w) for w in words], dtype=np.int64)
+    length = np.fromiter(map(len, words), np.int64, len(words))
     end = np.cumsum(length)
     code = _code_points("".join(words))
     n = len(code)
@@ -177,12 +207,11 @@ def lattice(words: list[str], pieces: Pieces) -> Lattice:
         alive = alive[left[alive] > j]
         if not len(alive):
             break
-        key = node[alive] << 21 | code[alive + j]
-        hit = np.minimum(np.searchsorted(pieces.keys, key), len(pieces.keys) - 1)
-        good = pieces.keys[hit] == key
-        alive = alive[good]
-        node[alive] = pieces.child[hit[good]]
-        i = pieces.end_id[node[alive]]
+        child = pieces.arcs.of(node[alive] << 21 | code[alive + j])
+        good = child >= 0
+        alive, child = alive[good], child[good]
+        node[alive] = child
+        i = pieces.end_id[child]
         whole = i >= 0
         at.append(alive[whole])
         ids.append(i[whole])
@@ -190,7 +219,7 @@ def lattice(words: list[str], pieces: Pieces) -> Lattice:
             bare[at[0]] = False
     if n:
         alone = np.flatnonzero(bare)
-        at[0], ids[0] = np.concatenate([at[0], alone]), np.concatenate([ids[0], np.full(len(alone), -2)])
+        at[0], ids[0] = np.concatenate([at[0], alone]), np.concatenate([ids[0], -2 - code[alone]])
     # the longest arcs are dealt to their places first, so nothing is sorted
     first = np.zeros(n + 1, np.int64)
     slots = [number[x] for x in at]
@@ -204,8 +233,9 @@ def lattice(words: list[str], pieces: Pieces) -> Lattice:
         free[slots[j]] += 1
         where[to], piece[to], steps[to], place[to] = at[j], ids[j], j + 1, slots[j]
     at, ids = where, piece
-    c = code[at]
-    weight = np.where(ids >= 0, pieces.weight[ids], pieces.byte_weight * (1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF)))
+    weight = pieces.weight[np.maximum(ids, 0)]
+    spelled = np.flatnonzero(ids < 0)
+    weight[spelled] = pieces.byte_weight * _byte_count(-2 - ids[spelled])
     inside = left[at] > steps
     to = np.where(inside, number[np.minimum(at + steps, n)], -1)
     beta = np.zeros(n + 1)                       # the last entry, reached by -1, is the word's end
@@ -231,15 +261,22 @@ def lattice(words: list[str], pieces: Pieces) -> Lattice:
     reach[last] = place[last] + 1.0
     with np.errstate(divide="ignore"):
         log_other = np.log(below + above)
-    narrow = (x.astype(np.int32) for x in (ids, c))
-    return Lattice(*narrow, logp, log_other, reach, to.astype(np.int32), first, place.astype(np.int32), number[end - length] if n else end)
+    return Lattice(ids.astype(np.int32), logp, log_other, reach, to.astype(np.int32), first, number[end - length] if n else end)
+
+
+def _byte_count(code: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes of code points."""
+    return 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
 
 
 class Lexicon:
     """The lattices of the words met so far, and of which parts each word consists.
 
     Words recur from batch to batch, so a worker builds a part's lattice once.
-    It starts anew when the parts exceed ``LEXICON_CHARS``, before a batch.
+    When the parts exceed ``LEXICON_CHARS``, it goes back before a batch to its
+    core, the words met most often (half of that, and twice at least): most words
+    of a corpus are met once.  At first, and after ``RENEWED`` times, it chooses
+    the core anew.
     """
 
     def __init__(self, pieces: Pieces):
@@ -253,6 +290,30 @@ class Lexicon:
         self.room = {f.name: getattr(self.lattice, f.name) for f in fields(Lattice)}
         self.units = np.empty(0, np.int64)       # the parts of all words one after another
         self.count = np.empty(0, np.int64)       # how many each word has
+        self.met = np.empty(0, np.int64)         # how often each word was looked up
+        self.core: tuple[int, ...] = ()          # words, parts, parts of all words, characters, places and arcs of the core
+        self.returns = 0
+
+    def _sizes(self) -> tuple[int, ...]:
+        return len(self.word), len(self.unit), len(self.units), self.chars, len(self.lattice.first) - 1, len(self.lattice.ids)
+
+    def _renew(self) -> None:
+        if self.core and self.returns < RENEWED:
+            self.returns += 1
+            words, parts, spread, self.chars, places, arcs = self.core
+            for numbers, n in ((self.word, words), (self.unit, parts)):
+                while len(numbers) > n:
+                    numbers.popitem()            # the last one
+            self.units, self.count, self.met = self.units[:spread], self.count[:words], self.met[:words]
+            size = {"first": places + 1, "start": parts}
+            self.lattice = Lattice(**{name: room[:size.get(name, arcs)] for name, room in self.room.items()})
+            return
+        words = list(self.word)
+        often = [words[i] for i in np.argsort(-self.met, kind="stable")[:np.count_nonzero(self.met > 1)].tolist()]
+        room = np.searchsorted(np.cumsum([len(w) for w in often]), LEXICON_CHARS // 2, "right")
+        self._reset()
+        self.look_up(often[:room])
+        self.core = self._sizes()
 
     def _add(self, new: Lattice) -> None:
         """The lattices of ``new`` come after those held, whose places and arcs are numbered on; the arrays are
@@ -260,7 +321,7 @@ class Lexicon:
         old = self.lattice
         places, arcs = len(old.first) - 1, len(old.ids)
         later = replace(new, reach=new.reach + places, to=np.where(new.to >= 0, new.to + places, -1), first=new.first[1:] + arcs,
-                        place=new.place + places, start=new.start + places)
+                        start=new.start + places)
         grown = {}
         for name, room in self.room.items():
             n, more = len(getattr(old, name)), getattr(later, name)
@@ -274,16 +335,19 @@ class Lexicon:
     def look_up(self, spelled: list[str]) -> np.ndarray:
         """The number of each word; new words are added."""
         if self.chars > LEXICON_CHARS:
-            self._reset()
+            self._renew()
         numbers = self.word.of(spelled)
         if self.word.new:
-            names, unit, count = _units(self.word.new, self.pieces)
-            known = self.unit.of(names)
+            parts, count = _units(self.word.new, self.pieces)
+            unit = self.unit.of(parts)
             self._add(lattice(self.unit.new, self.pieces))
             self.chars += sum(map(len, self.unit.new))
-            self.units = np.concatenate([self.units, known[unit]])
+            self.units = np.concatenate([self.units, unit])
             self.count = np.concatenate([self.count, count])
             self.word.new, self.unit.new = [], []
+        met = np.bincount(numbers, minlength=len(self.count))
+        met[:len(self.met)] += self.met
+        self.met = met
         return numbers
 
 
@@ -339,6 +403,7 @@ class _Path:
     word: np.ndarray          # number of each arc's part of the chain, counted over the batch
     arc: np.ndarray
     logp: float
+    ids: np.ndarray
 
 
 @dataclass
@@ -360,7 +425,7 @@ def _seed(key: np.ndarray, *numbers: int) -> np.ndarray:
 def _branch(lat: Lattice, node: _Set, u: float) -> tuple[int, tuple[int, ...], float]:
     """An arc of the set's place, sampled among those not excluded; what is then
     excluded; and the probability of the rest of the place."""
-    p = lat.place[node.path.arc[node.at]]
+    p = int(np.searchsorted(lat.first, node.path.arc[node.at], "right")) - 1
     arcs = np.arange(lat.first[p], lat.first[p + 1])
     odds = np.exp(lat.logp[arcs])
     odds[[x - arcs[0] for x in node.excluded]] = 0.0
@@ -433,33 +498,48 @@ def sample(texts: list[str], keys: list[int], pieces: Pieces, k: int = SAMPLES,
         logp = lat.logp[arcs]
         run = np.cumsum(logp)
         whole = np.concatenate([run, [0.0]])[offset + n_arcs - 1] - np.concatenate([[0.0], run])[offset]
-        before = run - logp - np.repeat(np.concatenate([[0.0], run])[offset], n_arcs)
-        with np.errstate(over="ignore"):
-            salt = np.repeat(_seed(key, 3), n_arcs) + (np.arange(len(arcs)) - np.repeat(offset, n_arcs)).astype(
-                np.uint64) * np.uint64(0xD1B54A32D192ED03)
-        limit = np.repeat(np.array([v for _, _, v in todo]), n_arcs)
-        best = _below(limit, before + lat.log_other[arcs], _uniform(_mix(salt), 0))
-        toss = _uniform(_seed(key, 4), 0)
+        base = np.concatenate([[0.0], run])[offset]
+        ids, edge = _ids(lat.ids[arcs], pieces)
+        edge = edge[np.concatenate([offset, [len(arcs)]])]
+        salt, limit = _seed(key, 3), np.array([v for _, _, v in todo])
+        low = np.array([0 if node is None else node.at + 1 for _, node, _ in todo])
         keep = k - turn
+
+        def leaving(texts: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+            """The best of the sets that leave the paths of ``texts`` at their arcs from ``lo`` to ``hi``."""
+            n = hi - lo
+            t = np.repeat(texts, n)
+            i = np.arange(len(t)) + np.repeat(lo - (np.cumsum(n) - n), n)
+            with np.errstate(over="ignore"):
+                own = salt[t] + (i - offset[t]).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
+            return _below(limit[t], run[i] - logp[i] - base[t] + lat.log_other[arcs[i]], _uniform(_mix(own), 0))
+
+        # the further along a path, the less likely the sets: those beyond NEAR are drawn only if they can matter
+        lo, end = offset + low, offset + n_arcs
+        hi = np.minimum(np.maximum(np.searchsorted(-run, NEAR - base), lo), end)
+        best, cut = leaving(np.arange(len(todo)), lo, hi), np.concatenate([[0], np.cumsum(hi - lo)])
+        toss = _uniform(_seed(key, 4), 0)
         for x, (d, node, value) in enumerate(todo):
-            path = _Path(*new[x], float(whole[x]) if n_arcs[x] else 0.0)
+            path = _Path(*new[x], float(whole[x]) if n_arcs[x] else 0.0, ids[edge[x]:edge[x + 1]])
             paths[d].append(path)
-            lo, hi, low = offset[x], offset[x] + n_arcs[x], 0
             if node is not None:
-                low = node.at + 1
                 _, _, _, _, gone, rest = heads[x]
                 if rest > 0:
-                    mass = float(before[lo + node.at]) + np.log(rest)
+                    at = offset[x] + node.at
+                    mass = float(run[at] - logp[at] - base[x]) + np.log(rest)
                     g = _below(np.array([value]), np.array([mass]), toss[x:x + 1])[0]
                     sets[d].append(_Set(float(g), path, node.at, gone))
-            own = best[lo + low:hi]
+            own = best[cut[x]:cut[x + 1]]
+            if hi[x] < end[x] and np.count_nonzero(own > LUCKIEST - NEAR) < keep:
+                own = leaving(np.array([x]), lo[x:x + 1], end[x:x + 1])
             top = np.argpartition(-own, keep - 1)[:keep] if len(own) > keep else np.arange(len(own))
-            sets[d] += [_Set(float(own[t]), path, low + int(t), (int(path.arc[low + t]),)) for t in top if own[t] > -np.inf]
+            first_arc = int(low[x])
+            sets[d] += [_Set(float(own[t]), path, first_arc + int(t), (int(path.arc[first_arc + t]),)) for t in top if own[t] > -np.inf]
             sets[d].sort(key=lambda s: -s.best)
             del sets[d][keep:]
         if turn + 1 < k:
             todo = [(d, s, s.best) for d, s in ((d, sets[d].pop(0)) for d, _, _ in todo if sets[d])]
-    return [[(_ids(lat, p, pieces), p.logp, _inclusion(p.logp - sets[d][0].best) if sets[d] else 0.0) for p in got]
+    return [[(p.ids, p.logp, _inclusion(p.logp - sets[d][0].best) if sets[d] else 0.0) for p in got]
             for d, got in enumerate(paths)]
 
 
@@ -468,18 +548,18 @@ def _inclusion(x: float) -> float:
     return float(x) if x < -30 else float(np.log(-np.expm1(-np.exp(min(x, 50.0)))))
 
 
-def _ids(lat: Lattice, path: _Path, pieces: Pieces) -> np.ndarray:
-    ids = lat.ids[path.arc]
-    bare = ids == -2
-    code = lat.code[path.arc[bare]]
-    if not len(code):
-        return ids
-    raw = "".join(map(chr, code.tolist())).encode("utf-8", "surrogatepass")
+def _ids(ids: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of arcs with characters spelled as bytes, and the first of each arc (one more entry than arcs)."""
+    bare = np.flatnonzero(ids < 0)
+    if not len(bare):
+        return ids, np.arange(len(ids) + 1)
+    code = -2 - ids[bare]
     count = np.ones(len(ids), np.int64)
-    count[bare] = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
+    count[bare] = _byte_count(code)
+    raw = "".join(map(chr, code.tolist())).encode("utf-8", "surrogatepass")
     ids = np.repeat(ids, count)
-    ids[ids == -2] = pieces.byte_id[np.frombuffer(raw, np.uint8)]
-    return ids
+    ids[ids < 0] = pieces.byte_id[np.frombuffer(raw, np.uint8)]
+    return ids, np.concatenate([[0], np.cumsum(count)])
 
 
 def _chunks(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:

@@ -132,3 +132,45 @@ def test_lattices_are_added_in_place():
     assert len(whole.ids) == len(held[2].ids) > len(held[1].ids)
     assert np.allclose(np.sort(whole.logp), np.sort(held[2].logp))
     assert np.array_equal(np.diff(held[2].first)[held[2].start], np.diff(whole.first)[whole.start])
+
+
+def test_a_worker_remembers_little(monkeypatch):
+    """Words met once are forgotten, those met often stay; at most a batch's words are held beyond the limit."""
+    monkeypatch.setattr(q, "LEXICON_CHARS", 2000)
+    lexicon, most = q.Pieces(MODEL).lexicon, 0
+    for i in range(60):
+        lexicon.look_up([f"\u2581met{chr(97 + i // 26)}{chr(97 + i % 26)}{chr(97 + j // 26)}{chr(97 + j % 26)}" for j in range(40)] + ["\u2581often", "\u2581x=1"] * 3)
+        most = max(most, lexicon.chars)
+        assert lexicon.chars == sum(map(len, lexicon.unit)) and len(lexicon.word) == len(lexicon.count) == len(lexicon.met)
+        for name, n in (("\u2581often", 1), ("\u2581x=1", len(q._units(["\u2581x=1"], lexicon.pieces)[0]))):
+            at = lexicon.word[name]
+            assert lexicon.count[at] == n
+            assert at < lexicon.core[0] if lexicon.core else True
+    assert most < 2000 + 40 * 10 + 20 and lexicon.core and lexicon.returns
+    whole = q.lattice(list(lexicon.unit), lexicon.pieces)
+    assert np.allclose(np.sort(whole.logp), np.sort(lexicon.lattice.logp))
+    assert sum(getattr(lexicon.lattice, f.name).itemsize for f in fields(q.Lattice)) <= 48
+
+
+def test_sets_are_drawn_near_the_beginning(pieces, monkeypatch):
+    """Sets far along a path are too unlikely to hold a next segmentation; those drawn change no sample."""
+    texts = ["the quick brown fox jumps over a lazy dog " * 60, "a", "of it", "", "x" * 400, "one two three"]
+    drawn = []
+    below = q._below
+
+    def counted(limit, location, u):
+        drawn.append(len(location))
+        return below(limit, location, u)
+
+    monkeypatch.setattr(q, "_below", counted)
+    few = q.sample(texts, list(range(6)), pieces, 3)
+    near = sum(drawn)
+    drawn.clear()
+    monkeypatch.setattr(q, "NEAR", 1e9)
+    every = q.sample(texts, list(range(6)), pieces, 3)
+    assert near * 2 < sum(drawn)
+    for a, b in zip(few, every, strict=True):
+        assert [(x.tolist(), p, s) for x, p, s in a] == [(x.tolist(), p, s) for x, p, s in b]
+    monkeypatch.setattr(q, "NEAR", 1e-3)             # too near: the rest is drawn after all
+    rest = q.sample(texts, list(range(6)), pieces, 3)
+    assert [[x.tolist() for x, _, _ in a] for a in rest] == [[x.tolist() for x, _, _ in a] for a in every]
