@@ -41,9 +41,9 @@ from genrec.llm.common import Numbers, arrow_batch_rows
 SAMPLES = 3
 SHARPNESS = 1.0
 BATCH_ROWS = 768
-CHUNK_CHARS = 400_000          # texts are worked on together up to this size
+CHUNK_CHARS = 200_000          # texts are worked on together up to this size
 RENEWED = 10
-LEXICON_CHARS = 200_000        # of the parts of words that a worker remembers from one batch to the next
+LEXICON_CHARS = 120_000        # of the parts of words that a worker remembers from one batch to the next
 NEAR = 45.0                    # sets less likely than exp(-NEAR) hold no next segmentation but by a draw above LUCKIEST
 LUCKIEST = 37.0                # no Gumbel draw from 53 bits is greater
 SPACE = "▁"
