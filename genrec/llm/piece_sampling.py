@@ -46,6 +46,7 @@ RENEWED = 10
 LEXICON_CHARS = 120_000        # of the parts of words that a worker remembers from one batch to the next
 NEAR = 45.0                    # sets less likely than exp(-NEAR) hold no next segmentation but by a draw above LUCKIEST
 LUCKIEST = 37.0                # no Gumbel draw from 53 bits is greater
+DECODED = 1 << 16              # pieces whose bytes are put together at once
 SPACE = "▁"
 
 
@@ -107,6 +108,10 @@ class Pieces:
         if any(SPACE in p.lstrip(SPACE) or "\n" in p and len(p) > 1 for p in pieces):
             raise ValueError("a piece of the model reaches over a word boundary")
         self.byte_id = np.array([byte_id[b] for b in range(256)], dtype=np.int64)
+        # the bytes of all pieces one after another, for decoding in bulk
+        self.spelling = np.frombuffer(b"".join(self.bytes), np.uint8)
+        self.size = np.fromiter(map(len, self.bytes), np.int64, n)
+        self.begin = np.cumsum(self.size) - self.size
         self.longest = max(map(len, pieces))
         self.byte_weight = -sharpness * float(np.log(2 + n))
         weight = -sharpness * np.log(2 + np.maximum(rank, 0))
@@ -128,13 +133,24 @@ class Pieces:
         self.pairs = _Table(np.array(sorted(pairs), dtype=np.int64), np.zeros(len(pairs), np.int64))
         self.lexicon = Lexicon(self)
 
-    def decode_bytes(self, ids: np.ndarray) -> bytes:
-        """The bytes of the pieces, without the space that encoding puts first."""
-        out = b"".join(map(self.bytes.__getitem__, ids.tolist()))
-        return out[1:] if out[:1] == b" " else out
+    def decode_bytes(self, paths: list[np.ndarray]) -> list[bytes]:
+        """For each array of ids the bytes of its pieces, without the space that encoding puts first."""
+        ids = np.concatenate(paths) if paths else np.empty(0, np.int64)
+        parts = []
+        for lo in range(0, len(ids), DECODED):
+            some = ids[lo:lo + DECODED]
+            size = self.size[some]
+            end = np.cumsum(size)
+            parts.append(self.spelling[np.arange(end[-1]) + np.repeat(self.begin[some] - (end - size), size)].tobytes())
+        whole, out, at = b"".join(parts), [], 0
+        for path in paths:
+            end = at + int(self.size[path].sum())
+            out.append(whole[at + (whole[at:min(at + 1, end)] == b" "):end])
+            at = end
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
-        return self.decode_bytes(np.asarray(ids, dtype=np.int64)).decode("utf-8", "replace")
+        return self.decode_bytes([np.asarray(ids, dtype=np.int64)])[0].decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
@@ -292,6 +308,7 @@ class Lexicon:
         self.count = np.empty(0, np.int64)       # how many each word has
         self.met = np.empty(0, np.int64)         # how often each word was looked up
         self.core: tuple[int, ...] = ()          # words, parts, parts of all words, characters, places and arcs of the core
+        self.numbered: tuple[dict[str, int], ...] = ()    # the core's words and parts
         self.returns = 0
 
     def _sizes(self) -> tuple[int, ...]:
@@ -301,9 +318,9 @@ class Lexicon:
         if self.core and self.returns < RENEWED:
             self.returns += 1
             words, parts, spread, self.chars, places, arcs = self.core
-            for numbers, n in ((self.word, words), (self.unit, parts)):
-                while len(numbers) > n:
-                    numbers.popitem()            # the last one
+            self.word, self.unit = Numbers(), Numbers()
+            self.word.update(self.numbered[0])
+            self.unit.update(self.numbered[1])
             self.units, self.count, self.met = self.units[:spread], self.count[:words], self.met[:words]
             size = {"first": places + 1, "start": parts}
             self.lattice = Lattice(**{name: room[:size.get(name, arcs)] for name, room in self.room.items()})
@@ -314,6 +331,7 @@ class Lexicon:
         self._reset()
         self.look_up(often[:room])
         self.core = self._sizes()
+        self.numbered = dict(self.word), dict(self.unit)
 
     def _add(self, new: Lattice) -> None:
         """The lattices of ``new`` come after those held, whose places and arcs are numbered on; the arrays are
@@ -587,11 +605,13 @@ def encode(docs: DataFrame, model: str, k: int = SAMPLES, sharpness: float = SHA
                 texts = b["text"].tolist()
                 rows = []
                 for doc, none, text, got in zip(b["doc_id"].tolist(), b["none"].tolist(), texts, sample(texts, b["key"].tolist(), pieces, k), strict=True):
-                    plain = text.replace(SPACE, " ").encode("utf-8", "surrogatepass") if digest else b""
+                    if digest:
+                        plain = text.replace(SPACE, " ").encode("utf-8", "surrogatepass")
+                        decoded = pieces.decode_bytes([ids for ids, _, _ in got])
                     for i, (ids, logp, score) in enumerate(got):
                         row = [doc, none, i + 1, len(ids), logp, score]
                         if digest:
-                            row += [zlib.crc32(ids.astype("<u4").tobytes()), pieces.decode_bytes(ids) == plain]
+                            row += [zlib.crc32(ids.astype("<u4").tobytes()), decoded[i] == plain]
                         else:
                             row.append(ids.astype(kind).tobytes())
                         rows.append(row)

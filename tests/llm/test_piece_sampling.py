@@ -174,3 +174,28 @@ def test_sets_are_drawn_near_the_beginning(pieces, monkeypatch):
     monkeypatch.setattr(q, "NEAR", 1e-3)             # too near: the rest is drawn after all
     rest = q.sample(texts, list(range(6)), pieces, 3)
     assert [[x.tolist() for x, _, _ in a] for a in rest] == [[x.tolist() for x, _, _ in a] for a in every]
+
+
+def test_samples_are_decoded_together(pieces, monkeypatch):
+    """The bytes of several samples are put together in bulk, in bounded slices."""
+    got = [ids for text in q.sample(TEXTS, list(range(len(TEXTS))), pieces, 3) for ids, _, _ in text]
+    joined = [b"".join(pieces.bytes[i] for i in ids.tolist()) for ids in got]
+    want = [x[1:] if x[:1] == b" " else x for x in joined]
+    assert pieces.decode_bytes(got) == want and pieces.decode_bytes([]) == []
+    assert [pieces.decode(ids) for ids in got] == [x.decode("utf-8", "replace") for x in want]
+    monkeypatch.setattr(q, "DECODED", 3)
+    assert pieces.decode_bytes(got) == want
+
+
+def test_a_worker_goes_back_at_once(monkeypatch):
+    """Words that are forgotten are not taken out one by one."""
+    monkeypatch.setattr(q, "LEXICON_CHARS", 2000)
+    monkeypatch.setattr(q.Numbers, "popitem", None)
+    lexicon, back = q.Pieces(MODEL).lexicon, 0
+    for i in range(60):
+        words = [f"\u2581met{chr(97 + i // 26)}{chr(97 + i % 26)}{chr(97 + j // 26)}{chr(97 + j % 26)}" for j in range(40)]
+        back += lexicon.chars > 2000 and bool(lexicon.core) and lexicon.returns < q.RENEWED
+        lexicon.look_up([*words, "\u2581often", "\u2581often"])
+        assert list(lexicon.word.values()) == list(range(len(lexicon.count)))
+        assert list(lexicon.unit.values()) == list(range(len(lexicon.lattice.start)))
+    assert back > 3
