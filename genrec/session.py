@@ -96,9 +96,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, rows_per_file: int = 0) -> DataFrame:
     """Write ``df`` below the checkpoint folder and read it back (one job): later plans
-    start from the table, and a lost executor recomputes nothing before it."""
+    start from the table, and a lost executor recomputes nothing before it.  ``rows_per_file``
+    (0: any number) is for rows of megabytes, since a file's rows may be read at once."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
